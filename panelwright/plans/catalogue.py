@@ -13,10 +13,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from panelwright.functions import contains_text, period_label, safe_ratio, start_year, weighted_sum
 from panelwright.functions._util import qcol
+from panelwright.operators.assemble import (
+    backfill,
+    key_set_diff,
+    left_join,
+    outer_blocks,
+    patch_join,
+    replace_by_key,
+    union_by_name,
+    validated_left_join,
+)
+from panelwright.operators.clean import (
+    drop_all_null_columns,
+    drop_spacer_rows,
+    failure_log,
+    flatten_name,
+    normalise_names,
+    prefix_columns,
+    project_with_optional,
+    safe_numeric,
+    tag_schema,
+)
 from panelwright.operators.outcomes import career_summary
-from panelwright.operators.select import prefer_flagged
-from panelwright.plans.tables import CUSTOMER_SPEC, customer_year_panel, read
+from panelwright.operators.select import (
+    earliest_value_per_key,
+    first_seen,
+    keep_first,
+    keep_last,
+    latest_per_key,
+    prefer_flagged,
+)
+from panelwright.plans.tables import (
+    CUSTOMER_SPEC,
+    customer_year_panel,
+    customer_year_stints,
+    read,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -94,3 +128,252 @@ def q_dedupe_prefer_flagged(spark, sf_dir):
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_shipdate",
         "l_quantity", "l_extendedprice",
     ))
+
+
+@register("keep_first")
+def q_keep_first(spark, sf_dir):
+    ev = read(spark, sf_dir, "events")
+    out = keep_first(ev, ["user_id", "event_type"], ["event_id"])
+    return finish(out.select("user_id", "event_type", "event_id", "ts", "value"))
+
+
+@register("keep_last")
+def q_keep_last(spark, sf_dir):
+    ev = read(spark, sf_dir, "events")
+    out = keep_last(ev, ["user_id", "event_type"], ["event_id"])
+    return finish(out.select("user_id", "event_type", "event_id", "ts", "value"))
+
+
+def orders_with_period(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "orders").withColumn("period", period_label(F.year("o_orderdate")))
+
+
+@register("latest_per_key")
+def q_latest_per_key(spark, sf_dir):
+    o = orders_with_period(spark, sf_dir)
+    out = latest_per_key(o, "o_custkey", "period", ["o_orderdate", "o_orderkey"])
+    return finish(out.select("o_custkey", "o_orderkey", "period", "o_totalprice"))
+
+
+@register("earliest_per_key")
+def q_earliest_per_key(spark, sf_dir):
+    o = orders_with_period(spark, sf_dir)
+    return earliest_value_per_key(
+        o, "o_custkey", start_year("period"), "o_orderpriority", ["o_orderdate", "o_orderkey"],
+        min_year=1990, alias="first_priority",
+    )
+
+
+@register("first_seen")
+def q_first_seen(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    out = first_seen(o, "o_custkey", "o_orderdate", ["o_orderkey"])
+    return out.select("o_custkey", "o_orderkey", "o_orderdate")
+
+
+# ------------------------------------------------------- scalar measures (F)
+
+@register("weighted_index")
+def q_weighted_index(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").withColumn(
+        "l_tax_n", F.when(F.col("l_linenumber") != 3, F.col("l_tax"))
+    )
+    idx = weighted_sum({"l_extendedprice": 0.5, "l_discount": 100.0, "l_tax_n": -200.0})
+    return finish(li.select("l_orderkey", "l_linenumber", idx.alias("index_value")))
+
+
+@register("safe_ratio")
+def q_safe_ratio(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    return finish(li.select(
+        "l_orderkey", "l_linenumber", safe_ratio("l_extendedprice", "l_tax").alias("price_per_tax")
+    ))
+
+
+# ------------------------------------------------------------------ joins (J)
+
+def customer_year_totals(spark, sf_dir) -> DataFrame:
+    stints = customer_year_stints(spark, sf_dir)
+    return (
+        stints.groupBy("o_custkey", "yr")
+        .agg(F.sum("G").alias("G"), F.sum("MP").alias("MP"))
+        .withColumn("AQ", F.col("MP") / F.col("G"))
+        .withColumn("period", period_label("yr"))
+        .drop("yr")
+    )
+
+
+def late_year_line_stats(spark, sf_dir) -> DataFrame:
+    """Per (customer, period, priority) line averages for orders from 1998 on (the patch rows)."""
+    o = read(spark, sf_dir, "orders").filter(F.year("o_orderdate") >= 1998)
+    li = read(spark, sf_dir, "lineitem")
+    return (
+        o.join(li, o.o_orderkey == li.l_orderkey)
+        .groupBy("o_custkey", period_label(F.year("o_orderdate")).alias("period"),
+                 F.col("o_orderpriority").alias("stint"))
+        .agg(F.avg("l_quantity").alias("AQ"), F.max("l_discount").alias("MD"))
+    )
+
+
+@register("patch_join")
+def q_patch_join(spark, sf_dir):
+    base = customer_year_totals(spark, sf_dir)
+    patch = late_year_line_stats(spark, sf_dir)
+    out = patch_join(base, patch, ["o_custkey", "period"], ["AQ", "MD"], order_by=["stint"])
+    return finish(out.select("o_custkey", "period", "G", "MP", "AQ", "MD"))
+
+
+@register("left_label_join")
+def q_left_label_join(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_nationkey").alias("nk"))
+    n = read(spark, sf_dir, "nation").filter(F.col("n_regionkey") <= 2).select(
+        F.col("n_nationkey").alias("nk"), "n_name"
+    )
+    return left_join(c, n, "nk", fill={"n_name": "UNK"}).select("c_custkey", "c_name", "n_name")
+
+
+@register("one_to_one_join")
+def q_one_to_one_join(spark, sf_dir):
+    c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    s = customer_summary(spark, sf_dir).select("o_custkey", "tier")
+    return validated_left_join(c, s, ["o_custkey"])
+
+
+@register("outer_block_assembly")
+def q_outer_block_assembly(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    blocks = []
+    for flag in ("A", "N", "R"):
+        b = li.filter(F.col("l_returnflag") == flag).groupBy("l_orderkey").agg(
+            F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n")
+        )
+        blocks.append(prefix_columns(b, f"{flag}_", "l_orderkey"))
+    wide = outer_blocks(blocks, "l_orderkey").withColumnRenamed("l_orderkey", "o_orderkey")
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return finish(left_join(o, wide, "o_orderkey").select(
+        "o_orderkey", "o_custkey", "A_qty", "A_n", "N_qty", "N_n", "R_qty", "R_n"
+    ))
+
+
+# ------------------------------------------------------- cleaning (P, F18)
+
+def events_long(spark, sf_dir) -> DataFrame:
+    """Events as a long tagged table with injected gaps and spacer labels."""
+    ev = read(spark, sf_dir, "events")
+    m7 = F.col("event_id") % 7
+    return ev.select(
+        "event_id", "user_id", F.col("event_type").alias("table_id"),
+        F.when(m7 == 0, F.lit(None)).when(m7 == 1, F.lit("")).when(m7 == 2, F.lit("  "))
+        .when(m7 == 3, F.lit("nan")).otherwise(period_label(F.year("ts"))).alias("Season"),
+        F.when(m7 != 0, F.col("value")).alias("value"),
+        F.when(F.col("event_type") == "click", F.col("value")).alias("click_value"),
+        F.when(F.col("event_type") == "purchase", F.col("props")).alias("purchase_props"),
+        F.lit(None).cast("double").alias("empty_measure"),
+    )
+
+
+@register("split_by_type")
+def q_split_by_type(spark, sf_dir):
+    return tag_schema(events_long(spark, sf_dir), "table_id", ["event_id", "user_id"])
+
+
+@register("drop_all_null")
+def q_drop_all_null(spark, sf_dir):
+    return finish(drop_all_null_columns(events_long(spark, sf_dir)))
+
+
+@register("drop_spacers")
+def q_drop_spacers(spark, sf_dir):
+    out = drop_spacer_rows(events_long(spark, sf_dir), "Season")
+    return out.select("event_id", "table_id", "Season")
+
+
+@register("normalise_names")
+def q_normalise_names(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("Unnamed: 0"),
+        F.col("l_orderkey").alias("order"),
+        F.col("l_discount").alias(flatten_name(("Price", "disc %"))),
+        F.col("l_tax").alias("tax/price"),
+        F.col("l_quantity").alias(" qty total "),
+        F.col("l_returnflag").alias(flatten_name(("nan", "flag"))),
+    )
+    return finish(normalise_names(li))
+
+
+@register("safe_numeric")
+def q_safe_numeric(spark, sf_dir):
+    ev = read(spark, sf_dir, "events").select(
+        "event_id",
+        F.when(F.col("event_id") % 11 == 0, F.lit("x"))
+        .otherwise(F.regexp_extract("props", "([0-9]+)", 1)).alias("k"),
+        F.col("event_type").alias("kind"),
+        F.format_string("%d", F.col("user_id")).alias("Team"),
+    )
+    return finish(safe_numeric(ev))
+
+
+# --------------------------------------------------- refresh and key sets
+
+@register("replace_by_key")
+def q_replace_by_key(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    existing = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    new = o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz")).withColumn(
+        "o_totalprice", F.col("o_totalprice") * 2
+    )
+    return finish(replace_by_key(existing, new, "o_custkey"))
+
+
+@register("backfill_keys")
+def q_backfill_keys(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    existing = o.filter(F.year("o_orderdate") <= 1996)
+    later = o.filter(F.year("o_orderdate") >= 1997)
+    return backfill(existing, later, "o_custkey")
+
+
+@register("key_set_diff")
+def q_key_set_diff(spark, sf_dir):
+    docs = key_set_diff(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"), "doc_id", "doc_id")
+    ords = key_set_diff(read(spark, sf_dir, "orders"), read(spark, sf_dir, "lineitem"), "o_orderkey", "l_orderkey")
+    return docs.select(
+        F.col("missing_in_b").alias("docs_without_label"), F.col("extra_in_b").alias("labels_without_doc"),
+        ords.select(F.col("missing_in_b")).scalar().alias("orders_without_lines"),
+        ords.select(F.col("extra_in_b")).scalar().alias("lines_without_order"),
+    )
+
+
+def doc_profiles(spark, sf_dir) -> DataFrame:
+    """documents + labels as a profile table with a status and an error text."""
+    d = read(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    lab = read(spark, sf_dir, "labels")
+    return left_join(d, lab, "doc_id").select(
+        "doc_id", "source", "lang", "quality",
+        F.when(F.col("toxic") == 1, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when(F.col("toxic") == 1, F.concat(F.lit("toxic:"), F.col("lang"))).alias("error"),
+    )
+
+
+@register("crosswalk_filter")
+def q_crosswalk_filter(spark, sf_dir):
+    p = doc_profiles(spark, sf_dir)
+    cw = project_with_optional(
+        p, ["doc_id", "source", "quality", "status", "height", "weight"],
+        {"height": "double", "weight": "double"},
+    )
+    mapped = cw.filter(F.col("quality").isNotNull() & F.col("source").isNotNull())
+    return mapped.select("source", "quality", "height").distinct()
+
+
+@register("failure_log")
+def q_failure_log(spark, sf_dir):
+    return failure_log(doc_profiles(spark, sf_dir), "status", "doc_id", "source", "error")
+
+
+@register("union_by_name")
+def q_union_by_name(spark, sf_dir):
+    d = read(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    lab = read(spark, sf_dir, "labels").select("doc_id", "quality")
+    u = union_by_name([d.filter(contains_text("source", "src1")), lab])
+    return u.select("doc_id", "lang", "source", "quality")

@@ -145,3 +145,179 @@ FROM (
   FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)
 WHERE rn = 1
 """
+
+SQL["keep_first"] = f"""
+SELECT user_id, event_type, event_id, ts, {rnd('value')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id NULLS FIRST) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+SQL["keep_last"] = f"""
+SELECT user_id, event_type, event_id, ts, {rnd('value')} AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC NULLS LAST) AS rn
+  FROM events) WHERE rn = 1
+"""
+
+SQL["latest_per_key"] = f"""
+SELECT o_custkey, o_orderkey, period, {rnd('o_totalprice')} AS o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey
+           ORDER BY {y0('period')} DESC, o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) AS rn
+  FROM (SELECT *, {label('year(o_orderdate)')} AS period FROM orders) o
+  WHERE o_custkey IS NOT NULL AND regexp_matches(period, '^[0-9]{{4}}-[0-9]{{2}}$')) WHERE rn = 1
+"""
+
+SQL["earliest_per_key"] = f"""
+SELECT o_custkey, o_orderpriority AS first_priority FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY y, o_orderdate, o_orderkey) AS rn
+  FROM (SELECT *, {y0(label('year(o_orderdate)'))} AS y FROM orders) o WHERE y >= 1990) WHERE rn = 1
+"""
+
+SQL["first_seen"] = """
+SELECT o_custkey, o_orderkey, o_orderdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS rn
+  FROM orders) WHERE rn = 1
+"""
+
+SQL["weighted_index"] = f"""
+SELECT l_orderkey, l_linenumber,
+  {rnd('0.5 * l_extendedprice + 100.0 * l_discount + -200.0 * (CASE WHEN l_linenumber <> 3 THEN l_tax END)')} AS index_value
+FROM lineitem
+"""
+
+SQL["safe_ratio"] = f"""
+SELECT l_orderkey, l_linenumber, {rnd('l_extendedprice / NULLIF(l_tax, 0)')} AS price_per_tax FROM lineitem
+"""
+
+SQL["patch_join"] = _with(PANEL_CTE, f"""
+, base AS (
+  SELECT o_custkey, {label('yr')} AS period, SUM(G) AS G, SUM(MP) AS MP, SUM(MP) / SUM(G) AS AQ
+  FROM stints GROUP BY o_custkey, yr),
+pst AS (
+  SELECT o_custkey, {label('CAST(year(o_orderdate) AS INTEGER)')} AS period, o_orderpriority AS stint,
+         AVG(l_quantity) AS AQ, MAX(l_discount) AS MD
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE year(o_orderdate) >= 1998
+  GROUP BY 1, 2, 3),
+patch AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey, period ORDER BY stint NULLS FIRST) AS rn
+                 FROM pst) WHERE rn = 1)
+SELECT b.o_custkey, b.period, {rnd('b.G')} AS G, {rnd('b.MP')} AS MP, {rnd('COALESCE(p.AQ, b.AQ)')} AS AQ,
+       {rnd('p.MD')} AS MD
+FROM base b LEFT JOIN patch p
+  ON b.o_custkey IS NOT DISTINCT FROM p.o_custkey AND b.period IS NOT DISTINCT FROM p.period
+""")
+
+SQL["left_label_join"] = """
+SELECT c_custkey, c_name, COALESCE(n.n_name, 'UNK') AS n_name
+FROM customer c LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <= 2) n
+  ON c.c_nationkey = n.n_nationkey
+"""
+
+SQL["one_to_one_join"] = _with(SUMMARY_CTE, """
+SELECT c_custkey AS o_custkey, c_name, c_mktsegment, s.tier
+FROM customer LEFT JOIN summary2 s ON c_custkey = s.o_custkey
+""")
+
+_BLOCKS = ",\n".join(
+    f"b{f} AS (SELECT l_orderkey, SUM(l_quantity) AS {f}_qty, COUNT(*) AS {f}_n FROM lineitem "
+    f"WHERE l_returnflag = '{f}' GROUP BY l_orderkey)" for f in "ANR"
+)
+
+SQL["outer_block_assembly"] = f"""
+WITH {_BLOCKS},
+w AS (SELECT * FROM bA FULL OUTER JOIN bN USING (l_orderkey) FULL OUTER JOIN bR USING (l_orderkey))
+SELECT o_orderkey, o_custkey, {rnd('A_qty')} AS A_qty, A_n, {rnd('N_qty')} AS N_qty, N_n,
+       {rnd('R_qty')} AS R_qty, R_n
+FROM orders LEFT JOIN w ON o_orderkey = w.l_orderkey
+"""
+
+EVENTS_LONG_CTE = f"""
+el AS (
+  SELECT event_id, user_id, event_type AS table_id,
+    CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 7 = 1 THEN '' WHEN event_id % 7 = 2 THEN '  '
+         WHEN event_id % 7 = 3 THEN 'nan' ELSE {label('year(ts)')} END AS Season,
+    CASE WHEN event_id % 7 <> 0 THEN value END AS value,
+    CASE WHEN event_type = 'click' THEN value END AS click_value,
+    CASE WHEN event_type = 'purchase' THEN props END AS purchase_props,
+    CAST(NULL AS DOUBLE) AS empty_measure
+  FROM events)
+"""
+
+_SPLIT_COLS = ["event_id", "user_id", "Season", "click_value", "empty_measure", "purchase_props", "value"]
+
+SQL["split_by_type"] = _with(EVENTS_LONG_CTE, f"""
+SELECT table_id, COUNT(*) AS n_rows,
+  concat_ws(',', {', '.join(f"CASE WHEN COUNT({c}) > 0 THEN '{c}' END" for c in _SPLIT_COLS)}) AS columns
+FROM el WHERE table_id IS NOT NULL GROUP BY table_id
+""")
+
+SQL["drop_all_null"] = _with(EVENTS_LONG_CTE, f"""
+SELECT event_id, user_id, table_id, Season, {rnd('value')} AS value, {rnd('click_value')} AS click_value,
+       purchase_props
+FROM el
+""")
+
+SQL["drop_spacers"] = _with(EVENTS_LONG_CTE, """
+SELECT event_id, table_id, Season FROM el WHERE Season IS NOT NULL AND trim(Season) NOT IN ('', 'nan')
+""")
+
+SQL["normalise_names"] = f"""
+SELECT l_orderkey AS "order", {rnd('l_discount')} AS Price_disc_pct, {rnd('l_tax')} AS tax_price,
+       {rnd('l_quantity')} AS qty_total, l_returnflag AS flag
+FROM lineitem
+"""
+
+SQL["safe_numeric"] = f"""
+SELECT event_id,
+  {rnd("TRY_CAST(CASE WHEN event_id % 11 = 0 THEN 'x' ELSE regexp_extract(props, '([0-9]+)', 1) END AS DOUBLE)")} AS k,
+  event_type AS kind, CAST(user_id AS VARCHAR) AS Team
+FROM events
+"""
+
+SQL["replace_by_key"] = f"""
+WITH ex AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice FROM orders
+            WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+nw AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice * 2 AS o_totalprice FROM orders
+       WHERE o_orderdate >= TIMESTAMP '1997-01-01')
+SELECT o_orderkey, o_custkey, o_orderdate, {rnd('o_totalprice')} AS o_totalprice FROM ex
+WHERE NOT EXISTS (SELECT 1 FROM nw WHERE CAST(nw.o_custkey AS VARCHAR) = CAST(ex.o_custkey AS VARCHAR))
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderdate, {rnd('o_totalprice')} AS o_totalprice FROM nw
+"""
+
+SQL["backfill_keys"] = """
+SELECT o_custkey, o_orderkey, o_orderdate FROM orders WHERE year(o_orderdate) <= 1996
+UNION ALL
+SELECT o_custkey, o_orderkey, o_orderdate FROM orders l WHERE year(o_orderdate) >= 1997
+  AND NOT EXISTS (SELECT 1 FROM orders e WHERE year(e.o_orderdate) <= 1996
+                  AND CAST(e.o_custkey AS VARCHAR) = CAST(l.o_custkey AS VARCHAR))
+"""
+
+
+def _missing(a: str, ka: str, b: str, kb: str) -> str:
+    return (f"(SELECT COUNT(DISTINCT CAST({ka} AS VARCHAR)) FROM {a} WHERE {ka} IS NOT NULL AND "
+            f"CAST({ka} AS VARCHAR) NOT IN (SELECT CAST({kb} AS VARCHAR) FROM {b} WHERE {kb} IS NOT NULL))")
+
+
+SQL["key_set_diff"] = f"""
+SELECT {_missing('documents', 'doc_id', 'labels', 'doc_id')} AS docs_without_label,
+       {_missing('labels', 'doc_id', 'documents', 'doc_id')} AS labels_without_doc,
+       {_missing('orders', 'o_orderkey', 'lineitem', 'l_orderkey')} AS orders_without_lines,
+       {_missing('lineitem', 'l_orderkey', 'orders', 'o_orderkey')} AS lines_without_order
+"""
+
+SQL["crosswalk_filter"] = """
+SELECT DISTINCT d.source, l.quality, CAST(NULL AS DOUBLE) AS height
+FROM documents d LEFT JOIN labels l USING (doc_id)
+WHERE l.quality IS NOT NULL AND d.source IS NOT NULL
+"""
+
+SQL["failure_log"] = """
+SELECT d.doc_id AS entity_id, d.source AS entity_url, 'toxic:' || d.lang AS error
+FROM documents d LEFT JOIN labels l USING (doc_id) WHERE l.toxic = 1
+"""
+
+SQL["union_by_name"] = """
+SELECT doc_id, lang, source, CAST(NULL AS INTEGER) AS quality FROM documents WHERE contains(source, 'src1')
+UNION ALL
+SELECT doc_id, NULL AS lang, NULL AS source, quality FROM labels
+"""

@@ -36,6 +36,29 @@ from panelwright.operators.clean import (
     safe_numeric,
     tag_schema,
 )
+from panelwright.operators.audit import (
+    TableRule,
+    audit_table,
+    duplicate_row_count,
+    empty_row_count,
+    readiness,
+    summary_counters,
+)
+from panelwright.operators.eda import (
+    box_stats,
+    conditional_counts,
+    corr_matrix,
+    cumulative_share,
+    describe,
+    first_non_null,
+    histogram,
+    max_group_size,
+    null_rates,
+    pivot_report,
+    scatter_pairs,
+    top_groups,
+    value_counts,
+)
 from panelwright.operators.outcomes import career_summary
 from panelwright.operators.select import (
     earliest_value_per_key,
@@ -44,9 +67,11 @@ from panelwright.operators.select import (
     keep_last,
     latest_per_key,
     prefer_flagged,
+    top_n,
 )
 from panelwright.plans.tables import (
     CUSTOMER_SPEC,
+    TABLES,
     customer_year_panel,
     customer_year_stints,
     read,
@@ -377,3 +402,158 @@ def q_union_by_name(spark, sf_dir):
     lab = read(spark, sf_dir, "labels").select("doc_id", "quality")
     u = union_by_name([d.filter(contains_text("source", "src1")), lab])
     return u.select("doc_id", "lang", "source", "quality")
+
+
+# ------------------------------------------------------------ profiling (A)
+
+EVENT_NUMERIC = ["value", "click_value", "user_id", "event_id"]
+LINE_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("null_rates")
+def q_null_rates(spark, sf_dir):
+    return finish(null_rates(events_long(spark, sf_dir)))
+
+
+@register("describe")
+def q_describe(spark, sf_dir):
+    return finish(describe(read(spark, sf_dir, "lineitem"), LINE_NUMERIC))
+
+
+@register("value_counts")
+def q_value_counts(spark, sf_dir):
+    return value_counts(events_long(spark, sf_dir), "Season")
+
+
+@register("corr_matrix")
+def q_corr_matrix(spark, sf_dir):
+    return finish(corr_matrix(events_long(spark, sf_dir), EVENT_NUMERIC))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    return finish(histogram(read(spark, sf_dir, "events"), "value", 30, group="event_type"))
+
+
+@register("box_stats")
+def q_box_stats(spark, sf_dir):
+    return finish(box_stats(read(spark, sf_dir, "events"), "value", "event_type"))
+
+
+def customer_spend(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spend"))
+
+
+@register("top_bottom")
+def q_top_bottom(spark, sf_dir):
+    s = customer_spend(spark, sf_dir)
+    top = top_n(s, [F.col("spend").desc(), F.col("o_custkey").asc()], 25).withColumn("side", F.lit("top"))
+    bottom = top_n(s.filter(F.col("spend").isNotNull()), [F.col("spend").asc(), F.col("o_custkey").asc()], 10) \
+        .withColumn("side", F.lit("bottom"))
+    return finish(top.unionByName(bottom).select("side", "o_custkey", "spend"))
+
+
+@register("first_non_null")
+def q_first_non_null(spark, sf_dir):
+    return finish(first_non_null(events_long(spark, sf_dir), "user_id", ["value", "click_value"], ["event_id"]))
+
+
+@register("scatter_pairs")
+def q_scatter_pairs(spark, sf_dir):
+    return finish(scatter_pairs(events_long(spark, sf_dir), "value", "click_value", extra=["event_id"]))
+
+
+@register("grain_check")
+def q_grain_check(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    li = read(spark, sf_dir, "lineitem")
+    counts = conditional_counts(o, {"n_urgent": F.col("o_orderpriority") == "1-URGENT",
+                                    "n_open": F.col("o_orderstatus") == "O"})
+    return counts.select(
+        "n_urgent", "n_open",
+        max_group_size(li, ["l_orderkey"]).alias("max_lines_per_order"),
+        max_group_size(li, ["l_orderkey", "l_linenumber"]).alias("max_key_group"),
+        o.agg(F.count_distinct("o_custkey")).scalar().alias("n_customers"),
+        o.select("o_custkey", "o_orderstatus").distinct().agg(F.count(F.lit(1))).scalar().alias("n_cust_status"),
+        o.agg(F.min("o_orderdate")).scalar().alias("min_orderdate"),
+        o.agg(F.max("o_orderdate")).scalar().alias("max_orderdate"),
+    )
+
+
+@register("top_groups")
+def q_top_groups(spark, sf_dir):
+    return top_groups(read(spark, sf_dir, "lineitem"), "l_suppkey", 3)
+
+
+@register("report_pivot")
+def q_report_pivot(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    cells = li.groupBy("l_returnflag", "l_linestatus").agg(F.avg("l_quantity").alias("avg_qty"))
+    return finish(pivot_report(cells, "l_returnflag", "l_linestatus", "avg_qty", ["O", "F"]))
+
+
+@register("report_unpivot")
+def q_report_unpivot(spark, sf_dir):
+    d = describe(read(spark, sf_dir, "lineitem"), LINE_NUMERIC)
+    stats = ["mean", "std", "min", "p25", "p50", "p75", "max"]
+    return finish(d.unpivot(["column"], stats, "stat", "value"))
+
+
+@register("cumulative_share")
+def q_cumulative_share(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    p = read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    rev = li.join(p, "l_partkey").groupBy("p_brand").agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")
+    )
+    return finish(cumulative_share(rev, "p_brand", "revenue"))
+
+
+# ---------------------------------------------------------------- audits (V)
+
+@register("audit_duplicates")
+def q_audit_duplicates(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    kd = duplicate_row_count(li, ["l_orderkey", "l_linenumber"])
+    return kd.select(
+        F.col("n_dup_rows").alias("key_dup_rows"),
+        duplicate_row_count(li).select("n_dup_rows").scalar().alias("full_dup_rows"),
+    )
+
+
+@register("audit_empty")
+def q_audit_empty(spark, sf_dir):
+    el = events_long(spark, sf_dir).select("Season", "purchase_props", "empty_measure")
+    return el.agg(empty_row_count(el).alias("n_empty_rows"), F.count(F.lit(1)).alias("n_rows"))
+
+
+@register("audit_tables")
+def q_audit_tables(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem")
+    el = events_long(spark, sf_dir)
+    a = audit_table(li, TableRule("lineitem", ["l_orderkey", "l_linenumber"], period=None))
+    b = audit_table(el, TableRule("events_long", ["user_id", "table_id", "Season"],
+                                  row_filter=F.col("Season").isNotNull(), period="Season"))
+    return a.unionByName(b)
+
+
+@register("readiness")
+def q_readiness(spark, sf_dir):
+    prof = doc_profiles(spark, sf_dir)
+    labels = read(spark, sf_dir, "labels")
+    docs = read(spark, sf_dir, "documents")
+    return readiness(
+        profiles=prof, status="status", entity_list=labels, entity_key="doc_id", profile_key="doc_id",
+        crosswalk=prof.filter(F.col("lang") != "es"),
+        failures=failure_log(prof, "status", "doc_id", "source", "error"),
+        mapping_keys=docs.filter(F.col("lang") == "en"), mapping_key="source",
+        detail_rows=docs.join(labels.filter(F.col("quality") == 1), "doc_id"), detail_key="source",
+    )
+
+
+@register("summary_counters")
+def q_summary_counters(spark, sf_dir):
+    counters = {f"n_{t}": read(spark, sf_dir, t) for t in TABLES}
+    counters["n_panel_rows"] = customer_year_panel(spark, sf_dir)
+    counters["n_error_profiles"] = doc_profiles(spark, sf_dir).filter(F.col("status") == "error")
+    return summary_counters(spark, counters)

@@ -321,3 +321,228 @@ SELECT doc_id, lang, source, CAST(NULL AS INTEGER) AS quality FROM documents WHE
 UNION ALL
 SELECT doc_id, NULL AS lang, NULL AS source, quality FROM labels
 """
+
+# ------------------------------------------------------------ profiling (A)
+
+_EL_COLS = ["event_id", "user_id", "table_id", "Season", "value", "click_value", "purchase_props", "empty_measure"]
+
+SQL["null_rates"] = _with(EVENTS_LONG_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column, {rnd(f'COUNT(*) FILTER (WHERE {c} IS NULL) * 100.0 / COUNT(*)')} AS pct_missing FROM el"
+    for c in _EL_COLS
+))
+
+_LINE_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _describe_rows(table: str, cols) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column, COUNT({c}) AS count, {rnd(f'AVG({c})')} AS mean, {rnd(f'STDDEV_SAMP({c})')} AS std, "
+        f"{rnd(f'MIN({c})')} AS min, {rnd(f'quantile_cont({c}, 0.25)')} AS p25, {rnd(f'quantile_cont({c}, 0.5)')} AS p50, "
+        f"{rnd(f'quantile_cont({c}, 0.75)')} AS p75, {rnd(f'MAX({c})')} AS max FROM {table}"
+        for c in cols
+    )
+
+
+SQL["describe"] = _describe_rows("lineitem", _LINE_NUM)
+
+SQL["value_counts"] = _with(EVENTS_LONG_CTE, "SELECT Season, COUNT(*) AS n FROM el GROUP BY Season")
+
+_EV_NUM = ["value", "click_value", "user_id", "event_id"]
+_pairs = []
+for _i, _a in enumerate(_EV_NUM):
+    for _b in _EV_NUM[_i:]:
+        _pairs.append((_a, _b))
+        if _a != _b:
+            _pairs.append((_b, _a))
+
+SQL["corr_matrix"] = _with(EVENTS_LONG_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, {rnd(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))')} AS r FROM el"
+    for a, b in _pairs
+))
+
+SQL["histogram"] = f"""
+WITH d AS (SELECT event_type, value AS x FROM events WHERE value IS NOT NULL),
+r AS (SELECT event_type, MIN(x) AS mn, MAX(x) AS mx FROM d GROUP BY event_type),
+c AS (
+  SELECT d.event_type,
+    CAST(CASE WHEN mx - mn = 0 THEN 15 ELSE LEAST(FLOOR((x - mn) / (mx - mn) * 30), 29) END AS INTEGER) AS bin,
+    COUNT(*) AS n
+  FROM d JOIN r USING (event_type) GROUP BY 1, 2),
+g AS (SELECT event_type, mn, mx, CAST(t.b AS INTEGER) AS bin FROM r CROSS JOIN range(30) t(b))
+SELECT g.event_type, g.bin, {rnd('mn + bin * (mx - mn) / 30')} AS lo, {rnd('mn + (bin + 1) * (mx - mn) / 30')} AS hi,
+       COALESCE(c.n, 0) AS n
+FROM g LEFT JOIN c USING (event_type, bin)
+"""
+
+SQL["box_stats"] = f"""
+WITH d AS (SELECT event_type, value AS x FROM events WHERE value IS NOT NULL),
+q AS (SELECT event_type, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.5) AS median,
+             quantile_cont(x, 0.75) AS q3 FROM d GROUP BY event_type),
+f AS (SELECT *, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM q),
+a AS (
+  SELECT d.event_type,
+    MIN(x) FILTER (WHERE x >= lo_fence AND x <= hi_fence) AS whisker_lo,
+    MAX(x) FILTER (WHERE x >= lo_fence AND x <= hi_fence) AS whisker_hi,
+    COUNT(*) FILTER (WHERE NOT (x >= lo_fence AND x <= hi_fence)) AS n_outliers,
+    COUNT(*) AS n
+  FROM d JOIN f USING (event_type) GROUP BY d.event_type)
+SELECT f.event_type, a.n, {rnd('q1')} AS q1, {rnd('median')} AS median, {rnd('q3')} AS q3, {rnd('iqr')} AS iqr,
+       {rnd('whisker_lo')} AS whisker_lo, {rnd('whisker_hi')} AS whisker_hi, a.n_outliers
+FROM f JOIN a USING (event_type)
+"""
+
+SQL["top_bottom"] = f"""
+WITH s AS (SELECT o_custkey, SUM(o_totalprice) AS spend FROM orders GROUP BY o_custkey)
+(SELECT 'top' AS side, o_custkey, {rnd('spend')} AS spend FROM s ORDER BY spend DESC, o_custkey LIMIT 25)
+UNION ALL
+(SELECT 'bottom' AS side, o_custkey, {rnd('spend')} AS spend FROM s WHERE spend IS NOT NULL
+ ORDER BY spend ASC, o_custkey LIMIT 10)
+"""
+
+SQL["first_non_null"] = _with(EVENTS_LONG_CTE, f"""
+SELECT user_id, {rnd('arg_min(value, event_id) FILTER (WHERE value IS NOT NULL)')} AS value,
+       {rnd('arg_min(click_value, event_id) FILTER (WHERE click_value IS NOT NULL)')} AS click_value
+FROM el GROUP BY user_id
+""")
+
+SQL["scatter_pairs"] = _with(EVENTS_LONG_CTE, f"""
+SELECT event_id, {rnd('value')} AS value, {rnd('click_value')} AS click_value FROM el
+WHERE value IS NOT NULL AND click_value IS NOT NULL
+""")
+
+SQL["grain_check"] = """
+SELECT COUNT(*) FILTER (WHERE o_orderpriority = '1-URGENT') AS n_urgent,
+       COUNT(*) FILTER (WHERE o_orderstatus = 'O') AS n_open,
+       (SELECT MAX(c) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey)) AS max_lines_per_order,
+       (SELECT MAX(c) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)) AS max_key_group,
+       COUNT(DISTINCT o_custkey) AS n_customers,
+       (SELECT COUNT(*) FROM (SELECT DISTINCT o_custkey, o_orderstatus FROM orders)) AS n_cust_status,
+       MIN(o_orderdate) AS min_orderdate, MAX(o_orderdate) AS max_orderdate
+FROM orders
+"""
+
+SQL["top_groups"] = """
+SELECT l_suppkey, COUNT(*) AS n FROM lineitem GROUP BY l_suppkey ORDER BY n DESC, l_suppkey NULLS FIRST LIMIT 3
+"""
+
+SQL["report_pivot"] = f"""
+WITH c AS (SELECT l_returnflag, l_linestatus, AVG(l_quantity) AS avg_qty FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, {rnd("MAX(avg_qty) FILTER (WHERE l_linestatus = 'O')")} AS "O",
+       {rnd("MAX(avg_qty) FILTER (WHERE l_linestatus = 'F')")} AS "F"
+FROM c GROUP BY l_returnflag
+"""
+
+SQL["report_unpivot"] = f"""
+WITH d AS ({_describe_rows('lineitem', _LINE_NUM)})
+SELECT "column", stat, value FROM d UNPIVOT (value FOR stat IN (mean, std, min, p25, p50, p75, max))
+"""
+
+SQL["cumulative_share"] = f"""
+WITH r AS (SELECT p_brand, SUM(l_extendedprice * (1 - l_discount)) AS revenue
+           FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand),
+t AS (SELECT SUM(revenue) AS total FROM r)
+SELECT p_brand, {rnd('revenue')} AS revenue, {rnd('revenue / total')} AS share,
+       {rnd('SUM(revenue) OVER (ORDER BY revenue DESC, p_brand ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) / total')} AS cum_share
+FROM r CROSS JOIN t
+"""
+
+# ---------------------------------------------------------------- audits (V)
+
+SQL["audit_duplicates"] = """
+SELECT (SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
+        WHERE c > 1) AS key_dup_rows,
+       (SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY ALL_COLS) WHERE c > 1)
+         AS full_dup_rows
+""".replace(
+    "ALL_COLS",
+    "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
+    "l_returnflag, l_linestatus, l_shipdate",
+)
+
+
+def _empty(c: str, text: bool = True) -> str:
+    return f"({c} IS NULL OR regexp_matches({c}, '^\\s*$'))" if text else f"({c} IS NULL)"
+
+
+SQL["audit_empty"] = _with(EVENTS_LONG_CTE, f"""
+SELECT COUNT(*) FILTER (WHERE {_empty('Season')} AND {_empty('purchase_props')} AND empty_measure IS NULL)
+         AS n_empty_rows,
+       COUNT(*) AS n_rows
+FROM el
+""")
+
+_LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+           "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+def _sev(expr: str) -> str:
+    return f"CASE WHEN {expr} > 0 THEN 'issue' ELSE 'ok' END"
+
+
+def _dups(table: str, keys, where: str = "TRUE") -> str:
+    return (f"(SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM {table} WHERE {where} "
+            f"GROUP BY {', '.join(keys)}) WHERE c > 1)")
+
+
+def _empty_all(cols_text, cols_other) -> str:
+    parts = [_empty(c) for c in cols_text] + [f"{c} IS NULL" for c in cols_other]
+    return " AND ".join(parts)
+
+
+SQL["audit_tables"] = _with(EVENTS_LONG_CTE, f"""
+SELECT 'lineitem' AS "table", 'row_count' AS "check", CASE WHEN COUNT(*) = 0 THEN 'issue' ELSE 'ok' END AS severity,
+       COUNT(*) AS n_rows, CAST(NULL AS VARCHAR) AS detail FROM lineitem
+UNION ALL
+SELECT 'lineitem', 'empty_rows', {_sev('COUNT(*) FILTER (WHERE ' + _empty_all(['l_returnflag', 'l_linestatus'], [c for c in _LI_ALL if c not in ('l_returnflag', 'l_linestatus')]) + ')')},
+       COUNT(*) FILTER (WHERE {_empty_all(['l_returnflag', 'l_linestatus'], [c for c in _LI_ALL if c not in ('l_returnflag', 'l_linestatus')])}), NULL FROM lineitem
+UNION ALL
+SELECT 'lineitem', 'key_duplicates', {_sev(_dups('lineitem', ['l_orderkey', 'l_linenumber']))},
+       {_dups('lineitem', ['l_orderkey', 'l_linenumber'])}, 'l_orderkey,l_linenumber'
+UNION ALL
+SELECT 'events_long', 'row_count', CASE WHEN COUNT(*) = 0 THEN 'issue' ELSE 'ok' END, COUNT(*), NULL FROM el
+UNION ALL
+SELECT 'events_long', 'empty_rows', {_sev('COUNT(*) FILTER (WHERE ' + _empty_all(['table_id', 'Season', 'purchase_props'], ['event_id', 'user_id', 'value', 'click_value', 'empty_measure']) + ')')},
+       COUNT(*) FILTER (WHERE {_empty_all(['table_id', 'Season', 'purchase_props'], ['event_id', 'user_id', 'value', 'click_value', 'empty_measure'])}), NULL FROM el
+UNION ALL
+SELECT 'events_long', 'key_duplicates', {_sev(_dups('el', ['user_id', 'table_id', 'Season'], 'Season IS NOT NULL'))},
+       {_dups('el', ['user_id', 'table_id', 'Season'], 'Season IS NOT NULL')}, 'user_id,table_id,Season'
+UNION ALL
+SELECT 'events_long', 'full_row_duplicates', {_sev(_dups('el', _EL_COLS, 'Season IS NOT NULL'))},
+       {_dups('el', _EL_COLS, 'Season IS NOT NULL')}, NULL
+""")
+
+_DOC_PROF = """
+prof AS (
+  SELECT d.doc_id, d.source, d.lang, l.quality,
+         CASE WHEN l.toxic = 1 THEN 'error' ELSE 'ok' END AS status
+  FROM documents d LEFT JOIN labels l USING (doc_id))
+"""
+
+SQL["readiness"] = _with(_DOC_PROF, """
+, k AS (
+  SELECT
+    (SELECT COUNT(*) FROM prof WHERE status IS DISTINCT FROM 'ok') AS bad_status,
+    (SELECT COUNT(DISTINCT doc_id) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM prof)) AS ids_not_profiled,
+    (SELECT COUNT(DISTINCT doc_id) FROM prof WHERE doc_id NOT IN (SELECT doc_id FROM labels)) AS profiles_not_listed,
+    (SELECT abs((SELECT COUNT(*) FROM prof WHERE lang <> 'es') - (SELECT COUNT(*) FROM prof))) AS crosswalk_count_gap,
+    (SELECT CASE WHEN COUNT(*) > 0 AND (SELECT COUNT(*) FROM prof WHERE status IS DISTINCT FROM 'ok') = 0
+                 THEN COUNT(*) ELSE 0 END FROM prof WHERE status = 'error') AS stale_failures,
+    (SELECT COUNT(DISTINCT source) FROM documents WHERE lang = 'en' AND source IS NOT NULL AND source NOT IN (
+        SELECT d.source FROM documents d JOIN labels l USING (doc_id) WHERE l.quality = 1 AND d.source IS NOT NULL))
+      AS mapped_keys_without_rows)
+SELECT 'blocking' AS severity, 'bad_status' AS "check", CAST(bad_status AS BIGINT) AS n FROM k
+UNION ALL SELECT 'blocking', 'ids_not_profiled', CAST(ids_not_profiled AS BIGINT) FROM k
+UNION ALL SELECT 'blocking', 'profiles_not_listed', CAST(profiles_not_listed AS BIGINT) FROM k
+UNION ALL SELECT 'blocking', 'crosswalk_count_gap', CAST(crosswalk_count_gap AS BIGINT) FROM k
+UNION ALL SELECT 'blocking', 'stale_failures', CAST(stale_failures AS BIGINT) FROM k
+UNION ALL SELECT 'warning', 'mapped_keys_without_rows', CAST(mapped_keys_without_rows AS BIGINT) FROM k
+""")
+
+_ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
+               "benchmark labels conversations").split()
+
+SQL["summary_counters"] = _with(PANEL_CTE, "SELECT " + ",\n".join(
+    [f"(SELECT COUNT(*) FROM {t}) AS n_{t}" for t in _ALL_TABLES]
+    + ["(SELECT COUNT(*) FROM panel) AS n_panel_rows",
+       "(SELECT COUNT(*) FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 1) AS n_error_profiles"]
+))

@@ -25,6 +25,7 @@ from panelwright.functions import (
 )
 from panelwright.functions._util import qcol
 from panelwright.operators.select import prefer_flagged
+from panelwright.session import materialize
 
 # The combined-stint label pattern and the default thresholds of
 # the outcome definition (qualifying games/minutes, entry window, first valid
@@ -106,7 +107,11 @@ def tier_label(n_qual, career_games):
 
 
 def entity_rollup(deduped: DataFrame, spec: OutcomeSpec) -> DataFrame:
-    """Per-entity aggregate (A1) over deduped rows carrying ``rate``."""
+    """Per-entity aggregate (A1) over deduped rows carrying ``rate``.
+
+    Also carries each entity's latest valid and latest overall start year so
+    the global window end (A3) is a reduction over entities, not rows.
+    """
     y0 = start_year(spec.period)
     q = qualifying(spec)
     rows = deduped.select(
@@ -125,22 +130,30 @@ def entity_rollup(deduped: DataFrame, spec: OutcomeSpec) -> DataFrame:
         F.coalesce(F.sum("__g"), F.lit(0.0)).alias("career_games"),
         F.count_if(F.col("__q")).cast("int").alias("n_qualifying"),
         F.avg(F.when(F.col("__q"), F.col("rate"))).alias("mean_rate_qual"),
+        F.max(F.when(F.col("__y0") >= spec.min_valid_year, F.col("__y0"))).alias("__ymax_valid"),
+        F.max("__y0").alias("__ymax"),
     ).withColumnRenamed("__e", spec.entity)
 
 
-def window_end_year(deduped: DataFrame, spec: OutcomeSpec):
-    """Latest start year among years >= min_valid_year, else the latest of all (A3), as a scalar."""
-    y0 = start_year(spec.period)
-    return deduped.agg(
-        F.coalesce(F.max(F.when(y0 >= spec.min_valid_year, y0)), F.max(y0)).alias("end")
-    ).scalar()
+def window_end_year(rollup: DataFrame):
+    """Latest start year among valid years, else the latest of all (A3), as a scalar subquery."""
+    return rollup.agg(F.coalesce(F.max("__ymax_valid"), F.max("__ymax")).alias("end")).scalar()
+
 
+def career_summary(panel: DataFrame, spec: OutcomeSpec, materialize_rows: bool = True) -> DataFrame:
+    """One row per entity with tier, cohort flag, opportunity share, z-scores and composite.
 
-def career_summary(panel: DataFrame, spec: OutcomeSpec) -> DataFrame:
-    """One row per entity with tier, cohort flag, opportunity share, z-scores and composite."""
+    With ``materialize_rows`` the per-entity rollup is written once to the
+    shared checkpoint folder, so the summary and its two scalar reductions
+    (window end, eligible moments) read a short plan instead of re-running
+    the panel's joins and dedupe three times.
+    """
     deduped = with_rate(dedupe_periods(panel, spec), spec)
-    summ = entity_rollup(deduped, spec)
-    end = window_end_year(deduped, spec)
+    rollup = entity_rollup(deduped, spec)
+    if materialize_rows:
+        rollup = materialize(rollup, "entity-rollup")
+    end = window_end_year(rollup)
+    summ = rollup.drop("__ymax_valid", "__ymax")
     summ = (
         summ.withColumn("entry_cohort", between_years("first_period_start_year", spec.entry_min, spec.entry_max))
         .withColumn("tier", tier_label(F.col("n_qualifying"), F.col("career_games")))

@@ -13,7 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from panelwright.functions import contains_text, period_label, safe_ratio, start_year, weighted_sum
+from panelwright.functions import (
+    contains_text,
+    dummies,
+    period_label,
+    position_code,
+    safe_ratio,
+    start_year,
+    weighted_sum,
+)
 from panelwright.functions._util import qcol
 from panelwright.operators.assemble import (
     backfill,
@@ -33,6 +41,7 @@ from panelwright.operators.clean import (
     normalise_names,
     prefix_columns,
     project_with_optional,
+    require_non_null,
     safe_numeric,
     tag_schema,
 )
@@ -59,7 +68,14 @@ from panelwright.operators.eda import (
     top_groups,
     value_counts,
 )
-from panelwright.operators.outcomes import career_summary
+from panelwright.operators.cohort import (
+    cohort_mask,
+    debut_age,
+    feature_projection,
+    feature_stats,
+    modeling_cohort,
+)
+from panelwright.operators.outcomes import career_summary, dedupe_periods
 from panelwright.operators.select import (
     earliest_value_per_key,
     first_seen,
@@ -69,11 +85,20 @@ from panelwright.operators.select import (
     prefer_flagged,
     top_n,
 )
+from panelwright.plans.panel import build_panel, normalise_tables
+from panelwright.session import materialize
 from panelwright.plans.tables import (
     CUSTOMER_SPEC,
+    DUMMY_LEVELS,
+    PANEL_OUTCOME,
+    POSITION_LEVELS,
     TABLES,
+    crosswalk,
     customer_year_panel,
     customer_year_stints,
+    detail_long,
+    entity_long,
+    panel_spec,
     read,
 )
 
@@ -557,3 +582,136 @@ def q_summary_counters(spark, sf_dir):
     counters["n_panel_rows"] = customer_year_panel(spark, sf_dir)
     counters["n_error_profiles"] = doc_profiles(spark, sf_dir).filter(F.col("status") == "error")
     return summary_counters(spark, counters)
+
+
+# --------------------------------------------------- panel assembly
+
+PANEL_COLUMNS = [
+    "entity_id", "Season", "Team", "Pos", "G", "MP", "AQ", "MQ", "MD", "link_id", "birthday", "status",
+    "cbb_totals_Season", "cbb_totals_N", "cbb_totals_QTY", "cbb_per100_QTY100", "cbb_advanced_AQ",
+    "cbb_advanced_MD", "cbb_advanced_Team",
+]
+
+
+def assembled_panel(spark, sf_dir) -> DataFrame:
+    return build_panel(entity_long(spark, sf_dir), crosswalk(spark, sf_dir), detail_long(spark, sf_dir), panel_spec())
+
+
+@register("panel_build")
+def q_panel_build(spark, sf_dir):
+    return finish(assembled_panel(spark, sf_dir).select(*PANEL_COLUMNS))
+
+
+@register("normalise_tables")
+def q_normalise_tables(spark, sf_dir):
+    long = entity_long(spark, sf_dir)
+    long = long.withColumn(
+        "Rk", F.when((F.col("Season") == "Career") & (F.col("entity_id") % 2 == 0), F.lit("Rk"))
+    ).withColumn(
+        "Season",
+        F.when((F.col("table_id") == "advanced") & (F.col("entity_id") % 9 == 0), F.lit("  "))
+        .otherwise(F.col("Season")),
+    )
+    parts = normalise_tables(long, "table_id", ["entity_id"], ["totals", "per100", "advanced"])
+    rows = []
+    for tag, frame in parts.items():
+        if frame is None:
+            rows.append(spark.range(1).select(
+                F.lit(tag).alias("table_id"), F.lit(0).cast("long").alias("n_rows"),
+                F.lit(None).cast("string").alias("columns")))
+        else:
+            rows.append(frame.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(tag).alias("table_id"), "n_rows", F.lit(",".join(frame.columns)).alias("columns")))
+    return union_by_name(rows)
+
+
+# -------------------------------------------------------------- cohort (C4)
+
+def panel_summary(spark, sf_dir, panel=None) -> DataFrame:
+    panel = panel if panel is not None else assembled_panel(spark, sf_dir)
+    return career_summary(panel, PANEL_OUTCOME)
+
+
+def stored_panel(spark, sf_dir) -> DataFrame:
+    """The assembled panel written once; the summary, dedupe and demographics all reuse it."""
+    return materialize(assembled_panel(spark, sf_dir), "panel")
+
+
+def masked_base(spark, sf_dir) -> DataFrame:
+    panel = stored_panel(spark, sf_dir)
+    summ = panel_summary(spark, sf_dir, panel)
+    first_rows = keep_first(dedupe_periods(panel, PANEL_OUTCOME), ["entity_id"], ["Season", "Team"])
+    base = validated_left_join(first_rows, summ, ["entity_id"])
+    return base.filter(cohort_mask("tier", "entry_cohort", "link_id", "composite"))
+
+
+def cohort_frame(spark, sf_dir) -> DataFrame:
+    panel = stored_panel(spark, sf_dir)
+    summ = panel_summary(spark, sf_dir, panel)
+    return modeling_cohort(
+        panel, summ, PANEL_OUTCOME, link="link_id", require=["cbb_advanced_AQ"], birth="birthday",
+        pos_col="Pos", valid=POSITION_LEVELS, dummy_levels=DUMMY_LEVELS,
+    )
+
+
+MODEL_FEATURES = ["debut_age", "pos_is_2", "pos_is_3", "cbb_advanced_AQ", "cbb_advanced_MD",
+                  "cbb_totals_QTY", "cbb_per100_QTY100", "AQ", "MD"]
+
+
+@register("cohort_mask")
+def q_cohort_mask(spark, sf_dir):
+    return finish(masked_base(spark, sf_dir).select("entity_id", "tier", "composite", "link_id"))
+
+
+@register("cohort_frame")
+def q_cohort_frame(spark, sf_dir):
+    return finish(cohort_frame(spark, sf_dir).select(
+        "entity_id", "Season", "tier", "composite", "first_period_start_year", *MODEL_FEATURES
+    ))
+
+
+@register("complete_case")
+def q_complete_case(spark, sf_dir):
+    return finish(require_non_null(cohort_frame(spark, sf_dir), ["debut_age"]).select("entity_id", "debut_age"))
+
+
+@register("feature_projection")
+def q_feature_projection(spark, sf_dir):
+    return finish(feature_projection(cohort_frame(spark, sf_dir), "entity_id", MODEL_FEATURES, "composite"))
+
+
+FEATURE_PREFIXES = ("cbb_advanced_", "cbb_per100_", "cbb_totals_")
+FEATURE_EXTRA = ("debut_age", "pos_is_2", "pos_is_3")
+
+
+@register("select_features")
+def q_select_features(spark, sf_dir):
+    return finish(feature_stats(cohort_frame(spark, sf_dir), FEATURE_PREFIXES, FEATURE_EXTRA,
+                                exclude=("composite", "entity_id")))
+
+
+@register("position_code")
+def q_position_code(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    return o.select("o_orderkey", position_code(F.col("o_orderpriority"), POSITION_LEVELS).alias("code"))
+
+
+@register("dummies")
+def q_dummies(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    code = position_code(F.col("o_orderpriority"), POSITION_LEVELS)
+    return o.select("o_orderkey", *dummies(code, DUMMY_LEVELS, "pos_is_"))
+
+
+@register("debut_age")
+def q_debut_age(spark, sf_dir):
+    o = read(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 13 == 0, F.lit("not a date"))
+        .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("birth"),
+    )
+    li = read(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.year("l_shipdate").alias("first_period_start_year")
+    )
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+    return finish(j.select("l_orderkey", "l_linenumber", debut_age("first_period_start_year", "birth").alias("age")))

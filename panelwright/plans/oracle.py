@@ -546,3 +546,201 @@ SQL["summary_counters"] = _with(PANEL_CTE, "SELECT " + ",\n".join(
     + ["(SELECT COUNT(*) FROM panel) AS n_panel_rows",
        "(SELECT COUNT(*) FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 1) AS n_error_profiles"]
 ))
+
+# --------------------------------------------------- panel assembly
+
+_LABEL_RE = "'^[0-9]{4}-[0-9]{2}$'"
+
+
+def _is_label(c: str) -> str:
+    return f"COALESCE(regexp_matches({c}, {_LABEL_RE}), false)"
+
+
+_DET_COLS = ["Season", "Team", "N", "QTY", "QTY100", "AQ", "MD"]
+_DET_TAGS = ["totals", "per100", "advanced"]
+
+ELONG_CTE = f"""
+{PANEL_CTE.strip()},
+comb2 AS (
+  SELECT o_custkey, yr, CAST(COUNT(*) AS VARCHAR) || 'TM' AS stint, MIN(stint) AS pos, SUM(G) AS G, SUM(MP) AS MP,
+         SUM(REV) AS REV, SUM(NL) AS NL, SUM(TAXAMT) AS TAXAMT
+  FROM stints GROUP BY o_custkey, yr HAVING COUNT(*) >= 2),
+advr AS (
+  SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS yr, o_orderpriority AS stint,
+         AVG(l_quantity) AS AQ, MAX(l_quantity) AS MQ, MAX(l_discount) AS MD
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1, 2, 3),
+elong AS (
+  SELECT o_custkey AS entity_id, 'totals' AS table_id, {label('yr')} AS Season, stint AS Team, stint AS Pos,
+         G, MP, REV, NL, TAXAMT, CAST(NULL AS DOUBLE) AS AQ, CAST(NULL AS DOUBLE) AS MQ, CAST(NULL AS DOUBLE) AS MD
+  FROM stints
+  UNION ALL
+  SELECT o_custkey, 'totals', {label('yr')}, stint, pos, G, MP, REV, NL, TAXAMT, NULL, NULL, NULL FROM comb2
+  UNION ALL
+  SELECT o_custkey, 'totals', 'Career', 'TOT', NULL, SUM(G), SUM(MP), SUM(REV), SUM(NL), SUM(TAXAMT), NULL, NULL, NULL
+  FROM stints GROUP BY o_custkey
+  UNION ALL
+  SELECT o_custkey, 'advanced', {label('yr')}, stint, NULL, NULL, NULL, NULL, NULL, NULL, AQ, MQ, MD FROM advr)
+"""
+
+FULLPANEL_CTE = f"""
+{ELONG_CTE.strip()},
+cw AS (
+  SELECT c_custkey AS entity_id,
+         CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS link_id,
+         CASE WHEN c_custkey % 13 = 0 THEN 'unknown' ELSE printf('%d-06-15', 1960 + c_nationkey) END AS birthday,
+         CASE WHEN c_acctbal < 0 THEN 'error' ELSE 'ok' END AS status,
+         CASE WHEN c_acctbal < 0 THEN 'negative balance' END AS error
+  FROM customer),
+tot AS (SELECT * FROM elong WHERE table_id = 'totals' AND {_is_label('Season')} AND G IS NOT NULL AND MP IS NOT NULL),
+base AS (SELECT tot.*, cw.link_id, cw.birthday, cw.status, cw.error FROM tot LEFT JOIN cw USING (entity_id)),
+patch AS (
+  SELECT entity_id, Season, AQ, MQ, MD FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity_id, Season ORDER BY Team NULLS FIRST) AS rn
+    FROM elong WHERE table_id = 'advanced' AND {_is_label('Season')}) WHERE rn = 1),
+patched AS (
+  SELECT b.* REPLACE (COALESCE(p.AQ, b.AQ) AS AQ, COALESCE(p.MQ, b.MQ) AS MQ, COALESCE(p.MD, b.MD) AS MD)
+  FROM base b LEFT JOIN patch p
+    ON b.entity_id IS NOT DISTINCT FROM p.entity_id AND b.Season IS NOT DISTINCT FROM p.Season),
+dl AS (
+  SELECT CAST(s_nationkey AS VARCHAR) AS link_id, CAST(year(l_shipdate) AS INTEGER) AS yr, COUNT(*) AS N,
+         SUM(l_quantity) AS QTY, AVG(l_quantity) AS AQ, MAX(l_discount) AS MD
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
+dc AS (SELECT link_id, SUM(N) AS N, SUM(QTY) AS QTY, MAX(MD) AS MD FROM dl GROUP BY link_id),
+det AS (
+  SELECT link_id, 'totals' AS table_id, {label('yr')} AS Season, 'T' || link_id AS Team, CAST(N AS DOUBLE) AS N, QTY,
+         CAST(NULL AS DOUBLE) AS QTY100, CAST(NULL AS DOUBLE) AS AQ, CAST(NULL AS DOUBLE) AS MD FROM dl
+  UNION ALL SELECT link_id, 'per100', {label('yr')}, 'T' || link_id, NULL, NULL, 100.0 * QTY / N, NULL, NULL FROM dl
+  UNION ALL SELECT link_id, 'advanced', {label('yr')}, 'T' || link_id, NULL, NULL, NULL, AQ, MD FROM dl
+  UNION ALL SELECT link_id, 'totals', 'Career', 'T' || link_id, CAST(N AS DOUBLE), QTY, NULL, NULL, NULL FROM dc
+  UNION ALL SELECT link_id, 'per100', 'Career', 'T' || link_id, NULL, NULL, 100.0 * QTY / N, NULL, NULL FROM dc
+  UNION ALL SELECT link_id, 'advanced', 'Career', 'T' || link_id, NULL, NULL, NULL, QTY / N, MD FROM dc),
+blk AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY table_id, link_id
+                                 ORDER BY {y0('Season')} DESC, Season DESC NULLS LAST, Team DESC NULLS LAST) AS rn
+    FROM det WHERE link_id IS NOT NULL AND {_is_label('Season')}) WHERE rn = 1),
+wide AS (
+  SELECT link_id, {', '.join(f"MAX({c}) FILTER (WHERE table_id = '{t}') AS cbb_{t}_{c}" for t in _DET_TAGS for c in _DET_COLS)}
+  FROM blk GROUP BY link_id),
+fullpanel AS (SELECT patched.*, wide.* EXCLUDE (link_id) FROM patched LEFT JOIN wide USING (link_id))
+"""
+
+_PANEL_OUT = ["entity_id", "Season", "Team", "Pos", "G", "MP", "AQ", "MQ", "MD", "link_id", "birthday", "status",
+              "cbb_totals_Season", "cbb_totals_N", "cbb_totals_QTY", "cbb_per100_QTY100", "cbb_advanced_AQ",
+              "cbb_advanced_MD", "cbb_advanced_Team"]
+_PANEL_DOUBLES = {"G", "MP", "AQ", "MQ", "MD", "cbb_totals_N", "cbb_totals_QTY", "cbb_per100_QTY100",
+                  "cbb_advanced_AQ", "cbb_advanced_MD"}
+
+
+def _sel(cols, doubles, src: str = "") -> str:
+    pre = f"{src}." if src else ""
+    return ", ".join(f"{rnd(pre + c)} AS {c}" if c in doubles else f"{pre}{c}" for c in cols)
+
+
+SQL["panel_build"] = _with(FULLPANEL_CTE, f"SELECT {_sel(_PANEL_OUT, _PANEL_DOUBLES)} FROM fullpanel")
+
+_NT_COLS = ["entity_id", "Season", "Team", "Pos", "G", "MP", "REV", "NL", "TAXAMT", "AQ", "MQ", "MD", "Rk"]
+_NT_ORDER = ["entity_id"] + sorted(c for c in _NT_COLS if c != "entity_id")
+
+SQL["normalise_tables"] = _with(ELONG_CTE, f"""
+, nt AS (
+  SELECT * REPLACE (CASE WHEN table_id = 'advanced' AND entity_id % 9 = 0 THEN '  ' ELSE Season END AS Season),
+         CASE WHEN Season = 'Career' AND entity_id % 2 = 0 THEN 'Rk' END AS Rk
+  FROM elong),
+hd AS (SELECT * FROM nt WHERE Rk IS DISTINCT FROM 'Rk' AND table_id IS NOT NULL),
+tags AS (SELECT * FROM (VALUES ('totals'), ('per100'), ('advanced')) t(table_id)),
+per AS (
+  SELECT table_id,
+    COUNT(*) FILTER (WHERE Season IS NOT NULL AND trim(Season) NOT IN ('', 'nan')) AS n_rows,
+    concat_ws(',', {', '.join(f"CASE WHEN COUNT({c}) > 0 THEN '{c}' END" for c in _NT_ORDER)}) AS columns
+  FROM hd GROUP BY table_id)
+SELECT tags.table_id, COALESCE(per.n_rows, 0) AS n_rows, per.columns FROM tags LEFT JOIN per USING (table_id)
+""")
+
+# -------------------------------------------------------------- cohort (C4)
+
+COHORT_CTE = f"""
+{SUMMARY_CTE.strip()},
+{FULLPANEL_CTE.strip().replace(PANEL_CTE.strip() + ",", "", 1).strip()},
+pded AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity_id, Season
+                                 ORDER BY COALESCE(regexp_matches(Team, '^[0-9]+TM$'), false) DESC, Team NULLS FIRST) AS rn
+    FROM fullpanel WHERE entity_id IS NOT NULL AND Season IS NOT NULL) WHERE rn = 1),
+firstrow AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY entity_id ORDER BY Season NULLS FIRST, Team NULLS FIRST) AS rn
+    FROM pded) WHERE rn = 1),
+based AS (
+  SELECT f.*, s.tier, s.entry_cohort, s.composite, s.first_period_start_year
+  FROM firstrow f LEFT JOIN summary2 s ON f.entity_id = s.o_custkey),
+masked AS (
+  SELECT * FROM based WHERE tier = 'D' AND COALESCE(entry_cohort, false) AND link_id IS NOT NULL
+    AND length(link_id) > 0 AND composite IS NOT NULL),
+cc AS (SELECT * FROM masked WHERE cbb_advanced_AQ IS NOT NULL),
+rook AS (
+  SELECT entity_id, CASE WHEN tok IN ('1', '2', '3') THEN tok ELSE 'UNK' END AS grp FROM (
+    SELECT entity_id, trim(regexp_split_to_array(upper(trim(Pos)), '[-/,]')[1]) AS tok,
+           row_number() OVER (PARTITION BY entity_id ORDER BY {y0('Season')}, Season, Team) AS rn
+    FROM pded WHERE {y0('Season')} >= 1990) WHERE rn = 1),
+cohort AS (
+  SELECT cc.*, CAST(cc.first_period_start_year - year(TRY_CAST(birthday AS DATE)) AS DOUBLE) AS debut_age,
+         CAST(COALESCE(r.grp, 'UNK') = '2' AS DOUBLE) AS pos_is_2,
+         CAST(COALESCE(r.grp, 'UNK') = '3' AS DOUBLE) AS pos_is_3
+  FROM cc LEFT JOIN rook r USING (entity_id))
+"""
+
+_MODEL_FEATURES = ["debut_age", "pos_is_2", "pos_is_3", "cbb_advanced_AQ", "cbb_advanced_MD",
+                   "cbb_totals_QTY", "cbb_per100_QTY100", "AQ", "MD"]
+
+SQL["cohort_mask"] = _with(COHORT_CTE, f"SELECT entity_id, tier, {rnd('composite')} AS composite, link_id FROM masked")
+
+SQL["cohort_frame"] = _with(COHORT_CTE, f"""
+SELECT entity_id, Season, tier, {rnd('composite')} AS composite, first_period_start_year,
+       {_sel(_MODEL_FEATURES, set(_MODEL_FEATURES))}
+FROM cohort
+""")
+
+SQL["complete_case"] = _with(COHORT_CTE, f"SELECT entity_id, {rnd('debut_age')} AS debut_age FROM cohort WHERE debut_age IS NOT NULL")
+
+SQL["feature_projection"] = _with(COHORT_CTE, f"""
+SELECT entity_id, {_sel(_MODEL_FEATURES, set(_MODEL_FEATURES))}, {rnd('composite')} AS composite FROM cohort
+""")
+
+_TEXT_CBB = {"Season", "Team"}
+_FEATURE_CANDS = sorted([f"cbb_{t}_{c}" for t in _DET_TAGS for c in _DET_COLS] + ["debut_age", "pos_is_2", "pos_is_3"])
+
+
+def _num(c: str) -> str:
+    if any(c.endswith("_" + t) for t in _TEXT_CBB):
+        return (f"(CASE WHEN regexp_matches({c}, '^\\s*[+-]?(([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?)\\s*$') "
+                f"THEN TRY_CAST(trim({c}) AS DOUBLE) END)")
+    return f"CAST({c} AS DOUBLE)"
+
+
+SQL["select_features"] = _with(COHORT_CTE, "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, {rnd(f'AVG(CASE WHEN {_num(c)} IS NULL THEN 1.0 ELSE 0.0 END)')} AS missing_share, "
+    f"COALESCE(AVG(CASE WHEN {_num(c)} IS NULL THEN 1.0 ELSE 0.0 END) <= 0.5 AND MIN({_num(c)}) < MAX({_num(c)}), false) AS kept "
+    f"FROM cohort"
+    for c in _FEATURE_CANDS
+))
+
+_POS = "trim(regexp_split_to_array(upper(trim(o_orderpriority)), '[-/,]')[1])"
+
+SQL["position_code"] = f"""
+SELECT o_orderkey, CASE WHEN {_POS} IN ('1', '2', '3') THEN {_POS} ELSE 'UNK' END AS code FROM orders
+"""
+
+SQL["dummies"] = f"""
+WITH c AS (SELECT o_orderkey, CASE WHEN {_POS} IN ('1', '2', '3') THEN {_POS} ELSE 'UNK' END AS code FROM orders)
+SELECT o_orderkey, CAST(COALESCE(code, 'UNK') = '2' AS DOUBLE) AS pos_is_2,
+       CAST(COALESCE(code, 'UNK') = '3' AS DOUBLE) AS pos_is_3
+FROM c
+"""
+
+SQL["debut_age"] = f"""
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'not a date'
+                                   ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS birth FROM orders)
+SELECT l_orderkey, l_linenumber, {rnd('CAST(year(l_shipdate) - year(TRY_CAST(birth AS DATE)) AS DOUBLE)')} AS age
+FROM lineitem JOIN o ON l_orderkey = o.o_orderkey
+"""

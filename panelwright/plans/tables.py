@@ -89,3 +89,125 @@ CUSTOMER_SPEC = OutcomeSpec(
     min_valid_year=1990,
     games_per_period=12,
 )
+
+
+# ------------------------------------------------- reference-shaped long tables
+
+def entity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long stat table tagged by ``table_id``: ``totals`` rows per (customer, year, priority
+    stint), combined ``kTM`` rows, one ``Career`` row per customer, and ``advanced`` rows of
+    line averages per (customer, year, priority)."""
+    from panelwright.operators.assemble import union_by_name
+
+    stints = customer_year_stints(spark, sf_dir)
+    measures = ["G", "MP", "REV", "NL", "TAXAMT"]
+    totals = stints.select(
+        F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
+        period_label("yr").alias("Season"), F.col("stint").alias("Team"), F.col("stint").alias("Pos"), *measures,
+    )
+    combined = (
+        stints.groupBy("o_custkey", "yr")
+        .agg(F.count(F.lit(1)).alias("k"), F.min("stint").alias("Pos"), *[F.sum(m).alias(m) for m in measures])
+        .filter(F.col("k") >= 2)
+        .select(
+            F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
+            period_label("yr").alias("Season"), F.concat(F.col("k").cast("string"), F.lit("TM")).alias("Team"),
+            "Pos", *measures,
+        )
+    )
+    career = stints.groupBy("o_custkey").agg(*[F.sum(m).alias(m) for m in measures]).select(
+        F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"), F.lit("Career").alias("Season"),
+        F.lit("TOT").alias("Team"), *measures,
+    )
+    o = read(spark, sf_dir, "orders")
+    li = read(spark, sf_dir, "lineitem")
+    adv = (
+        o.join(li, o.o_orderkey == li.l_orderkey)
+        .groupBy(F.col("o_custkey").alias("entity_id"), F.year("o_orderdate").alias("yr"),
+                 F.col("o_orderpriority").alias("Team"))
+        .agg(F.avg("l_quantity").alias("AQ"), F.max("l_quantity").alias("MQ"), F.max("l_discount").alias("MD"))
+        .select("entity_id", F.lit("advanced").alias("table_id"), period_label("yr").alias("Season"), "Team",
+                "AQ", "MQ", "MD")
+    )
+    return union_by_name([totals, combined, career, adv])
+
+
+def crosswalk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entity -> link id crosswalk with profile fields, derived from customer."""
+    c = read(spark, sf_dir, "customer")
+    bad = F.col("c_acctbal") < 0
+    return c.select(
+        F.col("c_custkey").alias("entity_id"),
+        F.when(F.col("c_custkey") % 10 == 0, F.lit(None).cast("string"))
+        .otherwise(F.col("c_nationkey").cast("string")).alias("link_id"),
+        F.when(F.col("c_custkey") % 13 == 0, F.lit("unknown"))
+        .otherwise(F.format_string("%d-06-15", F.lit(1960) + F.col("c_nationkey"))).alias("birthday"),
+        F.when(bad, F.lit("error")).otherwise(F.lit("ok")).alias("status"),
+        F.when(bad, F.lit("negative balance")).alias("error"),
+    )
+
+
+def detail_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-link (supplier nation) long table tagged totals/per100/advanced, with Career rows."""
+    from panelwright.operators.assemble import union_by_name
+
+    li = read(spark, sf_dir, "lineitem")
+    s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    base = li.join(s, "l_suppkey").groupBy(
+        F.col("s_nationkey").cast("string").alias("link_id"), F.year("l_shipdate").alias("yr")
+    ).agg(
+        F.count(F.lit(1)).alias("N"), F.sum("l_quantity").alias("QTY"),
+        F.avg("l_quantity").alias("AQ"), F.max("l_discount").alias("MD"),
+    )
+    team = F.concat(F.lit("T"), F.col("link_id")).alias("Team")
+    season = period_label("yr").alias("Season")
+    per_year = [
+        base.select("link_id", F.lit("totals").alias("table_id"), season, team, F.col("N").cast("double").alias("N"), "QTY"),
+        base.select("link_id", F.lit("per100").alias("table_id"), season, team,
+                    (F.lit(100.0) * F.col("QTY") / F.col("N")).alias("QTY100")),
+        base.select("link_id", F.lit("advanced").alias("table_id"), season, team, "AQ", "MD"),
+    ]
+    career = base.groupBy("link_id").agg(
+        F.sum("N").alias("N"), F.sum("QTY").alias("QTY"), F.max("MD").alias("MD")
+    )
+    c_season = F.lit("Career").alias("Season")
+    per_career = [
+        career.select("link_id", F.lit("totals").alias("table_id"), c_season, team, F.col("N").cast("double").alias("N"), "QTY"),
+        career.select("link_id", F.lit("per100").alias("table_id"), c_season, team,
+                      (F.lit(100.0) * F.col("QTY") / F.col("N")).alias("QTY100")),
+        career.select("link_id", F.lit("advanced").alias("table_id"), c_season, team,
+                      (F.col("QTY") / F.col("N")).alias("AQ"), "MD"),
+    ]
+    return union_by_name(per_year + per_career)
+
+
+def panel_spec():
+    from panelwright.plans.panel import PanelSpec
+
+    return PanelSpec(
+        entity="entity_id", link="link_id", patch_columns=["AQ", "MQ", "MD"],
+        detail_order=["Season", "Team"],
+    )
+
+
+# Outcome definition over the assembled panel (same parameters as CUSTOMER_SPEC).
+PANEL_OUTCOME = OutcomeSpec(
+    entity="entity_id",
+    period="Season",
+    stint="Team",
+    games="G",
+    minutes="MP",
+    weights={"REV": 0.01, "NL": 2.0, "TAXAMT": -0.05},
+    order_by=["Team"],
+    min_games=2,
+    min_minutes=100,
+    entry_min=1995,
+    entry_max=1997,
+    min_valid_year=1990,
+    games_per_period=12,
+)
+
+# Fixed values for the catalogue's position coding: priority codes kept, and
+# the dummy levels (code 1 and unknown are the baseline).
+POSITION_LEVELS = ("1", "2", "3")
+DUMMY_LEVELS = ("2", "3")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job wants: adaptive execution (runtime re-planning, partition
 # coalescing, skew splitting, runtime-size-checked broadcast), UTC session time,
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# Local runs only: the driver JVM is the whole "cluster", give it room.
+LOCAL_CONF = {"spark.driver.memory": "16g"}
+
 
 def get_session(
     app: str = "panelwright",
@@ -35,6 +39,9 @@ def get_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            for k, v in LOCAL_CONF.items():
+                builder = builder.config(k, v)
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -74,9 +81,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage of an expensive intermediate that several branches
+    reuse; the written files outlive any executor, so a lost executor costs
+    only its running tasks, and the read-back plan gets parquet pruning and
+    pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side file helpers can use the path."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "local_path", "DEFAULT_CONF"]

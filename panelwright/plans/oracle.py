@@ -744,3 +744,60 @@ WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'not a date'
 SELECT l_orderkey, l_linenumber, {rnd('CAST(year(l_shipdate) - year(TRY_CAST(birth AS DATE)) AS DOUBLE)')} AS age
 FROM lineitem JOIN o ON l_orderkey = o.o_orderkey
 """
+
+# ------------------------------------------------------------- modeling (M)
+
+
+def _thr(share: float) -> str:
+    return "'" + format(int(share * (16 ** 32)), "032x") + "'"
+
+
+def _split(key: str) -> str:
+    return f"CASE WHEN md5(CAST({key} AS VARCHAR) || '|42') < {_thr(0.2)} THEN 'test' ELSE 'train' END"
+
+
+def _fold(key: str) -> str:
+    h = f"md5(CAST({key} AS VARCHAR) || '|fold42')"
+    return (f"CASE WHEN {h} < {_thr(0.2)} THEN 0 WHEN {h} < {_thr(0.4)} THEN 1 WHEN {h} < {_thr(0.6)} THEN 2 "
+            f"WHEN {h} < {_thr(0.8)} THEN 3 ELSE 4 END")
+
+
+SQL["hash_split"] = f"SELECT {_split('o_orderkey')} AS split, COUNT(*) AS n FROM orders GROUP BY 1"
+
+SQL["kfold_sizes"] = f"SELECT {_fold('o_orderkey')} AS fold, COUNT(*) AS n FROM orders GROUP BY 1"
+
+_IMP = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+SQL["impute_scale"] = f"""
+WITH d AS (
+  SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice,
+         CASE WHEN l_linenumber <> 2 THEN l_discount END AS l_discount,
+         CASE WHEN l_orderkey % 5 <> 0 THEN l_tax END AS l_tax,
+         {_split("concat_ws('-', l_orderkey, l_linenumber)")} AS split
+  FROM lineitem),
+med AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS m_{c}' for c in _IMP)} FROM d WHERE split = 'train'),
+mom AS (SELECT {', '.join(f'AVG(COALESCE({c}, m_{c})) AS a_{c}, STDDEV_POP(COALESCE({c}, m_{c})) AS s_{c}' for c in _IMP)}
+        FROM d CROSS JOIN med WHERE split = 'train')
+SELECT l_orderkey, l_linenumber,
+  {', '.join(rnd(f'(COALESCE({c}, m_{c}) - a_{c}) / (CASE WHEN s_{c} = 0 OR s_{c} IS NULL THEN 1.0 ELSE s_{c} END)') + f' AS {c}' for c in _IMP)}
+FROM d CROSS JOIN med CROSS JOIN mom WHERE split = 'test'
+"""
+
+SQL["regression_metrics"] = f"""
+WITH f AS (SELECT regr_slope(l_extendedprice, l_quantity) AS b, regr_intercept(l_extendedprice, l_quantity) AS a
+           FROM lineitem),
+e AS (SELECT l_extendedprice AS y, l_extendedprice - (a + b * l_quantity) AS e FROM lineitem CROSS JOIN f)
+SELECT {rnd('sqrt(AVG(e * e))')} AS rmse, {rnd('AVG(abs(e))')} AS mae,
+       {rnd('1 - SUM(e * e) / (VAR_POP(y) * COUNT(y))')} AS r2
+FROM e
+"""
+
+SQL["pca_covariance"] = f"""
+WITH t AS (SELECT vec_id, embedding FROM embeddings WHERE {_split('vec_id')} = 'train'),
+l AS (SELECT vec_id, r.i - 1 AS i, CAST(embedding[r.i] AS DOUBLE) AS x FROM t CROSS JOIN range(1, 65) r(i)),
+s AS (SELECT i, AVG(x) AS m, STDDEV_POP(x) AS sd FROM l GROUP BY i),
+z AS (SELECT vec_id, l.i, (x - m) / (CASE WHEN sd = 0 OR sd IS NULL THEN 1.0 ELSE sd END) AS z FROM l JOIN s USING (i))
+SELECT printf('b%d_d%02d', a.i // 16, a.i % 16) AS col_a, printf('b%d_d%02d', b.i // 16, b.i % 16) AS col_b,
+       {rnd('covar_pop(a.z, b.z)')} AS cov
+FROM z a JOIN z b USING (vec_id) GROUP BY a.i, b.i
+"""

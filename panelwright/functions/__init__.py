@@ -28,6 +28,7 @@ from panelwright.functions.text import (
     strip_prefixes,
     url_id,
     url_join,
+    url_join_col,
     weight_lb,
 )
 
@@ -35,6 +36,6 @@ __all__ = [
     "between_years", "blank_to_null", "contains_text", "dummies", "extract_or_null",
     "height_inches", "is_period_label", "nan_to_null", "opportunity_periods", "period_label",
     "position_code", "recruiting_rank", "recruiting_year", "safe_ratio", "season_urls",
-    "start_year", "strip_prefixes", "to_number", "truncate_to_int", "url_id", "url_join",
+    "start_year", "strip_prefixes", "to_number", "truncate_to_int", "url_id", "url_join", "url_join_col",
     "weight_lb", "weighted_sum", "zscore",
 ]

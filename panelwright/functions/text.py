@@ -83,6 +83,20 @@ def url_join(base: str, rel) -> Column:
     )
 
 
+def url_join_col(base, rel) -> Column:
+    """``url_join`` with a per-row base url (scheme-relative, root-relative, relative or absolute)."""
+    b, r = as_col(base), as_col(rel)
+    scheme = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
+    root = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    directory = F.regexp_extract(b, r"^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)", 1)
+    return (
+        F.when(r.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), r)
+        .when(r.startswith("//"), F.concat(scheme, F.lit(":"), r))
+        .when(r.startswith("/"), F.concat(root, r))
+        .otherwise(F.concat(F.when(directory == "", F.concat(root, F.lit("/"))).otherwise(directory), r))
+    )
+
+
 def contains_text(c, needle: str) -> Column:
     """Substring test with null -> false."""
     return F.coalesce(as_col(c).contains(needle), F.lit(False))

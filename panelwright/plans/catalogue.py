@@ -18,10 +18,18 @@ from pyspark.sql.types import DoubleType, FloatType
 from panelwright.functions import (
     contains_text,
     dummies,
+    extract_or_null,
+    height_inches,
     period_label,
     position_code,
+    recruiting_rank,
+    recruiting_year,
     safe_ratio,
+    season_urls,
     start_year,
+    url_id,
+    url_join_col,
+    weight_lb,
     weighted_sum,
 )
 from panelwright.functions._util import qcol
@@ -117,6 +125,7 @@ from panelwright.operators.select import (
 )
 from panelwright.plans.panel import build_panel, normalise_tables
 from panelwright.session import materialize
+from panelwright.sources.pages import page_comments, page_links, page_status, page_tables
 from panelwright.plans.tables import (
     CUSTOMER_SPEC,
     DUMMY_LEVELS,
@@ -980,3 +989,66 @@ def q_pca_corr(spark, sf_dir):
 def q_pca_top_loadings(spark, sf_dir):
     _, _, _, model = pca_model(spark, sf_dir)
     return best_variant_per_base(model.loadings(spark), "PC1", ["b0_", "b1_", "b2_", "b3_"])
+
+
+# ------------------------------------------------------------ pages
+
+# Logical table -> candidate element ids, in priority order.
+PAGE_TABLE_CANDIDATES = {"totals": ["totals_stats", "totals"], "advanced": ["advanced"]}
+
+
+@register("page_tables")
+def q_page_tables(spark, sf_dir):
+    return page_tables(read(spark, sf_dir, "pages"), PAGE_TABLE_CANDIDATES)
+
+
+@register("page_status")
+def q_page_status(spark, sf_dir):
+    return page_status(read(spark, sf_dir, "pages"))
+
+
+@register("page_comments")
+def q_page_comments(spark, sf_dir):
+    return page_comments(read(spark, sf_dir, "pages"))
+
+
+@register("page_links")
+def q_page_links(spark, sf_dir):
+    return page_links(read(spark, sf_dir, "pages")).select("page_id", "link_no", "href")
+
+
+URL_PATTERN = r"/([a-z]{2})/([0-9]+)"
+
+
+@register("url_id")
+def q_url_id(spark, sf_dir):
+    p = read(spark, sf_dir, "pages")
+    return p.select("page_id", url_id("url", URL_PATTERN, 1).alias("lang"),
+                    url_id("url", URL_PATTERN, 2).cast("long").alias("num"))
+
+
+@register("text_fields")
+def q_text_fields(spark, sf_dir):
+    p = read(spark, sf_dir, "pages")
+    href = extract_or_null("html", r'<a href="([^"]*)"')
+    return finish(p.select(
+        "page_id",
+        extract_or_null("html", r"<title>(.*?)</title>").alias("title"),
+        href.alias("first_href"),
+        url_join_col(F.col("url"), href).alias("abs_href"),
+        recruiting_year(F.col("html")).alias("recruiting_year"),
+        recruiting_rank(F.col("html")).alias("recruiting_rank"),
+        height_inches(F.col("html")).alias("height_inches"),
+        weight_lb(F.col("html")).alias("weight_lb"),
+    ))
+
+
+URL_TEMPLATE = "https://stats.example.org/leagues/totals_%d.html"
+
+
+@register("url_template")
+def q_url_template(spark, sf_dir):
+    o = read(spark, sf_dir, "orders")
+    span = o.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
+    return span.select("lo", F.posexplode(season_urls("lo", "hi", URL_TEMPLATE)).alias("i", "url")).select(
+        (F.col("lo") + F.col("i")).alias("year"), "url")

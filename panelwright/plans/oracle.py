@@ -801,3 +801,52 @@ SELECT printf('b%d_d%02d', a.i // 16, a.i % 16) AS col_a, printf('b%d_d%02d', b.
        {rnd('covar_pop(a.z, b.z)')} AS cov
 FROM z a JOIN z b USING (vec_id) GROUP BY a.i, b.i
 """
+
+# ------------------------------------------------------------ pages
+
+SQL["page_comments"] = """
+SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS comment_no, unnest(arr) AS comment
+FROM (SELECT page_id, regexp_extract_all(html, '(?s)<!--(.*?)-->', 1) AS arr FROM pages)
+"""
+
+SQL["page_links"] = """
+SELECT page_id, CAST(generate_subscripts(arr, 1) - 1 AS INTEGER) AS link_no, unnest(arr) AS href
+FROM (SELECT page_id, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS arr FROM pages)
+"""
+
+SQL["url_id"] = """
+SELECT page_id, NULLIF(regexp_extract(url, '/([a-z]{2})/([0-9]+)', 1), '') AS lang,
+       CAST(NULLIF(regexp_extract(url, '/([a-z]{2})/([0-9]+)', 2), '') AS BIGINT) AS num
+FROM pages
+"""
+
+
+def _xn(expr: str, pattern: str, group: int = 1) -> str:
+    return f"NULLIF(regexp_extract({expr}, '{pattern}', {group}), '')"
+
+
+_HREF = _xn("html", '<a href="([^"]*)"')
+_ROOT = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1)"
+_DIR = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^?#]*/)', 1)"
+_SCHEME = "regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*):', 1)"
+
+SQL["text_fields"] = f"""
+SELECT page_id, {_xn('html', '<title>(.*?)</title>')} AS title, {_HREF} AS first_href,
+  CASE WHEN regexp_matches({_HREF}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {_HREF}
+       WHEN starts_with({_HREF}, '//') THEN {_SCHEME} || ':' || {_HREF}
+       WHEN starts_with({_HREF}, '/') THEN {_ROOT} || {_HREF}
+       ELSE (CASE WHEN {_DIR} = '' THEN {_ROOT} || '/' ELSE {_DIR} END) || {_HREF} END AS abs_href,
+  CAST({_xn('html', 'Recruiting Rank:\\s*([0-9]{4})')} AS INTEGER) AS recruiting_year,
+  CAST({_xn('html', 'Recruiting Rank:.*?\\(([0-9]+)\\)')} AS INTEGER) AS recruiting_rank,
+  CASE WHEN CAST({_xn('html', '\\b([4-7])-([0-9]{1,2})\\b', 2)} AS INTEGER) <= 11
+       THEN CAST(CAST({_xn('html', '\\b([4-7])-([0-9]{1,2})\\b', 1)} AS INTEGER) * 12
+                 + CAST({_xn('html', '\\b([4-7])-([0-9]{1,2})\\b', 2)} AS INTEGER) AS DOUBLE) END AS height_inches,
+  CAST({_xn('html', '(?i)\\b([0-9]{2,3})\\s*lb')} AS DOUBLE) AS weight_lb
+FROM pages
+"""
+
+SQL["url_template"] = """
+WITH s AS (SELECT CAST(MIN(year(o_orderdate)) AS INTEGER) AS lo, CAST(MAX(year(o_orderdate)) AS INTEGER) AS hi FROM orders)
+SELECT CAST(r.y AS INTEGER) AS year, printf('https://stats.example.org/leagues/totals_%d.html', r.y) AS url
+FROM s CROSS JOIN range(s.lo, s.hi + 1) r(y)
+"""

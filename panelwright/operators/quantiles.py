@@ -55,7 +55,9 @@ def exact_quantiles(
         .withColumn("__lo", F.floor("__pos"))
         .withColumn("__hi", F.ceil("__pos"))
     )
-    ranked = ranged.join(F.broadcast(offsets.select("__pid", *gcols, "__id0", "__off")), ["__pid", *gcols]).select(
+    # offsets has (partitions x groups) rows: small for a few groups, but not
+    # bounded in general, so AQE picks broadcast or shuffle from its run-time size.
+    ranked = ranged.join(offsets.select("__pid", *gcols, "__id0", "__off"), ["__pid", *gcols]).select(
         *gcols, "__v", (F.col("__off") + F.col("__id") - F.col("__id0")).alias("__r")
     )
     wanted = targets.select(*gcols, F.col("__lo").alias("__r")).union(targets.select(*gcols, F.col("__hi").alias("__r"))).distinct()

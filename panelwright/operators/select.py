@@ -79,42 +79,50 @@ def latest_per_key(
     period: str,
     order_by,
     career_label: str = "career",
+    groups=(),
 ) -> DataFrame:
-    """One row per key from its latest ``YYYY-YY`` period (ties: last in ``order_by``).
+    """One row per key from its latest ``YYYY-YY`` period (ties: last in ``order_by``).
 
-    Whole-frame fallbacks, decided by one bounded aggregate evaluated as a
-    scalar subquery (no collect):
-    * no period rows anywhere -> every row whose label is ``career`` (not deduped);
+    Fallbacks apply to a whole frame (or to each ``groups`` slice, e.g. one
+    per table tag), decided by a small per-slice aggregate, not a collect:
+    * no period rows in the slice -> every row whose label is ``career`` (not deduped);
     * neither -> first row per key;
     * no period column at all -> last row per key.
-    A key that only has a Career row is dropped when other keys have periods.
+    A key that only has a Career row is dropped when others in its slice have periods.
     """
     if key not in df.columns:
         return df
+    groups = list(groups)
     keyed = df.filter(qcol(key).isNotNull())
     if period not in df.columns:
-        return keep_last(keyed, [key], order_by)
+        return keep_last(keyed, [*groups, key], order_by)
     is_label = is_period_label(period)
     is_career = F.coalesce(F.lower(qcol(period).cast("string")) == F.lit(career_label), F.lit(False))
-    flags = df.agg(
-        F.struct(
-            F.max(is_label.cast("int")).alias("has_period"),
-            F.max(is_career.cast("int")).alias("has_career"),
-        ).alias("f")
-    ).scalar()
-    has_period = F.coalesce(flags.getField("has_period"), F.lit(0)) == 1
-    has_career = F.coalesce(flags.getField("has_career"), F.lit(0)) == 1
-    # Three branches; only one is non-empty at run time.  Each keeps its
+    flag_aggs = [F.max(is_label.cast("int")).alias("__has_period"), F.max(is_career.cast("int")).alias("__has_career")]
+    if groups:
+        # One row per slice: joined back on the slice key (AQE sizes the join at run time).
+        flags = df.groupBy(*[qcol(g) for g in groups]).agg(*flag_aggs)
+        marked = df.join(flags, groups, "left")
+        has_period = F.coalesce(F.col("__has_period"), F.lit(0)) == 1
+        has_career = F.coalesce(F.col("__has_career"), F.lit(0)) == 1
+    else:
+        f = df.agg(F.struct(*flag_aggs).alias("f")).scalar()
+        marked = df
+        has_period = F.coalesce(f.getField("__has_period"), F.lit(0)) == 1
+        has_career = F.coalesce(f.getField("__has_career"), F.lit(0)) == 1
+    keyed = marked.filter(qcol(key).isNotNull())
+    # Three branches; per slice only one is non-empty.  Each keeps its
     # row_number()==1 shape so the partial group limit runs before the shuffle.
     latest = first_per_key(
-        keyed.filter(has_period & is_label), [key],
+        keyed.filter(has_period & is_label), [*groups, key],
         [start_year(period).desc()] + _reverse(order_by),
     )
-    career_rows = df.filter(~has_period & has_career & is_career)
+    career_rows = marked.filter(~has_period & has_career & is_career)
     first_rows = first_per_key(
-        keyed.filter(~has_period & ~has_career), [key], _sort_cols(order_by)
+        keyed.filter(~has_period & ~has_career), [*groups, key], _sort_cols(order_by)
     )
-    return latest.unionByName(career_rows).unionByName(first_rows)
+    out = latest.unionByName(career_rows).unionByName(first_rows)
+    return out.drop("__has_period", "__has_career") if groups else out
 
 
 def earliest_value_per_key(

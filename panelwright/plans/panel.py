@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
-from panelwright.operators.assemble import left_join, outer_blocks, patch_join
+from panelwright.operators.assemble import left_join, patch_join
 from panelwright.operators.clean import (
     drop_repeated_headers,
     drop_spacer_rows,
     keep_period_rows,
-    prefix_columns,
     require_non_null,
     split_by_tag,
 )
@@ -60,12 +59,17 @@ def build_panel(long: DataFrame, crosswalk: DataFrame, detail_long: DataFrame |
     base = patch_join(base, patch, [spec.entity, spec.period], spec.patch_columns, order_by=[spec.stint])
     if detail_long is None:
         return base
-    blocks = []
-    for tid in spec.detail_tags:
-        frame = detail_long.filter(qcol(spec.tag) == F.lit(tid))
-        picked = latest_per_key(frame, spec.link, spec.period, spec.detail_order)
-        blocks.append(prefix_columns(picked, f"{spec.detail_prefix}{tid}_", spec.link, drop=[spec.tag, *spec.detail_drop]))
-    wide = outer_blocks(blocks, spec.link)
+    # Latest row per (tag, link) for every declared tag in one pass; the
+    # whole-frame fallbacks are decided per tag.
+    detail = detail_long.filter(qcol(spec.tag).isin(list(spec.detail_tags)))
+    picked = latest_per_key(detail, spec.link, spec.period, spec.detail_order, groups=[spec.tag])
+    values = [c for c in detail_long.columns if c not in (spec.tag, spec.link, *spec.detail_drop)]
+    # Widen per link in one aggregation: each (tag, column) cell comes from
+    # the single picked row of that tag (J3 without chained outer joins).
+    wide = picked.groupBy(qcol(spec.link)).agg(*[
+        F.max(F.when(qcol(spec.tag) == F.lit(tid), qcol(c))).alias(f"{spec.detail_prefix}{tid}_{c}")
+        for tid in spec.detail_tags for c in values
+    ])
     return left_join(base, wide, spec.link)
 
 

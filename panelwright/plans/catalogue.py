@@ -60,6 +60,7 @@ from panelwright.operators.audit import (
     audit_table,
     duplicate_row_count,
     empty_row_count,
+    missing_period_profile,
     readiness,
     summary_counters,
 )
@@ -1052,3 +1053,30 @@ def q_url_template(spark, sf_dir):
     span = o.agg(F.min(F.year("o_orderdate")).alias("lo"), F.max(F.year("o_orderdate")).alias("hi"))
     return span.select("lo", F.posexplode(season_urls("lo", "hi", URL_TEMPLATE)).alias("i", "url")).select(
         (F.col("lo") + F.col("i")).alias("year"), "url")
+
+
+@register("missing_period_profile")
+def q_missing_period_profile(spark, sf_dir):
+    return missing_period_profile(events_long(spark, sf_dir), "Season", "table_id", 3)
+
+
+@register("profile_report")
+def q_profile_report(spark, sf_dir):
+    prof = doc_profiles(spark, sf_dir)
+    labels = read(spark, sf_dir, "labels")
+    o = read(spark, sf_dir, "orders")
+
+    def item(section, name, value):
+        return F.struct(F.lit(section).alias("section"), F.lit(name).alias("item"), value.cast("double").alias("value"))
+
+    head = spark.range(1).select(F.explode(F.array(
+        item("rows", "documents", read(spark, sf_dir, "documents").agg(F.count(F.lit(1))).scalar()),
+        item("rows", "labels", labels.agg(F.count(F.lit(1))).scalar()),
+        item("missing_pct", "quality", prof.agg(F.count_if(F.col("quality").isNull()) * 100.0 / F.count(F.lit(1))).scalar()),
+        item("distinct", "label_doc_id", labels.agg(F.count_distinct("doc_id")).scalar()),
+        item("range", "order_year_min", o.agg(F.min(F.year("o_orderdate"))).scalar()),
+        item("range", "order_year_max", o.agg(F.max(F.year("o_orderdate"))).scalar()),
+    )).alias("s")).select("s.*")
+    status = value_counts(prof, "status").select(F.lit("status").alias("section"), F.col("status").alias("item"),
+                                                  F.col("n").cast("double").alias("value"))
+    return finish(head.unionByName(status))

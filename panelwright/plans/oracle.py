@@ -850,3 +850,18 @@ WITH s AS (SELECT CAST(MIN(year(o_orderdate)) AS INTEGER) AS lo, CAST(MAX(year(o
 SELECT CAST(r.y AS INTEGER) AS year, printf('https://stats.example.org/leagues/totals_%d.html', r.y) AS url
 FROM s CROSS JOIN range(s.lo, s.hi + 1) r(y)
 """
+
+SQL["missing_period_profile"] = _with(EVENTS_LONG_CTE, """
+SELECT table_id, COUNT(*) AS n FROM el WHERE Season IS NULL GROUP BY table_id
+ORDER BY n DESC, table_id NULLS FIRST LIMIT 3
+""")
+
+SQL["profile_report"] = _with(_DOC_PROF, f"""
+SELECT 'rows' AS section, 'documents' AS item, CAST(COUNT(*) AS DOUBLE) AS value FROM documents
+UNION ALL SELECT 'rows', 'labels', CAST(COUNT(*) AS DOUBLE) FROM labels
+UNION ALL SELECT 'missing_pct', 'quality', {rnd('COUNT(*) FILTER (WHERE quality IS NULL) * 100.0 / COUNT(*)')} FROM prof
+UNION ALL SELECT 'distinct', 'label_doc_id', CAST(COUNT(DISTINCT doc_id) AS DOUBLE) FROM labels
+UNION ALL SELECT 'range', 'order_year_min', CAST(MIN(year(o_orderdate)) AS DOUBLE) FROM orders
+UNION ALL SELECT 'range', 'order_year_max', CAST(MAX(year(o_orderdate)) AS DOUBLE) FROM orders
+UNION ALL SELECT 'status', status, CAST(COUNT(*) AS DOUBLE) FROM prof GROUP BY status
+""")

@@ -30,6 +30,8 @@ def order_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("rev"),
         F.count(F.lit(1)).alias("nl"),
         F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("taxamt"),
+        F.max("l_quantity").alias("mq"),
+        F.max("l_discount").alias("md"),
     )
 
 
@@ -47,6 +49,8 @@ def customer_year_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum("rev").alias("REV"),
             F.sum("nl").cast("double").alias("NL"),
             F.sum("taxamt").alias("TAXAMT"),
+            F.max("mq").alias("MQ"),
+            F.max("md").alias("MD"),
         )
     )
 
@@ -67,7 +71,7 @@ def customer_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     cols = ["o_custkey", "period", "stint", "G", "MP", "REV", "NL", "TAXAMT"]
     return (
-        stints.unionByName(combined)
+        stints.drop("MQ", "MD").unionByName(combined)
         .withColumn("period", period_label("yr"))
         .select(*cols)
     )
@@ -96,7 +100,12 @@ CUSTOMER_SPEC = OutcomeSpec(
 def entity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long stat table tagged by ``table_id``: ``totals`` rows per (customer, year, priority
     stint), combined ``kTM`` rows, one ``Career`` row per customer, and ``advanced`` rows of
-    line averages per (customer, year, priority)."""
+    line averages per (customer, year, priority).
+
+    Everything derives from one per-order line aggregate joined to orders:
+    line averages are sums over line counts, and the combined and career rows
+    come from one grouping-sets aggregation over the stint rows.
+    """
     from panelwright.operators.assemble import union_by_name
 
     stints = customer_year_stints(spark, sf_dir)
@@ -105,29 +114,25 @@ def entity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
         period_label("yr").alias("Season"), F.col("stint").alias("Team"), F.col("stint").alias("Pos"), *measures,
     )
-    combined = (
-        stints.groupBy("o_custkey", "yr")
-        .agg(F.count(F.lit(1)).alias("k"), F.min("stint").alias("Pos"), *[F.sum(m).alias(m) for m in measures])
-        .filter(F.col("k") >= 2)
-        .select(
-            F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
-            period_label("yr").alias("Season"), F.concat(F.col("k").cast("string"), F.lit("TM")).alias("Team"),
-            "Pos", *measures,
-        )
+    # (customer, year) and (customer) sums in one aggregation over the stint rows.
+    rolled = stints.groupingSets(
+        [["o_custkey", "yr"], ["o_custkey"]], "o_custkey", "yr"
+    ).agg(
+        F.count(F.lit(1)).alias("k"), F.min("stint").alias("Pos"), F.grouping_id().alias("gid"),
+        *[F.sum(m).alias(m) for m in measures],
     )
-    career = stints.groupBy("o_custkey").agg(*[F.sum(m).alias(m) for m in measures]).select(
+    combined = rolled.filter((F.col("gid") == 0) & (F.col("k") >= 2)).select(
+        F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
+        period_label("yr").alias("Season"), F.concat(F.col("k").cast("string"), F.lit("TM")).alias("Team"),
+        "Pos", *measures,
+    )
+    career = rolled.filter(F.col("gid") == 1).select(
         F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"), F.lit("Career").alias("Season"),
         F.lit("TOT").alias("Team"), *measures,
     )
-    o = read(spark, sf_dir, "orders")
-    li = read(spark, sf_dir, "lineitem")
-    adv = (
-        o.join(li, o.o_orderkey == li.l_orderkey)
-        .groupBy(F.col("o_custkey").alias("entity_id"), F.year("o_orderdate").alias("yr"),
-                 F.col("o_orderpriority").alias("Team"))
-        .agg(F.avg("l_quantity").alias("AQ"), F.max("l_quantity").alias("MQ"), F.max("l_discount").alias("MD"))
-        .select("entity_id", F.lit("advanced").alias("table_id"), period_label("yr").alias("Season"), "Team",
-                "AQ", "MQ", "MD")
+    adv = stints.select(
+        F.col("o_custkey").alias("entity_id"), F.lit("advanced").alias("table_id"), period_label("yr").alias("Season"),
+        F.col("stint").alias("Team"), (F.col("MP") / F.col("NL")).alias("AQ"), "MQ", "MD",
     )
     return union_by_name([totals, combined, career, adv])
 

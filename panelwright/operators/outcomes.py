@@ -168,9 +168,15 @@ def career_summary(panel: DataFrame, spec: OutcomeSpec, materialize_rows: bool =
     return add_composite(summ, spec)
 
 
-def add_composite(summ: DataFrame, spec: OutcomeSpec) -> DataFrame:
-    """z-scores on the eligible subset (tier D and cohort) and the weighted composite."""
+def add_composite(summ: DataFrame, spec: OutcomeSpec, restrict=None, suffix: str = "") -> DataFrame:
+    """z-scores on the eligible subset (tier D and cohort) and the weighted composite.
+
+    ``restrict`` narrows the eligible set further and ``suffix`` names the
+    outputs, which re-standardises within a sub-cohort (M23).
+    """
     eligible = (F.col("tier") == "D") & F.col("entry_cohort")
+    if restrict is not None:
+        eligible = eligible & F.coalesce(restrict, F.lit(False))
     longevity = F.log1p(F.col("games_vs_opportunity"))
     moments = (
         summ.filter(eligible)
@@ -187,16 +193,48 @@ def add_composite(summ: DataFrame, spec: OutcomeSpec) -> DataFrame:
     z_rate = F.when(eligible, zscore("mean_rate_qual", moments.getField("mr"), moments.getField("sr")))
     z_long = F.when(eligible, zscore(longevity, moments.getField("ml"), moments.getField("sl")))
     return (
-        summ.withColumn("z_rate", z_rate)
-        .withColumn("z_longevity", z_long)
+        summ.withColumn(f"z_rate{suffix}", z_rate)
+        .withColumn(f"z_longevity{suffix}", z_long)
         .withColumn(
-            "composite",
-            F.when(eligible, F.lit(spec.w_rate) * F.col("z_rate") + F.lit(spec.w_longevity) * F.col("z_longevity")),
+            f"composite{suffix}",
+            F.when(eligible, F.lit(spec.w_rate) * F.col(f"z_rate{suffix}")
+                   + F.lit(spec.w_longevity) * F.col(f"z_longevity{suffix}")),
         )
     )
 
 
+def quartile_label(summ: DataFrame, value: str = "composite") -> DataFrame:
+    """'top' at or above the 75th percentile, 'bottom' at or below the 25th, else 'middle' (M21, spec item).
+
+    The two cut points are exact interpolated quantiles from the distributed
+    quantile job, used as one scalar subquery.
+    """
+    from panelwright.operators.quantiles import quantile_columns
+
+    cuts = quantile_columns(summ, value, (0.25, 0.75), ["q25", "q75"]).select(F.struct("q25", "q75")).scalar()
+    v = qcol(value)
+    return summ.withColumn(
+        "quartile",
+        F.when(v >= cuts.getField("q75"), F.lit("top")).when(v <= cuts.getField("q25"), F.lit("bottom"))
+        .when(v.isNotNull(), F.lit("middle")),
+    )
+
+
+def prime_rate(panel: DataFrame, spec: OutcomeSpec, best: int = 3) -> DataFrame:
+    """Mean of each entity's ``best`` highest qualifying per-game rates (M22, spec item).
+
+    ``row_number() <= best`` keeps the partial group limit before the shuffle.
+    """
+    from pyspark.sql import Window
+
+    rated = with_rate(dedupe_periods(panel, spec), spec).filter(qualifying(spec) & F.col("rate").isNotNull())
+    w = Window.partitionBy(qcol(spec.entity)).orderBy(F.col("rate").desc(), qcol(spec.period).asc())
+    top = rated.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= best)
+    return top.groupBy(qcol(spec.entity)).agg(F.avg("rate").alias("prime_rate"), F.count(F.lit(1)).alias("n_prime"))
+
+
 __all__ = [
     "OutcomeSpec", "SUMMARY_COLUMNS", "add_composite", "career_summary", "combined_stint_flag",
-    "dedupe_periods", "entity_rollup", "qualifying", "tier_label", "window_end_year", "with_rate",
+    "dedupe_periods", "entity_rollup", "prime_rate", "quartile_label", "qualifying", "tier_label",
+    "window_end_year", "with_rate",
 ]

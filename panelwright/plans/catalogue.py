@@ -106,7 +106,7 @@ from panelwright.operators.modeling import (
     tree_estimator,
     tree_search,
 )
-from panelwright.operators.outcomes import career_summary, dedupe_periods
+from panelwright.operators.outcomes import add_composite, career_summary, dedupe_periods, prime_rate, quartile_label
 from panelwright.operators.pca import (
     best_variant_per_base,
     covariance_frame,
@@ -1080,3 +1080,26 @@ def q_profile_report(spark, sf_dir):
     status = value_counts(prof, "status").select(F.lit("status").alias("section"), F.col("status").alias("item"),
                                                   F.col("n").cast("double").alias("value"))
     return finish(head.unionByName(status))
+
+
+# ------------------------------------- documented-only outcome variants (spec)
+
+@register("quartile_label")
+def q_quartile_label(spark, sf_dir):
+    s = customer_summary(spark, sf_dir).filter(F.col("composite").isNotNull())
+    return finish(quartile_label(s).select("o_custkey", "composite", "quartile"))
+
+
+@register("prime_rate")
+def q_prime_rate(spark, sf_dir):
+    return finish(prime_rate(customer_year_panel(spark, sf_dir), CUSTOMER_SPEC))
+
+
+@register("restricted_z")
+def q_restricted_z(spark, sf_dir):
+    s = customer_summary(spark, sf_dir)
+    links = crosswalk(spark, sf_dir).select(F.col("entity_id").alias("o_custkey"), "link_id")
+    linked = s.join(links, "o_custkey", "left")
+    out = add_composite(linked, CUSTOMER_SPEC, restrict=F.col("link_id").isNotNull(), suffix="_r")
+    return finish(out.filter(F.col("composite_r").isNotNull()).select(
+        "o_custkey", "z_rate_r", "z_longevity_r", "composite_r"))

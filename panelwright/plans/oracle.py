@@ -865,3 +865,33 @@ UNION ALL SELECT 'range', 'order_year_min', CAST(MIN(year(o_orderdate)) AS DOUBL
 UNION ALL SELECT 'range', 'order_year_max', CAST(MAX(year(o_orderdate)) AS DOUBLE) FROM orders
 UNION ALL SELECT 'status', status, CAST(COUNT(*) AS DOUBLE) FROM prof GROUP BY status
 """)
+
+# ------------------------------------- documented-only outcome variants (spec)
+
+SQL["quartile_label"] = _with(SUMMARY_CTE, f"""
+, e AS (SELECT * FROM summary2 WHERE composite IS NOT NULL),
+c AS (SELECT quantile_cont(composite, 0.25) AS q25, quantile_cont(composite, 0.75) AS q75 FROM e)
+SELECT o_custkey, {rnd('composite')} AS composite,
+       CASE WHEN composite >= q75 THEN 'top' WHEN composite <= q25 THEN 'bottom' ELSE 'middle' END AS quartile
+FROM e CROSS JOIN c
+""")
+
+SQL["prime_rate"] = _with(f"{PANEL_CTE.strip()},\n{DEDUP_CTE.strip()}", f"""
+, top AS (
+  SELECT o_custkey, rate, row_number() OVER (PARTITION BY o_custkey ORDER BY rate DESC, period) AS rk
+  FROM rated WHERE q AND rate IS NOT NULL)
+SELECT o_custkey, {rnd('AVG(rate)')} AS prime_rate, COUNT(*) AS n_prime FROM top WHERE rk <= 3 GROUP BY o_custkey
+""")
+
+SQL["restricted_z"] = _with(SUMMARY_CTE, f"""
+, lk AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS link_id
+         FROM customer),
+r AS (SELECT s3.* FROM s3 JOIN lk ON s3.o_custkey = lk.c_custkey
+      WHERE tier = 'D' AND entry_cohort AND lk.link_id IS NOT NULL),
+m AS (SELECT AVG(mean_rate_qual) AS mr, STDDEV_POP(mean_rate_qual) AS sr,
+             AVG(ln(1 + games_vs_opportunity)) AS ml, STDDEV_POP(ln(1 + games_vs_opportunity)) AS sl FROM r),
+z AS (SELECT o_custkey, (mean_rate_qual - mr) / NULLIF(sr, 0) AS zr,
+             (ln(1 + games_vs_opportunity) - ml) / NULLIF(sl, 0) AS zl FROM r CROSS JOIN m)
+SELECT o_custkey, {rnd('zr')} AS z_rate_r, {rnd('zl')} AS z_longevity_r, {rnd('0.7 * zr + 0.3 * zl')} AS composite_r
+FROM z WHERE 0.7 * zr + 0.3 * zl IS NOT NULL
+""")

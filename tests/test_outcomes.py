@@ -72,3 +72,19 @@ def test_single_eligible_entity_gives_null_z(spark):
     df = spark.createDataFrame(PANEL[:2], "id string, Season string, Team string, G double, MP double, PTS double")
     out = career_summary(df, SPEC).first()
     assert out["tier"] == "D" and out["z_rate"] is None and out["composite"] is None
+
+
+def test_spec_variants(spark):
+    from pyspark.sql import functions as F
+
+    from panelwright.operators.outcomes import add_composite, prime_rate, quartile_label
+
+    df = spark.createDataFrame(PANEL, "id string, Season string, Team string, G double, MP double, PTS double")
+    prime = {r["id"]: r["prime_rate"] for r in prime_rate(df, SPEC, best=1).collect()}
+    assert prime["a"] == pytest.approx(20.0) and prime["c"] == pytest.approx(5.0) and "e" not in prime
+    summ = career_summary(df, SPEC)
+    labels = {r["id"]: r["quartile"] for r in quartile_label(summ.filter("composite IS NOT NULL")).collect()}
+    assert labels == {"a": "top", "b": "bottom"}
+    # Restricting the eligible set to one entity leaves sd 0, so the restricted z is null.
+    r = {x["id"]: x["composite_r"] for x in add_composite(summ, SPEC, restrict=F.col("id") == "a", suffix="_r").collect()}
+    assert r["a"] is None and r["b"] is None

@@ -49,7 +49,7 @@ def main() -> None:
     from panelwright.plans.catalogue import QUERIES
     from panelwright.session import get_session
 
-    spark = get_session(app="panelwright-bench", master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2))
+    spark = get_session(app="panelwright-bench", master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))))
     # Warm the JVM (class loading, codegen caches) on the smallest data; untimed.
     QUERIES["career_summary"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 

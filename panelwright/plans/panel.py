@@ -83,9 +83,40 @@ def normalise_tables(long: DataFrame, tag: str, id_cols, tags, period: str = "Se
     return {t: (drop_spacer_rows(parts[t], period) if t in parts else None) for t in tags}
 
 
+def rebuild_panel(spark, long_path: str, crosswalk_path: str, detail_path: str | None, spec: PanelSpec,
+                  out_path: str | None = None) -> DataFrame:
+    """Rebuild the panel from saved tables (C8): missing inputs raise, the result is optionally written."""
+    from panelwright.sources.files import require_inputs, write_table
+
+    require_inputs(spark, [p for p in (long_path, crosswalk_path, detail_path) if p])
+    detail = spark.read.parquet(detail_path) if detail_path else None
+    panel = build_panel(spark.read.parquet(long_path), spark.read.parquet(crosswalk_path), detail, spec)
+    if out_path:
+        write_table(panel, out_path)
+        return spark.read.parquet(out_path)
+    return panel
+
+
+def pages_to_long(pages: DataFrame, candidates: dict, page_key: str, entity_col: str, columns,
+                  tag: str = "table_id", id_col: str = "page_id", html_col: str = "html") -> DataFrame:
+    """Saved pages -> typed long stat table.
+
+    Every extracted table row becomes one row tagged with its logical table,
+    carrying the page's entity key; ``columns`` are lifted out of the cell map
+    and typed with the dataset-wide numeric rule.
+    """
+    from panelwright.operators.clean import safe_numeric
+    from panelwright.sources.pages import page_tables, widen
+
+    rows = widen(page_tables(pages, candidates, id_col, html_col), columns)
+    keyed = rows.join(pages.select(qcol(id_col).alias("page_id"), qcol(page_key).alias(entity_col)), "page_id")
+    out = keyed.select(entity_col, F.col("table_id").alias(tag), "row_no", *[qcol(c) for c in columns])
+    return safe_numeric(out)
+
+
 def appearances(season_list: DataFrame, keys, order_by) -> DataFrame:
     """One row per (period, entity) from the listing rows."""
     return keep_first(season_list, keys, order_by)
 
 
-__all__ = ["PanelSpec", "appearances", "build_panel", "normalise_tables"]
+__all__ = ["PanelSpec", "appearances", "build_panel", "normalise_tables", "pages_to_long", "rebuild_panel"]

@@ -80,3 +80,25 @@ def test_entry_contract(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
     assert F is not None
+
+
+def test_pages_to_long_and_rebuild(spark, tmp_path):
+    from panelwright.plans.panel import PanelSpec, pages_to_long, rebuild_panel
+
+    pages = spark.createDataFrame([(1, "p1", VISIBLE), (2, "p2", COMMENTED)], "page_id long, entity string, html string")
+    long = pages_to_long(pages, {"totals": ["totals_stats"], "advanced": ["advanced"]}, "entity", "entity_id",
+                         ["Season", "FGpct", "Shooting_FG"])
+    types = dict(long.dtypes)
+    assert types["FGpct"] == "double" and types["Season"] == "string"
+    got = sorted((r["entity_id"], r["table_id"], r["Season"], r["FGpct"], r["Shooting_FG"]) for r in long.collect())
+    assert got == [("p1", "totals", "2011-12", 0.5, None), ("p1", "totals", "2012-13", 0.4, None),
+                   ("p2", "advanced", "2011-12", None, 3.0)]
+    with pytest.raises(FileNotFoundError):
+        rebuild_panel(spark, str(tmp_path / "nope"), str(tmp_path / "nope2"), None, PanelSpec())
+    lt = spark.createDataFrame([("e1", "totals", "2011-12", "A", 10.0, 100.0)],
+                               "entity_id string, table_id string, Season string, Team string, G double, MP double")
+    cw = spark.createDataFrame([("e1", "L1")], "entity_id string, link_id string")
+    lt.write.parquet(str(tmp_path / "long")); cw.write.parquet(str(tmp_path / "cw"))
+    panel = rebuild_panel(spark, str(tmp_path / "long"), str(tmp_path / "cw"), None, PanelSpec(),
+                          out_path=str(tmp_path / "panel"))
+    assert [(r["entity_id"], r["link_id"]) for r in panel.collect()] == [("e1", "L1")]

@@ -88,27 +88,30 @@ def rookie_position(deduped: DataFrame, spec: OutcomeSpec, pos_col: str, valid,
 
 
 def attach_demographics(df: DataFrame, panel: DataFrame, spec: OutcomeSpec, *, birth: str, pos_col: str,
-                        valid, dummy_levels, prefix: str = "pos_is_", min_year: int = 1990) -> DataFrame:
+                        valid, dummy_levels, prefix: str = "pos_is_", min_year: int = 1990,
+                        deduped: bool = False) -> DataFrame:
     """Add debut age and position dummies (C5); unknown positions share the baseline."""
-    rook = rookie_position(dedupe_periods(panel, spec), spec, pos_col, valid, min_year)
+    rook = rookie_position(panel if deduped else dedupe_periods(panel, spec), spec, pos_col, valid, min_year)
     out = df.withColumn("debut_age", debut_age("first_period_start_year", birth)).join(rook, spec.entity, "left")
     return out.select("*", *dummies(F.col("_pos_group"), dummy_levels, prefix)).drop("_pos_group")
 
 
 def modeling_cohort(panel: DataFrame, summary: DataFrame, spec: OutcomeSpec, *, link: str,
                     target: str = "composite", require=(), birth: str, pos_col: str, valid,
-                    dummy_levels, min_year: int = 1990) -> DataFrame:
+                    dummy_levels, min_year: int = 1990, deduped: bool = False) -> DataFrame:
     """Eligible entities with every panel column plus demographics (C4).
 
     First deduped row per entity, one-to-one join with the summary, cohort
-    mask, complete cases on ``require``, then demographics.
+    mask, complete cases on ``require``, then demographics.  ``deduped`` says
+    ``panel`` is already one row per (entity, period).
     """
-    first_rows = keep_first(dedupe_periods(panel, spec), [spec.entity], [spec.period, *spec.order_by])
+    ded = panel if deduped else dedupe_periods(panel, spec)
+    first_rows = keep_first(ded, [spec.entity], [spec.period, *spec.order_by])
     base = validated_left_join(first_rows, summary, [spec.entity])
     masked = base.filter(cohort_mask("tier", "entry_cohort", link, target))
     masked = require_non_null(masked, list(require))
-    return attach_demographics(masked, panel, spec, birth=birth, pos_col=pos_col, valid=valid,
-                               dummy_levels=dummy_levels, min_year=min_year)
+    return attach_demographics(masked, ded, spec, birth=birth, pos_col=pos_col, valid=valid,
+                               dummy_levels=dummy_levels, min_year=min_year, deduped=True)
 
 
 __all__ = [

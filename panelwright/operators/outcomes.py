@@ -140,16 +140,18 @@ def window_end_year(rollup: DataFrame):
     return rollup.agg(F.coalesce(F.max("__ymax_valid"), F.max("__ymax")).alias("end")).scalar()
 
 
-def career_summary(panel: DataFrame, spec: OutcomeSpec, materialize_rows: bool = True) -> DataFrame:
+def career_summary(panel: DataFrame, spec: OutcomeSpec, materialize_rows: bool = True,
+                   deduped: bool = False) -> DataFrame:
     """One row per entity with tier, cohort flag, opportunity share, z-scores and composite.
 
     With ``materialize_rows`` the per-entity rollup is written once to the
     shared checkpoint folder, so the summary and its two scalar reductions
     (window end, eligible moments) read a short plan instead of re-running
-    the panel's joins and dedupe three times.
+    the panel's joins and dedupe three times.  ``deduped`` says the panel is
+    already one row per (entity, period), e.g. a stored deduped panel.
     """
-    deduped = with_rate(dedupe_periods(panel, spec), spec)
-    rollup = entity_rollup(deduped, spec)
+    rows = with_rate(panel if deduped else dedupe_periods(panel, spec), spec)
+    rollup = entity_rollup(rows, spec)
     if materialize_rows:
         rollup = materialize(rollup, "entity-rollup")
     end = window_end_year(rollup)

@@ -667,30 +667,26 @@ def q_normalise_tables(spark, sf_dir):
 
 # -------------------------------------------------------------- cohort (C4)
 
-def panel_summary(spark, sf_dir, panel=None) -> DataFrame:
-    panel = panel if panel is not None else assembled_panel(spark, sf_dir)
-    return career_summary(panel, PANEL_OUTCOME)
-
-
 def stored_panel(spark, sf_dir) -> DataFrame:
-    """The assembled panel written once; the summary, dedupe and demographics all reuse it."""
-    return materialize(assembled_panel(spark, sf_dir), "panel")
+    """The assembled panel, deduped to one row per (entity, period) and written once;
+    the summary, first rows and demographics all read it without re-running the dedupe."""
+    return materialize(dedupe_periods(assembled_panel(spark, sf_dir), PANEL_OUTCOME), "panel-deduped")
 
 
 def masked_base(spark, sf_dir) -> DataFrame:
     panel = stored_panel(spark, sf_dir)
-    summ = panel_summary(spark, sf_dir, panel)
-    first_rows = keep_first(dedupe_periods(panel, PANEL_OUTCOME), ["entity_id"], ["Season", "Team"])
+    summ = career_summary(panel, PANEL_OUTCOME, deduped=True)
+    first_rows = keep_first(panel, ["entity_id"], ["Season", "Team"])
     base = validated_left_join(first_rows, summ, ["entity_id"])
     return base.filter(cohort_mask("tier", "entry_cohort", "link_id", "composite"))
 
 
 def cohort_frame(spark, sf_dir) -> DataFrame:
     panel = stored_panel(spark, sf_dir)
-    summ = panel_summary(spark, sf_dir, panel)
+    summ = career_summary(panel, PANEL_OUTCOME, deduped=True)
     return modeling_cohort(
         panel, summ, PANEL_OUTCOME, link="link_id", require=["cbb_advanced_AQ"], birth="birthday",
-        pos_col="Pos", valid=POSITION_LEVELS, dummy_levels=DUMMY_LEVELS,
+        pos_col="Pos", valid=POSITION_LEVELS, dummy_levels=DUMMY_LEVELS, deduped=True,
     )
 
 

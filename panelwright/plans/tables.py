@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import period_label
 from panelwright.operators.outcomes import OutcomeSpec
+from panelwright.session import materialize
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -57,7 +58,7 @@ def customer_year_stints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_year_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel with one row per stint plus a combined ``kTM`` row when a year has k >= 2 stints."""
-    stints = customer_year_stints(spark, sf_dir)
+    stints = materialize(customer_year_stints(spark, sf_dir), "stints")
     combined = (
         stints.groupBy("o_custkey", "yr")
         .agg(
@@ -108,7 +109,9 @@ def entity_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from panelwright.operators.assemble import union_by_name
 
-    stints = customer_year_stints(spark, sf_dir)
+    # Four branches read the stint aggregate with different column sets, so
+    # Spark cannot reuse one exchange; write it once and let them read it.
+    stints = materialize(customer_year_stints(spark, sf_dir), "stints")
     measures = ["G", "MP", "REV", "NL", "TAXAMT"]
     totals = stints.select(
         F.col("o_custkey").alias("entity_id"), F.lit("totals").alias("table_id"),
@@ -164,6 +167,8 @@ def detail_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("N"), F.sum("l_quantity").alias("QTY"),
         F.avg("l_quantity").alias("AQ"), F.max("l_discount").alias("MD"),
     )
+    # Six branches read this aggregate; written once (see entity_long).
+    base = materialize(base, "detail-base")
     team = F.concat(F.lit("T"), F.col("link_id")).alias("Team")
     season = period_label("yr").alias("Season")
     per_year = [

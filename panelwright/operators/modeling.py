@@ -87,7 +87,11 @@ def fit_imputer_scaler(train: DataFrame, cols, group=(), scale: bool = True) ->
     A zero sd becomes 1 (the column is only centred).  Returns a small frame
     with one row per group and column.
     """
-    long = unpivot_values(train, cols, ids=group)
+    return fit_imputer_scaler_long(unpivot_values(train, cols, ids=group), group, scale)
+
+
+def fit_imputer_scaler_long(long: DataFrame, group=(), scale: bool = True) -> DataFrame:
+    """:func:`fit_imputer_scaler` on a long ``(*group, column, value)`` frame (e.g. an exploded vector)."""
     med = exact_quantiles(long, "value", [0.5], groups=[*group, "column"]).select(
         *[qcol(g) for g in group], "column", F.col("quantile").alias("median")
     )
@@ -387,7 +391,8 @@ def permutation_importance(test: DataFrame, id_col: str, xcols, ycol: str, predi
 
 
 __all__ = [
-    "GramStats", "apply_imputer_scaler", "assemble", "cv_frame", "fit_imputer_scaler", "fold_id", "gram_sums",
+    "GramStats", "apply_imputer_scaler", "assemble", "cv_frame", "fit_imputer_scaler", "fit_imputer_scaler_long",
+    "fold_id", "gram_sums",
     "key_hash", "lasso_alphas", "lasso_cv", "lasso_solve", "linear_prediction", "params_table",
     "permutation_importance", "regression_metrics", "ridge_cv", "ridge_solve", "sample_grid", "split_label",
     "transform_expr", "tree_estimator", "tree_search",

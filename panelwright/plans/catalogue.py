@@ -91,6 +91,7 @@ from panelwright.operators.modeling import (
     assemble,
     cv_frame,
     fit_imputer_scaler,
+    fit_imputer_scaler_long,
     fold_id,
     gram_sums,
     lasso_cv,
@@ -113,7 +114,6 @@ from panelwright.operators.pca import (
     covariance_matrix,
     fit_pca,
     pc_outcome_corr,
-    standardise,
 )
 from panelwright.operators.select import (
     earliest_value_per_key,
@@ -946,8 +946,15 @@ def pca_inputs(spark, sf_dir):
     df, names = embedding_features(spark, sf_dir)
     df = df.withColumn("split", split_label("vec_id"))
     train, test = df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
-    ztrain, ztest, _ = standardise(train, test, names, keep=["vec_id", "label", "split"])
-    return names, ztrain, ztest
+    # Fit the imputer/scaler on the exploded vector (one long frame) instead of
+    # 64 columns unpivoted back to long form.
+    e = read(spark, sf_dir, "embeddings").filter(split_label("vec_id") == "train")
+    long = e.select(F.posexplode("embedding").alias("pos", "x")).select(
+        F.format_string("b%d_d%02d", F.floor(F.col("pos") / 16).cast("int"), F.col("pos") % 16).alias("column"),
+        F.col("x").cast("double").alias("value"))
+    params = params_table(fit_imputer_scaler_long(long))[()]
+    keep = ["vec_id", "label", "split"]
+    return names, apply_imputer_scaler(train, params, names, keep), apply_imputer_scaler(test, params, names, keep)
 
 
 @register("pca_covariance")

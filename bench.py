@@ -47,7 +47,7 @@ def main() -> None:
     names = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q] or HEADLINE
 
     from panelwright.plans.catalogue import QUERIES
-    from panelwright.session import get_session
+    from panelwright.session import drop_scratch, get_session
 
     spark = get_session(app="panelwright-bench", master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(8, cpus * 2))))
     # Warm the JVM (class loading, codegen caches) on the smallest data; untimed.
@@ -67,6 +67,7 @@ def main() -> None:
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
     }))
+    drop_scratch(spark)
     spark.stop()
 
 

@@ -92,12 +92,35 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
+# Scratch tables written by this process, per application, for drop_scratch().
+_SCRATCH: dict[str, list[str]] = {}
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this application wrote with :func:`materialize`.
+
+    Call once the frames that read them are no longer needed (end of a job).
+    Returns the number of tables removed.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp) and fs.delete(hp, True):
+            removed += 1
+    return removed
+
+
 def local_path(path: str) -> str:
     """Strip a ``file:`` scheme so Python-side file helpers can use the path."""
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "drop_scratch", "local_path", "DEFAULT_CONF"]

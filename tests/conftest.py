@@ -8,10 +8,11 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 @pytest.fixture(scope="session")
 def spark():
-    from panelwright.session import get_session
+    from panelwright.session import drop_scratch, get_session
 
     s = get_session(app="panelwright-tests", master="local[4]", shuffle_partitions=4)
     yield s
+    drop_scratch(s)
     s.stop()
 
 

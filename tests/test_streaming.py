@@ -20,3 +20,12 @@ def test_stream_refresh_micro_batches(spark, tmp_path):
     q.awaitTermination(120)
     _, path = latest_version(spark, root)
     assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "new")]
+
+
+def test_materialize_and_drop_scratch(spark):
+    from panelwright.session import drop_scratch, materialize
+
+    drop_scratch(spark)
+    df = materialize(spark.range(5).toDF("x"), "scratch-test")
+    assert df.count() == 5
+    assert drop_scratch(spark) == 1

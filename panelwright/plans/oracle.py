@@ -895,3 +895,9 @@ z AS (SELECT o_custkey, (mean_rate_qual - mr) / NULLIF(sr, 0) AS zr,
 SELECT o_custkey, {rnd('zr')} AS z_rate_r, {rnd('zl')} AS z_longevity_r, {rnd('0.7 * zr + 0.3 * zl')} AS composite_r
 FROM z WHERE 0.7 * zr + 0.3 * zl IS NOT NULL
 """)
+
+SQL["page_status"] = """
+SELECT page_id, CASE WHEN html IS NULL THEN 'error' ELSE 'ok' END AS status,
+       CASE WHEN html IS NULL THEN 'empty page' END AS error
+FROM pages
+"""

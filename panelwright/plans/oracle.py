@@ -449,9 +449,9 @@ FROM r CROSS JOIN t
 # ---------------------------------------------------------------- audits (V)
 
 SQL["audit_duplicates"] = """
-SELECT (SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
+SELECT (SELECT CAST(COALESCE(SUM(c), 0) AS BIGINT) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY l_orderkey, l_linenumber)
         WHERE c > 1) AS key_dup_rows,
-       (SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY ALL_COLS) WHERE c > 1)
+       (SELECT CAST(COALESCE(SUM(c), 0) AS BIGINT) FROM (SELECT COUNT(*) AS c FROM lineitem GROUP BY ALL_COLS) WHERE c > 1)
          AS full_dup_rows
 """.replace(
     "ALL_COLS",
@@ -480,7 +480,7 @@ def _sev(expr: str) -> str:
 
 
 def _dups(table: str, keys, where: str = "TRUE") -> str:
-    return (f"(SELECT COALESCE(SUM(c), 0) FROM (SELECT COUNT(*) AS c FROM {table} WHERE {where} "
+    return (f"(SELECT CAST(COALESCE(SUM(c), 0) AS BIGINT) FROM (SELECT COUNT(*) AS c FROM {table} WHERE {where} "
             f"GROUP BY {', '.join(keys)}) WHERE c > 1)")
 
 

@@ -8,7 +8,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1] / "tools"))
 
-from oracle_check import TABLES, canon, digest  # noqa: E402
+from oracle_check import TABLES, canon, digest, type_diffs  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 # The slow model searches are covered by their own tests; everything with an
@@ -42,6 +42,8 @@ def test_query_matches_oracle(spark, con, name):
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
+    assert not type_diffs({f.name: f.dataType.simpleString() for f in sdf.schema.fields},
+                          {d[0]: str(d[1]) for d in cur.description})
     a, b = canon(srows, sdf.columns), canon(drows, dcols)
     assert len(a) == len(b)
     assert digest(a) == digest(b), (sorted(set(a) - set(b), key=repr)[:3], sorted(set(b) - set(a), key=repr)[:3])

@@ -54,19 +54,26 @@ def main() -> None:
     QUERIES["career_summary"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
         t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        try:
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            times[name] = round(time.perf_counter() - t0, 3)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the others' timings
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
 
     sf = sf_dir.rsplit("sf", 1)[-1] if "sf" in sf_dir else sf_dir
-    print(json.dumps({
+    out = {
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     drop_scratch(spark)
     spark.stop()
 

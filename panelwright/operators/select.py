@@ -83,8 +83,9 @@ def latest_per_key(
 ) -> DataFrame:
     """One row per key from its latest ``YYYY-YY`` period (ties: last in ``order_by``).
 
-    Fallbacks apply to a whole frame (or to each ``groups`` slice, e.g. one
-    per table tag), decided by a small per-slice aggregate, not a collect:
+    Fallbacks apply to a whole frame (one-row flag aggregate, then only the
+    chosen branch is planned) or to each ``groups`` slice, e.g. one per table
+    tag (a small per-slice flag aggregate joined back, all lazy):
     * no period rows in the slice -> every row whose label is ``career`` (not deduped);
     * neither -> first row per key;
     * no period column at all -> last row per key.
@@ -106,10 +107,14 @@ def latest_per_key(
         has_period = F.coalesce(F.col("__has_period"), F.lit(0)) == 1
         has_career = F.coalesce(F.col("__has_career"), F.lit(0)) == 1
     else:
-        f = df.agg(F.struct(*flag_aggs).alias("f")).scalar()
-        marked = df
-        has_period = F.coalesce(f.getField("__has_period"), F.lit(0)) == 1
-        has_career = F.coalesce(f.getField("__has_career"), F.lit(0)) == 1
+        # One whole-frame decision: a one-row aggregate picks the branch, so
+        # only that branch is planned.
+        f = df.agg(*flag_aggs).first()
+        if (f["__has_period"] or 0) == 1:
+            return first_per_key(keyed.filter(is_label), [key], [start_year(period).desc()] + _reverse(order_by))
+        if (f["__has_career"] or 0) == 1:
+            return df.filter(is_career)
+        return first_per_key(keyed, [key], _sort_cols(order_by))
     keyed = marked.filter(qcol(key).isNotNull())
     # Three branches; per slice only one is non-empty.  Each keeps its
     # row_number()==1 shape so the partial group limit runs before the shuffle.

@@ -6,8 +6,8 @@ form a segment, and equal windows lie in segments of equal seed, so seeds deal
 the work out and a seed that occurs once rules its segments out.  Equal
 segments fall together early.  The different segments of a seed are
 concatenated into shards whose transforms are merged by refining their
-interleave two characters at a time; the refinement's block borders give the
-common prefixes, and a block that is never split holds a repeated string.
+interleave several characters at a time; the refinement's block borders give
+the common prefixes, and a block that is never split holds a repeated string.
 Suffixes are sorted once, inside their shard.
 """
 
@@ -28,9 +28,7 @@ from panelwright.session import materialize
 #: Bytes of a string that counts as repeated, bytes of a seed, and positions worked on at a time.
 LENGTH, SEED, CHUNK = 100, 16, 1 << 16
 #: Bytes of segments that one merge works on (a seed's segments stay together).
-MERGE_BYTES = 1 << 19
-#: Symbols: 0 ends a string, byte b is b + 1.  UTF-8 has no byte above 0xF4, so two symbols fit 16 bits.
-ALPHABET = 0xF4 + 2
+MERGE_BYTES = 1 << 17
 
 
 def loads(buf: np.ndarray, n: int) -> np.ndarray:
@@ -89,7 +87,7 @@ def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Shard:
-    """Concatenated segments with their suffix order and Burrows-Wheeler transform, two symbols per row."""
+    """Concatenated segments with their suffix order; ``rows`` gives their Burrows-Wheeler transform, several symbols a row."""
 
     def __init__(self, strings: list[bytes], depth: int):
         sizes = np.array([len(s) + 1 for s in strings])
@@ -97,25 +95,51 @@ class Shard:
         self.start = self.end - sizes + 1
         self.text = np.frombuffer(b"\xff".join(strings) + b"\xff", np.uint8) + np.uint8(1)  # 0xFF, in no UTF-8, becomes 0
         self.order = sort_suffixes(self.text, depth)
-        before = np.arange(-1, len(self.text) - 1)
-        before[self.start] = self.end
-        first = before[self.order]
-        self.bwt = self.text[before[first]].astype(np.uint16) * np.uint16(ALPHABET) + self.text[first]
+        padded = np.concatenate([self.text, np.zeros(8, np.uint8)])
+        self.heads = np.ndarray((len(self.text),), dtype=">u8", buffer=padded.data, strides=(1,))[self.order].astype(np.uint64)
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[self.order]
+
+    def alphabet(self, q: int) -> tuple[np.ndarray, np.ndarray]:
+        """The distinct strings of ``q`` symbols (sorted), and which of them each suffix starts with, along the order."""
+        codes = self.heads >> np.uint64(8 * (8 - q))
+        new = np.concatenate([[True], codes[1:] != codes[:-1]])
+        return codes[new], np.cumsum(new) - 1
+
+    def rows(self, q: int, names: np.ndarray) -> np.ndarray:
+        """For each suffix in order the ``q`` symbols before it (around its own string's end), as their place in ``names``."""
+        own, which = self.alphabet(q)
+        code_at = np.empty(len(self.text), dtype=np.uint64)
+        code_at[self.order] = np.searchsorted(names, own).astype(np.uint64)[which]
+        back = self.order - q
+        start = self.start[self.owner]
+        return code_at[np.where(back < start, back + self.end[self.owner] - start + 1, back)]
 
 
 def merge(a: Shard, b: Shard, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(from b, block) along the merged suffix order; suffixes of one block share their first ``depth`` symbols."""
-    n = len(a.bwt) + len(b.bwt)
+    """(from b, block) along the merged suffix order; suffixes of one block share their first ``depth`` symbols.
+
+    Each refinement puts eight more symbols before what the order knows (the
+    last one what is missing): a stable sort of the interleave by the symbols
+    before each suffix.  Suffixes of one shard never change their order.
+    """
+    n = len(a.text) + len(b.text)
     from_b = np.zeros(n, dtype=bool)
-    from_b[len(a.bwt) :] = True
-    block, row = np.zeros(n, dtype=np.int32), np.empty(n, dtype=np.uint16)
-    for _ in range(depth // 2):
-        row[from_b], row[~from_b] = b.bwt, a.bwt
-        step = np.argsort(row, kind="stable")
-        from_b, block, row_now = from_b[step], block[step], row[step]
-        border = (row_now[1:] != row_now[:-1]) | (block[1:] != block[:-1])
-        block[0] = 0
-        np.cumsum(border, out=block[1:])
+    from_b[len(a.text) :] = True
+    block, row, at = np.zeros(n, dtype=np.int32), np.empty(n, dtype=np.uint64), np.arange(n, dtype=np.uint64)
+    for q, times in ((8, depth // 8), (depth % 8, 1)):
+        if not q:
+            continue
+        names = np.unique(np.concatenate([a.alphabet(q)[0], b.alphabet(q)[0]]))
+        from_a, from_other = a.rows(q, names) << np.uint64(32), b.rows(q, names) << np.uint64(32)
+        for _ in range(times):
+            row[from_b], row[~from_b] = from_other, from_a
+            key = np.sort(row | at)  # the place now breaks ties, so the sort is stable
+            step = (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
+            key >>= np.uint64(32)
+            from_b, block = from_b[step], block[step]
+            border = (key[1:] != key[:-1]) | (block[1:] != block[:-1])
+            block[0] = 0
+            np.cumsum(border, out=block[1:])
     return from_b, block
 
 
@@ -127,7 +151,8 @@ def repeated_windows(strings: list[bytes], base: np.ndarray, length: int) -> tup
     where = np.empty(len(block), dtype=np.int64)
     where[~from_b], where[from_b] = a.order, b.order + len(a.text)
     start, end = np.concatenate([a.start, b.start + len(a.text)]), np.concatenate([a.end, b.end + len(a.text)])
-    owner = np.repeat(np.arange(len(start)), end - start + 1)[where]
+    owner = np.empty(len(block), dtype=np.int64)
+    owner[~from_b], owner[from_b] = a.owner, b.owner + len(a.start)
     offset = where - start[owner]
     whole = where + length <= end[owner]  # only these suffixes are windows
     owner, offset, block = owner[whole], offset[whole], block[whole]

@@ -15,26 +15,14 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StringType
 
-from panelwright.llm.chunks import ChunkCache
+from panelwright.llm.chunks import PATTERN, ChunkCache, Memory, byte_signs
 from panelwright.llm.common import map_texts
 
-#: Fixed value: the pattern by which byte-level BPE of this family cuts text before merging.  White space is spelt
-#: out (the Unicode property), since Python counts four more control characters as space.
-WHITE = r"\t-\r \x85\xa0  -     　"
-PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+"
-
-
-def byte_signs() -> dict[str, int]:
-    """The printable sign that stands for each byte in a byte-level vocabulary: itself if printable, else from U+0100 on."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class BpeCodec:
     """Encoder and decoder for a byte-level BPE tokenizer file.
 
@@ -71,7 +59,7 @@ class BpeCodec:
             self.bytes_of[t["id"]] = t["content"].encode()
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.pattern = regex.compile(PATTERN)
-        self.words: dict[bytes, bytes] = {}
+        self.words = Memory()
         self.chunks = ChunkCache(self._encode_chunks)
 
     def borders_hold(self, left: np.ndarray, right: np.ndarray, forbid_from: np.ndarray | None = None) -> np.ndarray:
@@ -155,13 +143,11 @@ class BpeCodec:
         return [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def _encode_pieces(self, pieces: list[list[bytes]]) -> list[bytes]:
-        if len(self.words) > 300_000:
-            self.words = {}
-        new = sorted({w for p in pieces for w in p}.difference(self.words))
-        self.words.update(zip(new, self.encode_words(new), strict=True))
-        out = [b"".join(map(self.words.__getitem__, p)) for p in pieces]
-        for w in [w for w in new if len(w) > 200]:
-            del self.words[w]
+        words = {w for p in pieces for w in p}
+        new = sorted(self.words.missing(words))
+        self.words.now.update(zip(new, self.encode_words(new), strict=True))
+        out = [b"".join(map(self.words.now.__getitem__, p)) for p in pieces]
+        self.words.forget(words)
         return out
 
     def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
@@ -174,9 +160,8 @@ class BpeCodec:
             out.append(b"".join(next(plain) if i % 2 == 0 else self.added[s].to_bytes(4, "little") for i, s in enumerate(x)))
         return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        found = self.chunks.lookup(texts)
-        return [self._encode_chunks([t])[0] if f is None else b"".join(f) for t, f in zip(texts, found, strict=True)]
+    def encode(self, texts: pa.Array | list[str]) -> list[bytes]:
+        return self.chunks.encode(texts)
 
     def decode(self, ids: bytes) -> str:
         of = self.bytes_of
@@ -213,7 +198,7 @@ def decode_ids(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 
     def make():
         c = codec(path)
-        return lambda rows: [[c.decode(x) for x in rows]]
+        return lambda rows: [[c.decode(x) for x in rows.to_pylist()]]
 
     return map_texts(df, id_col, ids_col, make, {"decoded": StringType()})
 

@@ -49,11 +49,11 @@ def steps(batch: pa.RecordBatch, text_column: int, limit: int = STEP_BYTES) -> I
         yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable[[list], list]], outputs: dict[str, DataType]) -> DataFrame:
+def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable[[pa.Array], list]], outputs: dict[str, DataType]) -> DataFrame:
     """One output row per input row, computed from its text alone, in Arrow batches without a shuffle.
 
-    ``make()`` runs once per task and returns a function from a list of texts
-    (null counts as empty; bytes for a binary column) to one list per output column.
+    ``make()`` runs once per task and returns a function from an Arrow array of
+    texts (null counts as empty) to one list per output column.
     Only the id and the text are read, so other columns of any name do no harm.
     """
     src = df.select(col(id_col), col(text_col))
@@ -67,7 +67,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Call
         work = make()
         for batch in batches:
             for part in steps(batch, 1):
-                made = work([empty if x is None else x for x in part.column(1).to_pylist()])
+                made = work(part.column(1).fill_null(empty))
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(v, t) for v, t in zip(made, types, strict=True))], names)
 
     return src.mapInArrow(run, schema)

@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelwright.llm.chunks import Memory
 from panelwright.llm.common import col, connected_components, steps
 from panelwright.llm.links import forest
 from panelwright.session import materialize
@@ -42,15 +43,13 @@ class Shingler:
     MIX = np.uint64(0x9E3779B97F4A7C15)
 
     def __init__(self, n: int = WORDS):
-        self.n, self.known = n, {}
+        self.n, self.known = n, Memory()
 
     def grams(self, text: str) -> np.ndarray:
         words = text.split()
-        if len(self.known) > 300_000:
-            self.known = {}
-        for w in set(words).difference(self.known):
-            self.known[w] = xxhash.xxh3_64_intdigest(w.encode())
-        h = np.fromiter(map(self.known.__getitem__, words), dtype=np.uint64, count=len(words))
+        for w in self.known.missing(set(words)):
+            self.known.now[w] = xxhash.xxh3_64_intdigest(w.encode())
+        h = np.fromiter(map(self.known.now.__getitem__, words), dtype=np.uint64, count=len(words))
         k = min(self.n, len(h))
         if not k:
             return h

@@ -123,7 +123,7 @@ def pack_documents(df: DataFrame, path: str, end_id: int = 1, tiers: tuple[int,
         for batch in batches:
             kind = batch.schema.field(0).type
             for part in steps(batch, 1):
-                texts = encoder.encode([x or "" for x in part.column(1).to_pylist()])
+                texts = encoder.encode(part.column(1).fill_null(""))
                 for doc_id, ids in zip(part.column(0).to_pylist(), texts, strict=True):
                     docs[n_docs] = (doc_id, ids + end)
                     packer.add(n_docs, len(ids) // 4 + 1)

@@ -18,9 +18,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
+from panelwright.llm.chunks import Memory
 from panelwright.llm.common import col, map_texts, steps
-from pyspark.sql.types import DoubleType
 
 
 @dataclass(frozen=True)
@@ -122,22 +123,20 @@ def scorer(model: bytes | None, s: Settings) -> Callable[[list[str]], list[float
     n = s.buckets * s.dim
     emb, top, bias = flat[:n].reshape(s.buckets, s.dim), flat[n : n + 2 * s.dim].reshape(s.dim, 2), flat[-2:]
     part = (emb @ (top[:, 1] - top[:, 0])).tolist()
-    shift, memory = bias[1] - bias[0], {}
+    shift, memory = bias[1] - bias[0], Memory()
 
     def score(texts: list[str]) -> list[float]:
-        if len(memory) > 300_000:
-            memory.clear()
         split = [t.split() for t in texts]
-        for w in set().union(*split).difference(memory):
+        words_here = set().union(*split)
+        for w in memory.missing(words_here):
             found = word_features(w, s)
-            memory[w] = complex(sum(map(part.__getitem__, found)), len(found))  # logit part and feature count, added up together
+            memory.now[w] = complex(sum(map(part.__getitem__, found)), len(found))  # logit part and feature count, added up together
         out = []
         for words in split:
-            total = sum(map(memory.__getitem__, words), repeats(words) * complex(part[0], 1))
+            total = sum(map(memory.now.__getitem__, words), repeats(words) * complex(part[0], 1))
             z = total.real / max(1.0, total.imag) + shift
             out.append(float(1 / (1 + np.exp(-np.clip(z, -700, 700)))))
-        for w in [w for x in split for w in x if len(w) > 200]:
-            memory.pop(w, None)
+        memory.forget(words_here)
         return out
 
     return score
@@ -172,6 +171,6 @@ def score_documents(df: DataFrame, model: bytes | None, s: Settings = Settings()
 
     def make():
         score = scorer(shipped.value, s)
-        return lambda texts: [score(texts)]
+        return lambda texts: [score(texts.to_pylist())]
 
     return map_texts(df, id_col, text_col, make, {"score": DoubleType()})

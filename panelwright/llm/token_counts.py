@@ -17,6 +17,7 @@ from itertools import chain
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType
 
+from panelwright.llm.chunks import Memory
 from panelwright.llm.common import map_texts
 
 #: The sign that marks a word start in the piece vocabulary, and the penalty of a character that no piece covers.
@@ -37,11 +38,11 @@ def zipf_pieces(model_file: str) -> dict[str, float]:
 class TrieCounter:
     """Counts tokens of the best segmentation; a character without a piece counts its UTF-8 bytes."""
 
-    def __init__(self, pieces: dict[str, float], limit: int = 400_000):
-        self.pieces, self.limit = pieces, limit
+    def __init__(self, pieces: dict[str, float]):
+        self.pieces = pieces
         self.longest = max(map(len, pieces))
         self.unknown = min(pieces.values()) - UNKNOWN_PENALTY
-        self.terminal: dict[str, int] = {}
+        self.terminal = Memory()
 
     def learn(self, words: set[str]) -> None:
         pieces, longest, unknown = self.pieces, self.longest, self.unknown
@@ -61,18 +62,15 @@ class TrieCounter:
                     top, n = best[end - 1] + unknown, count[end - 1] + len(word[end - 1].encode())
                 best.append(top)
                 count.append(n)
-            self.terminal[word] = count[-1]
+            self.terminal.now[word] = count[-1]
             before = word
 
     def count(self, texts: list[str]) -> list[int]:
-        if len(self.terminal) > self.limit:
-            self.terminal = {}
         split = [[WORD_START + w for w in t.split(" ")] if t else [] for t in texts]
-        new = set(chain.from_iterable(split)).difference(self.terminal)
-        self.learn(new)
-        out = [sum(map(self.terminal.__getitem__, x)) for x in split]
-        for w in [w for w in new if len(w) > 200]:
-            del self.terminal[w]
+        words = set(chain.from_iterable(split))
+        self.learn(self.terminal.missing(words))
+        out = [sum(map(self.terminal.now.__getitem__, x)) for x in split]
+        self.terminal.forget(words)
         return out
 
 
@@ -93,6 +91,6 @@ def token_counts(df: DataFrame, model_file: str, id_col: str = "doc_id", text_co
 
     def make():
         c = counter(model_file)
-        return lambda texts: [c.count(texts)]
+        return lambda texts: [c.count(texts.to_pylist())]
 
     return map_texts(df, id_col, text_col, make, {"n_tokens": LongType()})

@@ -146,7 +146,7 @@ def write_token_files(df: DataFrame, path: str, out_uri: str | None = None, end_
     spark = df.sparkSession
     uri = out_uri or scratch_path(spark, f"token-files-{uuid.uuid4().hex}")
     src = df.select(col(id_col).cast("long").alias("id"), col(text_col).alias("text"))
-    order = ["id", F.xxhash64("text"), "text"]
+    order = ["id", F.xxhash64("text")]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(path)
@@ -162,7 +162,7 @@ def write_token_files(df: DataFrame, path: str, out_uri: str | None = None, end_
                     name, temp = f"part-{task.partitionId():06d}.bin", f"{folder}/.attempt-{task.taskAttemptId()}"
                     out = target.open_output_stream(temp)
                     writer = FileWriter(out, bits)
-                made = encoder.encode([x or "" for x in part.column(1).to_pylist()])
+                made = encoder.encode(part.column(1).fill_null(""))
                 for doc_id, ids in zip(part.column(0).to_pylist(), made, strict=True):
                     writer.add(doc_id, np.concatenate([np.frombuffer(ids, "<u4"), tail]))
         if writer is not None:
@@ -171,7 +171,7 @@ def write_token_files(df: DataFrame, path: str, out_uri: str | None = None, end_
             target.move(temp, f"{folder}/{name}")
             yield pa.RecordBatch.from_pydict({"file": [name], "n_docs": pa.array([len(writer.docs)], pa.int64()), "n_ids": pa.array([writer.n_ids], pa.int64())})
 
-    files = src.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(write, "file string, n_docs long, n_ids long")
+    files = src.repartitionByRange(*order).sortWithinPartitions(*order, "text").mapInArrow(write, "file string, n_docs long, n_ids long")
     files = materialize(files, "token-manifest")
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)  # one row per file
     return files.select(F.lit(uri).alias("uri"), "*", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("start"))

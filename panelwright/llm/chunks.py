@@ -42,7 +42,7 @@ class Memory:
         if len(self.now) > self.limit // 2:
             self.now, self.before = {}, self.now
         new = keys.difference(self.now)
-        known = new.intersection(self.before)
+        known = {k for k in new if k in self.before}  # not intersection(), which walks the whole memory
         for k in known:
             self.now[k] = self.before.pop(k)
         return new.difference(known)
@@ -122,7 +122,7 @@ class ChunkCache:
     sees chunks that are new, first in a text, or long.
     """
 
-    def __init__(self, many: Callable[[list[str]], list[bytes]], limit: int = 1_200_000):
+    def __init__(self, many: Callable[[list[str]], list[bytes]], limit: int = 900_000):
         self.many, self.table = many, IdTable(limit)
 
     def _encoded(self, chunks: list[str], prefix: str) -> tuple[np.ndarray, np.ndarray]:
@@ -199,7 +199,7 @@ class LibraryEncoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         self.lower, self.pattern = self._plain_rules(spec)
         self.signs = {b: c for c, b in byte_signs().items()}
-        self.words = Memory(500_000)
+        self.words = Memory(400_000)
         self.chunks = ChunkCache(self._many)
 
     @staticmethod

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -36,6 +38,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == HELD_OUT, F.lit(False))
 
 
+def fresh() -> None:
+    """Give back what earlier tasks of this worker left free, so that workers kept between stages do not add up."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def steps(batch: pa.RecordBatch, text_column: int, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows whose texts hold about ``limit`` bytes at most."""
     sizes = pc.binary_length(batch.column(text_column)).to_pylist()
@@ -64,6 +75,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Call
     names = [id_col, *outputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         work = make()
         for batch in batches:
             for part in steps(batch, 1):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from panelwright.llm.common import ARROW, col, steps
+from panelwright.llm.common import ARROW, col, fresh, steps
 from panelwright.session import materialize
 
 #: Fixed value: the characters that do not count when texts are compared.
@@ -91,6 +91,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = StructType([StructField("length", LongType()), StructField("hash", LongType()), StructField("text", BinaryType()), StructField("points", LongType()), StructField("group", LongType()), StructField("members", ArrayType(id_type)), StructField("sha", StringType())])
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         n = TaskContext.get().partitionId() << 40
         for batch in batches:
             held: list[tuple] = []

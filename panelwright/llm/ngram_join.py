@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.llm.chunks import Memory
-from panelwright.llm.common import col, connected_components, steps
+from panelwright.llm.common import col, connected_components, fresh, steps
 from panelwright.llm.links import forest
 from panelwright.session import materialize
 
@@ -120,6 +120,7 @@ def similar_documents(df: DataFrame, words: int = WORDS, similarity: float = SIM
     docs = df.select(col(id_col).cast("long").alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         shingler = Shingler(words)
         for batch in batches:
             for part in steps(batch, 1):

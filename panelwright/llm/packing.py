@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
 from panelwright.llm.chunks import library_encoder
-from panelwright.llm.common import col, steps
+from panelwright.llm.common import col, fresh, steps
 
 #: Window lengths in tokens, long to short; powers of two, so a full window of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
@@ -108,6 +108,7 @@ def pack_documents(df: DataFrame, path: str, end_id: int = 1, tiers: tuple[int,
     schema = StructType([StructField(id_col, src.schema[0].dataType), StructField("start", LongType()), StructField("length", LongType()), StructField("ids", BinaryType()), *(StructField(n, LongType()) for n in numbers)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         encoder, packer, first = library_encoder(path), TierPacker(tiers), TaskContext.get().partitionId() * TASK_IDS
         end = end_id.to_bytes(4, "little")
         docs: dict[int, tuple] = {}

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from panelwright.llm.chunks import Memory
-from panelwright.llm.common import col, map_texts, steps
+from panelwright.llm.common import col, fresh, map_texts, steps
 
 
 @dataclass(frozen=True)
@@ -148,11 +148,12 @@ def quality_score(model: bytes | None, text: Column, s: Settings = Settings()) -
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        fresh()
         score = scorer(shipped.value, s)
         for batch in batches:
             made: list[float] = []
-            for i in range(0, len(batch), 2000):
-                made += score(["" if x is None else x for x in batch.iloc[i : i + 2000]])
+            for i in range(0, len(batch), 500):
+                made += score(["" if x is None else x for x in batch.iloc[i : i + 500]])
             yield pd.Series(made, dtype="float64")
 
     return of(text)
@@ -171,6 +172,6 @@ def score_documents(df: DataFrame, model: bytes | None, s: Settings = Settings()
 
     def make():
         score = scorer(shipped.value, s)
-        return lambda texts: [score(texts.to_pylist())]
+        return lambda texts: [[x for i in range(0, len(texts), 500) for x in score(texts[i : i + 500].to_pylist())]]
 
     return map_texts(df, id_col, text_col, make, {"score": DoubleType()})

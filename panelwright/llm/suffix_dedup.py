@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
 
-from panelwright.llm.common import STEP_BYTES, col, steps
+from panelwright.llm.common import STEP_BYTES, col, fresh, steps
 from panelwright.session import materialize
 
 #: Bytes of a string that counts as repeated, bytes of a seed, and positions worked on at a time.
@@ -173,6 +173,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(uid, start, n): runs of n windows from byte ``start`` whose strings also start earlier.  ``docs``: distinct uid, text as bytes."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         for batch in batches:
             for part in steps(batch, 1):
                 cols: list[list] = [[], [], [], []]

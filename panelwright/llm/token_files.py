@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelwright.llm.chunks import library_encoder
-from panelwright.llm.common import col, steps
+from panelwright.llm.common import col, fresh, steps
 from panelwright.session import materialize, scratch_path
 
 MAGIC = b"PWTOKEN1"
@@ -149,6 +149,7 @@ def write_token_files(df: DataFrame, path: str, out_uri: str | None = None, end_
     order = ["id", F.xxhash64("text")]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
         encoder = library_encoder(path)
         bits = bits_for(max(encoder.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id))
         task = TaskContext.get()

@@ -46,7 +46,7 @@ def null_rates(df: DataFrame, cols=None) -> DataFrame:
     )
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("pct_missing"))
                                 for i, c in enumerate(cols)]))
-    return wide.select(stack.alias("s")).select("s.column", "s.pct_missing")
+    return wide.select(stack.alias("s")).select("s.column", "s.pct_missing").orderBy(F.col("pct_missing").desc(), "column")
 
 
 def unpivot_values(df: DataFrame, cols, ids=()) -> DataFrame:

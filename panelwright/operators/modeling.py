@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
 from panelwright.operators.eda import unpivot_values
-from panelwright.operators.quantiles import exact_quantiles
+from panelwright.operators.quantiles import exact_quantiles, global_rank
 
 # Fixed values of the evaluation protocol: test share, seed, folds, grids.
 TEST_SHARE = 0.2
@@ -47,9 +47,6 @@ BOOST_DRAWS = 30
 # Spark trees need a finite depth; "no limit" maps to Spark's maximum.
 UNLIMITED_DEPTH = 30
 PERM_REPEATS = 25
-# Rows per permutation bucket: permutations are drawn inside hash buckets of
-# about this size so no (feature, repeat) group is ranked in a single task.
-PERM_BUCKET_ROWS = 50_000
 
 
 # ------------------------------------------------------------- split / folds
@@ -354,40 +351,33 @@ def tree_search(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, grid
 # ------------------------------------------------------ permutation scoring
 
 def permutation_importance(test: DataFrame, id_col: str, xcols, ycol: str, predict, repeats: int = PERM_REPEATS,
-                           seed: int = SEED, bucket_rows: int = PERM_BUCKET_ROWS) -> DataFrame:
-    """Mean and population sd over repeats of the R^2 drop when one feature is permuted.
-
-    ``predict(df)`` must return ``df`` plus a ``prediction`` column.  Rows are
-    replicated per (feature, repeat); each copy takes the feature value of a
-    donor row drawn by a seeded hash permutation inside hash buckets of about
-    ``bucket_rows`` rows, so every ranking window is bounded.
+                           seed: int = SEED) -> DataFrame:
+    """Mean and population sd over repeats of the R^2 drop when one feature is permuted (M14), largest first (K6).
+
+    ``predict(df)`` must return ``df`` plus a ``prediction`` column.  Every
+    repeat draws one permutation of the whole test set: the row of rank i by
+    id takes its donor from rank i by a seeded hash.  All features of a repeat
+    share the donors, so the rows are copied once per repeat and a single
+    column is swapped when scoring.
     """
-    n = test.count()
-    buckets = max(1, math.ceil(n / bucket_rows))
-    base = test.select(qcol(id_col), *[qcol(c) for c in xcols], qcol(ycol))
-    # Replicate each row once per (feature, repeat) with a generator (no join).
-    combos = F.array(*[F.struct(F.lit(c).alias("f"), F.lit(r).alias("r")) for c in xcols for r in range(repeats)])
-    rep = base.withColumn("__fr", F.explode(combos)).select(
-        "*", F.col("__fr.f").alias("__feat"), F.col("__fr.r").alias("__rep")).drop("__fr")
-    key = F.concat_ws("|", F.lit(str(seed)), F.col("__feat"), F.col("__rep").cast("string"), qcol(id_col).cast("string"))
-    rep = rep.withColumn("__b", F.pmod(F.xxhash64(key, F.lit("b")), F.lit(buckets)))
-    part = ["__feat", "__rep", "__b"]
-    rep = rep.withColumn("__r1", F.row_number().over(Window.partitionBy(*part).orderBy(F.xxhash64(key, F.lit("r")), qcol(id_col))))
-    rep = rep.withColumn("__r2", F.row_number().over(Window.partitionBy(*part).orderBy(F.xxhash64(key, F.lit("d")), qcol(id_col))))
-    donor_val = F.coalesce(*[F.when(F.col("__feat") == c, qcol(c).cast("double")) for c in xcols])
-    donors = rep.select(*part, F.col("__r2").alias("__r1"), donor_val.alias("__dv"))
-    joined = rep.join(donors, [*part, "__r1"])
+    base = test.select(qcol(id_col).alias("__key"), *[qcol(c).cast("double").alias(c) for c in xcols], qcol(ycol))
+    rows = global_rank(base, ["__key"], label="permutation-rows").drop("__n")
+    donors = base.select("__key", *[F.col(f"`{c}`").alias(f"__d{i}") for i, c in enumerate(xcols)],
+                         F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("__rep"))
+    donors = donors.withColumn("__h", F.xxhash64(F.lit(seed), "__rep", "__key"))
+    donors = global_rank(donors, ["__h", "__key"], ["__rep"], label="permutation-donors").drop("__n", "__h", "__key")
+    joined = rows.join(donors, "__r").withColumn("__feat", F.explode(F.array(*[F.lit(i) for i in range(len(xcols))])))
     permuted = joined.select(
         "__feat", "__rep", qcol(ycol),
-        *[F.when(F.col("__feat") == c, F.col("__dv")).otherwise(qcol(c).cast("double")).alias(c) for c in xcols],
+        *[F.when(F.col("__feat") == i, F.col(f"__d{i}")).otherwise(qcol(c)).alias(c) for i, c in enumerate(xcols)],
     )
-    scored = predict(permuted)
-    r2 = regression_metrics(scored, ycol, "prediction", group=["__feat", "__rep"])
+    r2 = regression_metrics(predict(permuted), ycol, "prediction", group=["__feat", "__rep"])
     base_r2 = regression_metrics(predict(base), ycol, "prediction").select("r2").scalar()
     drops = r2.select("__feat", (base_r2 - F.col("r2")).alias("drop"))
-    return drops.groupBy(F.col("__feat").alias("feature")).agg(
+    names = F.array(*[F.lit(c) for c in xcols])
+    return drops.groupBy("__feat").agg(
         F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std")
-    )
+    ).select(names[F.col("__feat")].alias("feature"), "importance_mean", "importance_std").orderBy(F.col("importance_mean").desc(), "feature")
 
 
 __all__ = [

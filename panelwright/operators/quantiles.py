@@ -6,7 +6,8 @@ partitioned on ``(group, value, random tiebreak)``, so a hot group - and even
 a hot single value - is spread over many tasks; each row gets its rank from
 its position inside the sorted partition plus an offset computed from a small
 per-(partition, group) count table; the target ranks are then picked and
-interpolated.  Two shuffles in total, every task bounded by a range partition.
+interpolated.  The sorted rows are written once, so ranks and offsets come
+from the same partitions; every task is bounded by a range partition.
 """
 
 from __future__ import annotations
@@ -15,6 +16,39 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
+from panelwright.session import materialize
+
+
+def global_rank(df: DataFrame, order, groups=(), num_partitions: int | None = None, label: str = "ranked") -> DataFrame:
+    """``df`` plus ``__r`` (0-based rank within its group) and ``__n`` (rows of the group).
+
+    Rows are range partitioned by group and order, so no group meets in one
+    task, and written once.  The offsets are counted on the written table: both
+    sides of the join see the same partitions whatever the planner reuses.
+    ``order`` must end in a tiebreak that tells rows apart if ranks are to be
+    the same in every run.
+    """
+    parts = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = (
+        df.repartitionByRange(parts, *groups, *order)
+        .sortWithinPartitions(*groups, *order)
+        .withColumn("__pid", F.spark_partition_id())
+        .withColumn("__id", F.monotonically_increasing_id())
+    )
+    placed = materialize(placed, label)
+    # Per (partition, group): first id and row count (rows: partitions x groups).
+    blocks = placed.groupBy("__pid", *groups).agg(F.min("__id").alias("__id0"), F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*groups).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__c").over(w), F.lit(0))
+    total = F.sum("__c").over(Window.partitionBy(*groups))
+    names = ["__pid", *groups]
+    offsets = blocks.select(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(names)], "__id0", before.alias("__off"), total.alias("__n"))
+    # A null group is a group of its own; offsets are small for a few groups, but
+    # not bounded in general, so AQE picks broadcast or shuffle from their run-time size.
+    on = F.lit(True)
+    for i, c in enumerate(names):
+        on = on & F.col(c).eqNullSafe(F.col(f"__o{i}"))
+    return placed.join(offsets, on).select(*df.columns, (F.col("__off") + F.col("__id") - F.col("__id0")).alias("__r"), "__n")
 
 
 def exact_quantiles(
@@ -27,39 +61,22 @@ def exact_quantiles(
 ) -> DataFrame:
     """Rows ``(*groups, prob, quantile)`` with pandas/NumPy ``linear`` interpolation.
 
-    Null values are ignored; a group with no values has no rows.
+    Null and NaN values are ignored; a group with no values has no rows.
     """
-    spark = df.sparkSession
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     g = [qcol(c).alias(f"__g{i}") for i, c in enumerate(groups)]
     gcols = [f"__g{i}" for i in range(len(groups))]
-    vals = df.select(*g, qcol(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
-    ranged = (
-        vals.withColumn("__t", F.rand(seed))
-        .repartitionByRange(parts, *gcols, "__v", "__t")
-        .sortWithinPartitions(*gcols, "__v", "__t")
-        .withColumn("__pid", F.spark_partition_id())
-        .withColumn("__id", F.monotonically_increasing_id())
-    )
-    # Per (partition, group): first id and row count (rows: partitions x groups).
-    blocks = ranged.groupBy("__pid", *gcols).agg(F.min("__id").alias("__id0"), F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*gcols).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0))).withColumn(
-        "__n", F.sum("__c").over(Window.partitionBy(*gcols))
-    )
+    vals = df.select(*g, qcol(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
+    ranked = global_rank(vals.withColumn("__t", F.rand(seed)), ["__v", "__t"], gcols, num_partitions, "quantile-values")
     # Target ranks per group and probability.
     targets = (
-        offsets.select(*gcols, "__n").distinct()
-        .withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+        ranked.groupBy(*gcols).agg(F.max("__n").alias("__n")) if gcols else ranked.agg(F.max("__n").alias("__n")).where("__n is not null")
+    )
+    targets = (
+        targets.withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
         .withColumn("__pos", F.col("__p") * (F.col("__n") - 1))
         .withColumn("__lo", F.floor("__pos"))
         .withColumn("__hi", F.ceil("__pos"))
     )
-    # offsets has (partitions x groups) rows: small for a few groups, but not
-    # bounded in general, so AQE picks broadcast or shuffle from its run-time size.
-    ranked = ranged.join(offsets.select("__pid", *gcols, "__id0", "__off"), ["__pid", *gcols]).select(
-        *gcols, "__v", (F.col("__off") + F.col("__id") - F.col("__id0")).alias("__r")
-    )
     wanted = targets.select(*gcols, F.col("__lo").alias("__r")).union(targets.select(*gcols, F.col("__hi").alias("__r"))).distinct()
     picked = ranked.join(wanted, [*gcols, "__r"], "left_semi")
     lo = picked.select(*gcols, F.col("__r").alias("__lo"), F.col("__v").alias("__vlo"))
@@ -84,4 +101,4 @@ def quantile_columns(df: DataFrame, value: str, probs, names, groups=(), **kw) -
     return q.agg(*aggs)
 
 
-__all__ = ["exact_quantiles", "quantile_columns"]
+__all__ = ["global_rank", "exact_quantiles", "quantile_columns"]

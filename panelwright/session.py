@@ -57,8 +57,10 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests) a
-    private folder is created and registered.
+    The cluster's setting always wins.  Only a local master, where driver and
+    executors are one process, gets a private folder when it is unset; on a
+    cluster a missing setting is an error, since executors would write to
+    their own disks.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir", None)
@@ -67,6 +69,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
             path = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - conf lookup raises when unset
             path = None
+    if not path and not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="panelwright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)

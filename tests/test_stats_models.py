@@ -117,13 +117,13 @@ def test_permutation_importance_target_vs_noise(spark):
     assert abs(imp["c"]["importance_mean"]) < 0.01
 
 
-def test_permutation_importance_buckets_are_permutations(spark):
+def test_permutation_importance_of_one_feature(spark):
     df, _, _ = _linear_data(spark, n=300)
 
     def predict(frame):
         return frame.withColumn("prediction", F.col("a"))
 
-    small = permutation_importance(df, "id", ["a"], "y", predict, repeats=3, bucket_rows=40).collect()
+    small = permutation_importance(df, "id", ["a"], "y", predict, repeats=3).collect()
     assert len(small) == 1 and small[0]["importance_mean"] is not None
 
 
@@ -144,3 +144,22 @@ def test_pca_matches_numpy(spark):
     assert scores == pytest.approx((x - x.mean(0)) @ comp, abs=1e-9)
     with pytest.raises(ValueError):
         fit_pca(df, ["a", "b"])
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_exact_quantiles_do_not_hang_on_exchange_reuse(spark, reuse):
+    from panelwright.operators.quantiles import exact_quantiles
+
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=700), np.full(500, 1.25)])
+    rows_ = [(int(i % 3), float(v)) for i, v in enumerate(x)] + [(0, float("nan")), (1, None)]
+    before = spark.conf.get("spark.sql.exchange.reuse")
+    try:
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        df = spark.createDataFrame(rows_, "g int, v double").repartition(7)
+        got = {(r["g"], r["prob"]): r["quantile"] for r in exact_quantiles(df, "v", [0.1, 0.5, 0.9], ["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", before)
+    for g in range(3):
+        for p in (0.1, 0.5, 0.9):
+            assert got[(g, p)] == pytest.approx(np.quantile([v for i, v in rows_[:1200] if i == g], p))

@@ -124,9 +124,10 @@ from panelwright.operators.select import (
     prefer_flagged,
     top_n,
 )
-from panelwright.plans.panel import build_panel, normalise_tables
+from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel
+from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
 from panelwright.session import materialize
-from panelwright.sources.pages import page_comments, page_links, page_status, page_tables
+from panelwright.sources.pages import listing_rows, page_bios, page_comments, page_links, page_rows, page_status, page_tables
 from panelwright.plans.tables import (
     CUSTOMER_SPEC,
     DUMMY_LEVELS,
@@ -992,13 +993,50 @@ def q_pca_top_loadings(spark, sf_dir):
 
 # ------------------------------------------------------------ pages
 
-# Logical table -> candidate element ids, in priority order.
-PAGE_TABLE_CANDIDATES = {"totals": ["totals_stats", "totals"], "advanced": ["advanced"]}
+def page_id_text(df: DataFrame) -> DataFrame:
+    return df.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("page_id"), "html")
+
+
+def all_pages(spark, sf_dir) -> DataFrame:
+    """The saved pages and those rendered from orders, with text ids."""
+    return page_id_text(read(spark, sf_dir, "pages")).unionByName(rendered_pages(spark, sf_dir))
+
+
+TOTALS_CELLS = {"Rk": "rk", "Season": "season", "Tm": "tm", "G": "g", "MP": "mp", "MP.1": "mp_1", "FGpct": "fgpct",
+                "PER": "per", "Per_Game_A_B": "a_b", "Per_Game_A_B.1": "a_b_1", "Gone": "gone"}
 
 
 @register("page_tables")
 def q_page_tables(spark, sf_dir):
-    return page_tables(read(spark, sf_dir, "pages"), PAGE_TABLE_CANDIDATES)
+    rows = page_tables(all_pages(spark, sf_dir), CANDIDATES)
+    return rows.select("page_id", "table_id", "row_no", F.size("cells").alias("n_cells"),
+                       *[F.col("cells").getItem(c).alias(n) for c, n in TOTALS_CELLS.items()])
+
+
+@register("page_listing")
+def q_page_listing(spark, sf_dir):
+    return listing_rows(page_rows(all_pages(spark, sf_dir), ("listing",), listing=LISTING, base_url=BASE_URL))
+
+
+@register("page_bios")
+def q_page_bios(spark, sf_dir):
+    return finish(page_bios(page_rows(all_pages(spark, sf_dir), ("status", "bio"), base_url=BASE_URL)))
+
+
+def page_run(spark, sf_dir):
+    spec = PanelSpec(entity="page_id", link="profile_id", stint="Tm", patch_columns=["PER"])
+    return pages_to_panel(all_pages(spark, sf_dir), CANDIDATES, ["Rk", "Season", "Tm", "G", "MP", "PER"], LISTING, BASE_URL, spec)
+
+
+@register("pages_panel")
+def q_pages_panel(spark, sf_dir):
+    panel = page_run(spark, sf_dir).panel
+    return finish(panel.select("page_id", "Season", "Tm", "G", "MP", "PER", "profile_id"))
+
+
+@register("pages_counters")
+def q_pages_counters(spark, sf_dir):
+    return page_run(spark, sf_dir).counters
 
 
 @register("page_status")

@@ -896,6 +896,53 @@ SELECT o_custkey, {rnd('zr')} AS z_rate_r, {rnd('zl')} AS z_longevity_r, {rnd('0
 FROM z WHERE 0.7 * zr + 0.3 * zl IS NOT NULL
 """)
 
+# ------------------------- pages rendered from orders, read back
+
+_RENDERED = """
+WITH o AS (
+  SELECT *, 'o' || o_orderkey AS page_id, o_orderkey % 4 AS layout, CAST(year(o_orderdate) AS INTEGER) AS yr
+  FROM orders WHERE o_orderkey % 50 <> 49)
+"""
+_THIS, _LAST = label("yr"), label("(yr - 1)")
+_TABLE_ROWS = f"""
+SELECT page_id, 'totals' AS table_id, 0 AS row_no, 7 AS n_cells, '1' AS rk, {_THIS} AS season, o_orderpriority AS tm, CAST(o_custkey AS VARCHAR) AS g,
+       CAST(o_orderkey AS VARCHAR) AS mp, CAST(o_orderkey + 7 AS VARCHAR) AS mp_1, '.5' AS fgpct,
+       CAST(NULL AS VARCHAR) AS per, CAST(NULL AS VARCHAR) AS a_b, CAST(NULL AS VARCHAR) AS a_b_1, CAST(NULL AS VARCHAR) AS gone FROM o
+UNION ALL SELECT page_id, 'totals', 1, 7, '2', {_LAST}, o_orderpriority, CAST(o_custkey + 1 AS VARCHAR), NULL,
+       CAST(o_orderkey + 8 AS VARCHAR), 'NA-like', NULL, NULL, NULL, NULL FROM o
+UNION ALL SELECT page_id, 'advanced', 0, 2, NULL, {_THIS}, NULL, NULL, NULL, NULL, NULL, CAST(o_orderkey % 30 AS VARCHAR), NULL, NULL, NULL FROM o
+UNION ALL SELECT page_id, 'shooting', 0, 2, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, o_orderstatus, '<' || o_custkey || '>', NULL FROM o
+"""
+
+SQL["page_tables"] = _RENDERED + _TABLE_ROWS
+
+SQL["page_listing"] = _RENDERED + """
+SELECT page_id, 0 AS row_no, 'Customer ' || o_custkey AS entity_name, 'c' || o_custkey AS entity_id,
+       'https://stats.example.org/players/c/c' || o_custkey || '.html' AS entity_url FROM o
+"""
+
+SQL["page_bios"] = _RENDERED + """
+SELECT page_id, 'ok' AS status, CAST(NULL AS VARCHAR) AS error, strftime(o_orderdate, '%Y-%m-%d') AS birthday, yr AS recruiting_year,
+       CAST(1 + o_custkey % 100 AS INTEGER) AS recruiting_rank, 'https://stats.example.org/cbb/players/p' || o_custkey || '.html' AS profile_url,
+       'p' || o_custkey AS profile_id,
+       CASE WHEN layout <> 3 AND o_orderkey % 14 <= 11 THEN CAST((4 + o_custkey % 4) * 12 + o_orderkey % 14 AS DOUBLE) END AS height_inches,
+       CASE WHEN layout <> 3 THEN CAST(100 + o_orderkey % 200 AS DOUBLE) END AS weight_lb FROM o
+UNION ALL SELECT 'o' || o_orderkey, 'error', 'empty page', NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE o_orderkey % 50 = 49
+UNION ALL SELECT 'p' || page_id, CASE WHEN html IS NULL THEN 'error' ELSE 'ok' END, CASE WHEN html IS NULL THEN 'empty page' END,
+       NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM pages
+"""
+
+SQL["pages_panel"] = _RENDERED + f"""
+SELECT page_id, {_THIS} AS "Season", o_orderpriority AS "Tm", CAST(o_custkey AS DOUBLE) AS "G", CAST(o_orderkey AS DOUBLE) AS "MP",
+       CAST(o_orderkey % 30 AS DOUBLE) AS "PER", 'p' || o_custkey AS profile_id FROM o
+"""
+
+SQL["pages_counters"] = _RENDERED + """
+SELECT (SELECT COUNT(*) FROM orders) + (SELECT COUNT(*) FROM pages) AS n_pages,
+       (SELECT COUNT(*) FROM orders WHERE o_orderkey % 50 = 49) + (SELECT COUNT(*) FROM pages WHERE html IS NULL) AS n_errors,
+       COUNT(*) AS n_with_link, COUNT(*) AS n_listing_rows, 4 * COUNT(*) AS n_long_rows, COUNT(*) AS n_panel_rows FROM o
+"""
+
 SQL["page_status"] = """
 SELECT page_id, CASE WHEN html IS NULL THEN 'error' ELSE 'ok' END AS status,
        CASE WHEN html IS NULL THEN 'empty page' END AS error

@@ -14,14 +14,18 @@ from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
 from panelwright.operators.assemble import left_join, patch_join
+from panelwright.operators.audit import summary_counters
 from panelwright.operators.clean import (
     drop_repeated_headers,
     drop_spacer_rows,
     keep_period_rows,
     require_non_null,
+    safe_numeric,
     split_by_tag,
 )
 from panelwright.operators.select import keep_first, latest_per_key
+from panelwright.session import materialize
+from panelwright.sources.pages import listing_rows, page_bios, page_rows, pick
 
 
 @dataclass
@@ -97,21 +101,57 @@ def rebuild_panel(spark, long_path: str, crosswalk_path: str, detail_path: str |
     return panel
 
 
+def long_from_rows(rows: DataFrame, columns, entity_col: str, tag: str = "table_id") -> DataFrame:
+    """Typed long stat table from ``page_rows`` of kind table: one row per table row, keyed by its page.
+
+    ``columns`` are lifted out of the cell map and typed with the dataset-wide
+    numeric rule.
+    """
+    wide = pick(rows, "table", columns)
+    return safe_numeric(wide.select(F.col("page_id").alias(entity_col), F.col("name").alias(tag), "row_no", *[qcol(c) for c in columns]))
+
+
 def pages_to_long(pages: DataFrame, candidates: dict, page_key: str, entity_col: str, columns,
                   tag: str = "table_id", id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """Saved pages -> typed long stat table.
+    """Saved pages -> typed long stat table keyed by the pages' entity column."""
+    keyed = pages.select(qcol(page_key).alias("page_id"), qcol(html_col).alias("html"))
+    return long_from_rows(page_rows(keyed, ("table",), candidates), columns, entity_col, tag)
 
-    Every extracted table row becomes one row tagged with its logical table,
-    carrying the page's entity key; ``columns`` are lifted out of the cell map
-    and typed with the dataset-wide numeric rule.
-    """
-    from panelwright.operators.clean import safe_numeric
-    from panelwright.sources.pages import page_tables, widen
 
-    rows = widen(page_tables(pages, candidates, id_col, html_col), columns)
-    keyed = rows.join(pages.select(qcol(id_col).alias("page_id"), qcol(page_key).alias(entity_col)), "page_id")
-    out = keyed.select(entity_col, F.col("table_id").alias(tag), "row_no", *[qcol(c) for c in columns])
-    return safe_numeric(out)
+@dataclass
+class PageRun:
+    """What one run over saved pages gives."""
+
+    long: DataFrame
+    tables: dict
+    profiles: DataFrame
+    listing: DataFrame
+    panel: DataFrame
+    counters: DataFrame
+
+
+def pages_to_panel(pages: DataFrame, candidates: dict, columns, listing: tuple[str, str], base_url: str, spec: PanelSpec) -> PageRun:
+    """Saved pages -> long table, tables by tag, profiles, listing rows, panel and run counters.
+
+    ``pages`` has ``page_id`` (the entity) and ``html``.  Each page is read
+    once and what it holds is written once; all results come from that table.
+    A page that fails keeps its profile row, with its error and null fields,
+    and has no table rows.  The crosswalk is the profiles' link id.
+    """
+    rows = materialize(page_rows(pages, ("status", "table", "listing", "bio"), candidates, listing, base_url), "page-rows")
+    profiles = page_bios(rows)
+    long = long_from_rows(rows, columns, spec.entity, spec.tag)
+    crosswalk = profiles.filter(F.col("profile_id").isNotNull()).select(F.col("page_id").alias(spec.entity), F.col("profile_id").alias(spec.link))
+    panel = build_panel(long, crosswalk, None, spec)
+    counters = summary_counters(pages.sparkSession, {
+        "n_pages": profiles,
+        "n_errors": profiles.filter("status <> 'ok'"),
+        "n_with_link": crosswalk,
+        "n_listing_rows": pick(rows, "listing"),
+        "n_long_rows": pick(rows, "table"),
+        "n_panel_rows": panel,
+    })
+    return PageRun(long, normalise_tables(long, spec.tag, [spec.entity], list(candidates), spec.period), profiles, listing_rows(rows), panel, counters)
 
 
 def appearances(season_list: DataFrame, keys, order_by) -> DataFrame:
@@ -119,4 +159,4 @@ def appearances(season_list: DataFrame, keys, order_by) -> DataFrame:
     return keep_first(season_list, keys, order_by)
 
 
-__all__ = ["PanelSpec", "appearances", "build_panel", "normalise_tables", "pages_to_long", "rebuild_panel"]
+__all__ = ["PageRun", "PanelSpec", "appearances", "build_panel", "long_from_rows", "normalise_tables", "pages_to_long", "pages_to_panel", "rebuild_panel"]

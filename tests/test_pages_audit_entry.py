@@ -27,10 +27,33 @@ def test_parse_visible_table_skips_repeated_headers():
 
 def test_parse_commented_table_with_multilevel_header_and_fallback_ids():
     found = parse_tables(COMMENTED, {"advanced": ["adv_missing", "advanced"], "totals": ["totals_stats", "totals"]})
-    assert found["advanced"] == [{"Shooting_FG": "3", "Shooting_3P": "1", "Season": "2011-12"}]
+    assert found["advanced"] == [{"Shooting_FG": "3", "Shooting_3P": "1"}]  # blank top header: the column goes
     assert "totals" not in found  # both candidates are empty
 
 
+@pytest.mark.parametrize(("html", "rows"), [
+    ("<table id=t><tr><th>A<th>A<tr><td>1<td>2<tr><td>3<td>4", [{"A": "1", "A.1": "2"}, {"A": "3", "A.1": "4"}]),
+    ("<table id=t><thead><tr><th>S<th>X<th>Y</thead><tr><td rowspan=2>a<td>1<td>2<tr><td>3<td>4<tr><td>b<td colspan=2>9</table>",
+     [{"S": "a", "X": "1", "Y": "2"}, {"S": "a", "X": "3", "Y": "4"}, {"S": "b", "X": "9", "Y": "9"}]),
+    ("<table id=t><tr><th>A<th>B<tr><td>1<td rowspan=0>x<tr><td>2<tr></table>", [{"A": "1", "B": "x"}, {"A": "2", "B": "x"}]),
+    ("<table id=t><tr><th>A<th>B<tr><td>1<td><table id=n><tr><td>z</table>!<tr><td>2<td>3</table>", [{"A": "1", "B": "z!"}, {"A": "2", "B": "3"}]),
+    ("<table id=t><tr><td>1<td>2<tr><td>3</table>", [{"0": "1", "1": "2"}, {"0": "3", "1": None}]),
+])
+def test_table_layouts(html, rows):
+    assert parse_tables(html, {"x": ["t"]}) == {"x": rows}
+
+
+def test_failed_page_is_one_error_row_with_text_ids(spark):
+    from panelwright.sources.pages import page_bios, page_rows
+
+    broken = "<p>Recruiting Rank: 2017 (3)</p><![broken" + "x" * 900 + " ]]>"
+    pages = spark.createDataFrame([("a", broken), ("b", "<p>Recruiting Rank: 2017 (3) 6-4 200lb</p>"), ("c", None)], "page_id string, html string")
+    got = {r["page_id"]: r for r in page_bios(page_rows(pages)).collect()}
+    assert got["a"]["status"] == "error" and len(got["a"]["error"]) > 900 and got["a"]["recruiting_year"] is None
+    assert (got["b"]["recruiting_year"], got["b"]["recruiting_rank"], got["b"]["height_inches"]) == (2017, 3, None)
+    assert got["c"]["error"] == "empty page"
+
+
 def test_page_tables_and_status(spark):
     pages = spark.createDataFrame([(1, VISIBLE), (2, COMMENTED), (3, None), (4, "<html>no tables</html>")],
                                   "page_id long, html string")
@@ -90,9 +113,9 @@ def test_pages_to_long_and_rebuild(spark, tmp_path):
                          ["Season", "FGpct", "Shooting_FG"])
     types = dict(long.dtypes)
     assert types["FGpct"] == "double" and types["Season"] == "string"
-    got = sorted((r["entity_id"], r["table_id"], r["Season"], r["FGpct"], r["Shooting_FG"]) for r in long.collect())
+    got = sorted(((r["entity_id"], r["table_id"], r["Season"], r["FGpct"], r["Shooting_FG"]) for r in long.collect()), key=repr)
     assert got == [("p1", "totals", "2011-12", 0.5, None), ("p1", "totals", "2012-13", 0.4, None),
-                   ("p2", "advanced", "2011-12", None, 3.0)]
+                   ("p2", "advanced", None, None, 3.0)]
     with pytest.raises(FileNotFoundError):
         rebuild_panel(spark, str(tmp_path / "nope"), str(tmp_path / "nope2"), None, PanelSpec())
     lt = spark.createDataFrame([("e1", "totals", "2011-12", "A", 10.0, 100.0)],

@@ -208,6 +208,22 @@ def lasso_solve(stats: GramStats, alpha: float, max_iter: int = 50_000, tol: flo
     return my - mx @ beta, beta
 
 
+def selected_features(cols, beta: np.ndarray) -> list[tuple[str, float]]:
+    """Features with a coefficient other than zero, the largest in magnitude first (M8)."""
+    kept = [(c, float(b)) for c, b in zip(cols, beta, strict=True) if b != 0.0]
+    return sorted(kept, key=lambda cb: (-abs(cb[1]), cb[0]))
+
+
+def lasso_gradient(stats: GramStats, beta: np.ndarray) -> np.ndarray:
+    """Per feature, its mean product with the residual.
+
+    At the optimum for alpha this is ``alpha * sign(beta)`` where beta is not
+    zero, and at most alpha in magnitude where it is.
+    """
+    _, _, sxx, sxy = stats.centred()
+    return (sxy - sxx @ beta) / stats.n
+
+
 def lasso_alphas(stats: GramStats, n_alphas: int = LASSO_N_ALPHAS, eps: float = LASSO_EPS) -> list[float]:
     _, _, _, sxy = stats.centred()
     amax = float(np.max(np.abs(sxy))) / stats.n

@@ -8,6 +8,8 @@ covariance and the p x k loading matrix (model parameters) live on the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,7 +17,9 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import strip_prefixes
 from panelwright.functions._util import qcol
-from panelwright.operators.modeling import apply_imputer_scaler, fit_imputer_scaler, params_table
+from panelwright.operators.cohort import coerce_numeric, select_features
+from panelwright.operators.modeling import apply_imputer_scaler, fit_imputer_scaler, params_table, split_label
+from panelwright.session import materialize
 
 # The share of training variance the kept components must reach,
 # the size of the loading report, and the minimum feature count.
@@ -142,6 +146,57 @@ def pc_outcome_corr(scored: DataFrame, split: str, outcome: str, k: int) -> Data
     return wide.unpivot([split], [f"PC{j + 1}" for j in range(k)], "pc", "r_success")
 
 
+@dataclass
+class PCARun:
+    """What one analysis gives."""
+
+    cols: list
+    model: PCAModel
+    scores: DataFrame
+    correlations: DataFrame
+    summary: DataFrame
+
+
+def pca_analysis(frame: DataFrame, id_col: str, outcome: str, prefixes=(), extra=(), exclude=()) -> PCARun:
+    """Columns chosen by the data (P20), imputed and scaled on the training split, PCA, scores and correlations (C11).
+
+    The chosen columns are written once; every pass reads that table.
+    """
+    spark = frame.sparkSession
+    frame = materialize(frame, "pca-frame")
+    cols = select_features(frame, prefixes, extra, (*exclude, id_col, outcome))
+    if len(cols) < MIN_FEATURES:
+        raise ValueError(f"only {len(cols)} usable columns for components: {cols}")
+    numeric = coerce_numeric(frame.select(qcol(id_col), qcol(outcome), *map(qcol, cols)), cols)
+    numeric = materialize(numeric.withColumn("split", split_label(id_col)), "pca-numeric")
+    train, test, _ = standardise(numeric.filter("split = 'train'"), numeric.filter("split = 'test'"), cols, [id_col, outcome, "split"])
+    model = fit_pca(train, cols)
+    scores = model.scores(train.unionByName(test), keep=[id_col, outcome, "split"])
+    cum = float(np.sum(model.explained_variance_ratio[: model.k]))
+    counts = numeric.agg(F.count(F.lit(1)).alias("n_entities"), F.count_if(F.col("split") == "train").alias("n_train"))
+    summary = counts.select(
+        "n_entities", "n_train", F.lit(len(cols)).alias("n_features"), F.lit(",".join(cols)).alias("feature_columns"),
+        F.lit(model.k).alias("n_components"), F.lit(cum).alias("cumulative_variance"), F.lit(PCA_VARIANCE).alias("target_variance"))
+    return PCARun(cols, model, scores, pc_outcome_corr(scores, "split", outcome, model.k), summary)
+
+
+def pca_checks(run: PCARun, tol: float = 1e-8) -> dict[str, bool]:
+    """Whether the fit has what a PCA must have: ratios that sum to 1 and fall, the smallest k, orthonormal
+    loadings, and uncorrelated training scores whose variances are in proportion to the ratios."""
+    ratios, k, comp = run.model.explained_variance_ratio, run.model.k, run.model.components
+    names = [f"PC{j + 1}" for j in range(k)]
+    cov, _, _ = covariance_matrix(run.scores.filter("split = 'train'"), names)
+    expected = np.diag(ratios[:k] / ratios[0] * cov[0, 0])
+    cum = np.cumsum(ratios)
+    return {
+        "ratios_sum_to_one": bool(abs(cum[-1] - 1) < tol),
+        "ratios_fall": bool(np.all(np.diff(ratios) <= tol)),
+        "smallest_k": bool(cum[k - 1] >= PCA_VARIANCE - tol and (k == 1 or cum[k - 2] < PCA_VARIANCE)),
+        "loadings_orthonormal": bool(np.allclose(comp.T @ comp, np.eye(k), atol=tol)),
+        "scores_uncorrelated": bool(np.allclose(cov, expected, atol=tol * 100 * cov[0, 0])),
+    }
+
+
 def best_variant_per_base(loadings: DataFrame, pc: str, prefixes, top_k: int = TOP_LOADINGS) -> DataFrame:
     """Per base statistic (prefix stripped) the variant with the largest |loading|, then the top ``top_k``."""
     one = loadings.filter(F.col("pc") == pc).withColumn("base", strip_prefixes(F.col("feature"), prefixes))
@@ -151,6 +206,6 @@ def best_variant_per_base(loadings: DataFrame, pc: str, prefixes, top_k: int = T
 
 
 __all__ = [
-    "PCAModel", "PCA_VARIANCE", "best_variant_per_base", "covariance_frame", "covariance_matrix",
-    "cross_moments", "fit_pca", "pc_outcome_corr", "standardise",
+    "PCAModel", "PCARun", "PCA_VARIANCE", "best_variant_per_base", "covariance_frame", "covariance_matrix",
+    "cross_moments", "fit_pca", "pc_outcome_corr", "pca_analysis", "pca_checks", "standardise",
 ]

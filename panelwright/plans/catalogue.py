@@ -44,6 +44,7 @@ from panelwright.operators.assemble import (
     validated_left_join,
 )
 from panelwright.operators.clean import (
+    blank_to_null_all,
     drop_all_null_columns,
     drop_spacer_rows,
     failure_log,
@@ -53,6 +54,7 @@ from panelwright.operators.clean import (
     project_with_optional,
     require_non_null,
     safe_numeric,
+    tag_literal,
     tag_schema,
 )
 from panelwright.operators.audit import (
@@ -95,6 +97,7 @@ from panelwright.operators.modeling import (
     fold_id,
     gram_sums,
     lasso_cv,
+    lasso_gradient,
     lasso_solve,
     linear_prediction,
     params_table,
@@ -102,6 +105,7 @@ from panelwright.operators.modeling import (
     regression_metrics,
     ridge_cv,
     ridge_solve,
+    selected_features,
     split_label,
     transform_expr,
     tree_estimator,
@@ -114,6 +118,8 @@ from panelwright.operators.pca import (
     covariance_matrix,
     fit_pca,
     pc_outcome_corr,
+    pca_analysis,
+    pca_checks,
 )
 from panelwright.operators.select import (
     earliest_value_per_key,
@@ -126,7 +132,18 @@ from panelwright.operators.select import (
 )
 from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel
 from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
-from panelwright.session import materialize
+from panelwright.session import materialize, scratch_folder
+from panelwright.sources.files import (
+    count_periods_column,
+    latest_file,
+    range_from_name,
+    read_csv_text,
+    read_optional,
+    require_inputs,
+    row_count,
+    write_json,
+    write_table,
+)
 from panelwright.sources.pages import listing_rows, page_bios, page_comments, page_links, page_rows, page_status, page_tables
 from panelwright.plans.tables import (
     CUSTOMER_SPEC,
@@ -929,8 +946,77 @@ def q_permutation_importance(spark, sf_dir):
     return imp.withColumn("model", F.lit(best))
 
 
+# ----------------------------------------- closed forms and optimality (M6-M8)
+
+def line_model(spark, sf_dir) -> DataFrame:
+    """Price in thousands by quantity and discount, one row per line."""
+    return read(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id"), "l_quantity", "l_discount",
+        (F.col("l_extendedprice") / 1000).alias("price"))
+
+
+@register("ridge_two")
+def q_ridge_two(spark, sf_dir):
+    _, stats = cv_frame(line_model(spark, sf_dir), "line_id", ["l_quantity", "l_discount"], "price")
+    rows = [(i, r["alpha"], r["cv_rmse"]) for i, r in enumerate(ridge_cv(stats))]
+    return finish(spark.createDataFrame(rows, "step int, alpha double, cv_rmse double"))
+
+
+@register("lasso_one")
+def q_lasso_one(spark, sf_dir):
+    lines = line_model(spark, sf_dir)
+    _, stats = cv_frame(lines, "line_id", ["l_quantity"], "price")
+    params = params_table(fit_imputer_scaler(lines, ["l_quantity"]))[()]
+    whole = gram_sums(apply_imputer_scaler(lines, params, ["l_quantity"], keep=["price"]), ["l_quantity"], "price")[()]
+    rows = [(i, r["alpha"], r["cv_mse"]) for i, r in enumerate(lasso_cv(stats, whole))]
+    return finish(spark.createDataFrame(rows, "step int, alpha double, cv_mse double"))
+
+
+def lasso_fit(spark, sf_dir):
+    """Sums over all training rows, the best alpha and its coefficients."""
+    train = modeling_frame(spark, sf_dir).filter("split = 'train'")
+    _, stats = cv_frame(train, "entity_id", MODEL_FEATURES, "composite")
+    params = params_table(fit_imputer_scaler(train, MODEL_FEATURES))[()]
+    whole = gram_sums(apply_imputer_scaler(train, params, MODEL_FEATURES, keep=["composite"]), MODEL_FEATURES, "composite")[()]
+    alpha = min(lasso_cv(stats, whole), key=lambda r: r["cv_mse"])["alpha"]
+    return whole, alpha, lasso_solve(whole, alpha)[1]
+
+
+@register("l1_features")
+def q_l1_features(spark, sf_dir):
+    _, _, beta = lasso_fit(spark, sf_dir)
+    return spark.createDataFrame(selected_features(MODEL_FEATURES, beta), "feature string, coefficient double")
+
+
+@register("lasso_checks")
+def q_lasso_checks(spark, sf_dir):
+    """Per feature, whether the fit meets the optimality conditions."""
+    whole, alpha, beta = lasso_fit(spark, sf_dir)
+    gradient = lasso_gradient(whole, beta)
+    rows = [(c, bool(abs(g - alpha * np.sign(b)) < 1e-8 if b else abs(g) <= alpha + 1e-8))
+            for c, g, b in zip(MODEL_FEATURES, gradient, beta, strict=True)]
+    return spark.createDataFrame(rows, "feature string, optimal boolean")
+
+
 # ------------------------------------------------------------------ PCA (M15+)
 
+def cohort_pca(spark, sf_dir):
+    return pca_analysis(cohort_frame(spark, sf_dir), "entity_id", "composite", FEATURE_PREFIXES, FEATURE_EXTRA)
+
+
+@register("pca_cohort")
+def q_pca_cohort(spark, sf_dir):
+    """The cohort's PCA: its size, the columns chosen by the data, and whether the fit is one."""
+    run = cohort_pca(spark, sf_dir)
+    checks = pca_checks(run)
+    return run.summary.select("n_entities", "n_train", "n_features", "feature_columns", *[F.lit(v).alias(n) for n, v in checks.items()])
+
+
+@register("pca_summary")
+def q_pca_summary(spark, sf_dir):
+    return cohort_pca(spark, sf_dir).summary
+
+
 def embedding_features(spark, sf_dir) -> tuple[DataFrame, list]:
     """All embedding dimensions as columns named by block (``b{block}_d{dim}``) with the label."""
     e = read(spark, sf_dir, "embeddings")
@@ -1034,6 +1120,11 @@ def q_pages_panel(spark, sf_dir):
     return finish(panel.select("page_id", "Season", "Tm", "G", "MP", "PER", "profile_id"))
 
 
+@register("pages_appearances")
+def q_pages_appearances(spark, sf_dir):
+    return page_run(spark, sf_dir).appearances
+
+
 @register("pages_counters")
 def q_pages_counters(spark, sf_dir):
     return page_run(spark, sf_dir).counters
@@ -1054,6 +1145,26 @@ def q_page_links(spark, sf_dir):
     return page_links(read(spark, sf_dir, "pages")).select("page_id", "link_no", "href")
 
 
+@register("file_round_trip")
+def q_file_round_trip(spark, sf_dir):
+    """Orders through the file sources and sinks: written, found again by name, read as text, counted, summarised."""
+    folder = scratch_folder(spark, "files")
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderstatus")).otherwise("  ").alias("o_orderstatus"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).otherwise("n/a").alias("o_orderpriority"))
+    written = write_table(orders, f"{folder}/orders_1995_2003.csv", "csv")
+    write_table(orders.filter("o_orderkey < 0"), f"{folder}/orders_1990_1994.csv", "csv")
+    path = latest_file(spark, folder, "orders_*.csv", required=True)
+    require_inputs(spark, [path])
+    back = tag_literal(blank_to_null_all(read_csv_text(spark, path, with_order=False)), table_id="orders")
+    write_json(back.agg(count_periods_column("o_orderpriority")), f"{folder}/summary.json")
+    summary = spark.read.schema("n_periods long").json(f"{folder}/summary.json")
+    missing = read_optional(spark, f"{folder}/none", "o_orderkey string")
+    return back.select(
+        "*", F.lit(written).alias("n_written"), F.lit(row_count(spark, path, "csv")).alias("n_read"), F.lit(range_from_name(path)).alias("n_years"),
+        summary.agg(F.max("n_periods")).scalar().alias("n_priorities"), missing.agg(F.count(F.lit(1))).scalar().alias("n_missing"))
+
+
 URL_PATTERN = r"/([a-z]{2})/([0-9]+)"
 
 

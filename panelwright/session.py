@@ -85,6 +85,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A new, not yet existing folder for intermediate files; :func:`drop_scratch` removes it."""
+    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
@@ -94,9 +101,8 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     pushdown.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{label}-{uuid.uuid4().hex}")
+    path = scratch_folder(spark, label)
     df.write.mode("overwrite").parquet(path)
-    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.parquet(path)
 
 
@@ -122,9 +128,4 @@ def drop_scratch(spark: SparkSession) -> int:
     return removed
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so Python-side file helpers can use the path."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "materialize", "drop_scratch", "local_path", "DEFAULT_CONF"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_folder", "scratch_path", "materialize", "drop_scratch", "DEFAULT_CONF"]

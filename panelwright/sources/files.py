@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -17,14 +17,17 @@ PANDAS_NA_VALUES = (
 )
 
 
-def read_csv_text(spark: SparkSession, path: str, na_values=PANDAS_NA_VALUES, with_order: bool = True) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str, na_values=PANDAS_NA_VALUES, with_order: bool = True,
+                  quoted_newlines: bool = False) -> DataFrame:
     """Header CSV with every column as text and pandas' missing markers as null.
 
     Types are never inferred (``2011-12`` would become a timestamp); cast with
     ``safe_numeric`` afterwards.  ``_row_ord`` records file order (file name,
-    then position in the file) for order-dependent operators.
+    then position in the file) for order-dependent operators.  Files are split
+    among tasks; ``quoted_newlines`` declares line breaks inside quoted cells,
+    which make each file one task.
     """
-    df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", True) \
+    df = spark.read.option("header", True).option("inferSchema", False).option("multiLine", quoted_newlines) \
         .option("escape", '"').csv(path)
     cols = [F.when(~qcol(c).isin(list(na_values)), qcol(c)).alias(c) for c in df.columns]
     if with_order:
@@ -59,9 +62,9 @@ def range_from_name(path: str, pattern: str = r"_(\d+)_(\d+)\.\w+$") -> int | No
     return int(m.group(2)) - int(m.group(1)) + 1 if m else None
 
 
-def count_periods(df: DataFrame, col: str) -> int:
-    """Fallback for S4: the number of distinct values of ``col``."""
-    return df.agg(F.count_distinct(qcol(col))).first()[0]
+def count_periods_column(col: str) -> Column:
+    """Fallback for S4 as an aggregate: the number of distinct values of ``col``."""
+    return F.count_distinct(qcol(col)).alias("n_periods")
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -111,8 +114,8 @@ def row_count(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Metric or summary rows as JSON lines."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """Metric or summary rows as JSON lines, in as many files as the frame has partitions."""
+    df.write.mode("overwrite").json(path)
 
 
 def text_schema(cols) -> StructType:
@@ -120,6 +123,6 @@ def text_schema(cols) -> StructType:
 
 
 __all__ = [
-    "PANDAS_NA_VALUES", "count_periods", "latest_file", "list_files", "path_exists", "range_from_name",
+    "PANDAS_NA_VALUES", "count_periods_column", "latest_file", "list_files", "path_exists", "range_from_name",
     "read_csv_text", "read_optional", "require_inputs", "row_count", "text_schema", "write_json", "write_table",
 ]

@@ -90,7 +90,6 @@ from panelwright.operators.cohort import (
 )
 from panelwright.operators.modeling import (
     apply_imputer_scaler,
-    assemble,
     cv_frame,
     fit_imputer_scaler,
     fit_imputer_scaler_long,
@@ -107,8 +106,6 @@ from panelwright.operators.modeling import (
     ridge_solve,
     selected_features,
     split_label,
-    transform_expr,
-    tree_estimator,
     tree_search,
 )
 from panelwright.operators.outcomes import add_composite, career_summary, dedupe_periods, prime_rate, quartile_label
@@ -121,7 +118,9 @@ from panelwright.operators.pca import (
     pca_analysis,
     pca_checks,
 )
+from panelwright.operators.supervised import Evaluation, evaluate_supervised, model_report
 from panelwright.operators.select import (
+    argmax_row,
     earliest_value_per_key,
     first_seen,
     keep_first,
@@ -874,75 +873,46 @@ def q_gbt(spark, sf_dir):
                                   for r in rows], "draw int, params string, cv_rmse double, is_best boolean")
 
 
-def fitted_models(spark, sf_dir):
-    """Best configuration of each model refitted on all training rows."""
+def evaluated(spark, sf_dir):
+    """(train, test, evaluation) on the modeling frame, one stated configuration per tree model."""
     mf = modeling_frame(spark, sf_dir)
-    train = mf.filter(F.col("split") == "train")
-    test = mf.filter(F.col("split") == "test")
-    params = params_table(fit_imputer_scaler(train, MODEL_FEATURES))[()]
-    ztrain = apply_imputer_scaler(train, params, MODEL_FEATURES, keep=["entity_id", "composite"])
-    whole = gram_sums(ztrain, MODEL_FEATURES, "composite")[()]
-    _, stats = cv_frame(train, "entity_id", MODEL_FEATURES, "composite")
-    models = {}
-    ridge_best = min(ridge_cv(stats), key=lambda r: r["cv_rmse"])
-    models["ridge"] = ("linear", ridge_solve(whole, ridge_best["alpha"]), ridge_best["cv_rmse"])
-    lasso_rows = lasso_cv(stats, whole)
-    lasso_best = min(lasso_rows, key=lambda r: r["cv_mse"])
-    models["lasso_cv"] = ("linear", lasso_solve(whole, lasso_best["alpha"]), float(np.sqrt(lasso_best["cv_mse"])))
-    medians = {c: (prm[0], 0.0, 1.0) for c, prm in params.items()}
-    imp_train = assemble(apply_imputer_scaler(train, medians, MODEL_FEATURES, keep=["entity_id", "composite"]),
-                         MODEL_FEATURES)
-    for kind, grid in (("random_forest", FOREST_FIT), ("gradient_boosting", BOOST_FIT)):
-        res = tree_search(train, "entity_id", MODEL_FEATURES, "composite",
-                          "forest" if kind == "random_forest" else "gbt", grid, 1)
-        best = min(res, key=lambda r: r["cv_rmse"])
-        est = tree_estimator("forest" if kind == "random_forest" else "gbt", best["params"], "features", "composite", 42)
-        models[kind] = ("tree", est.fit(imp_train), best["cv_rmse"])
-
-    def predictor(name):
-        how, model, _ = models[name]
-        if how == "linear":
-            b0, beta = model
-
-            def pred(df):
-                z = df.select("*", *[transform_expr(c, *params[c]).alias(f"__z_{c}") for c in MODEL_FEATURES])
-                return z.withColumn("prediction", linear_prediction([f"__z_{c}" for c in MODEL_FEATURES], b0, beta))
-            return pred
-
-        def pred(df):
-            imp = df.select("*", *[transform_expr(c, *medians[c]).alias(f"__m_{c}") for c in MODEL_FEATURES])
-            from pyspark.ml.feature import VectorAssembler
-            va = VectorAssembler(inputCols=[f"__m_{c}" for c in MODEL_FEATURES], outputCol="features",
-                                 handleInvalid="keep")
-            return model.transform(va.transform(imp))
-        return pred
-
-    return mf, train, test, models, predictor
+    train, test = mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "test")
+    one = {"forest": 1, "gbt": 1}
+    return train, test, evaluate_supervised(train, "entity_id", MODEL_FEATURES, "composite", {"forest": FOREST_FIT, "gbt": BOOST_FIT}, one)
 
 
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
-    _, _, test, models, predictor = fitted_models(spark, sf_dir)
-    parts = []
-    for name in models:
-        m = regression_metrics(predictor(name)(test), "composite", "prediction")
-        parts.append(m.select(F.lit(name).alias("model"), "rmse", "mae", "r2",
-                              F.lit(float(models[name][2])).alias("cv_score")))
-    out = union_by_name(parts)
-    order = {n: i for i, n in enumerate(models)}
-    rank = F.row_number().over(Window.orderBy(F.col("r2").desc(), F.col("__o")))
-    mapping = F.create_map(*[x for n, i in order.items() for x in (F.lit(n), F.lit(i))])
-    return out.withColumn("__o", mapping[F.col("model")]).withColumn("is_best", rank == 1).drop("__o")
+    _, test, evaluation = evaluated(spark, sf_dir)
+    report = model_report(evaluation, {"test": test}, "composite").select("model", "rmse", "mae", "r2", "cv_score")
+    order = F.array_position(F.lit(list(evaluation.models)), F.col("model"))
+    rank = F.row_number().over(Window.orderBy(F.col("r2").desc(), order))
+    return report.withColumn("is_best", rank == 1)
+
+
+@register("model_report")
+def q_model_report(spark, sf_dir):
+    train, test, evaluation = evaluated(spark, sf_dir)
+    return model_report(evaluation, {"train": train, "test": test}, "composite")
+
+
+@register("model_checks")
+def q_model_checks(spark, sf_dir):
+    """Per model and split: its rows, the outcome's variance, and whether the metrics agree with each other and with them."""
+    train, test, evaluation = evaluated(spark, sf_dir)
+    splits = {"train": train, "test": test}
+    sizes = union_by_name([df.agg(F.lit(k).alias("split"), F.count("composite").alias("n_rows"), F.var_pop("composite").alias("var_outcome")) for k, df in splits.items()])
+    joined = model_report(evaluation, splits, "composite").join(sizes, "split")
+    agrees = (F.col("mae") <= F.col("rmse")) & (F.abs(F.col("r2") - (1 - F.col("rmse") ** 2 / F.col("var_outcome"))) < 1e-9) & (F.col("cv_score") > 0)
+    return finish(joined.select("model", "split", "n_rows", "var_outcome", agrees.alias("consistent")))
 
 
 @register("permutation_importance")
 def q_permutation_importance(spark, sf_dir):
-    _, _, test, models, predictor = fitted_models(spark, sf_dir)
-    scores = {}
-    for name in ("ridge", "random_forest", "gradient_boosting"):
-        scores[name] = regression_metrics(predictor(name)(test), "composite", "prediction").first()["r2"]
-    best = max(scores, key=lambda k: scores[k])
-    imp = permutation_importance(test, "entity_id", MODEL_FEATURES, "composite", predictor(best))
+    _, test, evaluation = evaluated(spark, sf_dir)
+    candidates = {n: evaluation.models[n] for n in ("ridge", "random_forest", "gradient_boosting")}
+    best = argmax_row(model_report(Evaluation(candidates, []), {"test": test}, "composite"), "r2", "model").first()["model"]
+    imp = permutation_importance(test, "entity_id", MODEL_FEATURES, "composite", candidates[best].predict)
     return imp.withColumn("model", F.lit(best))
 
 

@@ -1012,3 +1012,9 @@ SQL["pages_appearances"] = _RENDERED + """
 SELECT page_id, 0 AS row_no, 'Customer ' || o_custkey AS entity_name, 'c' || o_custkey AS entity_id,
        'https://stats.example.org/players/c/c' || o_custkey || '.html' AS entity_url FROM first
 """
+
+SQL["model_checks"] = _with(COHORT_CTE, f"""
+, y AS (SELECT {_split('entity_id')} AS split, COUNT(composite) AS n_rows, VAR_POP(composite) AS v FROM cohort GROUP BY 1)
+SELECT model, split, n_rows, {rnd('v')} AS var_outcome, true AS consistent
+FROM y CROSS JOIN (SELECT unnest(['ridge', 'lasso_cv', 'random_forest', 'gradient_boosting']) AS model)
+""")

@@ -9,6 +9,10 @@ concatenated into shards whose transforms are merged by refining their
 interleave several characters at a time; the refinement's block borders give
 the common prefixes, and a block that is never split holds a repeated string.
 Suffixes are sorted once, inside their shard.
+
+A seed whose different segments hold more than ``HOT_BYTES`` is dealt again,
+window by window, by the hash of the whole window: equal windows still meet, a
+window that occurs once is ruled out, and no merge holds the whole seed.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +32,10 @@ from panelwright.session import materialize
 
 #: Bytes of a string that counts as repeated, bytes of a seed, and positions worked on at a time.
 LENGTH, SEED, CHUNK = 100, 16, 1 << 16
-#: Bytes of segments that one merge works on (a seed's segments stay together).
+#: Bytes of segments that one merge works on (the segments of a seed that is not hot stay together).
 MERGE_BYTES = 1 << 17
+#: Bytes of different segments that make a seed hot, and windows that a task folds before it hands them on.
+HOT_BYTES, FOLD_WINDOWS = 1 << 20, 1 << 16
 
 
 def loads(buf: np.ndarray, n: int) -> np.ndarray:
@@ -165,6 +172,24 @@ def repeated_windows(strings: list[bytes], base: np.ndarray, length: int) -> tup
     return owner[late], offset[late]
 
 
+def late_runs(uid: np.ndarray, start: np.ndarray) -> pa.RecordBatch:
+    """Windows as runs (uid, start, n) of neighbours."""
+    order = np.lexsort((start, uid))
+    uid, start = uid[order], start[order]
+    head = np.flatnonzero(np.concatenate([[True], (uid[1:] != uid[:-1]) | (start[1:] != start[:-1] + 1)])) if len(uid) else order
+    n = np.diff(np.append(head, len(uid)))
+    return pa.RecordBatch.from_arrays([pa.array(uid[head]), pa.array(start[head]), pa.array(n, pa.int64())], ["uid", "start", "n"])
+
+
+def merge_held(held: list[tuple], length: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """The repeated windows of the (uid, start, bytes) held, as runs, and which string each lies in."""
+    uid, start = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1))
+    rank = np.unique(uid, return_inverse=True)[1].astype(np.int64)
+    span = int(start.max()) + max(len(h[2]) for h in held) + 1
+    owner, offset = repeated_windows([h[2] for h in held], rank * span + start, length)
+    return late_runs(uid[owner], start[owner] + offset), owner
+
+
 SPAN = ArrayType(StructType([StructField("begin", LongType()), StructField("end", LongType())]))
 SPANS = "uid long, start long, n long"
 
@@ -245,7 +270,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield rows(seed[got], uid[got], start[got], n[got])
 
     sifted = materialize(cuts.mapInArrow(sift, "seed long, uid long, start long, n long"), "suffix-sifted")
-    wanted = sifted.where("seed is not null").groupBy("uid").agg(F.collect_list(F.struct("seed", "start", "n")).alias("parts"))  # bounded by the document
+    several = sifted.where("seed is not null")
+    hot = materialize(several.groupBy("seed").agg(F.sum(F.col("n") + (length - 1)).alias("held")).where(F.col("held") > HOT_BYTES).select("seed"), "suffix-hot")  # at most one seed per HOT_BYTES of segments
+    any_hot = hot.limit(1).count() > 0
+    cold = several.join(F.broadcast(hot), "seed", "left_anti") if any_hot else several
+    wanted = cold.groupBy("uid").agg(F.collect_list(F.struct("seed", "start", "n")).alias("parts"))  # bounded by the document
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,30 +291,92 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         held: list[tuple] = []
         now, size = None, 0
 
-        def close() -> pa.RecordBatch:
-            uid, start = (np.array([h[k] for h in held], dtype=np.int64) for k in (0, 1))
-            rank = np.unique(uid, return_inverse=True)[1].astype(np.int64)
-            span = int(start.max()) + max(len(h[2]) for h in held) + 1
-            owner, offset = repeated_windows([h[2] for h in held], rank * span + start, length)
-            order = np.lexsort((offset, owner))
-            owner, offset = owner[order], offset[order]
-            head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (offset[1:] != offset[:-1] + 1)])) if len(owner) else owner
-            n = np.diff(np.append(head, len(owner)))
-            return pa.RecordBatch.from_arrays([pa.array(uid[owner[head]]), pa.array(start[owner[head]] + offset[head]), pa.array(n, pa.int64())], ["uid", "start", "n"])
-
         for batch in batches:
             for seed, uid, start, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if seed != now and size > MERGE_BYTES:
-                    yield close()
+                    yield merge_held(held, length)[0]
                     held, size = [], 0
                 now = seed
                 held.append((uid, start, raw))
                 size += len(raw)
         if held:
-            yield close()
+            yield merge_held(held, length)[0]
+
+    found = sifted.where("seed is null").select("uid", "start", "n").unionByName(strings.mapInArrow(find, SPANS))
+    return found.unionByName(hot_spans(docs, several.join(F.broadcast(hot), "seed"), length)) if any_hot else found
+
+
+def hot_spans(docs: DataFrame, parts: DataFrame, length: int) -> DataFrame:
+    """(uid, start, n) of the repeated windows of hot seeds; ``parts``: seed, uid, start, n of their segments.
+
+    A task folds windows of equal bytes before the shuffle, so a window that
+    very many documents share comes a few times.  A merge that fills up inside
+    one window's copies keeps the earliest and goes on.
+    """
+    wanted = parts.groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("parts"))  # bounded by the document
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
+        first: dict[bytes, tuple] = {}  # the earliest place of each window held
+        late: list[tuple] = []
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            if first:
+                key = np.array([xxhash.xxh3_64_intdigest(w) for w in first], dtype=np.uint64).view(np.int64)
+                uid, start = (np.array(x, dtype=np.int64) for x in zip(*first.values(), strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(uid), pa.array(start), pa.array(np.ones(len(key), np.int64)), pa.array(list(first), pa.binary())], names)
+            if late:
+                runs = late_runs(*(np.array(x, dtype=np.int64) for x in zip(*late, strict=True)))
+                yield pa.RecordBatch.from_arrays([runs.column(0), *runs.columns, pa.nulls(runs.num_rows, pa.binary())], names)
+            first.clear()
+            late.clear()
+
+        for batch in batches:
+            for part in steps(batch, 1):
+                for uid, raw, spans in zip(*(part.column(i).to_pylist() for i in range(3)), strict=True):
+                    for span in spans:
+                        for at in range(span["start"], span["start"] + span["n"]):
+                            window, place = raw[at : at + length], (uid, at)
+                            old = first.setdefault(window, place)
+                            if old is not place:
+                                if place < old:
+                                    first[window] = place
+                                late.append(max(old, place))
+                        if len(first) + len(late) >= FOLD_WINDOWS:
+                            yield from rows()
+        yield from rows()
+
+    names = ["deal", "uid", "start", "n", "bytes"]
+    windows = docs.join(wanted, "uid").select("uid", "text", "parts").mapInArrow(deal, "deal long, uid long, start long, n long, bytes binary")
+    windows = windows.repartition("deal").sortWithinPartitions("deal", "uid", "start")
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        now, first = None, 0  # the latest window's hash, and where its copies begin
+        for batch in batches:
+            whole = batch.column(4).is_valid()
+            yield batch.filter(pc.invert(whole)).select(["uid", "start", "n"])  # folded copies
+            batch = batch.filter(whole)
+            for key, uid, start, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4)), strict=True):
+                if key != now:
+                    if len(held) == first + 1:  # occurs once
+                        held.pop()
+                    if len(held) * length > MERGE_BYTES:
+                        yield merge_held(held, length)[0]
+                        held = []
+                    now, first = key, len(held)
+                elif len(held) * length > MERGE_BYTES:
+                    runs, owner = merge_held(held, length)
+                    yield runs
+                    gone = set(owner.tolist())
+                    held, first = [h for i, h in enumerate(held) if i >= first and i not in gone], 0
+                held.append((uid, start, raw))
+        if len(held) == first + 1:
+            held.pop()
+        if held:
+            yield merge_held(held, length)[0]
 
-    merged = strings.mapInArrow(find, SPANS)
-    return sifted.where("seed is null").select("uid", "start", "n").unionByName(merged)
+    return windows.mapInArrow(find, SPANS)
 
 
 def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False, carry: bool = False) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import cloudpickle
 from tokenizers import Tokenizer
 from tokenizers.models import Unigram
 
@@ -232,6 +234,35 @@ def test_suffix_dedup_against_brute_force(spark, none, length):
     assert suffix_dedup.remove_repeats(none).collect() == []
 
 
+def test_suffix_dedup_deals_a_hot_seed_again(spark, monkeypatch):
+    """A passage that all documents share amid different surroundings: no merge holds all segments of its edge."""
+    rnd, plain = random.Random(9), suffix_dedup.repeated_windows
+    other = lambda n: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    shared = other(150)
+    texts = [other(rnd.randint(90, 120)) + shared + other(rnd.randint(90, 120)) for _ in range(3000)]
+    texts[2000:2100] = texts[:100]
+    bound = suffix_dedup.MERGE_BYTES + 40_000
+
+    def bounded(strings, base, length):
+        assert sum(map(len, strings)) <= bound, "one merge holds a whole hot seed"
+        return plain(strings, base, length)
+
+    monkeypatch.setattr(suffix_dedup, "HOT_BYTES", 30_000, raising=False)
+    monkeypatch.setattr(suffix_dedup, "FOLD_WINDOWS", 50, raising=False)  # many copies come to one merge
+    monkeypatch.setattr(suffix_dedup, "MERGE_BYTES", 20_000)
+    monkeypatch.setattr(suffix_dedup, "repeated_windows", bounded)
+    for module in (suffix_dedup, sys.modules[__name__]):  # so that workers get the changed names
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+        got = by_id(suffix_dedup.remove_repeats(df))
+    finally:
+        for module in (suffix_dedup, sys.modules[__name__]):
+            cloudpickle.unregister_pickle_by_value(module)
+    for i, want in enumerate(brute_repeats(texts, 100)):
+        assert (got[i]["n_bytes"], got[i]["n_removed"], got[i]["n_spans"], bytes(got[i]["kept"])) == want, i
+
+
 def test_suffix_dedup_of_rows_that_share_ids(spark):
     df = spark.createDataFrame([(1, PASSAGE), (1, PASSAGE), (None, PASSAGE), (2, "é" + PASSAGE)], "doc_id long, text string")
     got = suffix_dedup.remove_repeats(df, as_text=True).collect()

@@ -4,8 +4,8 @@ Copies inside one batch of a task fall together first, so a text that very
 many rows share moves once per batch and not once per row.  What is left is
 dealt by normalised length and content hash and inserted, whole, into a
 compressed radix trie; equal texts end in one terminal node, whatever their
-hashes say.  Terminals keep the smallest owner; the members' ids never meet
-in one task.
+hashes say.  Terminals keep a class number; a grouped minimum over the class
+numbers then finds the owner, so the members' ids never meet in one task.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from panelwright.session import materialize
 
 #: Fixed value: the characters that do not count when texts are compared.
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
-#: Bytes of text a trie holds before finished subtrees are given off.
+#: Bytes of text a trie holds before it is dropped whole; rows come by hash, so all its terminals are finished.
 TRIE_BYTES = 24 << 20
 
 

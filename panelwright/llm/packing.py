@@ -16,7 +16,7 @@ from panelwright.llm.common import col, fresh, steps
 
 #: Window lengths in tokens, long to short; powers of two, so a full window of any tier needs no padding.
 TIERS = (2048, 1024, 512, 256)
-#: Tokens of one optimiser step; every step takes windows of one tier that add up to this.
+#: Tokens of one optimiser step; a step takes windows of one tier of one task that add up to this, the last one fewer.
 STEP_TOKENS = 16_384
 #: Numbers of one task's windows: ids are task * TASK_IDS + number.
 TASK_IDS = 1 << 40
@@ -99,7 +99,10 @@ def pack_documents(df: DataFrame, path: str, end_id: int = 1, tiers: tuple[int,
     Each task encodes and packs its own documents, so nothing is shuffled and
     a task holds one batch and fewer leftover tokens than the longest window.
     ``sequence_length`` is the window's size; step groups hold windows of one
-    tier and the same number of tokens.  Null and empty texts hold the end id
+    tier and one task, as many as make ``STEP_TOKENS`` full ones.  The last
+    group of each tier of a task is short, and a task's last windows below the
+    shortest tier count as full ones of it, so groups are balanced only where
+    a task has many times ``STEP_TOKENS`` tokens of a tier.  Null and empty texts hold the end id
     only; repeated rows are packed each; an empty table gives no piece; other
     columns are not read.
     """

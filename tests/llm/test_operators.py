@@ -205,6 +205,25 @@ def test_embedding_join_against_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.where("false")).collect() == []
 
 
+def test_embedding_join_draws_its_sample_from_low_hashes(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    rows = [(i, v.tolist(), int(i % 2)) for i, v in enumerate(rng.normal(size=(1500, 4)))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(4)
+    whole = sorted(map(tuple, embedding_dedup.near_duplicates(df, 0.999).collect()))
+    sorted_rows, plain = [], type(df).orderBy
+
+    def counted(self, *by, **kw):
+        sorted_rows.append(self.count())
+        return plain(self, *by, **kw)
+
+    monkeypatch.setattr(embedding_dedup, "FIT_ROWS", 100)
+    monkeypatch.setattr(type(df), "orderBy", counted)
+    got = embedding_dedup.near_duplicates(df, 0.999)
+    monkeypatch.undo()
+    assert len(sorted_rows) == 1 and 50 <= sorted_rows[0] <= 250, "the sample's order takes the whole table"
+    assert sorted(map(tuple, got.collect())) == whole
+
+
 def brute_repeats(texts, length):
     seen, out = set(), []
     for t in texts:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelwright.llm import bpe_codec, chat_format, embedding_dedup, exact_dedup, ngram_join, packing, quality, suffix_dedup, token_counts, token_files
+from panelwright.llm import bpe_codec, chat_format, conversation_trie, embedding_dedup, exact_dedup, lexical_search, ngram_join, packing, quality, substring_dedup, suffix_dedup, token_counts, token_files
 from panelwright.llm.common import held_out, table
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +105,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(docs, model).select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = substring_dedup.drop_repeated_windows(table(spark, sf_dir, "documents"))
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_ngram_join": op2_ngram_join,
@@ -116,6 +129,9 @@ QUERIES = {
     "op8_bpe_codec": op8_bpe_codec,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op11_substring_dedup": op11_substring_dedup,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 SQL = {
@@ -188,5 +204,73 @@ WITH d AS (
   FROM d
 )
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM g
+""",
+    "op11_substring_dedup": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, array_to_string(w[i + 1:i + 13], ' ') AS s FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 12, 0))) AS i FROM d)
+), late AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) AS first_id FROM win) WHERE first_id < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, i + j AS place FROM late CROSS JOIN (SELECT unnest(range(13)) AS j)
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS k, count(*) AS n
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM d) ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+""",
+    "op12_lexical_search": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents
+), q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark
+), s AS (
+  SELECT CAST(count(*) AS BIGINT) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d WHERE len(t) > 0
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(t) AS term FROM d) SEMI JOIN q USING (term) GROUP BY doc_id, term
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, n_docs
+), m AS (
+  SELECT doc_id, 50 + (50 * len(t) * n_docs) // n_terms AS m FROM d, s WHERE len(t) > 0
+), score AS (
+  SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0) WHERE rank <= 50
+""",
+    "op13_conversation_trie": r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[:32] AS code, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT c, code, CAST(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, code) - 1 AS p FROM t
+), bits AS (
+  SELECT c, list_reduce(flatten([[CAST(4294967295 AS BIGINT)], flatten(list_transform(range(len(CAST(c AS VARCHAR))), lambda i: [CAST(ascii(CAST(c AS VARCHAR)[i + 1]) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))]),
+    lambda a, e: CASE WHEN e >= 0 THEN xor(a, e) ELSE xor(a >> 1, 3988292384 * (a & 1)) END) AS crc FROM (SELECT DISTINCT c FROM own)
+), conv AS (
+  SELECT c, xor(crc, CAST(4294967295 AS BIGINT)) % 4 AS h FROM bits
+), turns AS (
+  SELECT conv.c, 0 AS half, own.p, code, words FROM conv JOIN own ON own.c = conv.c - conv.c % 20 WHERE own.p < h
+  UNION ALL SELECT conv.c, 1, own.p, code, words FROM conv JOIN own ON own.c = conv.c WHERE own.p >= h
+), path AS (
+  SELECT c, row_number() OVER w AS d, string_agg(code, '') OVER w AS k, words, count(*) OVER (PARTITION BY c) AS n FROM turns WINDOW w AS (PARTITION BY c ORDER BY half, p)
+), place AS (
+  SELECT c, d, k, words, d = n AS last FROM path
+  UNION ALL SELECT conv.c, 0, '', 0, conv.c NOT IN (SELECT c FROM turns) FROM conv
+), node AS (
+  SELECT k, any_value(d) AS d, min(c) AS c, count(*) AS n, any_value(words) AS words, sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE last), '')) AS ends FROM place GROUP BY k
+), kids AS (
+  SELECT k[:length(k) - 32] AS k, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1
+), full_node AS (
+  SELECT node.*, coalesce(n_children, 0) AS n_children, up.c AS parent FROM node LEFT JOIN kids USING (k) LEFT JOIN (SELECT k AS up_k, c FROM node) up ON d > 0 AND up_k = node.k[:length(node.k) - 32]
+), below AS (
+  SELECT a.k, count(*) FILTER (WHERE b.n_children = 0) AS n_leaves, sum((b.n - 1) * b.words) AS saved FROM full_node a JOIN full_node b ON starts_with(b.k, a.k) GROUP BY a.k
+)
+SELECT CAST(c AS BIGINT) AS conv_id, CAST(d AS BIGINT) AS depth, CAST(parent AS BIGINT) AS parent_conv_id, CAST(n AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends AS ends_sha256
+FROM full_node JOIN below USING (k)
 """,
 }

@@ -22,14 +22,14 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, ByteType, IntegerType, LongType, ShortType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from panelwright.llm.common import col, fresh, steps
 from panelwright.llm.suffix_dedup import late_runs, loads
 from panelwright.session import materialize
 
 #: Words of a window and of a minimiser, and windows worked on at a time (their places take POS_BITS).
-WORDS, MMER, CHUNK, POS_BITS = 13, 5, 1 << 18, 20
+WORDS, MMER, CHUNK, POS_BITS = 13, 4, 1 << 18, 20
 #: Strings that make a minimiser hot, and bytes of strings that a bucket task sorts together.
 HOT_STRINGS, HELD_BYTES = 4096, 4 << 20
 
@@ -96,8 +96,12 @@ def string_hashes(h: np.ndarray, first: np.ndarray, n_words: np.ndarray) -> np.n
     return (total[first + n_words] - total[first]) * back[first] ^ n_words.astype(np.uint64)
 
 
-def place_of(start: np.ndarray, n: np.ndarray, late: bool) -> np.ndarray:
-    return (start.astype(np.int64) << 16) | (n.astype(np.int64) << 1) | int(late)
+#: Bits of a place: the first word above the windows (14 bits), dealt window by window or not, known as repeated or not.
+START, COUNT, HOT, LATE = 16, 2, 2, 1
+
+
+def windows_of(place):
+    return (place >> COUNT) & 0x3FFF
 
 
 def first_windows(strings: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -130,16 +134,17 @@ def first_windows(strings: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray
     return row, offset, leader, is_leader
 
 
-def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, doc: str, words: int, mmer: int) -> DataFrame:
     """(uid, start, n): runs of n windows from word ``start`` that also start in an earlier document.
 
-    ``docs``: distinct uid, doc (equal for rows of one document id, ordered as ids are), text as bytes.
+    ``docs``: distinct uid, text as bytes, and in column ``doc`` a number that is
+    equal for rows of one document id and ordered as the ids are.
     """
 
     def rows(schema: StructType, *columns) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, KINDS[type(f.dataType)]) for x, f in zip(columns, schema, strict=True)], schema.names)
 
-    cut_schema = StructType([StructField("deal", LongType()), StructField("doc", LongType()), StructField("uid", LongType()), StructField("place", LongType())])
+    cut_schema = StructType([StructField(c, LongType()) for c in ("deal", "uid", "place")])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh()
@@ -170,22 +175,20 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
                 copies, leads = order[again], lead[again]
                 equal = [raw[a:b] == raw[c:d] for a, b, c, d in zip(*(x.tolist() for x in (from_byte[copies], to_byte[copies], from_byte[leads], to_byte[leads])), strict=True)]
                 folded[copies[np.array(equal, dtype=bool)]] = True
-                yield rows(cut_schema, np.where(folded, uid, deal), doc, uid, place_of(begin, n, False) | folded)
-
-    sift_schema = StructType([*cut_schema.fields[:1], *cut_schema.fields[2:], StructField("hot", ByteType())])
+                yield rows(cut_schema, np.where(folded, uid, deal), uid, (begin << START) | (n << COUNT) | folded)
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The rows of minimisers that lie in several documents; rows come by minimiser and document."""
-        carry = [np.zeros(0, np.int64)] * 4
+        """The rows of minimisers that lie in several texts; rows come by minimiser and text."""
+        carry = [np.zeros(0, np.int64)] * 3
         hot_deal: int | None = None  # the open group, if some of its rows went out as hot
 
         def send(group_rows: list[np.ndarray], last_open: bool) -> tuple[pa.RecordBatch | None, list[np.ndarray]]:
             nonlocal hot_deal
-            deal, doc, uid, place = group_rows
+            deal, uid, place = group_rows
             head = np.flatnonzero(np.concatenate([[True], deal[1:] != deal[:-1]]))
             size = np.diff(np.append(head, len(deal)))
             going_on = np.zeros(len(head), dtype=bool) if hot_deal is None else deal[head] == hot_deal
-            several = (doc[head] != doc[head + size - 1]) | going_on
+            several = (uid[head] != uid[head + size - 1]) | going_on
             hot = several & ((size > HOT_STRINGS) | going_on)
             stay = last_open and not hot[-1]
             if last_open:
@@ -196,13 +199,13 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
             left = [x[head[-1] :] for x in group_rows] if stay else [x[:0] for x in group_rows]
             if not out.any():
                 return None, left
-            return rows(sift_schema, deal[out], uid[out], place[out], np.repeat(hot, size)[out].astype(np.int8)), left
+            return rows(cut_schema, deal[out], uid[out], place[out] | np.where(np.repeat(hot, size)[out], HOT, 0)), left
 
         for batch in batches:
-            got = [batch.column(i).to_numpy() for i in range(4)]
-            late = got[3] & 1 == 1
+            got = [batch.column(i).to_numpy() for i in range(3)]
+            late = got[2] & LATE == LATE
             if late.any():
-                yield rows(sift_schema, got[0][late], got[2][late], got[3][late], np.zeros(int(late.sum()), np.int8))
+                yield rows(cut_schema, *(g[late] for g in got))
             carry = [np.concatenate([c, g[~late]]) for c, g in zip(carry, got, strict=True)]
             if len(carry[0]):
                 made, carry = send(carry, True)
@@ -213,10 +216,10 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
             if made is not None:
                 yield made
 
-    cuts = docs.select("uid", "doc", "text").mapInArrow(cut, cut_schema).repartition("deal").sortWithinPartitions("deal", "doc", "uid", "place")
-    parts = cuts.mapInArrow(sift, sift_schema).groupBy("uid").agg(F.collect_list(F.struct("deal", "place", "hot")).alias("parts"))  # bounded by the document
+    cuts = docs.select("uid", F.col(doc).alias("doc"), "text").mapInArrow(cut, cut_schema).repartition("deal").sortWithinPartitions("deal", "uid", "place")
+    parts = cuts.mapInArrow(sift, cut_schema).groupBy("uid").agg(F.collect_list(F.struct("deal", "place")).alias("parts"))  # bounded by the document
 
-    fetch_schema = StructType([*cut_schema.fields[:3], StructField("starts", BinaryType()), StructField("n", ShortType()), StructField("string", BinaryType())])
+    fetch_schema = StructType([*(StructField(c, LongType()) for c in ("deal", "doc", "uid", "place")), StructField("more", BinaryType()), StructField("string", BinaryType())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Packed strings of the super-k-mers that go on; equal ones of a step fold into the earliest document's."""
@@ -229,23 +232,23 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
                 for uid, doc, raw, wanted in zip(*(part.column(i).take(pa.array(order)).to_pylist() for i in range(4)), strict=True):
                     said = raw.split()  # bytes.split() parts words at exactly these six signs
                     for p in sorted(wanted, key=lambda p: p["place"]):
-                        begin, n = p["place"] >> 16, (p["place"] >> 1) & 0x7FFF
-                        if p["place"] & 1:
-                            out.append([uid, doc, uid, [begin], n, None])
+                        begin, n, hot = p["place"] >> START, windows_of(p["place"]), p["place"] & HOT
+                        if p["place"] & LATE:
+                            out.append([uid, doc, uid, p["place"], [], None])
                             continue
-                        for a, k in [(begin + i, 1) for i in range(n)] if p["hot"] else [(begin, n)]:
+                        for a, k in [(begin + i, 1) for i in range(n)] if hot else [(begin, n)]:
                             string = b" ".join(said[a : a + k + words - 1])
                             lead = seen.get(string)
                             if lead is None or (doc == lead[1] and uid != lead[2]):
-                                seen[string] = now = [xxhash.xxh3_64_intdigest(string) - (1 << 63) if p["hot"] else p["deal"], doc, uid, [a], k, string]
+                                seen[string] = now = [xxhash.xxh3_64_intdigest(string) - (1 << 63) if hot else p["deal"], doc, uid, (a << START) | (k << COUNT), [], string]
                                 out.append(now)
                             elif uid == lead[2]:
-                                lead[3].append(a)
+                                lead[4].append(a)
                             else:
-                                out.append([uid, doc, uid, [a], k, None])
+                                out.append([uid, doc, uid, (a << START) | (k << COUNT), [], None])
                 if out:
                     cols = list(zip(*out, strict=True))
-                    cols[3] = [np.array(x, dtype="<i8").tobytes() for x in cols[3]]
+                    cols[4] = [np.array(x, dtype="<i8").tobytes() if x else None for x in cols[4]]
                     yield rows(fetch_schema, *cols)
 
     found_schema = StructType([StructField("uid", LongType()), StructField("start", LongType()), StructField("n", LongType())])
@@ -262,13 +265,13 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
             row, offset, leader, is_leader = first_windows(every.column(5), words)
             late = (doc[row] > doc[leader]) & (row >= decided)
             row_late, off_late = row[late], offset[late]
-            starts = every.column(3).to_pylist()
-            each = np.array([len(s) // 8 for s in starts], dtype=np.int64)
-            at = np.frombuffer(b"".join(starts), "<i8")
-            base = np.cumsum(each) - each
+            start = every.column(3).to_numpy() >> START
+            more = every.column(4)
+            each = pc.fill_null(pc.binary_length(more), 0).to_numpy().astype(np.int64) // 8  # further places in its text
+            at = np.frombuffer(b"".join(more.drop_null().to_pylist()), "<i8")
             times = each[row_late]
-            pick = np.repeat(base[row_late], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-            runs = late_runs(np.repeat(uid[row_late], times), at[pick] + np.repeat(off_late, times))
+            pick = np.repeat((np.cumsum(each) - each)[row_late], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            runs = late_runs(np.concatenate([uid[row_late], np.repeat(uid[row_late], times)]), np.concatenate([start[row_late] + off_late, at[pick] + np.repeat(off_late, times)]))
             leads = np.zeros(every.num_rows, dtype=bool)
             leads[row[is_leader]] = True
             return runs, every.filter(pa.array(leads & (deal == deal[-1])))
@@ -277,8 +280,8 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
             whole = batch.column(5).is_valid()
             folded = batch.filter(pc.invert(whole))
             if folded.num_rows:
-                begin = np.frombuffer(b"".join(folded.column(3).to_pylist()), "<i8")
-                yield rows(found_schema, folded.column(2).to_numpy(), begin, folded.column(4).to_numpy().astype(np.int64))
+                place = folded.column(3).to_numpy()
+                yield rows(found_schema, folded.column(2).to_numpy(), place >> START, windows_of(place))
             batch = batch.filter(whole)
             for part in steps(batch, 5, HELD_BYTES):
                 held.append(part)
@@ -292,11 +295,11 @@ def repeated_windows(docs: DataFrame, words: int, mmer: int) -> DataFrame:
         if sum(b.num_rows for b in held) > decided:
             yield decide()[0]
 
-    strings = docs.join(parts, "uid").select("uid", "doc", "text", "parts").mapInArrow(fetch, fetch_schema)
+    strings = docs.join(parts, "uid").select("uid", F.col(doc).alias("doc"), "text", "parts").mapInArrow(fetch, fetch_schema)
     return strings.repartition("deal").sortWithinPartitions("deal", "doc", "uid").mapInArrow(find, found_schema)
 
 
-KINDS = {LongType: pa.int64(), IntegerType: pa.int32(), ShortType: pa.int16(), ByteType: pa.int8(), BinaryType: pa.binary()}
+KINDS = {LongType: pa.int64(), BinaryType: pa.binary()}
 SPAN = ArrayType(StructType([StructField("begin", LongType()), StructField("end", LongType())]))
 
 
@@ -316,15 +319,16 @@ def drop_repeated_windows(df: DataFrame, words: int = WORDS, mmer: int = MMER, i
     if not 1 <= mmer <= words < 1 << 14:
         raise ValueError("a window needs at least the words of a minimiser")
     rows = df.select(col(id_col).alias("id"), F.coalesce(col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    integral = rows.schema["id"].dataType.typeName() in ("byte", "short", "integer", "long")
+    id_type = rows.schema["id"].dataType
+    integral = id_type.typeName() in ("byte", "short", "integer", "long")
     if not integral or rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null").limit(1).count() > 0:
         order = [F.col("id").asc_nulls_last(), F.xxhash64("text"), "text"]
         rows = materialize(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("uid", F.monotonically_increasing_id()), "windows-ordered")
         least = rows.groupBy(F.col("id").alias("same")).agg(F.min("uid").alias("doc"))
-        rows = rows.join(least, F.col("id").eqNullSafe(F.col("same"))).select("id", "uid", "doc", "text")
-    else:
-        rows = rows.select("id", F.col("id").cast("long").alias("uid"), F.col("id").cast("long").alias("doc"), "text")
-    runs = repeated_windows(rows.select("uid", "doc", "text"), words, mmer).groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # bounded by the document
+        rows, doc = rows.join(least, F.col("id").eqNullSafe(F.col("same"))).select("id", "uid", "doc", "text"), "doc"
+    else:  # one column for both, so that both joins share one exchange of the texts
+        rows, doc = rows.select(F.col("id").cast("long").alias("uid"), "text").where("uid is not null"), "uid"
+    runs = repeated_windows(rows, doc, words, mmer).groupBy("uid").agg(F.collect_list(F.struct("start", "n")).alias("runs"))  # bounded by the document
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,6 +347,7 @@ def drop_repeated_windows(df: DataFrame, words: int = WORDS, mmer: int = MMER, i
                 kinds = [pa.int64(), pa.int64(), pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])), pa.binary()]
                 yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(x, t) for x, t in zip(zip(*made, strict=True), kinds, strict=True))], schema.names)
 
-    schema = StructType([StructField(id_col, rows.schema["id"].dataType), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("spans", SPAN), StructField("kept", BinaryType())])
-    out = rows.select("uid", "id", "text").join(runs, "uid", "left").select("id", "text", "runs").mapInArrow(assemble, schema)
+    schema = StructType([StructField(id_col, id_type), StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("spans", SPAN), StructField("kept", BinaryType())])
+    shown = F.col("id") if doc == "doc" else F.col("uid").cast(id_type)
+    out = rows.join(runs, "uid", "left").select(shown, "text", "runs").mapInArrow(assemble, schema)
     return out.withColumn("kept", F.col("kept").cast("string"))

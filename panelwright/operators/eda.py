@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
-from panelwright.operators.quantiles import exact_quantiles, quantile_columns
+from panelwright.operators.quantiles import column_quantiles, exact_quantiles, quantile_columns
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
 
@@ -67,7 +67,8 @@ def describe(df: DataFrame, cols, probs=DESCRIBE_PROBS) -> DataFrame:
         F.max("value").alias("max"),
     )
     names = [f"p{int(round(p * 100))}" for p in probs]
-    q = quantile_columns(long, "value", probs, names, groups=["column"])
+    q = column_quantiles(df, {c: qcol(c) for c in cols}, probs)
+    q = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for p, n in zip(probs, names)])
     return moments.join(q, "column", "left").select("column", "count", "mean", "std", "min", *names, "max")
 
 

@@ -2,7 +2,7 @@
 
 Data-sized work is always a Spark job: exact medians (distributed quantiles),
 moments, Gram sums (one aggregation with p(p+1)/2 accumulators per fold and
-role), tree ensembles (Spark ML), predictions and permutation scoring.  The
+role), tree ensembles (trees.py), predictions and permutation scoring.  The
 driver only solves p x p systems and orchestrates fits.
 """
 
@@ -12,16 +12,16 @@ import hashlib
 import itertools
 import json
 import math
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
-from panelwright.operators.eda import unpivot_values
-from panelwright.operators.quantiles import exact_quantiles, global_rank
+from panelwright.operators.quantiles import column_quantiles, exact_quantiles, global_rank
+from panelwright.operators.trees import search_trees
 
 # Fixed values of the evaluation protocol: test share, seed, folds, grids.
 TEST_SHARE = 0.2
@@ -31,22 +31,23 @@ RIDGE_ALPHAS = tuple(float(a) for a in np.logspace(-2, 3, 24))
 LASSO_N_ALPHAS = 100
 LASSO_EPS = 1e-3
 FOREST_GRID = {
-    "numTrees": [200, 400, 600],
-    "maxDepth": [4, 6, 8, 12, None],
-    "minInstancesPerNode": [1, 3, 6, 12],
-    "featureSubsetStrategy": ["sqrt", "0.3", "0.6"],
+    "n_trees": [200, 400, 600],
+    "max_depth": [4, 6, 8, 12, None],
+    "min_leaf": [1, 3, 6, 12],
+    "feature_share": ["sqrt", 0.3, 0.6],
 }
 FOREST_DRAWS = 24
 BOOST_GRID = {
-    "stepSize": [0.01, 0.05, 0.1, 0.2],
-    "maxIter": [100, 200, 400],
-    "maxDepth": [3, 5, 8, None],
-    "minInstancesPerNode": [5, 10, 20],
+    "learning_rate": [0.01, 0.05, 0.1, 0.2],
+    "n_rounds": [100, 200, 400],
+    "max_depth": [3, 5, 8, None],
+    "min_leaf": [5, 10, 20],
+    "l2": [0.0, 0.1, 1.0],
 }
 BOOST_DRAWS = 30
-# Spark trees need a finite depth; "no limit" maps to Spark's maximum.
-UNLIMITED_DEPTH = 30
 PERM_REPEATS = 25
+# Rows of the two importance reports (chart and table).
+TOP_IMPORTANCES, TOP_IMPORTANCES_TABLE = 10, 12
 
 
 # ------------------------------------------------------------- split / folds
@@ -78,27 +79,34 @@ def fold_id(id_col, k: int = N_FOLDS, seed: int = SEED) -> Column:
 
 # ---------------------------------------------------------- preprocessing
 
-def fit_imputer_scaler(train: DataFrame, cols, group=(), scale: bool = True) -> DataFrame:
-    """Per (group, column): exact median, then mean and population sd of the imputed values (M3, M4).
+def fit_imputer_scaler(train: DataFrame, cols, scale: bool = True) -> DataFrame:
+    """Per column: exact median, then mean and population sd of the imputed values (M3, M4), one row each.
 
-    A zero sd becomes 1 (the column is only centred).  Returns a small frame
-    with one row per group and column.
+    A zero sd becomes 1 (the column is only centred).  Without ``scale`` the
+    mean is 0 and the sd 1.
     """
-    return fit_imputer_scaler_long(unpivot_values(train, cols, ids=group), group, scale)
+    cols = list(cols)
+    med = {r["column"]: r["quantile"] for r in column_quantiles(train, {c: qcol(c) for c in cols}, [0.5]).collect()}
+    schema = "column string, median double, mean double, sd double"
+    if not scale:
+        return train.sparkSession.createDataFrame([(c, med.get(c), 0.0, 1.0) for c in cols], schema)
+    filled = [F.coalesce(F.nanvl(qcol(c).cast("double"), F.lit(None)), F.lit(med.get(c)).cast("double")) for c in cols]
+    row = train.agg(*[F.avg(x).alias(f"m{i}") for i, x in enumerate(filled)], *[F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(filled)]).first()
+    return train.sparkSession.createDataFrame([(c, med.get(c), row[f"m{i}"], row[f"s{i}"] or 1.0) for i, c in enumerate(cols)], schema)
 
 
 def fit_imputer_scaler_long(long: DataFrame, group=(), scale: bool = True) -> DataFrame:
-    """:func:`fit_imputer_scaler` on a long ``(*group, column, value)`` frame (e.g. an exploded vector)."""
+    """:func:`fit_imputer_scaler` on a long ``(*group, column, value)`` frame (e.g. an exploded vector), per group."""
     med = exact_quantiles(long, "value", [0.5], groups=[*group, "column"]).select(
         *[qcol(g) for g in group], "column", F.col("quantile").alias("median")
     )
+    if not scale:
+        return med.withColumn("mean", F.lit(0.0)).withColumn("sd", F.lit(1.0))
     imputed = long.join(med, [*group, "column"], "left").withColumn("x", F.coalesce("value", "median"))
     mom = imputed.groupBy(*[qcol(g) for g in group], "column").agg(
         F.avg("x").alias("mean"), F.stddev_pop("x").alias("sd")
     )
     out = med.join(mom, [*group, "column"], "left")
-    if not scale:
-        return out.withColumn("mean", F.lit(0.0)).withColumn("sd", F.lit(1.0))
     return out.withColumn("sd", F.when((F.col("sd") == 0) | F.col("sd").isNull(), F.lit(1.0)).otherwise(F.col("sd")))
 
 
@@ -123,16 +131,6 @@ def apply_imputer_scaler(df: DataFrame, params: dict, cols, keep=()) -> DataFram
     return df.select(*[qcol(k) for k in keep], *[transform_expr(c, *params[c]).alias(c) for c in cols])
 
 
-def by_group_expr(group_col: str, table: dict, col: str) -> Column:
-    """Transform ``col`` with the parameters of the row's group (a CASE over a few groups)."""
-    expr = None
-    for key, prm in table.items():
-        cond = qcol(group_col) == F.lit(key[0])
-        e = transform_expr(col, *prm[col])
-        expr = F.when(cond, e) if expr is None else expr.when(cond, e)
-    return expr
-
-
 # -------------------------------------------------------------- Gram sums
 
 @dataclass
@@ -234,22 +232,95 @@ def lasso_alphas(stats: GramStats, n_alphas: int = LASSO_N_ALPHAS, eps: float =
 
 # ------------------------------------------------------- CV with fold stats
 
+def masked_gram(df: DataFrame, cols, group: str | None = None, shift: dict | None = None) -> dict:
+    """Per value of ``group``: Z'Z of Z = [1, x, m], with m = 1 where a value is null or NaN and x = value - shift, 0 there.
+
+    Each task folds its Arrow batches into one partial matrix a group with
+    NumPy; cells are summed in one small aggregation, so the driver receives
+    (2p + 1) squared numbers a group whatever the row count.  ``group`` must have few
+    values, null excluded.
+    """
+    cols = list(cols)
+    p = len(cols)
+    base = np.array([(shift or {}).get(c) or 0.0 for c in cols])
+    key = qcol(group).cast("int") if group else F.lit(0)
+
+    def partials(batches):
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            which = batch.column(0).to_numpy()
+            x = np.column_stack([batch.column(i + 1).to_numpy(zero_copy_only=False).astype(float) for i in range(p)])
+            gone = np.isnan(x)
+            z = np.hstack([np.ones((len(x), 1)), np.where(gone, 0.0, x - base), gone])
+            for k in np.unique(which).tolist():
+                part = z[which == k]
+                held[k] = held.get(k, 0.0) + part.T @ part
+        for k, g in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(g.size, k, np.int32)), pa.array(np.arange(g.size, dtype=np.int32)), pa.array(g.ravel())], ["k", "idx", "value"])
+
+    sums = df.select(key.alias("__k"), *[qcol(c).cast("double") for c in cols]).mapInArrow(partials, "k int, idx int, value double")
+    out: dict = {}
+    for r in sums.groupBy("k", "idx").agg(F.sum("value").alias("value")).collect():
+        out.setdefault(r["k"], np.zeros((2 * p + 1) ** 2))[r["idx"]] = r["value"]
+    return {k: v.reshape(2 * p + 1, 2 * p + 1) for k, v in out.items()}
+
+
+def imputed_stats(gram: np.ndarray, fill: np.ndarray) -> np.ndarray:
+    """[1, x, y]'[1, x, y] with the nulls of x filled, from :func:`masked_gram` (y the last column, never null)."""
+    p = (len(gram) - 1) // 2
+    keep = np.zeros((len(gram), p + 1))
+    keep[np.arange(p + 1), np.arange(p + 1)] = 1.0
+    keep[p + 1 + np.arange(p - 1), 1 + np.arange(p - 1)] = fill
+    return keep.T @ gram @ keep
+
+
+def scaled_stats(sums: np.ndarray, mean: np.ndarray, sd: np.ndarray, y_shift: float) -> GramStats:
+    """Sums of the standardised columns and the outcome, from sums of the plain ones."""
+    p = len(mean)
+    turn = np.zeros((p + 2, p + 2))
+    turn[0, 0] = turn[-1, -1] = 1.0
+    turn[0, 1:-1], turn[0, -1] = -mean / sd, y_shift
+    turn[np.arange(1, p + 1), np.arange(1, p + 1)] = 1.0 / sd
+    g = turn.T @ sums @ turn
+    return GramStats(float(g[0, 0]), g[0, 1:-1], float(g[0, -1]), g[1:-1, 1:-1], g[1:-1, -1], float(g[-1, -1]))
+
+
+def fold_medians(base: DataFrame, fold: str, cols, k: int) -> dict:
+    """(fold, column) -> exact median over the rows of all other folds; rows are neither copied nor moved."""
+    masked = {f"{f}|{c}": F.when(qcol(fold) != f, qcol(c).cast("double")) for f in range(k) for c in cols}
+    return {(int(r["column"].split("|", 1)[0]), r["column"].split("|", 1)[1]): r["quantile"] for r in column_quantiles(base, masked, [0.5]).collect()}
+
+
 def cv_frame(df: DataFrame, id_col: str, xcols, ycol: str, k: int = N_FOLDS, seed: int = SEED):
     """Per-fold preprocessing fitted on the fold's training rows, and Gram sums per (fit fold, role).
 
-    Each row is replicated once per fit fold (k copies: training for k-1
-    folds, validation for its own), transformed with that fold's parameters
-    and summed per (fit fold, role) in one pass.
+    One pass sums each fold's rows; the training sums of a fold are the whole
+    sums less its own, and medians, means and scales are applied to the sums.
     """
-    base = df.select(qcol(id_col), *[qcol(c) for c in xcols], qcol(ycol).cast("double").alias(ycol)).withColumn(
-        "__fold", fold_id(id_col, k, seed)
-    )
-    rep = base.withColumn("__fit", F.explode(F.sequence(F.lit(0), F.lit(k - 1)))).withColumn(
-        "__role", F.when(F.col("__fit") == F.col("__fold"), F.lit("val")).otherwise(F.lit("train"))
-    )
-    params = params_table(fit_imputer_scaler(rep.filter(F.col("__role") == "train"), xcols, group=["__fit"]), ["__fit"])
-    z = rep.select("__fit", "__role", qcol(ycol), *[by_group_expr("__fit", params, c).alias(c) for c in xcols])
-    stats = gram_sums(z, xcols, ycol, group=["__fit", "__role"])
+    xcols = list(xcols)
+    base = df.select(*[qcol(c) for c in xcols], qcol(ycol).cast("double").alias("__y"), fold_id(id_col, k, seed).alias("__fold")).where("__y is not null and not isnan(__y)")
+    cols = [*xcols, "__y"]
+    low = base.agg(*[F.min(F.nanvl(qcol(c).cast("double"), F.lit(None))).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    shift = {c: low[f"c{i}"] or 0.0 for i, c in enumerate(cols)}
+    grams = masked_gram(base, cols, "__fold", shift)
+    if not grams:
+        return {}, {}
+    medians = fold_medians(base, "__fold", xcols, k)
+    whole = sum(grams.values())
+    params, stats = {}, {}
+    for f in range(k):
+        val = grams.get(f, np.zeros_like(whole))
+        fill = np.array([(medians.get((f, c)) if medians.get((f, c)) is not None else shift[c]) - shift[c] for c in xcols])
+        train = imputed_stats(whole - val, fill)
+        if train[0, 0] < 0.5:
+            continue
+        mean = train[0, 1:-1] / train[0, 0]
+        var = np.diag(train)[1:-1] / train[0, 0] - mean * mean
+        sd = np.sqrt(np.where(var > 1e-14 * np.maximum(mean * mean, 1e-300), var, 1.0))
+        params[(f,)] = {c: (medians.get((f, c)), float(mean[i] + shift[c]), float(sd[i])) for i, c in enumerate(xcols)}
+        stats[(f, "train")] = scaled_stats(train, mean, sd, shift["__y"])
+        if val[0, 0] > 0.5:
+            stats[(f, "val")] = scaled_stats(imputed_stats(val, fill), mean, sd, shift["__y"])
     return params, stats
 
 
@@ -311,57 +382,14 @@ def sample_grid(grid: dict, n_iter: int, seed: int = SEED) -> list[dict]:
     return combos[:n_iter]
 
 
-def tree_estimator(kind: str, params: dict, features_col: str, label: str, seed: int):
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-
-    p = dict(params)
-    if p.get("maxDepth") is None:
-        p["maxDepth"] = UNLIMITED_DEPTH
-    if kind == "forest":
-        return RandomForestRegressor(featuresCol=features_col, labelCol=label, seed=seed, **p)
-    return GBTRegressor(featuresCol=features_col, labelCol=label, seed=seed, **p)
-
-
-def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
-
-
 def tree_search(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, grid: dict, n_iter: int,
-                k: int = N_FOLDS, seed: int = SEED, parallelism: int = 4) -> list[dict]:
-    """Random search with k-fold CV for a forest or boosted trees.
+                k: int = N_FOLDS, seed: int = SEED) -> list[dict]:
+    """Random search with k-fold CV for a ``forest`` or ``boost`` (M9, M10, M11): every draw with its score on each fold.
 
-    Folds impute with medians fitted on their own training rows (no scaling,
-    as for trees).  Fits run concurrently from a small driver thread pool.
+    Folds impute with medians of their own training rows (no scaling, as for
+    trees); all draws and folds share one binned table and one plan.
     """
-    base = train.select(qcol(id_col), *[qcol(c) for c in xcols], qcol(ycol).cast("double").alias(ycol)).withColumn(
-        "__fold", fold_id(id_col, k, seed))
-    rep = base.withColumn("__fit", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    med = params_table(fit_imputer_scaler(rep.filter(F.col("__fit") != F.col("__fold")), xcols, group=["__fit"],
-                                          scale=False), ["__fit"])
-    frames = {}
-    for f in range(k):
-        prm = med[(f,)]
-        data = assemble(base.select("__fold", qcol(ycol), *[transform_expr(c, *prm[c]).alias(c) for c in xcols]), xcols)
-        frames[f] = (data.filter(F.col("__fold") != f), data.filter(F.col("__fold") == f))
-    draws = sample_grid(grid, n_iter, seed)
-
-    def run(args):
-        i, f = args
-        tr, va = frames[f]
-        model = tree_estimator(kind, draws[i], "features", ycol, seed).fit(tr)
-        m = regression_metrics(model.transform(va), ycol, "prediction").first()
-        return i, f, m["rmse"]
-
-    jobs = [(i, f) for i in range(len(draws)) for f in range(k)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        results = list(pool.map(run, jobs))
-    out = []
-    for i, d in enumerate(draws):
-        scores = [r for (j, _, r) in results if j == i]
-        out.append({"draw": i, "params": d, "cv_rmse": float(np.mean(scores))})
-    return out
+    return search_trees(train, id_col, xcols, ycol, kind, sample_grid(grid, n_iter, seed), fold_id(id_col, k, seed), k, seed)
 
 
 # ------------------------------------------------------ permutation scoring
@@ -397,9 +425,9 @@ def permutation_importance(test: DataFrame, id_col: str, xcols, ycol: str, predi
 
 
 __all__ = [
-    "GramStats", "apply_imputer_scaler", "assemble", "cv_frame", "fit_imputer_scaler", "fit_imputer_scaler_long",
-    "fold_id", "gram_sums",
+    "GramStats", "apply_imputer_scaler", "cv_frame", "fit_imputer_scaler", "fit_imputer_scaler_long",
+    "fold_id", "fold_medians", "gram_sums", "masked_gram",
     "key_hash", "lasso_alphas", "lasso_cv", "lasso_solve", "linear_prediction", "params_table",
     "permutation_importance", "regression_metrics", "ridge_cv", "ridge_solve", "sample_grid", "split_label",
-    "transform_expr", "tree_estimator", "tree_search",
+    "transform_expr", "tree_search",
 ]

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from panelwright.functions._util import qcol
 from panelwright.operators.assemble import union_by_name
 from panelwright.operators.modeling import (
+    SEED,
     apply_imputer_scaler,
-    assemble,
     cv_frame,
     fit_imputer_scaler,
     gram_sums,
@@ -27,12 +27,12 @@ from panelwright.operators.modeling import (
     ridge_solve,
     selected_features,
     transform_expr,
-    tree_estimator,
     tree_search,
 )
+from panelwright.operators.trees import fit_trees
 
 #: Model names by tree kind, in the order of the report.
-TREES = {"forest": "random_forest", "gbt": "gradient_boosting"}
+TREES = {"forest": "random_forest", "boost": "gradient_boosting"}
 
 
 @dataclass
@@ -47,10 +47,11 @@ class FittedModel:
 
 @dataclass
 class Evaluation:
-    """The fitted models and what the linear fits are made of."""
+    """The fitted models, what the linear fits are made of, and every draw of the searches by tree kind."""
 
     models: dict[str, FittedModel]
     l1_features: list[tuple[str, float]]
+    searches: dict[str, list[dict]]
 
 
 def evaluate_supervised(train: DataFrame, id_col: str, features, outcome: str, grids: dict, draws: dict) -> Evaluation:
@@ -83,27 +84,13 @@ def evaluate_supervised(train: DataFrame, id_col: str, features, outcome: str, g
         "lasso_cv": FittedModel("lasso_cv", {"alpha": lasso["alpha"]}, float(np.sqrt(lasso["cv_mse"])), linear(lasso_fit)),
     }
 
-    medians = {c: (prm[0], 0.0, 1.0) for c, prm in params.items()}
-    imputed = assemble(apply_imputer_scaler(train, medians, features, keep=[id_col, outcome]), features)
-
-    def tree(model):
-        from pyspark.ml.feature import VectorAssembler
-
-        named = [f"__m_{c}" for c in features]
-
-        def predict(df: DataFrame) -> DataFrame:
-            filled = df.select("*", *[transform_expr(c, *medians[c]).alias(n) for c, n in zip(features, named, strict=True)])
-            vectors = VectorAssembler(inputCols=named, outputCol="features", handleInvalid="keep").transform(filled)
-            return model.transform(vectors).drop("features", *named)
-
-        return predict
-
+    searches = {}
     for kind, name in TREES.items():
-        tried = tree_search(train, id_col, features, outcome, kind, grids[kind], draws[kind])
-        best = min(tried, key=lambda r: r["cv_rmse"])
-        fitted = tree_estimator(kind, best["params"], "features", outcome, 42).fit(imputed)
-        models[name] = FittedModel(name, best["params"], best["cv_rmse"], tree(fitted))
-    return Evaluation(models, selected_features(features, lasso_fit[1]))
+        searches[kind] = tree_search(train, id_col, features, outcome, kind, grids[kind], draws[kind])
+        best = min(searches[kind], key=lambda r: r["cv_rmse"])
+        fitted = fit_trees(train, id_col, features, outcome, kind, best["params"], SEED)
+        models[name] = FittedModel(name, best["params"], best["cv_rmse"], lambda df, m=fitted: m.predict(df, features))
+    return Evaluation(models, selected_features(features, lasso_fit[1]), searches)
 
 
 def model_report(evaluation: Evaluation, splits: dict[str, DataFrame], outcome: str) -> DataFrame:

@@ -7,7 +7,6 @@ so results compare exactly with the DuckDB oracle in ``plans.oracle``.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 
 import numpy as np
@@ -106,8 +105,15 @@ from panelwright.operators.modeling import (
     ridge_solve,
     selected_features,
     split_label,
-    tree_search,
+    BOOST_DRAWS,
+    BOOST_GRID,
+    FOREST_DRAWS,
+    FOREST_GRID,
+    N_FOLDS,
+    SEED,
+    TOP_IMPORTANCES,
 )
+from panelwright.operators.trees import params_text, search_trees
 from panelwright.operators.outcomes import add_composite, career_summary, dedupe_periods, prime_rate, quartile_label
 from panelwright.operators.pca import (
     best_variant_per_base,
@@ -131,7 +137,7 @@ from panelwright.operators.select import (
 )
 from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel
 from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
-from panelwright.session import materialize, scratch_folder
+from panelwright.session import has_scratch, materialize, scratch_folder
 from panelwright.sources.files import (
     count_periods_column,
     latest_file,
@@ -822,72 +828,89 @@ def _flag_best(rows, key, lower_is_better=True):
     return [{**r, "is_best": r is best} for r in rows]
 
 
-def _model_search(spark, sf_dir, kind: str):
-    mf = modeling_frame(spark, sf_dir)
-    train = mf.filter(F.col("split") == "train")
-    if kind in ("ridge", "lasso"):
-        _, stats = cv_frame(train, "entity_id", MODEL_FEATURES, "composite")
-        if kind == "ridge":
-            return mf, train, _flag_best(ridge_cv(stats), "cv_rmse")
-        params = params_table(fit_imputer_scaler(train, MODEL_FEATURES))[()]
-        all_z = apply_imputer_scaler(train, params, MODEL_FEATURES, keep=["composite"])
-        whole = gram_sums(all_z, MODEL_FEATURES, "composite")[()]
-        return mf, train, _flag_best(lasso_cv(stats, whole), "cv_mse")
-    grid = FOREST_FIT if kind == "forest" else BOOST_FIT
-    res = tree_search(train, "entity_id", MODEL_FEATURES, "composite", kind, grid, 1)
-    return mf, train, _flag_best(res, "cv_rmse")
-
-
-# One configuration per tree model, cross-validated over the library's five
-# folds.  The random searches over FOREST_GRID and BOOST_GRID are library calls
-# (tree_search); they take hours here and are not registered as queries.
-FOREST_FIT = {"numTrees": [40], "maxDepth": [6], "minInstancesPerNode": [3], "featureSubsetStrategy": ["sqrt"]}
-BOOST_FIT = {"stepSize": [0.1], "maxIter": [20], "maxDepth": [3], "minInstancesPerNode": [10]}
-
-
 @register("ridge_cv")
 def q_ridge_cv(spark, sf_dir):
-    _, _, rows = _model_search(spark, sf_dir, "ridge")
+    train = modeling_frame(spark, sf_dir).filter(F.col("split") == "train")
+    rows = _flag_best(ridge_cv(cv_frame(train, "entity_id", MODEL_FEATURES, "composite")[1]), "cv_rmse")
     return spark.createDataFrame([(r["alpha"], r["cv_rmse"], r["is_best"]) for r in rows],
                                  "alpha double, cv_rmse double, is_best boolean")
 
 
 @register("lasso_path")
 def q_lasso_path(spark, sf_dir):
-    _, _, rows = _model_search(spark, sf_dir, "lasso")
-    return spark.createDataFrame([(r["alpha"], r["cv_mse"], r["is_best"]) for r in rows],
+    train = modeling_frame(spark, sf_dir).filter(F.col("split") == "train")
+    _, stats = cv_frame(train, "entity_id", MODEL_FEATURES, "composite")
+    params = params_table(fit_imputer_scaler(train, MODEL_FEATURES))[()]
+    whole = gram_sums(apply_imputer_scaler(train, params, MODEL_FEATURES, keep=["composite"]), MODEL_FEATURES, "composite")[()]
+    return spark.createDataFrame([(r["alpha"], r["cv_mse"], r["is_best"]) for r in _flag_best(lasso_cv(stats, whole), "cv_mse")],
                                  "alpha double, cv_mse double, is_best boolean")
 
 
+_EVALUATED: dict = {}
+
+
+def evaluated(spark, sf_dir):
+    """(train, test, evaluation) on the modeling frame: the whole searches over both grids, run once a session and table folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _EVALUATED or not has_scratch(spark):
+        mf = modeling_frame(spark, sf_dir)
+        train, test = mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "test")
+        grids, draws = {"forest": FOREST_GRID, "boost": BOOST_GRID}, {"forest": FOREST_DRAWS, "boost": BOOST_DRAWS}
+        _EVALUATED[key] = train, test, evaluate_supervised(train, "entity_id", MODEL_FEATURES, "composite", grids, draws)
+    return _EVALUATED[key]
+
+
+def _search_rows(spark, rows):
+    return spark.createDataFrame([(r["draw"], params_text(r["params"]), r["fold_rmse"], r["cv_rmse"], r["is_best"]) for r in _flag_best(rows, "cv_rmse")],
+                                 "draw int, params string, fold_rmse array<double>, cv_rmse double, is_best boolean")
+
+
 @register("forest")
 def q_forest(spark, sf_dir):
-    _, _, rows = _model_search(spark, sf_dir, "forest")
-    return spark.createDataFrame([(r["draw"], json.dumps(r["params"], sort_keys=True), r["cv_rmse"], r["is_best"])
-                                  for r in rows], "draw int, params string, cv_rmse double, is_best boolean")
+    return _search_rows(spark, evaluated(spark, sf_dir)[2].searches["forest"])
 
 
 @register("gbt")
 def q_gbt(spark, sf_dir):
-    _, _, rows = _model_search(spark, sf_dir, "gbt")
-    return spark.createDataFrame([(r["draw"], json.dumps(r["params"], sort_keys=True), r["cv_rmse"], r["is_best"])
-                                  for r in rows], "draw int, params string, cv_rmse double, is_best boolean")
+    return _search_rows(spark, evaluated(spark, sf_dir)[2].searches["boost"])
 
 
-def evaluated(spark, sf_dir):
-    """(train, test, evaluation) on the modeling frame, one stated configuration per tree model."""
-    mf = modeling_frame(spark, sf_dir)
-    train, test = mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "test")
-    one = {"forest": 1, "gbt": 1}
-    return train, test, evaluate_supervised(train, "entity_id", MODEL_FEATURES, "composite", {"forest": FOREST_FIT, "gbt": BOOST_FIT}, one)
+@register("search_checks")
+def q_search_checks(spark, sf_dir):
+    """Per tree kind: its draws, folds and distinct parameter sets, one best draw, and whether every parameter lies in the grid."""
+    searches = evaluated(spark, sf_dir)[2].searches
+    rows = []
+    for kind, grid in (("forest", FOREST_GRID), ("boost", BOOST_GRID)):
+        found = searches[kind]
+        inside = all(r["params"][k] in grid[k] for r in found for k in grid)
+        scores = all(abs(sum(r["fold_rmse"]) / len(r["fold_rmse"]) - r["cv_rmse"]) < 1e-9 and r["cv_rmse"] > 0 for r in found)
+        rows.append((kind, len(found), min(len(r["fold_rmse"]) for r in found), len({params_text(r["params"]) for r in found}), inside, scores))
+    return spark.createDataFrame(rows, "kind string, n_draws int, n_folds int, n_distinct int, in_grid boolean, consistent boolean")
+
+
+@register("stump_cv")
+def q_stump_cv(spark, sf_dir):
+    """One cut found by each tree kind on every fold of all lines, scored on the fold held out (M9, M10 in closed form)."""
+    stumps = {
+        "forest": [{"n_trees": 1, "max_depth": 1, "min_leaf": 20, "feature_share": 1.0, "bootstrap": False}],
+        "boost": [{"n_rounds": 1, "learning_rate": 0.5, "max_depth": 1, "min_leaf": 20, "l2": l2} for l2 in (0.0, 1000.0)],
+    }
+    lines = line_model(spark, sf_dir).withColumn("l_discount", F.when(F.col("l_quantity") % 7 != 0, F.col("l_discount")))
+    rows = []
+    for kind, fits in stumps.items():
+        for r in search_trees(lines, "line_id", ["l_quantity", "l_discount"], "price", kind, fits, fold_id("line_id"), N_FOLDS, SEED):
+            rows += [(kind, float(r["params"].get("l2", 0.0)), i, x) for i, x in enumerate(r["fold_rmse"])]
+    return finish(spark.createDataFrame(rows, "kind string, l2 double, fold int, rmse double"))
 
 
 @register("model_compare")
 def q_model_compare(spark, sf_dir):
     _, test, evaluation = evaluated(spark, sf_dir)
-    report = model_report(evaluation, {"test": test}, "composite").select("model", "rmse", "mae", "r2", "cv_score")
-    order = F.array_position(F.lit(list(evaluation.models)), F.col("model"))
-    rank = F.row_number().over(Window.orderBy(F.col("r2").desc(), order))
-    return report.withColumn("is_best", rank == 1)
+    report = materialize(model_report(evaluation, {"test": test}, "composite").select("model", "rmse", "mae", "r2", "cv_score"), "model-report")
+    order = {name: i for i, name in enumerate(evaluation.models)}
+    ranked = report.withColumn("place", F.element_at(F.create_map(*[F.lit(x) for kv in order.items() for x in kv]), F.col("model")))
+    best = argmax_row(ranked, "r2", "place").select(F.col("model").alias("best")).scalar()
+    return report.withColumn("is_best", F.col("model") == best)
 
 
 @register("model_report")
@@ -911,11 +934,20 @@ def q_model_checks(spark, sf_dir):
 def q_permutation_importance(spark, sf_dir):
     _, test, evaluation = evaluated(spark, sf_dir)
     candidates = {n: evaluation.models[n] for n in ("ridge", "random_forest", "gradient_boosting")}
-    best = argmax_row(model_report(Evaluation(candidates, []), {"test": test}, "composite"), "r2", "model").first()["model"]
+    best = argmax_row(model_report(Evaluation(candidates, [], {}), {"test": test}, "composite"), "r2", "model").first()["model"]
     imp = permutation_importance(test, "entity_id", MODEL_FEATURES, "composite", candidates[best].predict)
     return imp.withColumn("model", F.lit(best))
 
 
+@register("importance_known")
+def q_importance_known(spark, sf_dir):
+    """Importance under a model that is the outcome itself: one column carries it, the others nothing."""
+    lines = line_model(spark, sf_dir).withColumn("same", F.col("price"))
+    known = permutation_importance(lines, "line_id", ["l_quantity", "l_discount", "same"], "price", lambda df: df.withColumn("prediction", F.col("same")), repeats=2)
+    top = known.withColumn("large", F.col("importance_mean") > 0.9).orderBy(F.col("importance_mean").desc(), "feature").limit(TOP_IMPORTANCES)
+    return top.select("feature", "large", (F.col("importance_mean") == 0).alias("none"))
+
+
 # ----------------------------------------- closed forms and optimality (M6-M8)
 
 def line_model(spark, sf_dir) -> DataFrame:

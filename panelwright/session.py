@@ -110,6 +110,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 _SCRATCH: dict[str, list[str]] = {}
 
 
+def has_scratch(spark: SparkSession) -> bool:
+    """Whether scratch tables of this application are still there (none were dropped since the last was written)."""
+    return bool(_SCRATCH.get(spark.sparkContext.applicationId))
+
+
 def drop_scratch(spark: SparkSession) -> int:
     """Delete the scratch tables this application wrote with :func:`materialize`.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
@@ -69,6 +69,37 @@ def validated_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
     return left.join(right, on=list(keys), how="left")
 
 
+def once_per_key(df: DataFrame, keys, side: str) -> DataFrame:
+    """``df`` with a check in its plan: a key on two rows ends the query with an error."""
+    keys = list(keys)
+    rows = df.withColumn("__rows", F.count(F.lit(1)).over(Window.partitionBy(*[qcol(k) for k in keys])))
+    said = F.concat(F.lit(f"{side} side has a repeated key {keys}: "), F.to_json(F.struct(*[qcol(k) for k in keys])))
+    return rows.where(F.when(F.col("__rows") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))).drop("__rows")
+
+
+def checked_left_join(left: DataFrame, right: DataFrame, keys) -> DataFrame:
+    """Left join declared one-to-one, checked while it runs.
+
+    The rows of a key are counted where the join's own exchange and sort have
+    brought them, so the check reads no input again; a repeated key
+    on either side fails the query.  Null keys count on the left; on the right
+    they match nothing and are left out before the check.
+    """
+    return once_per_key(left, keys, "left").join(once_per_key(right, keys, "right"), on=list(keys), how="left")
+
+
+def left_join_spread(df: DataFrame, dim: DataFrame, key: str, spread_by) -> DataFrame:
+    """Left join on a text key in which rows without a key match nothing and spread over all tasks.
+
+    ``spread_by`` names the columns whose hash spreads them.
+    """
+    salt = F.concat(F.lit("\u0001"), F.xxhash64(*[qcol(c) for c in spread_by]).cast("string"))
+    right = dim.where(qcol(key).isNotNull()).withColumnRenamed(key, "__right")
+    joined = df.withColumn("__left", F.coalesce(qcol(key).cast("string"), salt))
+    joined = joined.join(right, F.col("__left") == F.col("__right").cast("string"), "left")
+    return joined.drop("__left", "__right")
+
+
 def anti_join(df: DataFrame, key_set: DataFrame, key: str, set_key: str | None = None,
               as_text: bool = True) -> DataFrame:
     """Rows of ``df`` whose key is not in ``key_set``.
@@ -125,6 +156,6 @@ def outer_blocks(blocks: list[DataFrame], key: str) -> DataFrame:
 
 
 __all__ = [
-    "DuplicateKeyError", "anti_join", "assert_unique", "backfill", "key_set_diff", "left_join",
-    "outer_blocks", "patch_join", "replace_by_key", "union_by_name", "validated_left_join",
+    "DuplicateKeyError", "anti_join", "assert_unique", "backfill", "checked_left_join", "key_set_diff", "left_join",
+    "left_join_spread", "once_per_key", "outer_blocks", "patch_join", "replace_by_key", "union_by_name", "validated_left_join",
 ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions import dummies, position_code, start_year, to_number
 from panelwright.functions._util import qcol
-from panelwright.operators.assemble import validated_left_join
+from panelwright.operators.assemble import checked_left_join
 from panelwright.operators.clean import require_non_null
 from panelwright.operators.outcomes import OutcomeSpec, dedupe_periods
 from panelwright.operators.select import earliest_value_per_key, keep_first
@@ -79,12 +79,12 @@ def debut_age(first_year: str, birth: str):
 
 
 def rookie_position(deduped: DataFrame, spec: OutcomeSpec, pos_col: str, valid, min_year: int) -> DataFrame:
-    """``(entity, _pos_group)``: position code on the earliest deduped period >= ``min_year``."""
+    """``(entity, __position)``: position code on the earliest deduped period >= ``min_year``."""
     first = earliest_value_per_key(
         deduped, spec.entity, start_year(spec.period), pos_col, [spec.period, *spec.order_by],
         min_year=min_year, alias="__pos",
     )
-    return first.select(qcol(spec.entity), position_code(F.col("__pos"), valid).alias("_pos_group"))
+    return first.select(qcol(spec.entity), position_code(F.col("__pos"), valid).alias("__position"))
 
 
 def attach_demographics(df: DataFrame, panel: DataFrame, spec: OutcomeSpec, *, birth: str, pos_col: str,
@@ -93,7 +93,7 @@ def attach_demographics(df: DataFrame, panel: DataFrame, spec: OutcomeSpec, *, b
     """Add debut age and position dummies (C5); unknown positions share the baseline."""
     rook = rookie_position(panel if deduped else dedupe_periods(panel, spec), spec, pos_col, valid, min_year)
     out = df.withColumn("debut_age", debut_age("first_period_start_year", birth)).join(rook, spec.entity, "left")
-    return out.select("*", *dummies(F.col("_pos_group"), dummy_levels, prefix)).drop("_pos_group")
+    return out.select("*", *dummies(F.col("__position"), dummy_levels, prefix)).drop("__position")
 
 
 def modeling_cohort(panel: DataFrame, summary: DataFrame, spec: OutcomeSpec, *, link: str,
@@ -107,7 +107,7 @@ def modeling_cohort(panel: DataFrame, summary: DataFrame, spec: OutcomeSpec, *,
     """
     ded = panel if deduped else dedupe_periods(panel, spec)
     first_rows = keep_first(ded, [spec.entity], [spec.period, *spec.order_by])
-    base = validated_left_join(first_rows, summary, [spec.entity])
+    base = checked_left_join(first_rows, summary, [spec.entity])
     masked = base.filter(cohort_mask("tier", "entry_cohort", link, target))
     masked = require_non_null(masked, list(require))
     return attach_demographics(masked, ded, spec, birth=birth, pos_col=pos_col, valid=valid,

@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
 from panelwright.operators.quantiles import column_quantiles, exact_quantiles, quantile_columns
+from panelwright.session import materialize
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
+#: Columns up to which correlations are aggregates of their own for each pair.
+PAIR_COLUMNS = 16
 
 
 def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
@@ -78,6 +82,8 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     One aggregation holds p(p+1)/2 ``corr`` accumulators; each skips rows
     where either value is null.
     """
+    if len(cols) > PAIR_COLUMNS:
+        return corr_by_gram(df, cols)
     pairs = list(combinations_with_replacement(cols, 2))
     row = df.agg(*[F.corr(qcol(a).cast("double"), qcol(b).cast("double")).alias(f"r{i}")
                    for i, (a, b) in enumerate(pairs)])
@@ -89,6 +95,31 @@ def corr_matrix(df: DataFrame, cols) -> DataFrame:
     return row.select(F.explode(F.array(*structs)).alias("s")).select("s.col_a", "s.col_b", "s.r")
 
 
+def corr_by_gram(df: DataFrame, cols) -> DataFrame:
+    """:func:`corr_matrix` for many columns: sums of products, of values where the other is null, and of nulls, in NumPy blocks.
+
+    A pair's rows are those where both have a value, so its sums are the whole
+    ones less those over the other column's nulls.  Values are taken from
+    their column's minimum, which keeps the differences exact enough.
+    """
+    from panelwright.operators.modeling import masked_gram
+
+    cols, p = list(cols), len(cols)
+    low = df.agg(*[F.min(F.nanvl(qcol(c).cast("double"), F.lit(None))).alias(f"c{i}") for i, c in enumerate(cols)]).first()
+    g = masked_gram(df, cols, shift={c: low[f"c{i}"] for i, c in enumerate(cols)}, squares=True).get(0, np.zeros((3 * p + 1, 3 * p + 1)))
+    x, m, s = slice(1, p + 1), slice(p + 1, 2 * p + 1), slice(2 * p + 1, 3 * p + 1)
+    n = g[0, 0] - g[0, m][:, None] - g[0, m][None, :] + g[m, m]
+    sx = g[0, x][:, None] - g[x, m]  # of the first column, over the pair's rows
+    sxx = g[0, s][:, None] - g[s, m]
+    with np.errstate(invalid="ignore", divide="ignore"):
+        cov = g[x, x] - sx * sx.T / n
+        var = np.maximum(sxx - sx * sx / n, 0.0)
+        flat = var <= 1e-13 * sxx
+        r = np.where(flat | flat.T | (n < 2), np.nan, cov / np.sqrt(var * var.T))
+    rows = [(a, b, None if np.isnan(r[i, j]) else float(np.clip(r[i, j], -1.0, 1.0))) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
 def histogram(df: DataFrame, value: str, bins: int, group: str | None = None) -> DataFrame:
     """Equal-width bins from min to max (last bin closed), zero-filled.
 
@@ -160,19 +191,59 @@ def pivot_report(df: DataFrame, index: str, columns: str, values: str, levels) -
 def cumulative_share(df: DataFrame, key: str, value: str) -> DataFrame:
     """Share and running share of ``value`` ordered by value desc then key.
 
-    Meant for small ranked outputs (explained-variance ratios, a per-brand
-    total): it orders the whole input in one window.
+    Two passes: rows are range partitioned and written in order; the running
+    sum of a row is its partition's running sum plus the total of the
+    partitions before, of which the driver holds one number each.
     """
-    total = df.agg(F.sum(qcol(value))).scalar()
-    w = Window.orderBy(qcol(value).desc(), qcol(key).asc()).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(
+    spark = df.sparkSession
+    order = [qcol(value).desc(), qcol(key).asc()]
+    placed = df.select(qcol(key), qcol(value)).repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = materialize(placed.withColumn("__pid", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()), "running-share")
+    sums = placed.groupBy("__pid").agg(F.sum(qcol(value)).alias("s")).orderBy("__pid").collect()  # one row a partition
+    ends = np.cumsum([float(r["s"] or 0.0) for r in sums])
+    offsets = spark.createDataFrame([(r["__pid"], float(e - (r["s"] or 0.0))) for r, e in zip(sums, ends, strict=True)], "__pid int, __before double")
+    total = F.lit(float(ends[-1]) if len(ends) else None).cast("double")
+    w = Window.partitionBy("__pid").orderBy("__id").rowsBetween(Window.unboundedPreceding, 0)
+    return placed.join(F.broadcast(offsets), "__pid").select(
         qcol(key), qcol(value), (qcol(value) / total).alias("share"),
-        (F.sum(qcol(value)).over(w) / total).alias("cum_share"),
+        ((F.col("__before") + F.coalesce(F.sum(qcol(value)).over(w), F.lit(0.0))) / total).alias("cum_share"),
     )
 
 
+#: Most frequent values that a profile names.
+PROFILE_TOP = 3
+
+
+def profile_columns(df: DataFrame, cols=None, top: int = PROFILE_TOP) -> DataFrame:
+    """One row per column: rows, nulls and their share, distinct values, mean, sd, range, most frequent values.
+
+    The table is read once and counted by (column, value); everything else
+    comes from these counts.  Equal values combine before the shuffle, so a
+    value that most rows share costs no more than others.  Numbers of columns
+    that are not numeric are null; their range is that of the text.
+    """
+    cols = list(cols or df.columns)
+    numeric = {f.name for f in df.schema.fields if f.dataType.typeName() in ("byte", "short", "integer", "long", "float", "double") or f.dataType.typeName().startswith("decimal")}
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), qcol(c).cast("string").alias("v"), (qcol(c).cast("double") if c in numeric else F.lit(None).cast("double")).alias("x")) for i, c in enumerate(cols)])
+    counts = df.select(F.explode(cells).alias("s")).groupBy("s.c", "s.v", "s.x").agg(F.count(F.lit(1)).alias("n"))
+    there = F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)
+    mean = F.sum(F.col("x") * F.col("n")) / F.sum(F.when(F.col("x").isNotNull(), F.col("n")))
+    moments = counts.groupBy("c").agg(
+        F.sum("n").alias("n_rows"), (F.sum("n") - F.sum(there)).alias("n_null"), F.count("v").alias("n_distinct"), mean.alias("mean"),
+        F.sum(F.when(F.col("x").isNotNull(), F.col("n"))).alias("m"), F.min("x").alias("min"), F.max("x").alias("max"), F.min("v").alias("least"), F.max("v").alias("greatest"))
+    far = counts.where("x is not null").join(moments.select("c", F.col("mean").alias("mu")), "c").groupBy("c").agg(F.sum((F.col("x") - F.col("mu")) ** 2 * F.col("n")).alias("ss"))
+    rank = F.row_number().over(Window.partitionBy("c").orderBy(F.col("n").desc(), F.col("v").asc()))
+    first = counts.where("v is not null").withColumn("r", rank).where(F.col("r") <= top)
+    named = first.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("r", F.concat("v", F.lit(":"), F.col("n").cast("string")).alias("t")))).alias("t"))  # ``top`` values a column
+    names = F.array(*[F.lit(c) for c in cols])
+    return moments.join(far, "c", "left").join(named, "c", "left").select(
+        names[F.col("c")].alias("column"), "n_rows", "n_null", (F.col("n_null") / F.col("n_rows")).alias("null_share"), "n_distinct", "mean",
+        F.when(F.col("m") > 1, F.sqrt(F.col("ss") / (F.col("m") - 1))).alias("std"), "min", "max",
+        "least", "greatest", F.array_join("t.t", "|").alias("top_values"))
+
+
 __all__ = [
-    "box_stats", "conditional_counts", "corr_matrix", "cumulative_share", "describe",
+    "box_stats", "conditional_counts", "corr_by_gram", "corr_matrix", "cumulative_share", "describe",
     "exact_quantiles", "first_non_null", "histogram", "max_group_size", "null_rates",
-    "pivot_report", "scatter_pairs", "top_groups", "unpivot_values", "value_counts",
+    "pivot_report", "profile_columns", "scatter_pairs", "top_groups", "unpivot_values", "value_counts",
 ]

@@ -232,12 +232,14 @@ def lasso_alphas(stats: GramStats, n_alphas: int = LASSO_N_ALPHAS, eps: float =
 
 # ------------------------------------------------------- CV with fold stats
 
-def masked_gram(df: DataFrame, cols, group: str | None = None, shift: dict | None = None) -> dict:
+def masked_gram(df: DataFrame, cols, group: str | None = None, shift: dict | None = None, squares: bool = False) -> dict:
     """Per value of ``group``: Z'Z of Z = [1, x, m], with m = 1 where a value is null or NaN and x = value - shift, 0 there.
 
+    ``squares`` adds the columns x * x to Z.
+
     Each task folds its Arrow batches into one partial matrix a group with
     NumPy; cells are summed in one small aggregation, so the driver receives
-    (2p + 1) squared numbers a group whatever the row count.  ``group`` must have few
+    (2p + 1 or 3p + 1) squared numbers a group whatever the row count.  ``group`` must have few
     values, null excluded.
     """
     cols = list(cols)
@@ -251,7 +253,8 @@ def masked_gram(df: DataFrame, cols, group: str | None = None, shift: dict | Non
             which = batch.column(0).to_numpy()
             x = np.column_stack([batch.column(i + 1).to_numpy(zero_copy_only=False).astype(float) for i in range(p)])
             gone = np.isnan(x)
-            z = np.hstack([np.ones((len(x), 1)), np.where(gone, 0.0, x - base), gone])
+            x = np.where(gone, 0.0, x - base)
+            z = np.hstack([np.ones((len(x), 1)), x, gone, *([x * x] if squares else [])])
             for k in np.unique(which).tolist():
                 part = z[which == k]
                 held[k] = held.get(k, 0.0) + part.T @ part
@@ -260,9 +263,10 @@ def masked_gram(df: DataFrame, cols, group: str | None = None, shift: dict | Non
 
     sums = df.select(key.alias("__k"), *[qcol(c).cast("double") for c in cols]).mapInArrow(partials, "k int, idx int, value double")
     out: dict = {}
-    for r in sums.groupBy("k", "idx").agg(F.sum("value").alias("value")).collect():
-        out.setdefault(r["k"], np.zeros((2 * p + 1) ** 2))[r["idx"]] = r["value"]
-    return {k: v.reshape(2 * p + 1, 2 * p + 1) for k, v in out.items()}
+    size = (3 if squares else 2) * p + 1
+    for r in sums.groupBy("k", "idx").agg(F.sum("value").alias("value")).toLocalIterator():
+        out.setdefault(r["k"], np.zeros(size**2))[r["idx"]] = r["value"]
+    return {k: v.reshape(size, size) for k, v in out.items()}
 
 
 def imputed_stats(gram: np.ndarray, fill: np.ndarray) -> np.ndarray:

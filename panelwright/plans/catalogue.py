@@ -40,7 +40,7 @@ from panelwright.operators.assemble import (
     patch_join,
     replace_by_key,
     union_by_name,
-    validated_left_join,
+    checked_left_join,
 )
 from panelwright.operators.clean import (
     blank_to_null_all,
@@ -57,7 +57,10 @@ from panelwright.operators.clean import (
     tag_schema,
 )
 from panelwright.operators.audit import (
+    KeyRule,
     TableRule,
+    TableRules,
+    audit_set,
     audit_table,
     duplicate_row_count,
     empty_row_count,
@@ -76,6 +79,7 @@ from panelwright.operators.eda import (
     max_group_size,
     null_rates,
     pivot_report,
+    profile_columns,
     scatter_pairs,
     top_groups,
     value_counts,
@@ -113,6 +117,7 @@ from panelwright.operators.modeling import (
     SEED,
     TOP_IMPORTANCES,
 )
+from panelwright.operators.quantiles import global_rank
 from panelwright.operators.trees import params_text, search_trees
 from panelwright.operators.outcomes import add_composite, career_summary, dedupe_periods, prime_rate, quartile_label
 from panelwright.operators.pca import (
@@ -137,6 +142,7 @@ from panelwright.operators.select import (
 )
 from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel
 from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
+from panelwright.streaming.entity_store import EntityStore
 from panelwright.session import has_scratch, materialize, scratch_folder
 from panelwright.sources.files import (
     count_periods_column,
@@ -349,7 +355,7 @@ def q_left_label_join(spark, sf_dir):
 def q_one_to_one_join(spark, sf_dir):
     c = read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
     s = customer_summary(spark, sf_dir).select("o_custkey", "tier")
-    return validated_left_join(c, s, ["o_custkey"])
+    return checked_left_join(c, s, ["o_custkey"])
 
 
 @register("outer_block_assembly")
@@ -597,8 +603,93 @@ def q_cumulative_share(spark, sf_dir):
     return finish(cumulative_share(rev, "p_brand", "revenue"))
 
 
+@register("running_share_lines")
+def q_running_share_lines(spark, sf_dir):
+    """Running share of every line's price (W8 over a whole large table)."""
+    li = read(spark, sf_dir, "lineitem")
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    cents = F.round(F.col("l_extendedprice") * 100).cast("long")  # whole numbers: sums don't depend on their order
+    return finish(cumulative_share(li.select(key.alias("line"), cents.alias("cents")), "line", "cents").drop("share"))
+
+
+@register("corr_embedding")
+def q_corr_embedding(spark, sf_dir):
+    """Correlations of all 64 embedding dimensions, pairwise over the vectors that have both."""
+    v = read(spark, sf_dir, "embeddings")
+    dims = [F.when((F.col("vec_id") + i) % 7 != 0, F.col("embedding")[i].cast("double")).alias(f"d{i:02d}") for i in range(64)]
+    rows = corr_matrix(v.select(*dims), [f"d{i:02d}" for i in range(64)])
+    return finish(rows).withColumn("r", F.col("r") + F.lit(0.0))  # no negative zeros
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    li = read(spark, sf_dir, "lineitem").withColumn("l_tax", F.when(F.col("l_orderkey") % 5 != 0, F.col("l_tax")))
+    rows = profile_columns(li, ["l_quantity", "l_extendedprice", "l_tax", "l_returnflag", "l_linenumber"])
+    return finish(rows.select("column", "n_rows", "n_null", "null_share", "n_distinct", "mean", "std", "min", "max", F.when(F.col("column") != "l_extendedprice", F.regexp_replace("top_values", r"\.0:", ":")).alias("top_values")))
+
+
+@register("file_order")
+def q_file_order(spark, sf_dir):
+    """Rows of two files of one name in two folders, cut into many splits, in file order."""
+    root = scratch_folder(spark, "file-order")
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", (F.col("o_orderkey") % 2).alias("half"))
+    orders.coalesce(1).sortWithinPartitions("half", F.col("o_orderkey").desc()).write.partitionBy("half").option("header", True).csv(root)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(32 << 10))
+        rows = materialize(read_csv_text(spark, f"{root}/half=*"), "file-order-rows")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    place = global_rank(rows.select("o_orderkey", "o_orderstatus", F.col("_row_ord.file").alias("file"), F.col("_row_ord.block").alias("block"), F.col("_row_ord.pos").alias("pos")), ["block", "pos"], ["file"], label="file-order-ranked")
+    return place.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderstatus", F.col("__r").cast("long").alias("place"))
+
+
 # ---------------------------------------------------------------- audits (V)
 
+@register("audit_set")
+def q_audit_set(spark, sf_dir):
+    """A registry of rules over several tables, one of which cannot be read (V4, V6)."""
+    el = events_long(spark, sf_dir)
+    twice = read(spark, sf_dir, "customer").unionByName(read(spark, sf_dir, "customer").where("c_custkey % 100 = 0"))
+    tables = {
+        "lineitem": read(spark, sf_dir, "lineitem"), "orders": lambda: read(spark, sf_dir, "orders"), "customer": twice,
+        "events_long": el, "nothing": read(spark, sf_dir, "nation").where("false"), "gone": lambda: read(spark, sf_dir, "no_such_table"),
+    }
+    registry = {
+        "lineitem": TableRules([KeyRule(["l_orderkey", "l_linenumber"], "note"), KeyRule(["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"])]),
+        "orders": TableRules([KeyRule(["o_orderkey"]), KeyRule(["o_custkey"], where=F.col("o_orderstatus") == "P"), KeyRule(["o_orderkey", "o_nothing"])]),
+        "customer": TableRules([KeyRule(["c_custkey"]), KeyRule(["c_nationkey"], "note")]),
+        "events_long": TableRules([KeyRule(["user_id", "table_id", "Season"], where=F.col("Season").isNotNull())], full_rows=None, period="Season"),
+        "nothing": TableRules([KeyRule(["n_nationkey"])]),
+        "gone": TableRules([KeyRule(["id"])]),
+    }
+    return audit_set(spark, tables, registry)
+
+
+@register("refresh_rebuild")
+def q_refresh_rebuild(spark, sf_dir):
+    """A stored long table is replaced in part, replayed and backfilled; its panel is redone for changed entities only."""
+    root, spec = scratch_folder(spark, "entity-store"), panel_spec()
+    long = materialize(entity_long(spark, sf_dir), "store-long")
+    links = materialize(crosswalk(spark, sf_dir), "store-crosswalk")
+    scaled = lambda rows, f: rows.withColumn("G", F.col("G") * f)
+    build = lambda rows: build_panel(rows, links, None, spec)
+    stats, panel = EntityStore(spark, f"{root}/long", "entity_id", 16), EntityStore(spark, f"{root}/panel", "entity_id", 16)
+    steps = [
+        ("first", long.where("entity_id % 3 <> 0"), "replace"),
+        ("fix", scaled(long.where("entity_id % 5 = 0"), 2), "replace"),
+        ("fix", scaled(long.where("entity_id % 5 = 0"), 7), "replace"),  # a replay
+        ("fill", long.where("entity_id % 3 = 0"), "backfill"),
+    ]
+    for batch, rows, mode in steps:
+        panel.rebuild(f"panel-{batch}", stats, stats.apply(batch, rows, mode), build)
+    whole = build(stats.read())
+    differ = panel.read().exceptAll(whole.select(*panel.read().columns)).count() + whole.select(*panel.read().columns).exceptAll(panel.read()).count()
+    parts = normalise_tables(stats.read(), "table_id", ["entity_id"], ["totals", "advanced"])
+    rows = panel.read().groupBy("entity_id").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("G").alias("games"))
+    return finish(rows.withColumns({"differ": F.lit(differ), "commits": F.lit(len(stats.commits())), "n_totals": F.lit(parts["totals"].count()), "n_advanced": F.lit(parts["advanced"].count())}))
+
+
 @register("audit_duplicates")
 def q_audit_duplicates(spark, sf_dir):
     li = read(spark, sf_dir, "lineitem")
@@ -700,7 +791,7 @@ def masked_base(spark, sf_dir) -> DataFrame:
     panel = stored_panel(spark, sf_dir)
     summ = career_summary(panel, PANEL_OUTCOME, deduped=True)
     first_rows = keep_first(panel, ["entity_id"], ["Season", "Team"])
-    base = validated_left_join(first_rows, summ, ["entity_id"])
+    base = checked_left_join(first_rows, summ, ["entity_id"])
     return base.filter(cohort_mask("tier", "entry_cohort", "link_id", "composite"))
 
 

@@ -7,6 +7,8 @@ does (half-up on the shortest decimal form), and counts are cast to BIGINT.
 
 from __future__ import annotations
 
+import re
+
 
 def rnd(expr: str, digits: int = 4) -> str:
     """Spark-compatible ``round(expr, digits)`` for a DOUBLE expression."""
@@ -637,7 +639,8 @@ def _sel(cols, doubles, src: str = "") -> str:
     return ", ".join(f"{rnd(pre + c)} AS {c}" if c in doubles else f"{pre}{c}" for c in cols)
 
 
-SQL["panel_build"] = _with(FULLPANEL_CTE, f"SELECT {_sel(_PANEL_OUT, _PANEL_DOUBLES)} FROM fullpanel")
+# Every shared step is computed once.
+SQL["panel_build"] = re.sub(r"(\w+) AS \(\s*SELECT", r"\1 AS MATERIALIZED (SELECT", _with(FULLPANEL_CTE, f"SELECT {_sel(_PANEL_OUT, _PANEL_DOUBLES)} FROM fullpanel"))
 
 _NT_COLS = ["entity_id", "Season", "Team", "Pos", "G", "MP", "REV", "NL", "TAXAMT", "AQ", "MQ", "MD", "Rk"]
 _NT_ORDER = ["entity_id"] + sorted(c for c in _NT_COLS if c != "entity_id")
@@ -1054,3 +1057,67 @@ SELECT * FROM (VALUES ('forest', 24, 5, 24, true, true), ('boost', 30, 5, 30, tr
 SQL["importance_known"] = """
 SELECT * FROM (VALUES ('same', true, false), ('l_discount', false, true), ('l_quantity', false, true)) t(feature, large, "none")
 """
+
+SQL["running_share_lines"] = f"""
+WITH l AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem)
+SELECT line, cents, {rnd("CAST(SUM(cents) OVER (ORDER BY cents DESC, line ROWS UNBOUNDED PRECEDING) AS DOUBLE) / CAST(SUM(cents) OVER () AS DOUBLE)")} AS cum_share
+FROM l
+"""
+
+SQL["corr_embedding"] = f"""
+WITH e AS (
+  SELECT vec_id, CAST(i AS INTEGER) AS i, CASE WHEN (vec_id + i) % 7 <> 0 THEN CAST(embedding[i + 1] AS DOUBLE) END AS v FROM embeddings CROSS JOIN range(64) r(i)),
+c AS (SELECT a.i AS a, b.i AS b, corr(a.v, b.v) AS r FROM e a JOIN e b USING (vec_id) GROUP BY a.i, b.i)
+SELECT printf('d%02d', a) AS col_a, printf('d%02d', b) AS col_b, {rnd("printf('%.12f', r)")} AS r FROM c
+"""
+
+_PROFILED = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_tax": "CASE WHEN l_orderkey % 5 <> 0 THEN l_tax END", "l_linenumber": "l_linenumber"}
+_PROFILE_TOP = "(SELECT regexp_replace(string_agg(v || ':' || n, '|' ORDER BY n DESC, v), '\\\\.0:', ':', 'g') FROM (SELECT CAST({x} AS VARCHAR) AS v, COUNT(*) AS n FROM lineitem WHERE ({x}) IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 3))".replace("\\\\", "\\")
+SQL["profile_columns"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(*) - COUNT({x}) AS BIGINT) AS n_null, {rnd(f'(COUNT(*) - COUNT({x})) / COUNT(*)')} AS null_share, COUNT(DISTINCT {x}) AS n_distinct, "
+    f"{rnd(f'AVG({x})')} AS mean, {rnd(f'STDDEV_SAMP({x})')} AS std, CAST(MIN({x}) AS DOUBLE) AS min, CAST(MAX({x}) AS DOUBLE) AS max, "
+    + ("CAST(NULL AS VARCHAR)" if c == "l_extendedprice" else _PROFILE_TOP.format(x=x)) + " AS top_values FROM lineitem"
+    for c, x in _PROFILED.items()
+) + f""" UNION ALL SELECT 'l_returnflag', COUNT(*), 0, 0.0, COUNT(DISTINCT l_returnflag), NULL, NULL, NULL, NULL, {_PROFILE_TOP.format(x="l_returnflag")} FROM lineitem"""
+
+SQL["file_order"] = """
+SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderkey % 2 ORDER BY o_orderkey DESC) - 1 AS place FROM orders
+"""
+
+
+def _found(table: str, check: str, count: str, severity: str = "issue", detail: str = "NULL", bad: str | None = None) -> str:
+    return f"""SELECT '{table}' AS "table", '{check}' AS "check", CASE WHEN {bad or f'({count}) > 0'} THEN '{severity}' ELSE 'ok' END AS severity, CAST(({count}) AS BIGINT) AS n_rows, CAST({detail} AS VARCHAR) AS detail"""
+
+
+def _rows_of(table: str) -> str:
+    return f"SELECT COUNT(*) FROM {table}"
+
+
+_TWICE = "(SELECT * FROM customer UNION ALL SELECT * FROM customer WHERE c_custkey % 100 = 0)"
+_EL_BLANK = _empty_all(["table_id", "Season", "purchase_props"], ["event_id", "user_id", "value", "click_value", "empty_measure"])
+SQL["audit_set"] = _with(EVENTS_LONG_CTE, "\nUNION ALL\n".join([
+    *[x for t, name in (("lineitem", "lineitem"), ("orders", "orders"), (_TWICE, "customer"), ("el", "events_long")) for x in (
+        _found(name, "row_count", _rows_of(t), bad=f"({_rows_of(t)}) = 0"),
+        _found(name, "empty_rows", f"SELECT COUNT(*) FROM el WHERE {_EL_BLANK}" if t == "el" else "0"))],
+    _found("nothing", "row_count", "0", bad="true"), _found("nothing", "empty_rows", "0"),
+    _found("lineitem", "key_duplicates", _dups("lineitem", ["l_orderkey", "l_linenumber"]), "note", "'l_orderkey,l_linenumber'"),
+    _found("lineitem", "key_duplicates", _dups("lineitem", ["l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice"]), "issue", "'l_orderkey,l_partkey,l_suppkey,l_extendedprice'"),
+    _found("lineitem", "full_row_duplicates", _dups("lineitem", _LI_ALL)),
+    _found("orders", "key_duplicates", _dups("orders", ["o_orderkey"]), "issue", "'o_orderkey'"),
+    _found("orders", "key_duplicates", _dups("orders", ["o_custkey"], "o_orderstatus = 'P'"), "issue", "'o_custkey'"),
+    _found("orders", "key_duplicates", "0", "issue", "'missing columns o_nothing'", bad="true"),
+    _found("orders", "full_row_duplicates", _dups("orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])),
+    _found("customer", "key_duplicates", _dups(_TWICE, ["c_custkey"]), "issue", "'c_custkey'"),
+    _found("customer", "key_duplicates", _dups(_TWICE, ["c_nationkey"]), "note", "'c_nationkey'"),
+    _found("customer", "full_row_duplicates", _dups(_TWICE, ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"])),
+    _found("events_long", "no_period", "SELECT COUNT(*) FROM el WHERE Season IS NULL", "note", "'Season'"),
+    _found("events_long", "key_duplicates", _dups("el", ["user_id", "table_id", "Season"], "Season IS NOT NULL"), "issue", "'user_id,table_id,Season'"),
+    _found("nothing", "key_duplicates", "0", detail="'n_nationkey'"), _found("nothing", "full_row_duplicates", "0"),
+    _found("gone", "readable", "0", detail="'AnalysisException'", bad="true"),
+]))
+
+SQL["refresh_rebuild"] = _with(ELONG_CTE, f"""
+SELECT entity_id, COUNT(*) AS n_rows, {rnd("SUM(CASE WHEN entity_id % 5 = 0 THEN 2 ELSE 1 END * G)")} AS games, 0 AS differ, 3 AS commits,
+       CAST((SELECT COUNT(*) FROM elong WHERE table_id = 'totals') AS INTEGER) AS n_totals, CAST((SELECT COUNT(*) FROM elong WHERE table_id = 'advanced') AS INTEGER) AS n_advanced
+FROM elong WHERE table_id = 'totals' AND Season <> 'Career' AND G IS NOT NULL AND MP IS NOT NULL GROUP BY entity_id
+""")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
-from panelwright.operators.assemble import left_join, patch_join
+from panelwright.operators.assemble import left_join, left_join_spread, patch_join
 from panelwright.operators.audit import summary_counters
 from panelwright.operators.clean import (
     drop_repeated_headers,
@@ -70,11 +70,11 @@ def build_panel(long: DataFrame, crosswalk: DataFrame, detail_long: DataFrame |
     values = [c for c in detail_long.columns if c not in (spec.tag, spec.link, *spec.detail_drop)]
     # Widen per link in one aggregation: each (tag, column) cell comes from
     # the single picked row of that tag (J3 without chained outer joins).
-    wide = picked.groupBy(qcol(spec.link)).agg(*[
+    wide = picked.where(qcol(spec.link).isNotNull()).groupBy(qcol(spec.link)).agg(*[
         F.max(F.when(qcol(spec.tag) == F.lit(tid), qcol(c))).alias(f"{spec.detail_prefix}{tid}_{c}")
         for tid in spec.detail_tags for c in values
     ])
-    return left_join(base, wide, spec.link)
+    return left_join_spread(base, wide, spec.link, [spec.entity, spec.period])
 
 
 def normalise_tables(long: DataFrame, tag: str, id_cols, tags, period: str = "Season") -> dict[str, DataFrame]:

@@ -22,8 +22,9 @@ def read_csv_text(spark: SparkSession, path: str, na_values=PANDAS_NA_VALUES, wi
     """Header CSV with every column as text and pandas' missing markers as null.
 
     Types are never inferred (``2011-12`` would become a timestamp); cast with
-    ``safe_numeric`` afterwards.  ``_row_ord`` records file order (file name,
-    then position in the file) for order-dependent operators.  Files are split
+    ``safe_numeric`` afterwards.  ``_row_ord`` records file order (path,
+    start of the block in the file, position in the block) for order-dependent
+    operators.  Files are split
     among tasks; ``quoted_newlines`` declares line breaks inside quoted cells,
     which make each file one task.
     """
@@ -31,7 +32,8 @@ def read_csv_text(spark: SparkSession, path: str, na_values=PANDAS_NA_VALUES, wi
         .option("escape", '"').csv(path)
     cols = [F.when(~qcol(c).isin(list(na_values)), qcol(c)).alias(c) for c in df.columns]
     if with_order:
-        order = F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("pos"))
+        # Whatever a task packs together, rows of one block of one file keep their order in it.
+        order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
         return df.select(*cols, order.alias("_row_ord"))
     return df.select(*cols)
 
@@ -74,10 +76,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_optional(spark: SparkSession, path: str, schema: StructType | str, fmt: str = "parquet") -> DataFrame:
-    """The table at ``path`` or an empty relation with ``schema`` when it does not exist."""
-    if path_exists(spark, path):
-        return spark.read.format(fmt).load(path) if fmt != "csv" else read_csv_text(spark, path, with_order=False)
-    return spark.createDataFrame([], schema)
+    """The table at ``path`` or an empty relation with ``schema`` when it does not exist.
+
+    A CSV comes with the columns and types of ``schema``; a cell that is no such value is null.
+    """
+    empty = spark.createDataFrame([], schema)
+    if not path_exists(spark, path):
+        return empty
+    if fmt != "csv":
+        return spark.read.format(fmt).load(path)
+    found = read_csv_text(spark, path, with_order=False)
+    have = set(found.columns)
+    return found.select(*[(qcol(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in empty.schema.fields])
 
 
 def require_inputs(spark: SparkSession, paths) -> None:

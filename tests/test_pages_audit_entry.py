@@ -125,3 +125,17 @@ def test_pages_to_long_and_rebuild(spark, tmp_path):
     panel = rebuild_panel(spark, str(tmp_path / "long"), str(tmp_path / "cw"), None, PanelSpec(),
                           out_path=str(tmp_path / "panel"))
     assert [(r["entity_id"], r["link_id"]) for r in panel.collect()] == [("e1", "L1")]
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "corpus_pipeline", "panelwright.llm", "public_tokenizers"])
+def test_entry_without_what_the_training_data_operators_need(monkeypatch, missing):
+    import sys
+
+    import __spark_entry__ as entry
+    from panelwright.plans.catalogue import QUERIES
+
+    for name in list(sys.modules):
+        if name.split(".")[0] == "corpus_pipeline" or name.startswith("panelwright.llm"):
+            monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, missing, None)  # importing it fails
+    assert entry.queries() == QUERIES and set(entry.oracle_sql()) <= set(QUERIES)

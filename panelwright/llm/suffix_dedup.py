@@ -3,8 +3,9 @@
 Every window of ``length`` bytes belongs to the smallest hash of its
 ``SEED``-byte strings.  Neighbouring windows with the same smallest string
 form a segment, and equal windows lie in segments of equal seed, so seeds deal
-the work out and a seed that occurs once rules its segments out.  Equal
-segments fall together early.  The different segments of a seed are
+the work out and a seed that occurs once rules its segments out; so does a
+segment that shares neither the bytes left of its seed nor those right of it
+with another one, since no window of it can.  Equal segments fall together early.  The different segments of a seed are
 concatenated into shards whose transforms are merged by refining their
 interleave several characters at a time; the refinement's block borders give
 the common prefixes, and a block that is never split holds a repeated string.
@@ -36,6 +37,8 @@ LENGTH, SEED, CHUNK = 100, 16, 1 << 16
 MERGE_BYTES = 1 << 17
 #: Bytes of different segments that make a seed hot, and windows that a task folds before it hands them on.
 HOT_BYTES, FOLD_WINDOWS = 1 << 20, 1 << 16
+#: Different segments of a seed that are looked at together to rule out those that can share no window.
+FLANK_SEGMENTS = 1 << 16
 
 
 def loads(buf: np.ndarray, n: int) -> np.ndarray:
@@ -52,8 +55,8 @@ def seed_hashes(buf: np.ndarray) -> np.ndarray:
     return h
 
 
-def segments(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first window, windows, seed hash) of the segments of one text."""
+def segments(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, windows, seed hash, where the seed lies) of the segments of one text."""
     windows, width = len(buf) - length + 1, length - SEED + 1
     at_all, seed_all = [], []
     for a in range(0, windows, CHUNK):
@@ -70,7 +73,32 @@ def segments(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
         seed_all.append(h[at])
     at, seed = np.concatenate(at_all), np.concatenate(seed_all)
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return first, np.diff(np.append(first, windows)), seed[first].view(np.int64)
+    return first, np.diff(np.append(first, windows)), seed[first].view(np.int64), at[first]
+
+
+def flank_hashes(buf: np.ndarray, at: np.ndarray, size: int, there: np.ndarray) -> np.ndarray:
+    """32 bits of the ``size`` bytes at each place, 0 where they are not ``there``."""
+    words = loads(np.concatenate([buf, np.zeros(8, np.uint8)]), len(buf) + 1)
+    at = np.where(there, at, 0)
+    h = np.full(len(at), size, dtype=np.uint64)
+    for k in [*range(0, size - 7, 8), max(size - 8, 0)]:
+        word = words[np.minimum(at + k, len(buf))]
+        if size < 8:
+            word = word & np.uint64((1 << (8 * size)) - 1)
+        h = (h ^ word) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(32)
+    return np.where(there, (h & np.uint64(0xFFFFFFFF)) | np.uint64(1), np.uint64(0))
+
+
+def shared_flanks(group: np.ndarray, flanks: np.ndarray) -> np.ndarray:
+    """Which rows share the bytes left of the seed, or those right of it, with another row of their group."""
+    out = np.zeros(len(group), dtype=bool)
+    for side in (flanks.view(np.uint64) >> np.uint64(32), flanks.view(np.uint64) & np.uint64(0xFFFFFFFF)):
+        order = np.lexsort((side, group))
+        same = (group[order][1:] == group[order][:-1]) & (side[order][1:] == side[order][:-1]) & (side[order][1:] > 0)
+        out[order[1:][same]] = True
+        out[order[:-1][same]] = True
+    return out
 
 
 def sort_suffixes(text: np.ndarray, depth: int) -> np.ndarray:
@@ -201,19 +229,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         fresh()
         for batch in batches:
             for part in steps(batch, 1):
-                cols: list[list] = [[], [], [], []]
+                cols: list[list] = [[], [], [], [], []]
                 digests: list[bytes] = []
+                raws: list[bytes] = []
+                at_byte = 0
                 for uid, raw in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     if raw is None or len(raw) < length:
                         continue
-                    first, n, seed = segments(np.frombuffer(raw, np.uint8), length)
-                    for out, x in zip(cols, (seed, np.full(len(first), uid), first, n), strict=True):
+                    first, n, seed, at = segments(np.frombuffer(raw, np.uint8), length)
+                    for out, x in zip(cols, (seed, np.full(len(first), uid), first, n, np.stack([at, np.full(len(at), at_byte)])), strict=True):
                         out.append(x)
+                    raws.append(raw)
+                    at_byte += len(raw)
                     view, digest = memoryview(raw), xxhash.xxh3_128_digest
                     digests += [digest(view[i:j]) for i, j in zip(first.tolist(), (first + n + (length - 1)).tolist(), strict=True)]
                 if not digests:
                     continue
-                seed, uid, first, n = (np.concatenate(x) for x in cols)
+                seed, uid, first, n = (np.concatenate(x) for x in cols[:4])
+                # Of a window's bytes beside its seed at least half lie on one side, so these bytes tell which segments can share one.
+                (at, base), flank = np.concatenate(cols[4], axis=1), -(-(length - SEED) // 2)
+                buf = np.frombuffer(b"".join(raws), np.uint8)
+                left = flank_hashes(buf, base + at - flank, flank, at - first >= flank)
+                right = flank_hashes(buf, base + at + SEED, flank, at + SEED + flank <= first + n + length - 1)
+                flanks = ((left << np.uint64(32)) | right).view(np.int64)
                 code = np.frombuffer(b"".join(digests), dtype=np.int64).reshape(-1, 2)
                 order = np.lexsort((first, uid, code[:, 1], code[:, 0]))  # equal segments of the step side by side, the earliest first
                 code = code[order]
@@ -224,50 +262,58 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 packed = np.stack([uid[order][late], first[order][late]], axis=1).astype("<i8").tobytes()
                 ends = (16 * np.cumsum(copies)).tolist()
                 kept = order[head]
-                made = [pa.array(seed[kept]), pa.array(code[head, 0]), pa.array(code[head, 1]), pa.array(uid[kept]), pa.array(first[kept].astype(np.int32)), pa.array(n[kept].astype(np.int32)), pa.array([packed[i:j] or None for i, j in zip([0, *ends], ends, strict=False)], pa.binary())]
-                yield pa.RecordBatch.from_arrays(made, ["seed", "c0", "c1", "uid", "start", "n", "copies"])
+                made = [pa.array(seed[kept]), pa.array(code[head, 0]), pa.array(code[head, 1]), pa.array(uid[kept]), pa.array(first[kept].astype(np.int32)), pa.array(n[kept].astype(np.int32)), pa.array(flanks[kept]), pa.array([packed[i:j] or None for i, j in zip([0, *ends], ends, strict=False)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(made, ["seed", "c0", "c1", "uid", "start", "n", "flanks", "copies"])
 
-    cuts = docs.mapInArrow(cut, "seed long, c0 long, c1 long, uid long, start int, n int, copies binary")
+    cuts = docs.mapInArrow(cut, "seed long, c0 long, c1 long, uid long, start int, n int, flanks long, copies binary")
     cuts = cuts.repartition("seed").sortWithinPartitions("seed", "c0", "c1", "uid", "start")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Repeats of equal segments (seed null), and the earliest of each segment whose seed has another one."""
-        last, waiting = None, None  # the latest row's keys; the latest first-of-its-kind row that has no partner yet
+        """Repeats of equal segments (seed null), and the earliest of each segment that may share a window with another one of its seed."""
+        last = None  # the latest row's keys
+        held = [np.zeros(0, np.int64)] * 5  # seed, uid, start, n, flanks of the first-of-its-kind rows of the latest seed
+        sent = None  # the latest seed, if it has so many that they went on unseen
 
         def rows(seed, uid, start, n) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(seed, pa.int64()), pa.array(uid, pa.int64()), pa.array(start, pa.int64()), pa.array(n, pa.int64())], ["seed", "uid", "start", "n"])
 
         for batch in batches:
-            seed, c0, c1, uid, start, n = (batch.column(i).to_numpy() for i in range(6))
+            seed, c0, c1, uid, start, n, flanks = (batch.column(i).to_numpy() for i in range(7))
             if not len(seed):
                 continue
             before = [np.concatenate([[x[0] if last is None else last[k]], x[:-1]]) for k, x in enumerate((seed, c0, c1))]
-            same_seed = seed == before[0]
-            same = same_seed & (c0 == before[1]) & (c1 == before[2])
+            same = (seed == before[0]) & (c0 == before[1]) & (c1 == before[2])
             if last is None:
-                same_seed[0] = same[0] = False
+                same[0] = False
             last = (seed[-1], c0[-1], c1[-1])
-            copies = batch.column(6)
+            copies = batch.column(7)
             has = np.flatnonzero(copies.is_valid().to_numpy(zero_copy_only=False))
             pairs = np.frombuffer(b"".join(copies[i].as_py() for i in has.tolist()), "<i8").reshape(-1, 2)
             per = np.array([len(copies[i].as_py()) // 16 for i in has.tolist()], dtype=np.int64)
             if same.any() or len(pairs):
                 out = [np.concatenate([uid[same], pairs[:, 0]]), np.concatenate([start[same], pairs[:, 1]]), np.concatenate([n[same], np.repeat(n[has], per)])]
                 yield rows([None] * len(out[0]), *out)
-            kind = np.flatnonzero(~same)
-            if not len(kind):
+            held = [np.concatenate([h, x[~same]]) for h, x in zip(held, (seed, uid, start, n, flanks), strict=True)]
+            if not len(held[0]):
                 continue
-            if waiting is not None:
-                if seed[kind[0]] == waiting[0] and same_seed[kind[0]]:
-                    yield rows(*([x] for x in waiting))
-                waiting = None
-            partner = same_seed[kind]  # a different segment of this seed came before
-            partner[:-1] |= seed[kind[1:]] == seed[kind[:-1]]
-            if not partner[-1]:
-                waiting = tuple(int(x[kind[-1]]) for x in (seed, uid, start, n))
-            got = kind[partner]
-            if len(got):
-                yield rows(seed[got], uid[got], start[got], n[got])
+            open_from = int(np.searchsorted(held[0], held[0][-1], side="left"))
+            if open_from:  # the seeds before are complete
+                done = [x[:open_from] for x in held]
+                go = shared_flanks(done[0], done[4])
+                if sent is not None:
+                    go |= done[0] == sent
+                if go.any():
+                    yield rows(*(x[go] for x in done[:4]))
+                held = [x[open_from:] for x in held]
+                sent = sent if sent == held[0][-1] else None
+            if sent is not None or len(held[0]) > FLANK_SEGMENTS:
+                yield rows(*held[:4])
+                sent = int(held[0][-1])
+                held = [x[:0] for x in held]
+        if len(held[0]):
+            go = shared_flanks(held[0], held[4])
+            if go.any():
+                yield rows(*(x[go] for x in held[:4]))
 
     sifted = materialize(cuts.mapInArrow(sift, "seed long, uid long, start long, n long"), "suffix-sifted")
     several = sifted.where("seed is not null")

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from panelwright.functions import (
+    strip_prefixes,
     contains_text,
     dummies,
     extract_or_null,
@@ -140,7 +141,7 @@ from panelwright.operators.select import (
     prefer_flagged,
     top_n,
 )
-from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel
+from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel, write_normalised
 from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
 from panelwright.streaming.entity_store import EntityStore
 from panelwright.session import has_scratch, materialize, scratch_folder
@@ -1075,6 +1076,66 @@ def lasso_fit(spark, sf_dir):
     return whole, alpha, lasso_solve(whole, alpha)[1]
 
 
+@register("l1_known")
+def q_l1_known(spark, sf_dir):
+    """Lasso on one column and one that never varies: the second is left out, the first has its closed form (M8)."""
+    lines = line_model(spark, sf_dir).withColumn("flat", F.lit(2.0)).withColumn("price", F.col("price") + 2 * F.col("l_quantity"))
+    cols = ["flat", "l_quantity"]
+    params = params_table(fit_imputer_scaler(lines, cols))[()]
+    whole = gram_sums(apply_imputer_scaler(lines, params, cols, keep=["price"]), cols, "price")[()]
+    return finish(spark.createDataFrame(selected_features(cols, lasso_solve(whole, 1.5)[1]), "feature string, coefficient double"))
+
+
+def known_pca(spark, sf_dir):
+    """Three columns whose components are known: two in step, and one that has both signs on every line."""
+    lines = line_model(spark, sf_dir).withColumn("side", F.explode(F.array(F.lit(-1.0), F.lit(1.0))))
+    frame = materialize(lines.select(
+        "price", split_label("line_id").alias("split"), (F.col("l_quantity") * 3).alias("a_qty"), F.col("l_quantity").alias("b_qty"), (F.col("side") * 40).alias("c_side")), "pca-known")
+    return frame, fit_pca(frame.select("a_qty", "b_qty", "c_side"), ["a_qty", "b_qty", "c_side"])
+
+
+def no_negative_zeros(df):
+    return finish(df).select(*[(F.col(f.name) + F.lit(0.0)).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name) for f in df.schema.fields])
+
+
+@register("pca_known_loadings")
+def q_pca_known_loadings(spark, sf_dir):
+    return no_negative_zeros(known_pca(spark, sf_dir)[1].loadings(spark))
+
+
+@register("pca_known_scree")
+def q_pca_known_scree(spark, sf_dir):
+    return no_negative_zeros(known_pca(spark, sf_dir)[1].scree(spark))
+
+
+@register("pca_known_corr")
+def q_pca_known_corr(spark, sf_dir):
+    frame, model = known_pca(spark, sf_dir)
+    return no_negative_zeros(pc_outcome_corr(model.scores(frame, keep=["split", "price"]), "split", "price", model.k))
+
+
+@register("pca_known_top")
+def q_pca_known_top(spark, sf_dir):
+    """The variant of largest loading for each base name, prefixes stripped."""
+    return no_negative_zeros(best_variant_per_base(known_pca(spark, sf_dir)[1].loadings(spark), "PC1", ("a_", "b_", "c_")))
+
+
+@register("strip_prefix")
+def q_strip_prefix(spark, sf_dir):
+    """Column names without their block's prefix."""
+    named = read(spark, sf_dir, "part").select("p_partkey", F.concat(F.element_at(F.array(*[F.lit(x) for x in ("cbb_totals_", "cbb_", "x_", "")]), (F.col("p_partkey") % 4 + 1).cast("int")), "p_brand").alias("name"))
+    return named.select("p_partkey", strip_prefixes(F.col("name"), ("cbb_totals_", "cbb_")).alias("base"))
+
+
+@register("normalise_sinks")
+def q_normalise_sinks(spark, sf_dir):
+    """The split tables and the mapping as written, with the rows counted by the writes and those read back."""
+    root = scratch_folder(spark, "normalised")
+    counted = write_normalised(entity_long(spark, sf_dir), crosswalk(spark, sf_dir), root, "table_id", ["entity_id"], ["totals", "advanced", "missing"], ("entity_id", "link_id"))
+    back = {t: row_count(spark, f"{root}/{t}") for t in ("totals", "advanced", "missing", "mapping")}
+    return counted.join(spark.createDataFrame(list(back.items()), "table_id string, n_read long"), "table_id")
+
+
 @register("l1_features")
 def q_l1_features(spark, sf_dir):
     _, _, beta = lasso_fit(spark, sf_dir)

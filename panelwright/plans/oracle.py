@@ -1121,3 +1121,37 @@ SELECT entity_id, COUNT(*) AS n_rows, {rnd("SUM(CASE WHEN entity_id % 5 = 0 THEN
        CAST((SELECT COUNT(*) FROM elong WHERE table_id = 'totals') AS INTEGER) AS n_totals, CAST((SELECT COUNT(*) FROM elong WHERE table_id = 'advanced') AS INTEGER) AS n_advanced
 FROM elong WHERE table_id = 'totals' AND Season <> 'Career' AND G IS NOT NULL AND MP IS NOT NULL GROUP BY entity_id
 """)
+
+SQL["l1_known"] = f"""
+WITH d AS (SELECT l_quantity AS x, l_extendedprice / 1000 + 2 * l_quantity AS y FROM lineitem), c AS (SELECT covar_pop(x, y) / STDDEV_POP(x) AS c FROM d)
+SELECT 'l_quantity' AS feature, {rnd("sign(c) * greatest(abs(c) - 1.5, 0)")} AS coefficient FROM c WHERE abs(c) > 1.5
+"""
+
+# Covariance [[9v, 3v, 0], [3v, v, 0], [0, 0, 1600]]: eigenvalues 10v, 1600 and 0.
+SQL["pca_known_loadings"] = f"""
+SELECT feature, pc, {rnd("loading")} AS loading FROM (VALUES
+  ('a_qty', 'PC1', 3 / sqrt(10.0)), ('b_qty', 'PC1', 1 / sqrt(10.0)), ('c_side', 'PC1', 0.0), ('a_qty', 'PC2', 0.0), ('b_qty', 'PC2', 0.0), ('c_side', 'PC2', 1.0)) t(feature, pc, loading)
+"""
+
+SQL["pca_known_scree"] = f"""
+WITH v AS (SELECT 10 * VAR_POP(l_quantity) AS a FROM lineitem)
+SELECT pc, CASE pc WHEN 1 THEN {rnd("a / (a + 1600)")} WHEN 2 THEN {rnd("1600 / (a + 1600)")} ELSE 0.0::DOUBLE END AS ratio,
+       CASE pc WHEN 1 THEN {rnd("a / (a + 1600)")} ELSE 1.0::DOUBLE END AS cumulative, pc <= 2 AS kept, 0.9::DOUBLE AS target
+FROM v CROSS JOIN (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS pc)
+"""
+
+SQL["pca_known_corr"] = f"""
+WITH d AS (SELECT {_split("concat_ws('-', l_orderkey, l_linenumber)")} AS split, l_quantity AS x, l_extendedprice / 1000 AS y FROM lineitem)
+SELECT split, 'PC1' AS pc, {rnd("corr(x, y)")} AS r_success FROM d GROUP BY split UNION ALL SELECT DISTINCT split, 'PC2', 0.0::DOUBLE FROM d
+"""
+
+SQL["pca_known_top"] = f"""
+SELECT * FROM (VALUES ('qty', 'a_qty', {rnd("3 / sqrt(10.0)")}), ('side', 'c_side', 0.0::DOUBLE)) t(base, feature, loading)
+"""
+
+SQL["strip_prefix"] = "SELECT p_partkey, CASE p_partkey % 4 WHEN 2 THEN 'x_' ELSE '' END || p_brand AS base FROM part"
+
+SQL["normalise_sinks"] = _with(ELONG_CTE, """
+, n AS (SELECT table_id, COUNT(*) AS n FROM elong GROUP BY table_id UNION ALL SELECT 'missing', 0 UNION ALL SELECT 'mapping', COUNT(*) FROM customer WHERE c_custkey % 10 <> 0)
+SELECT table_id, n AS n_rows, n AS n_read FROM n WHERE table_id IN ('totals', 'advanced', 'missing', 'mapping')
+""")

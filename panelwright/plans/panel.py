@@ -87,6 +87,21 @@ def normalise_tables(long: DataFrame, tag: str, id_cols, tags, period: str = "Se
     return {t: (drop_spacer_rows(parts[t], period) if t in parts else None) for t in tags}
 
 
+def write_normalised(long: DataFrame, mapping: DataFrame, root: str, tag: str, id_cols, tags, link: tuple[str, str], period: str = "Season") -> DataFrame:
+    """Write every declared table and the mapping table under ``root``; rows ``(table_id, n_rows)`` as the writes counted them.
+
+    The mapping holds the distinct pairs of ids that are both there (P12).  A
+    declared tag without rows is not written and counts 0.
+    """
+    from panelwright.sources.files import write_table
+
+    parts = normalise_tables(long, tag, id_cols, tags, period)
+    counts = [(t, write_table(parts[t], f"{root}/{t}") if parts[t] is not None else 0) for t in tags]
+    pairs = mapping.select(*[qcol(c) for c in link]).dropna().distinct()
+    counts.append(("mapping", write_table(pairs, f"{root}/mapping")))
+    return long.sparkSession.createDataFrame(counts, "table_id string, n_rows long")
+
+
 def rebuild_panel(spark, long_path: str, crosswalk_path: str, detail_path: str | None, spec: PanelSpec,
                   out_path: str | None = None) -> DataFrame:
     """Rebuild the panel from saved tables (C8): missing inputs raise, the result is optionally written."""
@@ -161,4 +176,4 @@ def appearances(season_list: DataFrame, keys, order_by) -> DataFrame:
     return keep_first(season_list, keys, order_by)
 
 
-__all__ = ["PageRun", "PanelSpec", "appearances", "build_panel", "long_from_rows", "normalise_tables", "pages_to_long", "pages_to_panel", "rebuild_panel"]
+__all__ = ["PageRun", "PanelSpec", "appearances", "build_panel", "long_from_rows", "normalise_tables", "pages_to_long", "pages_to_panel", "rebuild_panel", "write_normalised"]

@@ -62,14 +62,11 @@ def unpivot_values(df: DataFrame, cols, ids=()) -> DataFrame:
 
 def describe(df: DataFrame, cols, probs=DESCRIBE_PROBS) -> DataFrame:
     """One row per column: count, mean, sample std, min, quartiles, max."""
-    long = unpivot_values(df, cols)
-    moments = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    cols = list(cols)
+    x = [qcol(c).cast("double") for c in cols]
+    wide = df.agg(*[f(v).alias(f"{n}{i}") for i, v in enumerate(x) for n, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))])
+    each = [F.struct(F.lit(c).alias("column"), *[F.col(f"{n}{i}").alias(n) for n in ("count", "mean", "std", "min", "max")]) for i, c in enumerate(cols)]
+    moments = wide.select(F.explode(F.array(*each)).alias("s")).select("s.*")
     names = [f"p{int(round(p * 100))}" for p in probs]
     q = column_quantiles(df, {c: qcol(c) for c in cols}, probs)
     q = q.groupBy("column").agg(*[F.max(F.when(F.col("prob") == float(p), F.col("quantile"))).alias(n) for p, n in zip(probs, names)])

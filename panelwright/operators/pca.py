@@ -120,7 +120,7 @@ class PCAModel:
 def fit_pca(train_z: DataFrame, cols, variance: float = PCA_VARIANCE) -> PCAModel:
     """Smallest k whose cumulative explained variance reaches ``variance``."""
     if len(cols) < MIN_FEATURES:
-        raise ValueError(f"too few PCA features: {list(cols)}")
+        raise ValueError(f"components need {MIN_FEATURES} columns or more, got {list(cols)}")
     cov, mean, _ = covariance_matrix(train_z, cols)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]

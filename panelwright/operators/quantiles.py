@@ -19,7 +19,7 @@ from panelwright.session import materialize
 
 #: Accuracy of the sketches (rank error at most one part in so many), steps of a narrowing sketch, and
 #: values that the exact aggregate may hold per bracket.
-ACCURACY, ACCURACY_STEPS, BRACKET_VALUES = 10_000, 1_000, 1_000_000
+ACCURACY, ACCURACY_STEPS, BRACKET_VALUES = 2_000, 1_000, 1_000_000
 
 
 def global_rank(df: DataFrame, order, groups=(), num_partitions: int | None = None, label: str = "ranked") -> DataFrame:
@@ -69,7 +69,7 @@ def exact_quantiles(
     """
     if num_partitions:
         df = df.repartition(num_partitions)
-    return column_quantiles(df, {"value": qcol(value)}, probs, groups).drop("column")
+    return column_quantiles(df, {"value": qcol(value)}, probs, groups, "__column").drop("__column")
 
 
 class _Brackets:
@@ -168,8 +168,8 @@ class _Brackets:
         return got, not got.where(" OR ".join(missed)).limit(1).count()
 
 
-def column_quantiles(df: DataFrame, columns: dict[str, Column], probs, groups=()) -> DataFrame:
-    """Rows ``(*groups, column, prob, quantile)`` for several columns at once, exact and without sorting or moving rows.
+def column_quantiles(df: DataFrame, columns: dict[str, Column], probs, groups=(), name: str = "column") -> DataFrame:
+    """Rows ``(*groups, <name>, prob, quantile)`` for several columns at once, exact and without sorting or moving rows.
 
     A sketch (``percentile_approx``) brackets each quantile; in a second pass
     every value outside the brackets is folded onto a bracket's edge, which
@@ -198,10 +198,10 @@ def column_quantiles(df: DataFrame, columns: dict[str, Column], probs, groups=()
         width *= 16
     if not gcols:
         rows = [(c, p, q) for v, c in zip(names, columns, strict=True) for p, q in zip(probs, found[f"{v}_q"] or [], strict=False) if q is not None]
-        return df.sparkSession.createDataFrame(rows, "column string, prob double, quantile double")
-    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.lit(probs[k]).alias("prob"), F.col(f"{v}_q")[k].alias("quantile")) for v, c in zip(names, columns, strict=True) for k in range(len(probs))]))
+        return df.sparkSession.createDataFrame(rows, f"{name} string, prob double, quantile double")
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias(name), F.lit(probs[k]).alias("prob"), F.col(f"{v}_q")[k].alias("quantile")) for v, c in zip(names, columns, strict=True) for k in range(len(probs))]))
     rows = found.select(*[F.col(a).alias(g) for g, a in zip(groups, gcols, strict=True)], each.alias("__s"))
-    return rows.select(*[qcol(g) for g in groups], "__s.column", "__s.prob", "__s.quantile").where("quantile is not null")
+    return rows.select(*[qcol(g) for g in groups], f"__s.{name}", "__s.prob", "__s.quantile").where("quantile is not null")
 
 
 def quantile_columns(df: DataFrame, value: str, probs, names, groups=(), **kw) -> DataFrame:

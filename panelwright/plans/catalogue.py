@@ -144,7 +144,7 @@ from panelwright.operators.select import (
 from panelwright.plans.panel import PanelSpec, build_panel, normalise_tables, pages_to_panel, write_normalised
 from panelwright.plans.rendered import BASE_URL, CANDIDATES, LISTING, rendered_pages
 from panelwright.streaming.entity_store import EntityStore
-from panelwright.session import has_scratch, materialize, scratch_folder
+from panelwright.session import materialize, scratch_folder, scratch_generation
 from panelwright.sources.files import (
     count_periods_column,
     latest_file,
@@ -783,9 +783,20 @@ def q_normalise_tables(spark, sf_dir):
 # -------------------------------------------------------------- cohort (C4)
 
 def stored_panel(spark, sf_dir) -> DataFrame:
-    """The assembled panel, deduped to one row per (entity, period) and written once;
-    the summary, first rows and demographics all read it without re-running the dedupe."""
-    return materialize(dedupe_periods(assembled_panel(spark, sf_dir), PANEL_OUTCOME), "panel-deduped")
+    """The assembled panel, deduped to one row per (entity, period), written once a session and table folder;
+    the summary, first rows and demographics of every query read it without re-running the dedupe."""
+    return _stored(spark, sf_dir, "panel", lambda: materialize(dedupe_periods(assembled_panel(spark, sf_dir), PANEL_OUTCOME), "panel-deduped"))
+
+
+_STORED: dict = {}
+
+
+def _stored(spark, sf_dir, name, make):
+    """What ``make`` gives, kept for the session as long as its scratch tables are there."""
+    key = (*scratch_generation(spark), sf_dir, name)
+    if key not in _STORED:
+        _STORED[key] = make()
+    return _STORED[key]
 
 
 def masked_base(spark, sf_dir) -> DataFrame:
@@ -911,8 +922,11 @@ def q_regression_metrics(spark, sf_dir):
 
 def modeling_frame(spark, sf_dir) -> DataFrame:
     """Supervised frame (C9) with a train/test label per entity, written once for reuse."""
-    frame = feature_projection(cohort_frame(spark, sf_dir), "entity_id", MODEL_FEATURES, "composite")
-    return materialize(frame.withColumn("split", split_label("entity_id")), "modeling-frame")
+    def make():
+        frame = feature_projection(cohort_frame(spark, sf_dir), "entity_id", MODEL_FEATURES, "composite")
+        return materialize(frame.withColumn("split", split_label("entity_id")), "modeling-frame")
+
+    return _stored(spark, sf_dir, "modeling", make)
 
 
 def _flag_best(rows, key, lower_is_better=True):
@@ -938,18 +952,15 @@ def q_lasso_path(spark, sf_dir):
                                  "alpha double, cv_mse double, is_best boolean")
 
 
-_EVALUATED: dict = {}
-
-
 def evaluated(spark, sf_dir):
     """(train, test, evaluation) on the modeling frame: the whole searches over both grids, run once a session and table folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _EVALUATED or not has_scratch(spark):
+    def make():
         mf = modeling_frame(spark, sf_dir)
         train, test = mf.filter(F.col("split") == "train"), mf.filter(F.col("split") == "test")
         grids, draws = {"forest": FOREST_GRID, "boost": BOOST_GRID}, {"forest": FOREST_DRAWS, "boost": BOOST_DRAWS}
-        _EVALUATED[key] = train, test, evaluate_supervised(train, "entity_id", MODEL_FEATURES, "composite", grids, draws)
-    return _EVALUATED[key]
+        return train, test, evaluate_supervised(train, "entity_id", MODEL_FEATURES, "composite", grids, draws)
+
+    return _stored(spark, sf_dir, "evaluated", make)
 
 
 def _search_rows(spark, rows):

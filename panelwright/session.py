@@ -110,9 +110,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
 _SCRATCH: dict[str, list[str]] = {}
 
 
-def has_scratch(spark: SparkSession) -> bool:
-    """Whether scratch tables of this application are still there (none were dropped since the last was written)."""
-    return bool(_SCRATCH.get(spark.sparkContext.applicationId))
+_DROPS: dict[str, int] = {}
+
+
+def scratch_generation(spark: SparkSession) -> tuple[str, int]:
+    """Names the scratch tables that are there: it changes with the application and whenever tables are dropped."""
+    app = spark.sparkContext.applicationId
+    return app, _DROPS.get(app, 0)
 
 
 def drop_scratch(spark: SparkSession) -> int:
@@ -122,6 +126,8 @@ def drop_scratch(spark: SparkSession) -> int:
     Returns the number of tables removed.
     """
     paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    app, drops = scratch_generation(spark)
+    _DROPS[app] = drops + 1
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0

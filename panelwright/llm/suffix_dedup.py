@@ -78,7 +78,8 @@ def segments(buf: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 def flank_hashes(buf: np.ndarray, at: np.ndarray, size: int, there: np.ndarray) -> np.ndarray:
     """32 bits of the ``size`` bytes at each place, 0 where they are not ``there``."""
-    words = loads(np.concatenate([buf, np.zeros(8, np.uint8)]), len(buf) + 1)
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    words = np.ndarray((len(buf) + 1,), dtype="<u8", buffer=padded.data, strides=(1,))  # a view: only the places asked for are copied
     at = np.where(there, at, 0)
     h = np.full(len(at), size, dtype=np.uint64)
     for k in [*range(0, size - 7, 8), max(size - 8, 0)]:
@@ -331,7 +332,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["seed", "uid", "start", "bytes"])
 
     strings = docs.join(wanted, "uid").select("uid", "text", "parts").mapInArrow(fetch, "seed long, uid long, start long, bytes binary")
-    strings = strings.repartition("seed").sortWithinPartitions("seed", "uid", "start")
+    # A merge takes long for its bytes, so these few rows are not drawn together into fewer, larger partitions.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    strings = strings.repartition(parts, "seed").sortWithinPartitions("seed", "uid", "start")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []

@@ -4,14 +4,18 @@ Copies inside one batch of a task fall together first, so a text that very
 many rows share moves once per batch and not once per row.  What is left is
 dealt by normalised length and content hash and inserted, whole, into a
 compressed radix trie; equal texts end in one terminal node, whatever their
-hashes say.  Terminals keep a class number; a grouped minimum over the class
-numbers then finds the owner, so the members' ids never meet in one task.
+hashes say.  A terminal keeps its class number, how many rows ended there and
+the smallest owner so far; members go on at once with the class number, so
+they never meet in one task.  Since rows come by length and hash, all that a
+trie holds is finished when the next hash comes: a trie that is full, or whose
+length is over, gives its owners off subtree by subtree.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -24,7 +28,7 @@ from panelwright.session import materialize
 
 #: Fixed value: the characters that do not count when texts are compared.
 IGNORED = b"\x20\x09\x0a\x0b\x0c\x0d"
-#: Bytes of text a trie holds before it is dropped whole; rows come by hash, so all its terminals are finished.
+#: Bytes of text a trie holds before it gives its subtrees off.
 TRIE_BYTES = 24 << 20
 
 
@@ -63,6 +67,19 @@ class PatriciaTrie:
             here = child
         return here
 
+    def give_off(self) -> Iterator:
+        """The values of all terminals, subtree by subtree; each subtree is dropped once it has been walked."""
+        if self.root.value is not None:
+            yield self.root.value
+        while self.root.children:
+            below = [self.root.children.popitem()[1]]
+            while below:
+                node = below.pop()
+                if node.value is not None:
+                    yield node.value
+                below += node.children.values()
+        self.root, self.held = Node(b""), 0
+
 
 def owners(rows: list[tuple]) -> list[tuple[bytes, list]]:
     """Group (text, ...) rows by text over one trie; groups in order of first appearance."""
@@ -82,6 +99,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Texts are equal when their UTF-8 bytes without blanks, tabs and line ends
     are.  The row with the most code points in its original text stays, then
     the smallest id (null last); of wholly repeated rows exactly one stays.
+    A very long text is inserted whole, in a step of its own.
     Null counts as empty, and all empty texts are one group.  An empty table
     gives an empty result; other columns are not read.
     """
@@ -111,30 +129,38 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.list_(ARROW[type(id_type)]), pa.string()]
 
     def insert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Gives every arriving group its class number; rows come by length and hash."""
-        trie, length, n = PatriciaTrie(), None, TaskContext.get().partitionId() << 40
-        now: list[bytes] = []  # the texts of the latest hash
-        last = None
+        """Every arriving group with its class, and each class's owner once its subtree is finished; rows come by length and hash."""
+        trie, last, n = PatriciaTrie(), (None, None), TaskContext.get().partitionId() << 40
+
+        def finished() -> Iterator[pa.RecordBatch]:
+            held = trie.give_off()
+            while some := list(islice(held, 4096)):
+                classes, sizes, best = zip(*some, strict=True)
+                none = pa.nulls(len(some))
+                owner = [pa.array([x[i] for x in best], t) for i, t in ((2, kinds[5].value_type), (3, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), none.cast(pa.int64()), none.cast(kinds[5]), none.cast(pa.string()), *owner, pa.array(sizes, pa.int64())], out.names)
+
         for batch in batches:
             classes = []
-            for size, code, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if last != (size, code):
-                    if length != size or trie.held > TRIE_BYTES:  # all subtrees are finished
-                        trie, length = PatriciaTrie(), size
-                    last, now = (size, code), []
-                node = trie.node(text)
+            for size, code, text, points, group, members in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if last != (size, code) and (last[0] != size or trie.held > TRIE_BYTES):
+                    yield from finished()
+                last = (size, code)
+                node, rank = trie.node(text), (*first(points, members[0]), group)
                 if node.value is None:
-                    node.value = n
+                    node.value = [n, 0, rank]
                     n += 1
-                    now.append(text)
-                classes.append(node.value)
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), *(batch.column(i) for i in range(3, 7))], out.names)
-
-    out = StructType([StructField("class", LongType()), *schema.fields[3:]])
-    groups = src.mapInArrow(fold, schema).repartition("length", "hash").sortWithinPartitions("length", "hash").mapInArrow(insert, out)
-    groups = materialize(groups, "exact-dedup-groups")
-    rank = F.struct((-F.col("points")).alias("p"), F.col("members")[0].isNull().alias("n"), F.col("members")[0].alias("i"), F.col("group").alias("g"))
-    won = groups.groupBy("class").agg(F.min(rank).alias("won"), F.sum(F.size("members")).alias("group_size"))
-    rows = groups.join(won, "class").select("group", "won", "group_size", "sha", F.posexplode("members").alias("pos", "id"))
-    kept = (F.col("group") == F.col("won.g")) & (F.col("pos") == 0)
-    return rows.select(F.col("id").alias(id_col), F.col("won.i").alias("keep_id"), "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))
+                node.value[1] += len(members)
+                node.value[2] = min(node.value[2], rank)
+                classes.append(node.value[0])
+            none = pa.nulls(len(classes))
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), *(batch.column(i) for i in range(4, 7)), none.cast(kinds[5].value_type), none.cast(pa.int64()), none.cast(pa.int64())], out.names)
+        yield from finished()
+
+    out = StructType([StructField("class", LongType()), *schema.fields[4:], StructField("keep_id", id_type), StructField("won", LongType()), StructField("group_size", LongType())])
+    rows = src.mapInArrow(fold, schema).repartition("length", "hash").sortWithinPartitions("length", "hash").mapInArrow(insert, out)
+    rows = materialize(rows, "exact-dedup-groups")
+    won = rows.where("members is null").select("class", "keep_id", "won", "group_size")
+    members = rows.where("members is not null").select("class", "group", "sha", F.posexplode("members").alias("pos", "id"))
+    kept = (F.col("group") == F.col("won")) & (F.col("pos") == 0)
+    return members.join(won, "class").select(F.col("id").alias(id_col), "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"))

@@ -41,6 +41,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fresh() -> None:
     """Give back what earlier tasks of this worker left free, so that workers kept between stages do not add up."""
     gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return freed memory to the system; what is still in use stays."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
     if trim is not None:

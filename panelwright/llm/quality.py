@@ -89,13 +89,16 @@ def fit_quality(df: DataFrame, labels: DataFrame, s: Settings = Settings(), id_c
     """Learn from at most ``s.max_docs`` labelled documents; returns the model, or None when there is no labelled text.
 
     Labels other than 0 and 1 and null ids do not count; a document labelled
-    twice counts by its larger label.  Texts become bags of buckets on the
+    twice counts by its larger label, and of rows that share an id one counts
+    (the text of smallest hash), found before any task collects them, so a
+    repeated id can't grow the training task.  Texts become bags of buckets on the
     executors (bounded by the bucket count, however long a text is); one task
     learns from the bounded sample.
     """
     usable = labels.select(col(id_col).alias("id"), col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     sample = usable.groupBy("id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(s.max_docs)
     docs = df.select(col(id_col).alias("id"), col(text_col).alias("text")).join(F.broadcast(sample), "id")  # max_docs rows of two numbers
+    docs = docs.groupBy("id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("id", "text", "label")
 
     def to_bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict = {}

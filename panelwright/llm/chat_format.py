@@ -15,9 +15,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from panelwright.llm.chunks import library_encoder
-from panelwright.llm.common import col
+from panelwright.llm.common import col, fresh, steps
 
 #: Fixed value: the template's control strings; all start with one of the two bracket signs.
 START = "<s>"
@@ -123,18 +124,28 @@ def format_conversations(df: DataFrame, path: str, budget: int = BUDGET, history
     texts (escaped).  Turns follow ``turn`` (nulls first), then role and text,
     repeated rows included.  Null text and null role count as empty; rows
     without a conv_id form one conversation.  A turn longer than the budget
-    has a window of its own, whole.  One shuffle by conversation; a task holds
-    one window, however long a conversation is.  An empty table gives no row.
+    has a window of its own, whole.  Tokens are counted where the rows lie,
+    before the one shuffle by conversation, so a conversation with very many
+    turns costs one task only the walk over its windows; a task holds one
+    window, however long a conversation is.  Very long texts are encoded a few
+    at a time.  A conv_id must be a number or read as one.  An empty table
+    gives no row; other columns are not read.
     """
     src = df.select(col("conv_id").cast("long").alias("conv_id"), col("turn").alias("turn"), F.coalesce(col("role"), F.lit("")).alias("role"), F.coalesce(col("text"), F.lit("")).alias("text"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh()
+        encoder = library_encoder(path)
+        for batch in batches:
+            for part in steps(batch, 3):
+                tokens = [len(x) // 4 + MARKS for x in encoder.encode([escape(t) for t in part.column(3).to_pylist()])]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tokens, pa.int64())], counted.names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, now, builder = library_encoder(path), None, None
+        now, builder = None, None
         for batch in batches:
-            ids, roles, texts = (batch.column(i).to_pylist() for i in (0, 2, 3))
-            tokens = [len(x) // 4 + MARKS for x in encoder.encode([escape(t) for t in texts])]
             made = []
-            for conv, role, text, n in zip(ids, roles, texts, tokens, strict=True):
+            for conv, role, text, n in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), strict=True):
                 if builder is None or conv != now:
                     if builder is not None:
                         made.append({"conv_id": now, **builder.close()})
@@ -146,4 +157,6 @@ def format_conversations(df: DataFrame, path: str, budget: int = BUDGET, history
         if builder is not None:
             yield pa.RecordBatch.from_pylist([{"conv_id": now, **builder.close()}], WINDOW_TYPE)
 
-    return src.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").mapInArrow(run, f"conv_id long, {WINDOW}")
+    counted = StructType([*src.schema.fields, StructField("tokens", LongType())])
+    turns = src.mapInArrow(count, counted).repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    return turns.mapInArrow(run, f"conv_id long, {WINDOW}")

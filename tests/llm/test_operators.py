@@ -117,6 +117,54 @@ def test_packing_covers_every_id_once(docs, none):
     assert packing.pack_documents(none, WORD).collect() == []
 
 
+def test_packing_balances_step_groups_over_tasks(spark):
+    rnd = random.Random(8)
+    rows = [(i, "a " * rnd.choice([0, 3, 40, 200, 500, 900, 5000])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(60)
+    pieces = [r.asDict() for r in packing.pack_documents(df, WORD).collect()]
+    windows = {p["sequence_id"]: (p["step_group"], p["sequence_length"]) for p in pieces}
+    filled, groups = {}, {}
+    for p in pieces:
+        filled[p["sequence_id"]] = filled.get(p["sequence_id"], 0) + p["length"]
+    assert all(filled[s] == size and size & (size - 1) == 0 for s, (_, size) in windows.items())
+    for group, size in windows.values():
+        groups.setdefault(group % 5, {}).setdefault(group // 5, []).append(size)
+    assert set(groups[0]) == set(range(len(groups[0]))) and len(groups[0]) > 2
+    for tier, mine in groups.items():
+        assert all(sum(sizes) == packing.STEP_TOKENS for g, sizes in mine.items() if g < max(mine)) or tier == 4
+        assert {size for sizes in mine.values() for size in sizes} <= ({packing.TIERS[tier]} if tier < 4 else {1, 2, 4, 8, 16, 32, 64, 128})
+    assert sum(len(x) for x in groups.get(4, {}).values()) <= 8  # what 60 tasks left was packed together
+
+
+def test_packing_gives_the_same_pieces_by_a_join_that_is_not_broadcast(docs, monkeypatch):
+    want = sorted(packing.pack_documents(docs.coalesce(1), WORD).collect(), key=str)
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", 0)
+    assert sorted(packing.pack_documents(docs.coalesce(1), WORD).collect(), key=str) == want
+
+
+def test_exact_dedup_gives_full_tries_off_by_subtree(spark, monkeypatch):
+    rnd = random.Random(9)
+    texts = ["".join(rnd.choice("ab") for _ in range(6)) + " " * rnd.randint(0, 3) for _ in range(400)] + ["", None, " "]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    best = {}
+    for i, t in enumerate(texts):
+        best.setdefault((t or "").replace(" ", ""), []).append((-len(t or ""), i))
+    monkeypatch.setattr(exact_dedup, "TRIE_BYTES", 20)
+    cloudpickle.register_pickle_by_value(exact_dedup)
+    try:
+        got = by_id(exact_dedup.exact_duplicates(df))
+    finally:
+        cloudpickle.unregister_pickle_by_value(exact_dedup)
+    assert len(got) == len(texts)
+    for members in best.values():
+        assert all((got[i]["keep_id"], got[i]["group_size"]) == (min(members)[1], len(members)) for _, i in members)
+
+
+def test_exact_dedup_of_text_ids(spark):
+    df = spark.createDataFrame([("a2", "x y"), ("a1", "xy "), (None, "xy "), ("b", None)], "doc_id string, text string")
+    assert by_id(exact_dedup.exact_duplicates(df))["a2"]["keep_id"] == "a1"
+
+
 def test_exact_dedup_against_brute_force(spark, docs, none):
     strip = str.maketrans("", "", " \t\n\x0b\x0c\r")
     groups = {}
@@ -138,6 +186,9 @@ def test_patricia_trie_shares_and_splits():
     keys = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(0, 12))) for _ in range(500)]
     nodes = {k: trie.node(k) for k in keys}
     assert len({id(n) for n in nodes.values()}) == len(nodes) and all(trie.node(k) is nodes[k] for k in keys)
+    for k, node in nodes.items():
+        node.value = k
+    assert sorted(trie.give_off()) == sorted(nodes) and not trie.root.children and trie.held == 0
 
 
 def components(n, links):
@@ -310,6 +361,50 @@ def test_chat_format_round_trip(spark):
     assert [r["n_new"] for r in chat_format.format_conversations(alone, BYTE).collect()] == [2]
 
 
+def test_conversations_read_back_with_control_strings(spark):
+    from panelwright.llm import queries
+
+    rows = [*queries.CONTROL_TURNS, (5, 2, "assistant", "x" * 9000), (5, 1, "user", None), (5, 0, None, "s"), (5, 3, "assistant", "</s>"), (6, 0, "user", "hi")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(4)
+    got = by_id(queries.read_windows(chat_format.format_conversations(df, BYTE)), "conv_id")
+    for conv in {r[0] for r in rows}:
+        turns = [(r or "", t or "") for c, _, r, t in sorted(rows, key=lambda r: r[:2]) if c == conv]
+        loss = "".join(t for r, t in turns if r == "assistant")
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
+        assert tuple(got[conv])[:5] == (conv, len(turns), digest("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), digest(loss))
+
+
+def test_quality_learns_once_from_a_repeated_id(spark):
+    base = [(i, f"good clean text {i}" if i % 2 else f"BAD!!! bad {i} {i}") for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    once = spark.createDataFrame(base, "doc_id long, text string")
+    often = spark.createDataFrame(base + [base[3]] * 500 + [base[4]] * 300, "doc_id long, text string").repartition(5)
+    assert quality.fit_quality(once, labels) == quality.fit_quality(often, labels)
+
+
+def test_quality_gradient_agrees_with_finite_differences():
+    s = quality.Settings(buckets=16, dim=3, epochs=1, rate=1e-3)
+    ids, share = np.array([1, 4, 9], np.int32), np.array([0.5, 0.25, 0.25], np.float32)
+    rng = np.random.default_rng(s.seed)
+    emb = rng.normal(0, 1 / s.dim, (s.buckets, s.dim)).astype(np.float32)
+    top = rng.normal(0, 0.3, (s.dim, 2)).astype(np.float32)
+
+    def loss(e, t):
+        z = (share.astype(float) @ e[ids]) @ t
+        return float(np.log(np.exp(z).sum()) - z[1])
+
+    after, top_after, _ = quality.train([(ids, share)], np.array([1]), s)
+    for k, bucket in enumerate(ids):
+        for d in range(s.dim):
+            up, down = emb.astype(float), emb.astype(float)
+            up[bucket, d] += 1e-4
+            down[bucket, d] -= 1e-4
+            slope = (loss(up, top.astype(float)) - loss(down, top.astype(float))) / 2e-4
+            moved = float(emb[bucket, d] - after[bucket, d]) / s.rate / len(ids) ** 0.5
+            assert abs(moved - slope) < 2e-3
+    assert np.array_equal(np.delete(emb, ids, 0), np.delete(after, ids, 0)) and not np.array_equal(top, top_after)
+
+
 def test_quality_learns_held_out_labels_and_keeps_empty_rows(spark, docs, none):
     sf = "/root/testdata/sf0.01"
     d, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))

@@ -3,9 +3,12 @@
 Unit vectors are sorted by grid cells of width epsilon on their leading
 principal axes and cut into blocks.  Pairs of sequence intervals are refined
 from the whole sequence down to blocks, and a pair whose bounding boxes lie
-further apart than epsilon is skipped with all that is below it.  What is
+further apart than epsilon is skipped with all that is below it.  A box has
+the leading axes and, as one more, the norm of what these leave out.  What is
 left is joined block by block, again by halving, with exact cosines at the
-leaves.  Any orthonormal axes give the same links; good ones skip more.
+leaves; a task holds the blocks of one tile of block pairs, so a block moves
+once a tile and not once a pair.  Any orthonormal axes give the same links;
+good ones skip more.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from panelwright.session import materialize
 
 #: Vectors of a block, leaf of the recursion inside a pair of blocks, axes of cells and of boxes, rows the axes are fitted on.
 BLOCK, LEAF, CELL_AXES, BOX_AXES, FIT_ROWS = 256, 64, 4, 12, 8192
-#: Blocks of one partition are numbered below 2 ** PART_BITS; one step of the refinement takes FAN_BITS bits.
-PART_BITS, FAN_BITS = 24, 3
+#: Blocks of one partition are numbered below 2 ** PART_BITS; one step of the refinement takes FAN_BITS bits; a tile is 2 ** TILE_BITS blocks wide and high.
+PART_BITS, FAN_BITS, TILE_BITS = 24, 3, 3
+#: Numbers of a box: the leading axes and the norm of the rest.
+BOX_DIMS = BOX_AXES + 1
 
 
 def fit_axes(vectors: np.ndarray) -> np.ndarray:
@@ -65,8 +70,9 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
     non-finite components, null labels and null ids link with nothing and
     stay.  Equal vectors are one class: links between copies are counted, not
     expanded.  Rows that repeat an id are vectors of their own that share it;
-    they are kept or dropped alike.  An empty table gives an empty result;
-    other columns are not read.
+    they are kept or dropped alike.  Ids are integers; a text id that is none
+    fails the job with CAST_INVALID_INPUT.  An empty table gives an empty
+    result; other columns are not read.
     """
     eps = float(np.sqrt(2 - 2 * cosine)) + 1e-9
     rows = df.select(col(id_col).cast("long").alias("vec_id"), col(vector_col).cast("array<double>").alias("v"), col(label_col).alias("label"))
@@ -91,8 +97,15 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         axes[n] = fit_axes(unit([v for v in sample if len(v) == n]))
 
     def project(x: np.ndarray) -> np.ndarray:
-        along = x @ axes[x.shape[1]][:, :BOX_AXES] if x.shape[1] in axes else x[:, :BOX_AXES]
-        return np.pad(along, ((0, 0), (0, max(0, BOX_AXES - along.shape[1]))))
+        """Coordinates on the leading axes and the norm of the rest: no two vectors are nearer than these are."""
+        if x.shape[1] in axes:
+            lead = axes[x.shape[1]][:, :BOX_AXES]
+            along = x @ lead
+            rest = x - along @ lead.T
+        else:
+            along, rest = x[:, :BOX_AXES], x[:, BOX_AXES:]
+        along = np.pad(along, ((0, 0), (0, max(0, BOX_AXES - along.shape[1]))))
+        return np.column_stack([along, np.linalg.norm(rest, axis=1)])
 
     def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,7 +130,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
             x = np.stack([np.frombuffer(r[2]) for r in held])
             along = project(x)
             made = {"block": pa.array([first + n], pa.int64()), "label": pa.array([now[0]], kind), "length": pa.array([now[1]], pa.int64()), "ids": pa.array([[r[0] for r in held]], pa.list_(pa.int64())), "sizes": pa.array([[r[1] for r in held]], pa.list_(pa.int64())), "units": pa.array([x.tobytes()], pa.binary())}
-            made |= {f"lo{k}": pa.array([along[:, k].min()]) for k in range(BOX_AXES)} | {f"hi{k}": pa.array([along[:, k].max()]) for k in range(BOX_AXES)}
+            made |= {f"lo{k}": pa.array([along[:, k].min()]) for k in range(BOX_DIMS)} | {f"hi{k}": pa.array([along[:, k].max()]) for k in range(BOX_DIMS)}
             return pa.RecordBatch.from_pydict(made)
 
         for batch in batches:
@@ -131,12 +144,12 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         if held:
             yield block()
 
-    box = [f"{s}{k}" for s in ("lo", "hi") for k in range(BOX_AXES)]
+    box = [f"{s}{k}" for s in ("lo", "hi") for k in range(BOX_DIMS)]
     block_schema = f"block long, label {dict(rows.dtypes)['label']}, length long, ids array<long>, sizes array<long>, units binary, {', '.join(f'{b} double' for b in box)}"
     table = materialize(sequence.mapInArrow(blocks, block_schema), "grid-blocks")
 
     def nodes(shift: int, side: str) -> DataFrame:
-        ends = [F.min(f"lo{k}").alias(f"{side}lo{k}") for k in range(BOX_AXES)] + [F.max(f"hi{k}").alias(f"{side}hi{k}") for k in range(BOX_AXES)]
+        ends = [F.min(f"lo{k}").alias(f"{side}lo{k}") for k in range(BOX_DIMS)] + [F.max(f"hi{k}").alias(f"{side}hi{k}") for k in range(BOX_DIMS)]
         level = table.groupBy("label", "length", F.shiftright("block", shift).alias(f"{side}node")).agg(*ends)
         return level.withColumnsRenamed({"label": f"{side}label", "length": f"{side}length"})
 
@@ -144,7 +157,7 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         """Pairs of intervals of 2 ** shift block numbers whose boxes are near, below the pairs of the level above."""
         a, b = nodes(shift, "a"), nodes(shift, "b")
         same = (F.col("alabel") == F.col("blabel")) & (F.col("alength") == F.col("blength")) & (F.col("anode") <= F.col("bnode"))
-        gaps = [F.greatest(F.lit(0.0), F.col(f"alo{k}") - F.col(f"bhi{k}"), F.col(f"blo{k}") - F.col(f"ahi{k}")) for k in range(BOX_AXES)]
+        gaps = [F.greatest(F.lit(0.0), F.col(f"alo{k}") - F.col(f"bhi{k}"), F.col(f"blo{k}") - F.col(f"ahi{k}")) for k in range(BOX_DIMS)]
         close = sum((g * g for g in gaps), F.lit(0.0)) <= eps * eps
         if pairs is not None:
             up = pairs.select(F.col("alabel").alias("plabel"), F.col("alength").alias("plength"), F.col("anode").alias("pa"), F.col("bnode").alias("pb"))
@@ -159,33 +172,45 @@ def near_duplicates(df: DataFrame, cosine: float = 0.93, id_col: str = "vec_id",
         pairs = materialize(near(shift, pairs), "grid-pairs")
         shift -= FAN_BITS
 
-    side = lambda s: table.select(F.col("block").alias(f"{s}node"), F.col("ids").alias(f"{s}ids"), F.col("sizes").alias(f"{s}sizes"), F.col("units").alias(f"{s}units"))
+    def joined(one: tuple, two: tuple) -> pa.RecordBatch:
+        """Link counts and a spanning forest of a pair of blocks, or of a block with itself."""
+        (ia, sa, x, px), (ib, sb, y, py) = one, two
+        linked = np.zeros((len(ia), len(ib)), dtype=bool)
+        join_intervals(x, y, px, py, cosine, eps, linked)
+        if one is two:
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+            ids, counts, whole = ia, linked @ sa, linked
+        else:
+            ids, counts = np.concatenate([ia, ib]), np.concatenate([linked @ sb, sa @ linked])
+            whole = np.zeros((len(ids), len(ids)), dtype=bool)
+            whole[: len(ia), len(ia) :] = linked
+            whole[len(ia) :, : len(ia)] = linked.T
+        hit = np.flatnonzero(counts)
+        edges = forest(whole)
+        made_a = [*ids[hit].tolist(), *(int(ids[i]) for i, _ in edges)]
+        made_b = [None] * len(hit) + [int(ids[j]) for _, j in edges]
+        made_n = [*counts[hit].tolist(), *[0] * len(edges)]
+        return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (made_a, made_b, made_n)], ["a", "b", "n"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, wanted = None, {}, []
         for batch in batches:
             for r in range(batch.num_rows):
-                row = {f: batch.column(f)[r].as_py() for f in batch.schema.names}
-                ia, ib, sa, sb = (np.array(row[f]) for f in ("aids", "bids", "asizes", "bsizes"))
-                x, y = np.frombuffer(row["aunits"]).reshape(len(ia), -1), np.frombuffer(row["bunits"]).reshape(len(ib), -1)
-                linked = np.zeros((len(ia), len(ib)), dtype=bool)
-                join_intervals(x, y, project(x), project(y), cosine, eps, linked)
-                if row["anode"] == row["bnode"]:
-                    linked |= linked.T
-                    np.fill_diagonal(linked, False)
-                    ids, counts, whole = ia, linked @ sa, linked
-                else:
-                    ids, counts = np.concatenate([ia, ib]), np.concatenate([linked @ sb, sa @ linked])
-                    whole = np.zeros((len(ids), len(ids)), dtype=bool)
-                    whole[: len(ia), len(ia) :] = linked
-                    whole[len(ia) :, : len(ia)] = linked.T
-                hit = np.flatnonzero(counts)
-                edges = forest(whole)
-                made_a = [*ids[hit].tolist(), *(int(ids[i]) for i, _ in edges)]
-                made_b = [None] * len(hit) + [int(ids[j]) for _, j in edges]
-                made_n = [*counts[hit].tolist(), *[0] * len(edges)]
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in (made_a, made_b, made_n)], ["a", "b", "n"])
-
-    work = pairs.select("anode", "bnode").join(side("a"), "anode").join(side("b"), "bnode")
+                i, j, block, partners, block_ids, sizes, units = (batch.column(f)[r].as_py() for f in ("i", "j", "block", "partners", "ids", "sizes", "units"))
+                if now != (i, j):
+                    yield from (joined(held[a], held[b]) for a, b in wanted)
+                    now, held, wanted = (i, j), {}, []
+                x = np.frombuffer(units).reshape(len(block_ids), -1)
+                held[block] = (np.array(block_ids), np.array(sizes), x, project(x))
+                wanted += [(block, p) for p in partners]
+        yield from (joined(held[a], held[b]) for a, b in wanted)
+
+    # One row per tile and block in it; the first block of a pair brings its partners, at most 2 ** TILE_BITS.
+    tile = [F.shiftright("anode", TILE_BITS).alias("i"), F.shiftright("bnode", TILE_BITS).alias("j")]
+    ends = [F.struct(F.col("anode").alias("block"), F.col("bnode").alias("partner")), F.struct(F.col("bnode").alias("block"), F.lit(None).cast("long").alias("partner"))]
+    needed = pairs.select(*tile, F.explode(F.array(*ends)).alias("e")).groupBy("i", "j", F.col("e.block").alias("block")).agg(F.collect_list("e.partner").alias("partners"))
+    work = needed.join(table.select("block", "ids", "sizes", "units"), "block").repartition("i", "j").sortWithinPartitions("i", "j", "block")
     found = materialize(work.mapInArrow(verify, "a long, b long, n long"), "grid-links")
     counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     roots = connected_components(found.where("b is not null").select("a", "b"), "grid-components").withColumnRenamed("node", "id")

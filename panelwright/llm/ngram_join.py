@@ -113,7 +113,9 @@ def similar_documents(df: DataFrame, words: int = WORDS, similarity: float = SIM
     component_id the smallest id reachable by links; kept marks it.  A text of
     fewer words is one n-gram; null, empty and blank texts have none and link
     with nothing, and so do rows with a null id (they stay).  Rows that repeat
-    an id with an equal text are one document.  An empty table gives an empty
+    an id with an equal text are one document; with another text, a document
+    of its own that shares the id.  Ids are integers; a text id that is none
+    fails the job with CAST_INVALID_INPUT.  An empty table gives an empty
     result; other columns are not read.
     """
     bands = bands_for(similarity, rows, recall)

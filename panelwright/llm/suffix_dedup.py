@@ -439,8 +439,9 @@ def remove_repeats(df: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     are judged on the input and may overlap.  Texts are UTF-8 bytes, null is
     empty, texts below ``length`` bytes stay.  Rows with a null id count as
     last and rows that share an id follow a hash of their text and the text;
-    among wholly equal rows one comes first.  An empty table gives an empty
-    result; other columns are not read.
+    among wholly equal rows one comes first.  Ids are integers; a text id that
+    is none fails the job with CAST_INVALID_INPUT.  An empty table gives an
+    empty result; other columns are not read.
     """
     others = [col(c) for c in df.columns if c not in (id_col, text_col)] if carry else []
     rows = df.select(col(id_col).cast("long").alias("doc"), F.coalesce(col(text_col).cast("binary"), F.lit(b"")).alias("text"), *([F.struct(*others).alias("row")] if others else []))

@@ -142,6 +142,8 @@ def write_token_files(df: DataFrame, path: str, out_uri: str | None = None, end_
     spread too).  Each task writes under a name of its own attempt and renames
     it when complete, so a repeated task replaces the same content.  Null and
     empty texts hold the end id only; an empty table gives an empty manifest.
+    Ids are integers; a text id that is none fails the job with
+    CAST_INVALID_INPUT.  A very long text is encoded by itself, whole.
     """
     spark = df.sparkSession
     uri = out_uri or scratch_path(spark, f"token-files-{uuid.uuid4().hex}")

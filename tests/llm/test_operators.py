@@ -275,6 +275,29 @@ def test_embedding_join_draws_its_sample_from_low_hashes(spark, monkeypatch):
     assert sorted(map(tuple, got.collect())) == whole
 
 
+def test_embedding_join_over_many_blocks_and_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(60, 20))  # more components than a box has axes
+    x = np.vstack([base + rng.normal(scale=s, size=base.shape) for s in (0, 0.1, 0.25)])
+    rows = [(i, v.tolist(), int(i % 2)) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").repartition(3)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links = [(a, b) for a in range(len(x)) for b in range(len(x)) if a != b and a % 2 == b % 2 and u[a] @ u[b] >= 0.93]
+    root = components(len(x), links)
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 4)
+    monkeypatch.setattr(embedding_dedup, "TILE_BITS", 1)
+    got = by_id(embedding_dedup.near_duplicates(df), "vec_id")
+    assert len(links) > 50
+    assert all((got[i]["n_links"], got[i]["component_id"]) == (sum(a == i for a, _ in links), root[i]) for i in range(len(x)))
+
+
+@pytest.mark.parametrize("run", [ngram_join.similar_documents, suffix_dedup.remove_repeats, lambda df: embedding_dedup.near_duplicates(df, id_col="doc_id", vector_col="v", label_col="text")])
+def test_ids_that_are_no_numbers_fail_the_job(spark, run):
+    df = spark.createDataFrame([("a2", "some text", [1.0])], "doc_id string, text string, v array<double>")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run(df).collect()
+
+
 def brute_repeats(texts, length):
     seen, out = set(), []
     for t in texts:

@@ -36,6 +36,8 @@ MAX_BINS, NULL_BIN, LOCAL_BYTES = 255, 255, 4 << 20
 BOOST_LEAVES, SCORE_ROUNDS = 31, 10
 #: Cells (tree x row x feature) that one step sums at a time.
 CELLS = 1 << 22
+#: Cells (tree x row x feature) that rows at hand grow together: few, so that they stay in the processor's cache.
+STEP_CELLS = 1 << 18
 #: A cut must gain more than this share of its own scale.
 LEAST_GAIN = 1e-9
 
@@ -123,16 +125,9 @@ class Growth:
     def growing(self) -> bool:
         return bool(self.open.any())
 
-    def walk(self, bins: np.ndarray, nodes: np.ndarray | None = None) -> np.ndarray:
-        """(tree, row): the node that each row lies in; ``nodes``: where the rows lay one level above."""
-        steps = 1 if nodes is not None else self.depth
-        if nodes is None:
-            nodes = np.repeat(np.arange(len(self.limit))[:, None], len(bins), axis=1)
-        row = np.arange(len(bins))[None, :]
-        for _ in range(steps):
-            child = self.child[nodes]
-            nodes = np.where(child >= 0, child + (bins[row, self.feature[nodes]] > self.cut[nodes]), nodes)
-        return nodes
+    def walk(self, bins: np.ndarray) -> np.ndarray:
+        """(tree, row): the node that each row lies in."""
+        return walk(bins, np.arange(len(self.limit)), self.feature, self.cut, self.child)
 
     def sums(self, bins: np.ndarray, nodes: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(idx, g, h) over the open nodes, idx sorted; ``target`` and ``weight`` by row or by (tree, row)."""
@@ -143,22 +138,40 @@ class Growth:
         still = self.open[node]
         tree, row, node = tree[still], row[still], node[still]
         w = np.broadcast_to(weight, nodes.shape)[tree, row]
-        wg = w * np.broadcast_to(target, nodes.shape)[tree, row]
-        picked = self.chosen[node]
-        width = picked.shape[1]
-        idx = ((node[:, None] * width + np.arange(width)) << 8) + bins[row[:, None], picked]
-        if (picked < 0).any():
-            has = picked >= 0
-            w, wg, idx = (np.broadcast_to(x, has.shape)[has] for x in (w[:, None], wg[:, None], idx))
-        else:
-            w, wg, idx = np.repeat(w, width), np.repeat(wg, width), idx.ravel()
-        cells = len(self.open) * width << 8
-        if cells <= 8 * len(idx):
-            h, g = np.bincount(idx, w, cells), np.bincount(idx, wg, cells)
-            held = np.flatnonzero(h)
-            return held, g[held].astype(np.int64), h[held].astype(np.int64)
-        held, at = np.unique(idx, return_inverse=True)
-        return held, np.bincount(at, wg, len(held)).astype(np.int64), np.bincount(at, w, len(held)).astype(np.int64)
+        return self.cells(Columns(bins), node, row, w, w * np.broadcast_to(target, nodes.shape)[tree, row])
+
+    def cells(self, columns: Columns, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(idx, g, h) of rows that lie in open nodes of this level, counted from its first; ``w`` None: all 1.
+
+        Every (node, slot) has as many cells as its feature has bins.
+        """
+        width, count = self.chosen.shape[1], columns.count
+        size = np.where(self.chosen >= 0, count[self.chosen], 0)
+        size[~self.open] = 0
+        start = np.zeros(size.size + 1, np.int64)
+        np.cumsum(size.ravel(), out=start[1:])
+        first, feature = (np.ascontiguousarray(x.T) for x in (start[:-1].reshape(size.shape), self.chosen))
+        every = width == len(count) and bool((self.chosen == np.arange(width)).all())
+        whole, base = bool((self.chosen >= 0).all()), row * len(count)
+        found = []
+        for slot in range(width):
+            some = slice(None)
+            if every:
+                at = columns.by_column[slot].take(row)
+            else:
+                at = feature[slot].take(node)
+                some = some if whole else np.flatnonzero(at >= 0)
+                at = columns.flat.take(base[some] + at[some])
+            found.append((first[slot].take(node[some]) + at, None if w is None else w[some], wg[some]))
+        if start[-1] > len(node):  # many small nodes: all slots at once
+            found = [tuple(None if x[0] is None else np.concatenate(x) for x in zip(*found, strict=True))]
+        g, h = np.zeros(start[-1]), np.zeros(start[-1])
+        for at, ws, gs in found:
+            h += np.bincount(at, ws, len(h))
+            g += np.bincount(at, gs, len(g))
+        held = np.flatnonzero(h)
+        segment = np.repeat(np.arange(size.size), size.ravel())[held]
+        return (segment << 8) + held - start[segment], g[held].astype(np.int64), h[held].astype(np.int64)
 
     def cuts(self, idx: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         tree = self.tree[self.begin :]
@@ -199,14 +212,63 @@ class Growth:
 
     def grow(self, bins: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Grow to the end on rows at hand; the node of each (tree, row)."""
-        nodes = self.walk(bins)
+        self.fit(Columns(bins), target, weight)
+        return self.walk(bins)
+
+    def fit(self, columns: Columns, target: np.ndarray, weight: np.ndarray) -> None:
+        """Grow to the end on rows at hand; rows whose node is closed are left out from then on."""
+        shape = (len(self.limit), columns.by_column.shape[1])
+        weight = np.broadcast_to(weight, shape)
+        tree, row = np.nonzero(weight)
+        w = weight[tree, row]
+        wg = w * np.broadcast_to(target, shape)[tree, row]
+        w = None if (w == 1).all() else w
+        node, p = tree, len(columns.count)
+        still = self.open[node]
         while self.growing:
-            idx, g, h = self.sums(bins, nodes, target, weight)
-            if not len(idx):
+            if not still.all():
+                node, row, wg = node[still], row[still], wg[still]
+                w = w[still] if w is not None else None
+            if not len(node):
                 break
-            self.split(*self.cuts(idx, g, h))
-            nodes = self.walk(bins, nodes)
-        return nodes
+            first = self.begin
+            self.split(*self.cuts(*self.cells(columns, node, row, w, wg)))
+            node = node + first
+            child = self.child[node]
+            node = child + (columns.flat[row * p + self.feature[node]] > self.cut[node]) - self.begin
+            still = child >= 0
+            still[still] = self.open[node[still]]
+
+
+class Columns:
+    """Bins of rows at hand as the sums read them, and how many each feature has."""
+
+    def __init__(self, bins: np.ndarray):
+        self.flat = np.ascontiguousarray(bins).ravel()
+        self.by_column = np.ascontiguousarray(bins.T)
+        self.count = bins.max(axis=0, initial=0).astype(np.int64) + 1
+
+
+def walk(bins: np.ndarray, roots: np.ndarray, feature: np.ndarray, cut: np.ndarray, child: np.ndarray) -> np.ndarray:
+    """(tree, row): the node that each row ends in, from each root; rows that have ended go no further."""
+    n, p = bins.shape
+    flat = np.ascontiguousarray(bins).ravel()
+    out = np.repeat(roots.astype(np.int64), n)
+    base = np.tile(np.arange(n) * p, len(roots))
+    at, node = None, out
+    while True:
+        below = child[node]
+        go = below >= 0
+        if not go.all():
+            at = np.flatnonzero(go) if at is None else at[go]
+            node, below, base = node[go], below[go], base[go]
+        if not len(node):
+            return out.reshape(len(roots), n)
+        node = below + (flat[base + feature[node]] > cut[node])
+        if at is None:
+            out = node
+        else:
+            out[at] = node
 
 
 # ------------------------------------------------------------- binned tables
@@ -312,32 +374,35 @@ def filled(bins: np.ndarray, fill: np.ndarray) -> np.ndarray:
 # --------------------------------------------- the broadcast way: models shared out
 
 def forest_here(block, binned_fill, unit: float, fit: dict, fold: int, seed: int, first: int, last: int):
-    """Trees ``first`` to ``last`` of a forest on rows at hand, in steps: (growth, nodes of the rows)."""
-    row, of_fold, y, bins = block
+    """Trees ``first`` to ``last`` of a forest on rows at hand, in steps."""
+    own = block[1] != fold
+    row, y, bins = (block[i][own] for i in (0, 2, 3))
     bins = filled(bins, binned_fill)
+    columns = Columns(bins)
     target = np.rint(y / unit)
-    own = of_fold != fold
     width = share_of(fit["feature_share"], bins.shape[1])
-    step = max(1, CELLS // max(1, len(y) * width))
+    step = max(1, STEP_CELLS // max(1, len(y) * width))
     for a in range(first, last, step):
         seeds = seeds_of(fit["n_trees"], seed)[a : min(a + step, last)]
         n = len(seeds)
         g = Growth(bins.shape[1], seeds, [fit["max_depth"]] * n, [fit["min_leaf"]] * n, [width] * n, [0.0] * n, [1 << 40] * n)
-        yield g, g.grow(bins, target, bootstrap(row, seeds, fit) * own)
+        g.fit(columns, target, bootstrap(row, seeds, fit))
+        yield g
 
 
 def boost_here(block, binned_fill, unit: float, base: float, fits: list[dict], fold: int, seed: int):
     """Rounds of several boostings on rows at hand: (fits that took part, growth, scores of all fits)."""
     row, of_fold, y, bins = block
     bins = filled(bins, binned_fill)
+    columns = Columns(bins)
     weight = (of_fold != fold).astype(float)
     score = np.full((len(fits), len(y)), base)
     rate = np.array([f["learning_rate"] for f in fits])
     for r in range(max(f["n_rounds"] for f in fits)):
         on = [i for i, f in enumerate(fits) if r < f["n_rounds"]]
         g = growth_of("boost", bins.shape[1], [fits[i] for i in on], seed)
-        nodes = g.grow(bins, np.rint((y - score[on]) / unit), weight)
-        score[on] += rate[on, None] * g.values(unit)[nodes]
+        g.fit(columns, np.rint((y - score[on]) / unit), weight)
+        score[on] += rate[on, None] * g.values(unit)[g.walk(bins)]
         yield on, g, score
 
 
@@ -522,14 +587,17 @@ def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int)
             def work(block, task):
                 d, f = task
                 val = block[1] == f
+                held_out = filled(block[3][val], fill[f])
                 total = np.zeros(int(val.sum()))
-                for g, nodes in forest_here(block, fill[f], unit, fits[d], f, seed, 0, fits[d]["n_trees"]):
-                    total += g.values(unit)[nodes[:, val]].sum(axis=0)
+                for g in forest_here(block, fill[f], unit, fits[d], f, seed, 0, fits[d]["n_trees"]):
+                    for tree in g.values(unit)[g.walk(held_out)]:
+                        total += tree
                 error = block[2][val] - total / fits[d]["n_trees"]
                 return [(np.int32(d), np.int32(f), float(error @ error), len(error))]
         else:
             order = sorted(range(len(fits)), key=lambda i: (-fits[i]["n_rounds"], fits[i]["max_depth"] or 99, i))
-            tasks = [(order[a : a + 5], f) for a in range(0, len(order), 5) for f in folds]
+            together = min(5, max(1, STEP_CELLS // (binned.n * p)))
+            tasks = [(order[a : a + together], f) for a in range(0, len(order), together) for f in folds]
 
             def work(block, task):
                 some, f = task
@@ -603,16 +671,10 @@ class TreeModel:
         bins = filled(codes_of(x, self.edges), self.fill)
         out = np.zeros(len(x))
         n = 0
-        row = np.arange(len(x))[None, :]
         for roots, feature, cut, child, value in self.trees:
             step = max(1, CELLS // max(1, len(x)))
             for a in range(0, roots, step):
-                nodes = np.repeat(np.arange(a, min(a + step, roots))[:, None], len(x), axis=1)
-                while True:
-                    below = child[nodes]
-                    if (below < 0).all():
-                        break
-                    nodes = np.where(below >= 0, below + (bins[row, feature[nodes]] > cut[nodes]), nodes)
+                nodes = walk(bins, np.arange(a, min(a + step, roots)), feature, cut, child)
                 out += value[nodes].sum(axis=0)
             n += roots
         return self.base + self.rate * out if self.kind == "boost" else out / n
@@ -643,7 +705,7 @@ def fit_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, params
 
         def work(block, task):
             if kind == "forest":
-                made = [g for g, _ in forest_here(block, fill, unit, params, -1, seed, *task)]
+                made = [g for g in forest_here(block, fill, unit, params, -1, seed, *task)]
             else:
                 made = [g for _, g, _ in boost_here(block, fill, unit, base, [params], -1, seed)]
             return [(task[0], pickle.dumps([bare(g) for g in made]))]

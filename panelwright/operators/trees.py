@@ -642,9 +642,12 @@ def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int)
     return out
 
 
-def search_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, fits: list[dict], fold: Column, k: int, seed: int) -> list[dict]:
-    """Every fit's RMSE on each fold and their mean over the folds; ``kind`` is ``forest`` or ``boost``."""
-    binned = bin_rows(train, id_col, xcols, ycol, fold, k)
+def search_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, fits: list[dict], fold: Column, k: int, seed: int, binned: Binned | None = None) -> list[dict]:
+    """Every fit's RMSE on each fold and their mean over the folds; ``kind`` is ``forest`` or ``boost``.
+
+    ``binned``: what :func:`bin_rows` made of the same arguments, where several searches share it.
+    """
+    binned = binned or bin_rows(train, id_col, xcols, ycol, fold, k)
     scores: dict[int, dict[int, float]] = {}
     for r in fold_errors(binned, kind, fits, k, seed).collect():  # fits x folds rows
         if r["n"]:

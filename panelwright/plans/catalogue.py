@@ -119,7 +119,7 @@ from panelwright.operators.modeling import (
     TOP_IMPORTANCES,
 )
 from panelwright.operators.quantiles import global_rank
-from panelwright.operators.trees import params_text, search_trees
+from panelwright.operators.trees import bin_rows, params_text, search_trees
 from panelwright.operators.outcomes import add_composite, career_summary, dedupe_periods, prime_rate, quartile_label
 from panelwright.operators.pca import (
     best_variant_per_base,
@@ -1006,9 +1006,10 @@ def q_stump_cv(spark, sf_dir):
         "boost": [{"n_rounds": 1, "learning_rate": 0.5, "max_depth": 1, "min_leaf": 20, "l2": l2} for l2 in (0.0, 1000.0)],
     }
     lines = line_model(spark, sf_dir).withColumn("l_discount", F.when(F.col("l_quantity") % 7 != 0, F.col("l_discount")))
-    rows = []
+    table = (lines, "line_id", ["l_quantity", "l_discount"], "price")
+    rows, binned = [], bin_rows(*table, fold_id("line_id"), N_FOLDS)
     for kind, fits in stumps.items():
-        for r in search_trees(lines, "line_id", ["l_quantity", "l_discount"], "price", kind, fits, fold_id("line_id"), N_FOLDS, SEED):
+        for r in search_trees(*table, kind, fits, fold_id("line_id"), N_FOLDS, SEED, binned):
             rows += [(kind, float(r["params"].get("l2", 0.0)), i, x) for i, x in enumerate(r["fold_rmse"])]
     return finish(spark.createDataFrame(rows, "kind string, l2 double, fold int, rmse double"))
 

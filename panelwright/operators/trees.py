@@ -19,6 +19,7 @@ import json
 import math
 import pickle
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,10 +39,17 @@ BOOST_LEAVES, SCORE_ROUNDS = 31, 10
 CELLS = 1 << 22
 #: Cells (tree x row x feature) that rows at hand grow together: few, so that they stay in the processor's cache.
 STEP_CELLS = 1 << 18
+#: Cells for each of their rows above which the rows are sorted, and for each row up to which all cells of a level are kept.
+SPARSE, DENSE = 2, 1
+#: Most cells of features that are summed as one code.
+PACK_CELLS = 1 << 10
 #: A cut must gain more than this share of its own scale.
 LEAST_GAIN = 1e-9
 
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(19)])
+#: Draws by the first 16 bits of a share, and whether the rest of its bits matter.
+DRAWS = np.searchsorted(POISSON, np.arange(1 << 16) / (1 << 16), side="right").astype(np.uint8)
+MIXED = np.searchsorted(POISSON, np.arange(1, (1 << 16) + 1) / (1 << 16), side="right") != DRAWS
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -57,7 +65,11 @@ def bootstrap(rows: np.ndarray, seeds: np.ndarray, fit: dict) -> np.ndarray:
     if not fit.get("bootstrap", True):
         return np.ones((len(seeds), len(rows)))
     u = mix(rows.astype(np.uint64)[None, :] ^ mix(seeds)[:, None]) >> np.uint64(11)
-    return np.searchsorted(POISSON, u * 2.0**-53, side="right").astype(float)
+    top = (u >> np.uint64(37)).astype(np.int64)
+    out = DRAWS.take(top).astype(float)
+    unsure = MIXED.take(top)
+    out[unsure] = np.searchsorted(POISSON, u[unsure] * 2.0**-53, side="right")
+    return out
 
 
 def best_cuts(idx: np.ndarray, g: np.ndarray, h: np.ndarray, width: int, least: np.ndarray, l2: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -125,9 +137,9 @@ class Growth:
     def growing(self) -> bool:
         return bool(self.open.any())
 
-    def walk(self, bins: np.ndarray) -> np.ndarray:
-        """(tree, row): the node that each row lies in."""
-        return walk(bins, np.arange(len(self.limit)), self.feature, self.cut, self.child)
+    def walk(self, bins: np.ndarray, depths=None):
+        """(tree, row): the node that each row lies in; ``depths`` as of :func:`walk`."""
+        return walk(bins, np.arange(len(self.limit)), self.feature, self.cut, self.child, depths)
 
     def sums(self, bins: np.ndarray, nodes: np.ndarray, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(idx, g, h) over the open nodes, idx sorted; ``target`` and ``weight`` by row or by (tree, row)."""
@@ -165,6 +177,15 @@ class Growth:
             found.append((first[slot].take(node[some]) + at, None if w is None else w[some], wg[some]))
         if start[-1] > len(node):  # many small nodes: all slots at once
             found = [tuple(None if x[0] is None else np.concatenate(x) for x in zip(*found, strict=True))]
+        if len(found) == 1 and start[-1] > SPARSE * len(found[0][0]):  # most cells are empty: the rows are sorted
+            at, w, wg = found[0]
+            key = np.sort((at << 32) + np.arange(len(at)))
+            at, by = key >> 32, key & 0xFFFFFFFF
+            head = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+            h = np.diff(np.append(head, len(at))) if w is None else np.add.reduceat(w[by], head)
+            held = at[head]
+            segment = np.searchsorted(start, held, side="right") - 1
+            return (segment << 8) + held - start[segment], np.add.reduceat(wg[by], head).astype(np.int64), h.astype(np.int64)
         g, h = np.zeros(start[-1]), np.zeros(start[-1])
         for at, ws, gs in found:
             h += np.bincount(at, ws, len(h))
@@ -173,6 +194,35 @@ class Growth:
         segment = np.repeat(np.arange(size.size), size.ravel())[held]
         return (segment << 8) + held - start[segment], g[held].astype(np.int64), h[held].astype(np.int64)
 
+    def whole(self, columns: Columns, parents: list | None, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray) -> list[np.ndarray]:
+        """g and h by (node of this level, cell of any feature), right for open nodes; of two children one is its parent less the other."""
+        if parents is None:
+            return columns.sums(node, row, w, wg, len(self.open))
+        two, h = self.open.reshape(-1, 2), self.h[self.begin :].reshape(-1, 2)
+        summed = 2 * np.arange(len(two)) + np.where(two.all(axis=1), h[:, 1] < h[:, 0], two[:, 1])
+        place = np.full(len(self.open), -1)
+        place[summed] = np.arange(len(two))
+        at = place.take(node)
+        mine = np.flatnonzero(at >= 0)
+        got = columns.sums(at[mine], row[mine], None if w is None else w[mine], wg[mine], len(two))
+        out = [np.empty((len(self.open), x.shape[1])) for x in got]
+        for both, parent, part in zip(out, parents, got, strict=True):
+            both[summed], both[summed ^ 1] = part, parent - part
+        return out
+
+    def picked(self, columns: Columns, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(idx, g, h) as of :meth:`cells`, of the chosen features, from the sums of all."""
+        width = self.chosen.shape[1]
+        size = np.where(self.chosen >= 0, columns.count[self.chosen], 0)
+        size[~self.open] = 0
+        size, chosen = size.ravel(), self.chosen.ravel()
+        segment = np.repeat(np.arange(len(size)), size)
+        cell = np.arange(len(segment)) - (np.cumsum(size) - size)[segment]
+        at = segment // width * columns.first[-1] + columns.first[chosen[segment]] + cell
+        h = h.ravel()[at]
+        held = np.flatnonzero(h)
+        return (segment[held] << 8) + cell[held], g.ravel()[at[held]].astype(np.int64), h[held].astype(np.int64)
+
     def cuts(self, idx: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         tree = self.tree[self.begin :]
         return best_cuts(idx, g, h, self.chosen.shape[1], self.least[tree], self.l2[tree])
@@ -184,12 +234,15 @@ class Growth:
         cut = slot >= 0
         node, g, h, slot, at, gl, hl, gain = (x[cut] for x in (node, g, h, slot, at, gl, hl, gain))
         tree = self.tree[self.begin + node]
-        order = np.lexsort((node, -gain, tree))
-        new = np.concatenate([[True], tree[order][1:] != tree[order][:-1]]) if len(order) else np.zeros(0, bool)
-        rank = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-        kept = np.sort(order[rank < self.leaves_left[tree[order]]])
-        node, g, h, slot, at, gl, hl, tree = (x[kept] for x in (node, g, h, slot, at, gl, hl, tree))
-        np.subtract.at(self.leaves_left, tree, 1)
+        many = np.bincount(tree, minlength=len(self.limit))
+        if (many > self.leaves_left).any():
+            order = np.lexsort((node, -gain, tree))
+            new = np.concatenate([[True], tree[order][1:] != tree[order][:-1]])
+            rank = np.arange(len(order)) - np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
+            kept = np.sort(order[rank < self.leaves_left[tree[order]]])
+            node, g, h, slot, at, gl, hl, tree = (x[kept] for x in (node, g, h, slot, at, gl, hl, tree))
+            many = np.bincount(tree, minlength=len(self.limit))
+        self.leaves_left -= many
         parent, first = self.begin + node, len(self.tree)
         self.feature[parent], self.cut[parent] = self.chosen[node, slot], at
         self.child[parent] = first + 2 * np.arange(len(node))
@@ -215,29 +268,51 @@ class Growth:
         self.fit(Columns(bins), target, weight)
         return self.walk(bins)
 
-    def fit(self, columns: Columns, target: np.ndarray, weight: np.ndarray) -> None:
-        """Grow to the end on rows at hand; rows whose node is closed are left out from then on."""
-        shape = (len(self.limit), columns.by_column.shape[1])
-        weight = np.broadcast_to(weight, shape)
-        tree, row = np.nonzero(weight)
-        w = weight[tree, row]
-        wg = w * np.broadcast_to(target, shape)[tree, row]
-        w = None if (w == 1).all() else w
-        node, p = tree, len(columns.count)
-        still = self.open[node]
+    def fit(self, columns: Columns, target: np.ndarray, weight: np.ndarray | None, rows: np.ndarray | None = None) -> np.ndarray | None:
+        """Grow to the end on rows at hand; rows whose node is closed are left out from then on.
+
+        ``rows``: those that take part, each once; ``target`` has them only, and the node of each (tree, row)
+        of them is returned.  While a level has few cells for its
+        rows, the sums of all its features are kept, and the larger of two children is their parent less the
+        smaller; sums are whole numbers, so that is exact.
+        """
+        shape = (len(self.limit), columns.by_column.shape[1] if rows is None else len(rows))
+        target = np.broadcast_to(target, shape).ravel()
+        if rows is not None:
+            at, w, wg = np.arange(target.size), None, target
+        else:
+            weight = np.broadcast_to(weight, shape).ravel()
+            at = np.flatnonzero(weight)
+            w = weight.take(at)
+            wg = w * target.take(at)
+            w = None if (w == 1).all() else w
+        node, row = np.divmod(at, shape[1]) if shape[0] > 1 else (np.zeros(len(at), np.int64), at)
+        ends, at = (None, None) if rows is None else (node.copy(), at)
+        row = row if rows is None else rows.take(row)
+        p, held = len(columns.count), None
+        dense = 2 * self.chosen.shape[1] > len(columns.packs)
+        keep = lambda kept, *xs: tuple(None if x is None else x.take(kept) for x in xs)
         while self.growing:
-            if not still.all():
-                node, row, wg = node[still], row[still], wg[still]
-                w = w[still] if w is not None else None
+            if not self.open.all():
+                node, row, w, wg, at = keep(np.flatnonzero(self.open.take(node)), node, row, w, wg, at)
             if not len(node):
                 break
             first = self.begin
-            self.split(*self.cuts(*self.cells(columns, node, row, w, wg)))
-            node = node + first
-            child = self.child[node]
-            node = child + (columns.flat[row * p + self.feature[node]] > self.cut[node]) - self.begin
-            still = child >= 0
-            still[still] = self.open[node[still]]
+            if dense and len(self.open) * columns.cells <= DENSE * len(node) and (held is not None or not self.depth):
+                held = self.whole(columns, held, node, row, w, wg)
+                sums = self.picked(columns, *held)
+            else:
+                held, sums = None, self.cells(columns, node, row, w, wg)
+            self.split(*self.cuts(*sums))
+            feature, cut, child = (x[first : self.begin] for x in (self.feature, self.cut, self.child))
+            if held is not None:
+                held = [x[child >= 0] for x in held]
+            if (child < 0).any():
+                node, row, w, wg, at = keep(np.flatnonzero((child >= 0).take(node)), node, row, w, wg, at)
+            node = (child - self.begin).take(node) + (columns.flat.take(row * p + feature.take(node)) > cut.take(node))
+            if at is not None:
+                ends[at] = node + self.begin
+        return None if rows is None else ends.reshape(shape)
 
 
 class Columns:
@@ -247,15 +322,66 @@ class Columns:
         self.flat = np.ascontiguousarray(bins).ravel()
         self.by_column = np.ascontiguousarray(bins.T)
         self.count = bins.max(axis=0, initial=0).astype(np.int64) + 1
-
-
-def walk(bins: np.ndarray, roots: np.ndarray, feature: np.ndarray, cut: np.ndarray, child: np.ndarray) -> np.ndarray:
-    """(tree, row): the node that each row ends in, from each root; rows that have ended go no further."""
+        self.first = np.append(0, np.cumsum(self.count))  # of each feature's cells, all features side by side
+
+    @cached_property
+    def packs(self) -> list[tuple[list[int], np.ndarray]]:
+        """Features of few bins share a code: (features, code by row, the last feature's bins next to each other)."""
+        packs: list[list[int]] = []
+        for j in np.argsort(-self.count, kind="stable").tolist():
+            fits = [x for x in packs if self.count[x].prod() * self.count[j] <= PACK_CELLS]
+            if fits:
+                fits[0].append(j)
+            else:
+                packs.append([j])
+        return [(x, np.ravel_multi_index(tuple(self.by_column[x].astype(np.int64)), tuple(self.count[x])).astype(np.int32)) for x in packs]
+
+    @cached_property
+    def cells(self) -> int:
+        """Cells of a node: those of its codes or of its features, whichever are more."""
+        return int(max(self.first[-1], sum(self.count[x].prod() for x, _ in self.packs)))
+
+    def sums(self, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray, n: int) -> list[np.ndarray]:
+        """g and h by (one of n nodes, cell of any feature)."""
+        out = [np.empty((n, self.first[-1])) for _ in range(2)]
+        for features, code in self.packs:
+            shape = self.count[features]
+            at = code.take(row)
+            at = at + node * shape.prod() if n > 1 else at
+            for to, x in zip(out, (wg, w), strict=True):
+                cube = np.bincount(at, x, n * shape.prod()).reshape(n, *shape)
+                for i, j in enumerate(features):
+                    to[:, self.first[j] : self.first[j + 1]] = cube.sum(axis=tuple(k + 1 for k in range(len(features)) if k != i))
+        return out
+
+
+def walk(bins: np.ndarray, roots: np.ndarray, feature: np.ndarray, cut: np.ndarray, child: np.ndarray, depths=None):
+    """(tree, row): the node that each row ends in, from each root; rows that have ended go no further.
+
+    ``depths``, rising: a list, with the node at each of these depths (None: the end).
+    """
     n, p = bins.shape
     flat = np.ascontiguousarray(bins).ravel()
     out = np.repeat(roots.astype(np.int64), n)
     base = np.tile(np.arange(n) * p, len(roots))
     at, node = None, out
+    if depths is not None:
+        found, depth = [], 0
+        for limit in depths:
+            while len(node) and (limit is None or depth < limit):
+                below = child[node]
+                go = below >= 0
+                if not go.all():
+                    at = np.flatnonzero(go) if at is None else at[go]
+                    node, below, base = node[go], below[go], base[go]
+                node = below + (flat[base + feature[node]] > cut[node])
+                depth += 1
+                if at is None:
+                    out = node
+                else:
+                    out[at] = node
+            found.append(out.reshape(len(roots), n).copy())
+        return found
     while True:
         below = child[node]
         go = below >= 0
@@ -391,19 +517,21 @@ def forest_here(block, binned_fill, unit: float, fit: dict, fold: int, seed: int
 
 
 def boost_here(block, binned_fill, unit: float, base: float, fits: list[dict], fold: int, seed: int):
-    """Rounds of several boostings on rows at hand: (fits that took part, growth, scores of all fits)."""
+    """Rounds of several boostings on rows at hand: (fits that took part, growth, scores of the rows held out by fit)."""
     row, of_fold, y, bins = block
     bins = filled(bins, binned_fill)
-    columns = Columns(bins)
-    weight = (of_fold != fold).astype(float)
-    score = np.full((len(fits), len(y)), base)
+    own, out = np.flatnonzero(of_fold != fold), np.flatnonzero(of_fold == fold)
+    columns, target, held_out = Columns(bins), y[own], bins[out]
+    score, unseen = (np.full((len(fits), len(x)), base) for x in (own, out))
     rate = np.array([f["learning_rate"] for f in fits])
     for r in range(max(f["n_rounds"] for f in fits)):
         on = [i for i, f in enumerate(fits) if r < f["n_rounds"]]
         g = growth_of("boost", bins.shape[1], [fits[i] for i in on], seed)
-        g.fit(columns, np.rint((y - score[on]) / unit), weight)
-        score[on] += rate[on, None] * g.values(unit)[g.walk(bins)]
-        yield on, g, score
+        ends = g.fit(columns, np.rint((target - score[on]) / unit), None, own)
+        value = g.values(unit)
+        score[on] += rate[on, None] * value[ends]
+        unseen[on] += rate[on, None] * value[g.walk(held_out)]
+        yield on, g, unseen
 
 
 def shared_out(binned: Binned, tasks: list, work, schema: str) -> DataFrame:
@@ -576,24 +704,48 @@ def boost_by_levels(binned: Binned, fits: list[dict], folds: list[int], seed: in
 ERRORS = "draw int, fold int, sse double, n long"
 
 
+def deep(depth: int | None) -> float:
+    return math.inf if depth is None else depth
+
+
+def nested(fits: list[dict]) -> list[list[int]]:
+    """Forests by what their cuts depend on.  Those of one list differ in depth and number of trees only: they have the
+    same seeds and draws, so a tree of less depth is the top of the deeper one, and few trees are the first of many.
+    """
+    groups: dict[str, list[int]] = {}
+    for d, fit in enumerate(fits):
+        groups.setdefault(params_text({k: v for k, v in fit.items() if k not in ("n_trees", "max_depth")}), []).append(d)
+    return list(groups.values())
+
+
 def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int) -> DataFrame:
     """(draw, fold, sse, n): squared errors of every fit on the fold that it did not see."""
     p, fill, unit, base = binned.p, binned.fill, binned.unit, binned.base
     folds = list(range(k))
     if binned.small:
         if kind == "forest":
-            tasks = sorted(((d, f) for d in range(len(fits)) for f in folds), key=lambda t: (-fits[t[0]]["n_trees"] * share_of(fits[t[0]]["feature_share"], p), t))
+            alike = nested(fits)
+            tasks = sorted(((tuple(a), f) for a in alike for f in folds), key=lambda t: (-max(fits[d]["n_trees"] for d in t[0]) * share_of(fits[t[0][0]]["feature_share"], p), t))
 
             def work(block, task):
-                d, f = task
+                some, f = task
                 val = block[1] == f
                 held_out = filled(block[3][val], fill[f])
-                total = np.zeros(int(val.sum()))
-                for g in forest_here(block, fill[f], unit, fits[d], f, seed, 0, fits[d]["n_trees"]):
-                    for tree in g.values(unit)[g.walk(held_out)]:
-                        total += tree
-                error = block[2][val] - total / fits[d]["n_trees"]
-                return [(np.int32(d), np.int32(f), float(error @ error), len(error))]
+                total = {d: np.zeros(int(val.sum())) for d in some}
+                first = 0
+                for last in sorted({fits[d]["n_trees"] for d in some}):
+                    now = [d for d in some if fits[d]["n_trees"] >= last]
+                    depths = sorted({fits[d]["max_depth"] for d in now}, key=deep)
+                    for g in forest_here(block, fill[f], unit, {**fits[now[0]], "n_trees": last, "max_depth": depths[-1]}, f, seed, first, last):
+                        value = g.values(unit)
+                        for depth, nodes in zip(depths, g.walk(held_out, depths), strict=True):
+                            for tree in value[nodes]:
+                                for d in now:
+                                    if fits[d]["max_depth"] == depth:
+                                        total[d] += tree
+                    first = last
+                errors = [(d, block[2][val] - total[d] / fits[d]["n_trees"]) for d in some]
+                return [(np.int32(d), np.int32(f), float(e @ e), len(e)) for d, e in errors]
         else:
             order = sorted(range(len(fits)), key=lambda i: (-fits[i]["n_rounds"], fits[i]["max_depth"] or 99, i))
             together = min(5, max(1, STEP_CELLS // (binned.n * p)))
@@ -604,7 +756,7 @@ def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int)
                 val = block[1] == f
                 for _, _, score in boost_here(block, fill[f], unit, base[f], [fits[i] for i in some], f, seed):
                     pass
-                error = block[2][val] - score[:, val]
+                error = block[2][val] - score
                 return [(np.int32(i), np.int32(f), float(e @ e), len(e)) for i, e in zip(some, error, strict=True)]
 
         return shared_out(binned, tasks, work, ERRORS)

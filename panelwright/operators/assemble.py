@@ -29,11 +29,13 @@ def left_join(df: DataFrame, dim: DataFrame, on, fill: dict | None = None) -> Da
     return out
 
 
-def patch_join(base: DataFrame, patch: DataFrame, keys, columns, order_by=()) -> DataFrame:
+def patch_join(base: DataFrame, patch: DataFrame, keys, columns, order_by=(), no_null_keys: bool = False) -> DataFrame:
     """Fill ``columns`` on ``base`` from ``patch``, preferring non-null patch values.
 
     The patch is reduced to its first row per key, absent base columns are
     created as null, and every base row sharing the key gets the same values.
+    ``no_null_keys`` says that ``base`` has none: both sides then join where
+    their own passes by these keys have left them.
     """
     if any(k not in patch.columns or k not in base.columns for k in keys):
         return base
@@ -49,7 +51,7 @@ def patch_join(base: DataFrame, patch: DataFrame, keys, columns, order_by=()) ->
     for c in present:
         if c not in out.columns:
             out = out.withColumn(c, F.lit(None).cast(types[c]))
-    cond = reduce(lambda a, b: a & b, [out[k].eqNullSafe(p[f"__k{i}"]) for i, k in enumerate(keys)])
+    cond = reduce(lambda a, b: a & b, [out[k] == p[f"__k{i}"] if no_null_keys else out[k].eqNullSafe(p[f"__k{i}"]) for i, k in enumerate(keys)])
     joined = out.join(p, cond, "left")
     cols = [F.coalesce(F.col(f"__p_{c}"), out[c]).alias(c) if c in present else out[c] for c in out.columns]
     return joined.select(*cols)

@@ -755,8 +755,8 @@ PANEL_COLUMNS = [
 ]
 
 
-def assembled_panel(spark, sf_dir) -> DataFrame:
-    return build_panel(entity_long(spark, sf_dir), crosswalk(spark, sf_dir), detail_long(spark, sf_dir), panel_spec())
+def assembled_panel(spark, sf_dir, dedupe=None) -> DataFrame:
+    return build_panel(entity_long(spark, sf_dir), crosswalk(spark, sf_dir), detail_long(spark, sf_dir), panel_spec(), dedupe)
 
 
 @register("panel_build")
@@ -792,7 +792,7 @@ def q_normalise_tables(spark, sf_dir):
 def stored_panel(spark, sf_dir) -> DataFrame:
     """The assembled panel, deduped to one row per (entity, period), written once a session and table folder;
     the summary, first rows and demographics of every query read it without re-running the dedupe."""
-    return _stored(spark, sf_dir, "panel", lambda: materialize(dedupe_periods(assembled_panel(spark, sf_dir), PANEL_OUTCOME), "panel-deduped"))
+    return _stored(spark, sf_dir, "panel", lambda: materialize(assembled_panel(spark, sf_dir, lambda rows: dedupe_periods(rows, PANEL_OUTCOME)), "panel-deduped"))
 
 
 _STORED: dict = {}

@@ -7,6 +7,7 @@ is a plan; nothing is collected except the per-tag schema pass of the split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -47,20 +48,24 @@ class PanelSpec:
     detail_order: list = field(default_factory=list)
 
 
-def build_panel(long: DataFrame, crosswalk: DataFrame, detail_long: DataFrame | None, spec: PanelSpec) -> DataFrame:
+def build_panel(long: DataFrame, crosswalk: DataFrame, detail_long: DataFrame | None, spec: PanelSpec,
+                dedupe: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """entity x period panel.
 
     totals rows with a period label and both required measures, left-joined
     to the crosswalk (J1), patched from the first ``patch_tag`` row per
     (entity, period) (J2), then joined on the link id (J4) to the detail
     blocks: per tag the latest-period row per link (W4), namespaced (P15) and
-    assembled per link (J3).
+    assembled per link (J3).  ``dedupe`` keeps one row per (entity, period), none
+    with a null key: it runs on the narrow rows, before the joins that add columns
+    to a row and never rows, so its pass by these keys serves the patch as well.
     """
     totals = long.filter(qcol(spec.tag) == F.lit(spec.totals_tag))
     totals = require_non_null(keep_period_rows(totals, spec.period), spec.required)
     base = left_join(totals, crosswalk, spec.entity)
     patch = keep_period_rows(long.filter(qcol(spec.tag) == F.lit(spec.patch_tag)), spec.period)
-    base = patch_join(base, patch, [spec.entity, spec.period], spec.patch_columns, order_by=[spec.stint])
+    base = dedupe(base) if dedupe else base
+    base = patch_join(base, patch, [spec.entity, spec.period], spec.patch_columns, order_by=[spec.stint], no_null_keys=dedupe is not None)
     if detail_long is None:
         return base
     # Latest row per (tag, link) for every declared tag in one pass; the

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
 from panelwright.operators.quantiles import column_quantiles, exact_quantiles, global_rank
-from panelwright.operators.trees import search_trees
+from panelwright.operators.trees import Binned, search_trees
 
 # Fixed values of the evaluation protocol: test share, seed, folds, grids.
 TEST_SHARE = 0.2
@@ -387,13 +387,14 @@ def sample_grid(grid: dict, n_iter: int, seed: int = SEED) -> list[dict]:
 
 
 def tree_search(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, grid: dict, n_iter: int,
-                k: int = N_FOLDS, seed: int = SEED) -> list[dict]:
+                k: int = N_FOLDS, seed: int = SEED, binned: Binned | None = None) -> list[dict]:
     """Random search with k-fold CV for a ``forest`` or ``boost`` (M9, M10, M11): every draw with its score on each fold.
 
     Folds impute with medians of their own training rows (no scaling, as for
-    trees); all draws and folds share one binned table and one plan.
+    trees); all draws and folds share one binned table and one plan.  ``binned``:
+    that table, where several searches share it.
     """
-    return search_trees(train, id_col, xcols, ycol, kind, sample_grid(grid, n_iter, seed), fold_id(id_col, k, seed), k, seed)
+    return search_trees(train, id_col, xcols, ycol, kind, sample_grid(grid, n_iter, seed), fold_id(id_col, k, seed), k, seed, binned)
 
 
 # ------------------------------------------------------ permutation scoring

@@ -4,19 +4,23 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
 from panelwright.operators.assemble import union_by_name
 from panelwright.operators.modeling import (
+    N_FOLDS,
     SEED,
     apply_imputer_scaler,
     cv_frame,
     fit_imputer_scaler,
+    fold_id,
     gram_sums,
     lasso_cv,
     lasso_solve,
@@ -29,7 +33,7 @@ from panelwright.operators.modeling import (
     transform_expr,
     tree_search,
 )
-from panelwright.operators.trees import fit_trees
+from panelwright.operators.trees import bin_rows, fit_trees
 
 #: Model names by tree kind, in the order of the report.
 TREES = {"forest": "random_forest", "boost": "gradient_boosting"}
@@ -62,10 +66,29 @@ def evaluate_supervised(train: DataFrame, id_col: str, features, outcome: str, g
     alone.  Only parameters and scores reach the driver.
     """
     features = list(features)
-    params = params_table(fit_imputer_scaler(train, features))[()]
-    scaled = apply_imputer_scaler(train, params, features, keep=[id_col, outcome])
-    whole = gram_sums(scaled, features, outcome)[()]
-    _, stats = cv_frame(train, id_col, features, outcome)
+
+    def sums():
+        params = params_table(fit_imputer_scaler(train, features))[()]
+        scaled = apply_imputer_scaler(train, params, features, keep=[id_col, outcome])
+        return params, gram_sums(scaled, features, outcome)[()], cv_frame(train, id_col, features, outcome)[1]
+
+    def trees(kind, binned):
+        search = tree_search(train, id_col, features, outcome, kind, grids[kind], draws[kind], binned=binned)
+        best = min(search, key=lambda r: r["cv_rmse"])
+        return search, best, fit_trees(train, id_col, features, outcome, kind, best["params"], SEED, binned)
+
+    # The three do not wait for each other; tables that stay distributed are searched one after the other.
+    with ThreadPoolExecutor(1 + len(TREES)) as pool:
+        run = lambda f, *a: pool.submit(inheritable_thread_target(train.sparkSession)(f), *a)
+        linear_sums = run(sums)
+        binned = bin_rows(train, id_col, features, outcome, fold_id(id_col), N_FOLDS)
+        found = {}
+        for kind in TREES:
+            found[kind] = run(trees, kind, binned)
+            if not binned.small:
+                found[kind].result()
+        params, whole, stats = linear_sums.result()
+        found = {kind: x.result() for kind, x in found.items()}
 
     def linear(solution):
         b0, beta = solution
@@ -84,12 +107,10 @@ def evaluate_supervised(train: DataFrame, id_col: str, features, outcome: str, g
         "lasso_cv": FittedModel("lasso_cv", {"alpha": lasso["alpha"]}, float(np.sqrt(lasso["cv_mse"])), linear(lasso_fit)),
     }
 
-    searches = {}
     for kind, name in TREES.items():
-        searches[kind] = tree_search(train, id_col, features, outcome, kind, grids[kind], draws[kind])
-        best = min(searches[kind], key=lambda r: r["cv_rmse"])
-        fitted = fit_trees(train, id_col, features, outcome, kind, best["params"], SEED)
+        _, best, fitted = found[kind]
         models[name] = FittedModel(name, best["params"], best["cv_rmse"], lambda df, m=fitted: m.predict(df, features))
+    searches = {kind: x[0] for kind, x in found.items()}
     return Evaluation(models, selected_features(features, lasso_fit[1]), searches)
 
 

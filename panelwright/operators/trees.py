@@ -39,6 +39,8 @@ BOOST_LEAVES, SCORE_ROUNDS = 31, 10
 CELLS = 1 << 22
 #: Cells (tree x row x feature) that rows at hand grow together: few, so that they stay in the processor's cache.
 STEP_CELLS = 1 << 18
+#: Trees of a forest that one task of a search grows.
+TASK_TREES = 100
 #: Cells for each of their rows above which the rows are sorted, and for each row up to which all cells of a level are kept.
 SPARSE, DENSE = 2, 1
 #: Most cells of features that are summed as one code.
@@ -152,14 +154,14 @@ class Growth:
         w = np.broadcast_to(weight, nodes.shape)[tree, row]
         return self.cells(Columns(bins), node, row, w, w * np.broadcast_to(target, nodes.shape)[tree, row])
 
-    def cells(self, columns: Columns, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def cells(self, columns: Columns, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray, held: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(idx, g, h) of rows that lie in open nodes of this level, counted from its first; ``w`` None: all 1.
 
-        Every (node, slot) has as many cells as its feature has bins.
+        Every (node, slot) has as many cells as its feature has bins.  ``held``: whether a node has rows, where not all open ones have.
         """
         width, count = self.chosen.shape[1], columns.count
         size = np.where(self.chosen >= 0, count[self.chosen], 0)
-        size[~self.open] = 0
+        size[~(self.open if held is None else held)] = 0
         start = np.zeros(size.size + 1, np.int64)
         np.cumsum(size.ravel(), out=start[1:])
         first, feature = (np.ascontiguousarray(x.T) for x in (start[:-1].reshape(size.shape), self.chosen))
@@ -194,31 +196,41 @@ class Growth:
         segment = np.repeat(np.arange(size.size), size.ravel())[held]
         return (segment << 8) + held - start[segment], g[held].astype(np.int64), h[held].astype(np.int64)
 
-    def whole(self, columns: Columns, parents: list | None, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray) -> list[np.ndarray]:
-        """g and h by (node of this level, cell of any feature), right for open nodes; of two children one is its parent less the other."""
+    def whole(self, columns: Columns, parents: list | None, still: np.ndarray, h: np.ndarray, node: np.ndarray, row: np.ndarray, w: np.ndarray | None, wg: np.ndarray) -> list[np.ndarray]:
+        """g and h by (node, cell of any feature), right for nodes ``still`` open; of two children one is its parent less the other."""
         if parents is None:
-            return columns.sums(node, row, w, wg, len(self.open))
-        two, h = self.open.reshape(-1, 2), self.h[self.begin :].reshape(-1, 2)
+            return columns.sums(node, row, w, wg, len(still))
+        two, h = still.reshape(-1, 2), h.reshape(-1, 2)
         summed = 2 * np.arange(len(two)) + np.where(two.all(axis=1), h[:, 1] < h[:, 0], two[:, 1])
-        place = np.full(len(self.open), -1)
+        place = np.full(len(still), -1)
         place[summed] = np.arange(len(two))
         at = place.take(node)
         mine = np.flatnonzero(at >= 0)
         got = columns.sums(at[mine], row[mine], None if w is None else w[mine], wg[mine], len(two))
-        out = [np.empty((len(self.open), x.shape[1])) for x in got]
+        out = [np.empty((len(still), x.shape[1])) for x in got]
         for both, parent, part in zip(out, parents, got, strict=True):
             both[summed], both[summed ^ 1] = part, parent - part
         return out
 
-    def picked(self, columns: Columns, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(idx, g, h) as of :meth:`cells`, of the chosen features, from the sums of all."""
+    def spread(self, of: np.ndarray, idx: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(idx, g, h) of every open node of this level, from those of the twins that hold the rows (``of``: by node)."""
+        size = self.chosen.shape[1] << 8
+        count = np.bincount(idx // size, minlength=len(of))
+        node = np.flatnonzero(self.open)
+        twin = of[node]
+        n = count[twin]
+        at = np.repeat((np.cumsum(count) - count)[twin] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        return idx[at] + np.repeat((node - twin) * size, n), g[at], h[at]
+
+    def picked(self, columns: Columns, twins: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(idx, g, h) of the chosen features of open nodes, from the sums of all by group of twins."""
         width = self.chosen.shape[1]
         size = np.where(self.chosen >= 0, columns.count[self.chosen], 0)
         size[~self.open] = 0
         size, chosen = size.ravel(), self.chosen.ravel()
         segment = np.repeat(np.arange(len(size)), size)
         cell = np.arange(len(segment)) - (np.cumsum(size) - size)[segment]
-        at = segment // width * columns.first[-1] + columns.first[chosen[segment]] + cell
+        at = twins[segment // width] * columns.first[-1] + columns.first[chosen[segment]] + cell
         h = h.ravel()[at]
         held = np.flatnonzero(h)
         return (segment[held] << 8) + cell[held], g.ravel()[at[held]].astype(np.int64), h[held].astype(np.int64)
@@ -268,15 +280,19 @@ class Growth:
         self.fit(Columns(bins), target, weight)
         return self.walk(bins)
 
-    def fit(self, columns: Columns, target: np.ndarray, weight: np.ndarray | None, rows: np.ndarray | None = None) -> np.ndarray | None:
+    def fit(self, columns: Columns, target: np.ndarray, weight: np.ndarray | None, rows: np.ndarray | None = None, alike: int = 1) -> np.ndarray | None:
         """Grow to the end on rows at hand; rows whose node is closed are left out from then on.
 
         ``rows``: those that take part, each once; ``target`` has them only, and the node of each (tree, row)
         of them is returned.  While a level has few cells for its
         rows, the sums of all its features are kept, and the larger of two children is their parent less the
         smaller; sums are whole numbers, so that is exact.
+
+        ``alike``: so many trees next to each other have the same seed, features and weights (one row of ``weight``),
+        and differ in their limits only.  Their nodes are twins, with the same rows, as long as they are cut alike:
+        rows are held and summed once for all twins, and part where the limits make the cuts differ.
         """
-        shape = (len(self.limit), columns.by_column.shape[1] if rows is None else len(rows))
+        shape = (len(self.limit) // alike, columns.by_column.shape[1] if rows is None else len(rows))
         target = np.broadcast_to(target, shape).ravel()
         if rows is not None:
             at, w, wg = np.arange(target.size), None, target
@@ -292,24 +308,49 @@ class Growth:
         p, held = len(columns.count), None
         dense = 2 * self.chosen.shape[1] > len(columns.packs)
         keep = lambda kept, *xs: tuple(None if x is None else x.take(kept) for x in xs)
+        twins = np.arange(len(self.limit)) // alike  # of each node of this level; rows lie in these groups
         while self.growing:
-            if not self.open.all():
-                node, row, w, wg, at = keep(np.flatnonzero(self.open.take(node)), node, row, w, wg, at)
+            groups, live = int(twins.max()) + 1, np.flatnonzero(self.open)[::-1]
+            first_open, still = np.zeros(groups, np.int64), np.zeros(groups, bool)
+            first_open[twins[live]], still[twins[live]] = live, True
+            if not still.all():
+                node, row, w, wg, at = keep(np.flatnonzero(still.take(node)), node, row, w, wg, at)
             if not len(node):
                 break
             first = self.begin
-            if dense and len(self.open) * columns.cells <= DENSE * len(node) and (held is not None or not self.depth):
-                held = self.whole(columns, held, node, row, w, wg)
-                sums = self.picked(columns, *held)
+            if dense and groups * columns.cells <= DENSE * len(node) and (held is not None or not self.depth):
+                held = self.whole(columns, held, still, self.h[first + first_open], node, row, w, wg)
+                sums = self.picked(columns, twins, *held)
             else:
-                held, sums = None, self.cells(columns, node, row, w, wg)
+                held = None
+                if alike == 1:
+                    sums = self.cells(columns, node, row, w, wg)
+                else:
+                    holds = np.zeros(len(self.open), bool)
+                    holds[first_open[still]] = True
+                    sums = self.spread(first_open[twins], *self.cells(columns, first_open.take(node), row, w, wg, holds))
             self.split(*self.cuts(*sums))
             feature, cut, child = (x[first : self.begin] for x in (self.feature, self.cut, self.child))
+            done = np.flatnonzero(child >= 0)
+            if not len(done):
+                break
+            # Twins that are cut alike stay twins: a group for each (group, feature, cut).
+            kinds, new = np.unique((twins[done] * p + feature[done]) * 256 + cut[done], return_inverse=True)
+            origin, feature, cut = kinds // (256 * p), kinds // 256 % p, kinds % 256
+            twins = np.stack([2 * new, 2 * new + 1], axis=1).ravel()
             if held is not None:
-                held = [x[child >= 0] for x in held]
-            if (child < 0).any():
-                node, row, w, wg, at = keep(np.flatnonzero((child >= 0).take(node)), node, row, w, wg, at)
-            node = (child - self.begin).take(node) + (columns.flat.take(row * p + feature.take(node)) > cut.take(node))
+                held = [x[origin] for x in held]
+            parts = np.bincount(origin, minlength=groups)
+            start = np.cumsum(parts) - parts
+            kind = start.take(node)
+            if (parts > 1).any():
+                n = parts.take(node)
+                kind = np.repeat(kind - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                row, w, wg, at = keep(np.repeat(np.arange(len(node)), n), row, w, wg, at)
+            elif not parts.all():
+                kept = np.flatnonzero(parts.take(node))
+                kind, row, w, wg, at = keep(kept, kind, row, w, wg, at)
+            node = 2 * kind + (columns.flat.take(row * p + feature.take(kind)) > cut.take(kind))
             if at is not None:
                 ends[at] = node + self.begin
         return None if rows is None else ends.reshape(shape)
@@ -499,20 +540,24 @@ def filled(bins: np.ndarray, fill: np.ndarray) -> np.ndarray:
 
 # --------------------------------------------- the broadcast way: models shared out
 
-def forest_here(block, binned_fill, unit: float, fit: dict, fold: int, seed: int, first: int, last: int):
-    """Trees ``first`` to ``last`` of a forest on rows at hand, in steps."""
+def forest_here(block, binned_fill, unit: float, fit: dict, fold: int, seed: int, first: int, last: int, limits: list[dict] | None = None):
+    """Trees ``first`` to ``last`` of a forest on rows at hand, in steps.
+
+    ``limits``: forests that differ from ``fit`` in depth and least leaf only, grown together; tree i of
+    forest j is tree i * len(limits) + j of its step.
+    """
     own = block[1] != fold
     row, y, bins = (block[i][own] for i in (0, 2, 3))
     bins = filled(bins, binned_fill)
     columns = Columns(bins)
     target = np.rint(y / unit)
-    width = share_of(fit["feature_share"], bins.shape[1])
+    width, limits = share_of(fit["feature_share"], bins.shape[1]), limits or [fit]
     step = max(1, STEP_CELLS // max(1, len(y) * width))
     for a in range(first, last, step):
-        seeds = seeds_of(fit["n_trees"], seed)[a : min(a + step, last)]
-        n = len(seeds)
-        g = Growth(bins.shape[1], seeds, [fit["max_depth"]] * n, [fit["min_leaf"]] * n, [width] * n, [0.0] * n, [1 << 40] * n)
-        g.fit(columns, target, bootstrap(row, seeds, fit))
+        seeds = seeds_of(min(a + step, last), seed)[a:]
+        n, alike = len(seeds), len(limits)
+        g = Growth(bins.shape[1], np.repeat(seeds, alike), [f["max_depth"] for f in limits] * n, [f["min_leaf"] for f in limits] * n, [width] * (n * alike), [0.0] * (n * alike), [1 << 40] * (n * alike))
+        g.fit(columns, target, bootstrap(row, seeds, fit), alike=alike)
         yield g
 
 
@@ -708,13 +753,19 @@ def deep(depth: int | None) -> float:
     return math.inf if depth is None else depth
 
 
-def nested(fits: list[dict]) -> list[list[int]]:
-    """Forests by what their cuts depend on.  Those of one list differ in depth and number of trees only: they have the
-    same seeds and draws, so a tree of less depth is the top of the deeper one, and few trees are the first of many.
+#: Limits of a forest: its seeds and draws do not depend on them.
+LIMITS = ("n_trees", "max_depth", "min_leaf")
+
+
+def nested(fits: list[dict], but=LIMITS[:2]) -> list[list[int]]:
+    """Forests that are equal ``but`` for these limits, which have the same seeds and draws.
+
+    A tree of less depth is the top of the deeper one, few trees are the first of many, and trees of other
+    least leaves are twins as far as they are cut alike.
     """
     groups: dict[str, list[int]] = {}
     for d, fit in enumerate(fits):
-        groups.setdefault(params_text({k: v for k, v in fit.items() if k not in ("n_trees", "max_depth")}), []).append(d)
+        groups.setdefault(params_text({k: v for k, v in fit.items() if k not in but}), []).append(d)
     return list(groups.values())
 
 
@@ -724,28 +775,40 @@ def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int)
     folds = list(range(k))
     if binned.small:
         if kind == "forest":
-            alike = nested(fits)
-            tasks = sorted(((tuple(a), f) for a in alike for f in folds), key=lambda t: (-max(fits[d]["n_trees"] for d in t[0]) * share_of(fits[t[0][0]]["feature_share"], p), t))
+            tasks = [(tuple(some), f, first) for some in nested(fits, LIMITS) for first in range(0, max(fits[d]["n_trees"] for d in some), TASK_TREES) for f in folds]
+            cells = lambda t: share_of(fits[t[0][0]]["feature_share"], p) * sum(min(deep(fits[d]["max_depth"]), 20) for d in t[0] if fits[d]["n_trees"] > t[2])
+            tasks.sort(key=lambda t: (-cells(t), t))
 
             def work(block, task):
-                some, f = task
+                some, f, first = task
+                some = [d for d in some if fits[d]["n_trees"] > first]
                 val = block[1] == f
                 held_out = filled(block[3][val], fill[f])
                 total = {d: np.zeros(int(val.sum())) for d in some}
-                first = 0
-                for last in sorted({fits[d]["n_trees"] for d in some}):
+                begin = first
+                for last in sorted({min(fits[d]["n_trees"], first + TASK_TREES) for d in some}):
                     now = [d for d in some if fits[d]["n_trees"] >= last]
-                    depths = sorted({fits[d]["max_depth"] for d in now}, key=deep)
-                    for g in forest_here(block, fill[f], unit, {**fits[now[0]], "n_trees": last, "max_depth": depths[-1]}, f, seed, first, last):
+                    groups = [[now[i] for i in x] for x in nested([fits[d] for d in now])]
+                    depths = [sorted({fits[d]["max_depth"] for d in x}, key=deep) for x in groups]
+                    limits = [{**fits[x[0]], "max_depth": to[-1]} for x, to in zip(groups, depths, strict=True)]
+                    for g in forest_here(block, fill[f], unit, fits[now[0]], f, seed, begin, last, limits):
                         value = g.values(unit)
-                        for depth, nodes in zip(depths, g.walk(held_out, depths), strict=True):
-                            for tree in value[nodes]:
-                                for d in now:
-                                    if fits[d]["max_depth"] == depth:
-                                        total[d] += tree
-                    first = last
-                errors = [(d, block[2][val] - total[d] / fits[d]["n_trees"]) for d in some]
-                return [(np.int32(d), np.int32(f), float(e @ e), len(e)) for d, e in errors]
+                        for i, same in enumerate(groups):
+                            roots = np.arange(i, len(g.limit), len(groups))
+                            for depth, nodes in zip(depths[i], walk(held_out, roots, g.feature, g.cut, g.child, depths[i]), strict=True):
+                                for tree in value[nodes]:
+                                    for d in same:
+                                        if fits[d]["max_depth"] == depth:
+                                            total[d] += tree
+                    begin = last
+                # The trees of a forest are grown by several tasks; their parts of its errors meet below.
+                return [(np.int32(d), np.int32(f), np.int32(first), ((block[2][val] if first == 0 else 0.0) - total[d] / fits[d]["n_trees"]).tobytes()) for d in some]
+
+            def met(parts: pd.DataFrame) -> pd.DataFrame:
+                error = sum(np.frombuffer(x) for x in parts.sort_values("first")["errors"])
+                return pd.DataFrame({"draw": parts["draw"][:1], "fold": parts["fold"][:1], "sse": float(error @ error), "n": len(error)})
+
+            return shared_out(binned, tasks, work, "draw int, fold int, first int, errors binary").groupBy("draw", "fold").applyInPandas(met, ERRORS)
         else:
             order = sorted(range(len(fits)), key=lambda i: (-fits[i]["n_rounds"], fits[i]["max_depth"] or 99, i))
             together = min(5, max(1, STEP_CELLS // (binned.n * p)))
@@ -846,9 +909,9 @@ class TreeModel:
         return df.withColumn("prediction", prediction(F.array(*[qcol(c).cast("double") for c in cols])))
 
 
-def fit_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, params: dict, seed: int) -> TreeModel:
-    """One forest or boosting on all rows."""
-    binned = bin_rows(train, id_col, xcols, ycol, F.lit(0), 0)
+def fit_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, params: dict, seed: int, binned: Binned | None = None) -> TreeModel:
+    """One forest or boosting on all rows; ``binned``: what :func:`bin_rows` made of them, with any folds."""
+    binned = binned or bin_rows(train, id_col, xcols, ycol, F.lit(0), 0)
     p, unit, fill, base = binned.p, binned.unit, binned.fill[-1], binned.base[-1]
     bare = lambda g: (len(g.limit), g.feature, g.cut, g.child, g.values(unit))
     if not binned.small:

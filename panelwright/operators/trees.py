@@ -8,9 +8,10 @@ Targets are whole numbers of a small unit, so sums are exact and the trees are t
 same however the rows lie.
 
 There are two ways to the same trees.  Where the binned table is below
-``LOCAL_BYTES`` it is broadcast, and tasks share out the models.  Beyond that
-the rows stay where they are: each level is one Arrow aggregate whose sums meet
-by node, and only the chosen cuts reach the driver.
+``LOCAL_BYTES`` it is broadcast, and tasks share out the models; compiled loops
+(:mod:`panelwright.operators.kernels`) grow them where the session can run these,
+NumPy elsewhere.  Beyond that the rows stay where they are: each level is one
+Arrow aggregate whose sums meet by node, and only the chosen cuts reach the driver.
 """
 
 from __future__ import annotations
@@ -28,19 +29,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelwright.functions._util import qcol
+from panelwright.operators import kernels
 from panelwright.operators.quantiles import column_quantiles
 from panelwright.session import materialize
 
 #: Bins of a feature (the last code marks a null), and bytes of a binned table that may be broadcast.
-MAX_BINS, NULL_BIN, LOCAL_BYTES = 255, 255, 4 << 20
+MAX_BINS, NULL_BIN, LOCAL_BYTES = 255, 255, 32 << 20
 #: Most leaves of a boosted tree (fixed value of the protocol), and rounds after which boosted scores are written.
 BOOST_LEAVES, SCORE_ROUNDS = 31, 10
 #: Cells (tree x row x feature) that one step sums at a time.
 CELLS = 1 << 22
 #: Cells (tree x row x feature) that rows at hand grow together: few, so that they stay in the processor's cache.
 STEP_CELLS = 1 << 18
-#: Trees of a forest that one task of a search grows.
-TASK_TREES = 100
+#: Trees of a forest that one task of a search grows, and those that one task of a fit grows.
+TASK_TREES, FIT_TREES = 100, 25
+#: Most forests that a compiled task grows together, and the depth of a tree without limit.
+MOST_TOGETHER, NO_LIMIT = 60, 1 << 30
 #: Cells for each of their rows above which the rows are sorted, and for each row up to which all cells of a level are kept.
 SPARSE, DENSE = 2, 1
 #: Most cells of features that are summed as one code.
@@ -108,7 +112,7 @@ class Growth:
 
     def __init__(self, p: int, seed, depth, least, features, l2, leaves):
         self.p, n = p, len(seed)
-        self.limit = np.array([d if d is not None else 1 << 30 for d in depth])
+        self.limit = np.array([d if d is not None else NO_LIMIT for d in depth])
         self.least, self.features = np.maximum(np.asarray(least, float), 1.0), np.asarray(features)
         self.l2, self.leaves_left = np.asarray(l2, float), np.asarray(leaves) - 1
         self.tree, self.key = np.arange(n), mix(np.asarray(seed, dtype=np.uint64))
@@ -479,6 +483,12 @@ class Binned:
     def small(self) -> bool:
         return self.n * (self.p + 24) <= LOCAL_BYTES
 
+    @cached_property
+    def sent(self):
+        """The table in the executors' JVMs for the compiled loops; None where these can not run (its size is checked by the caller)."""
+        batches = self.rows.toArrow().combine_chunks().to_batches()
+        return kernels.send_table(self.rows.sparkSession, kernels.table_bytes(*block_of(batches[0], self.p))) if batches else None
+
 
 def bin_edges(df: DataFrame, cols) -> list[np.ndarray]:
     """Cut points of each column: midpoints of neighbouring sketch quantiles."""
@@ -596,6 +606,45 @@ def shared_out(binned: Binned, tasks: list, work, schema: str) -> DataFrame:
     return spark.range(0, len(tasks), 1, len(tasks)).mapInArrow(run, schema)
 
 
+def forest_task(binned: Binned, fits: list[dict], fold: int, seed: int, first: int, last: int, emit: bool = False) -> bytes:
+    """Trees ``first`` to ``last`` of forests that differ in :data:`LIMITS` only: their part of the errors on the fold held out, or their nodes."""
+    least = sorted({max(float(f["min_leaf"]), 1.0) for f in fits})
+    limits = [(NO_LIMIT if f["max_depth"] is None else f["max_depth"], least.index(max(float(f["min_leaf"]), 1.0)), max(0, min(f["n_trees"], last) - first), f["n_trees"]) for f in fits]
+    return kernels.words(0, fold, *binned.fill[fold], share_of(fits[0]["feature_share"], binned.p), fits[0].get("bootstrap", True), emit, first == 0, binned.unit, LEAST_GAIN,
+                         seeds_of(last, seed)[first:], POISSON, least, len(fits), *[x for limit in limits for x in limit])
+
+
+def boost_task(binned: Binned, fits: list[dict], fold: int, emit: bool = False) -> bytes:
+    """Boostings that differ in their rounds only, the fewest first: the errors of each on the fold held out, or the nodes of every round."""
+    f = fits[0]
+    return kernels.words(1, fold, *binned.fill[fold], emit, BOOST_LEAVES, NO_LIMIT if f["max_depth"] is None else f["max_depth"], float(f["learning_rate"]), float(binned.base[fold]),
+                         max(float(f["min_leaf"]), 1.0), float(f["l2"]), binned.unit, LEAST_GAIN, [x["n_rounds"] for x in fits])
+
+
+def trees_of_bytes(raw: bytes) -> list[tuple]:
+    """(feature, cut, child, value) of every tree that a compiled task wrote."""
+    out, at = [], 0
+    while at < len(raw):
+        n = int(np.frombuffer(raw, "<i8", 1, at)[0])
+        at, parts = at + 8, []
+        for kind, size in (("<f8", 8), ("<i4", 4), ("<i2", 2), ("u1", 1)):
+            parts.append(np.frombuffer(raw, kind, n, at))
+            at += n * size
+        value, child, feature, cut = parts
+        out.append((feature, cut, child, value))
+    return out
+
+
+def side_by_side(grown: list[tuple]) -> tuple:
+    """(roots, feature, cut, child, value) of several trees, their roots first."""
+    n, out = len(grown), []
+    start = n - 1 + np.cumsum([0, *[len(t[0]) - 1 for t in grown]])
+    parts = [(f, c, np.where(child >= 0, child + at, -1).astype(np.int32), v) for (f, c, child, v), at in zip(grown, start, strict=False)]
+    for x in zip(*parts, strict=True):
+        out.append(np.concatenate([np.array([a[0] for a in x], x[0].dtype), *[a[1:] for a in x]]))
+    return n, *out
+
+
 # ------------------------------------------------ the distributed way: rows stay put
 
 def grow_by_levels(rows: DataFrame, growths: dict[int, Growth], p: int, fill: dict, prepare) -> None:
@@ -746,7 +795,7 @@ def boost_by_levels(binned: Binned, fits: list[dict], folds: list[int], seed: in
 
 # ------------------------------------------------------------------ search
 
-ERRORS = "draw int, fold int, sse double, n long"
+ERRORS, PARTS = "draw int, fold int, sse double, n long", "draw int, fold int, first int, errors binary"
 
 
 def deep(depth: int | None) -> float:
@@ -769,10 +818,47 @@ def nested(fits: list[dict], but=LIMITS[:2]) -> list[list[int]]:
     return list(groups.values())
 
 
+def met(parts: pd.DataFrame) -> pd.DataFrame:
+    """The squared errors of a fit on a fold, from the parts of its errors."""
+    error = sum(np.frombuffer(x) for x in parts.sort_values("first")["errors"])
+    return pd.DataFrame({"draw": parts["draw"][:1], "fold": parts["fold"][:1], "sse": float(error @ error), "n": len(error)})
+
+
+def compiled_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int) -> DataFrame:
+    """:func:`fold_errors` by the compiled loops: tasks of forests that differ in limits only, or of boostings that differ in rounds only."""
+    tasks = []
+    for some in nested(fits, LIMITS if kind == "forest" else ("n_rounds",)):
+        some = sorted(some, key=lambda d: fits[d]["n_trees" if kind == "forest" else "n_rounds"])
+        for a in range(0, len(some), MOST_TOGETHER):
+            part = some[a : a + MOST_TOGETHER]
+            for first in range(0, fits[part[-1]]["n_trees"], TASK_TREES) if kind == "forest" else (0,):
+                tasks += [([d for d in part if kind == "boost" or fits[d]["n_trees"] > first], f, first) for f in range(k)]
+    depth = lambda d: min(deep(fits[d]["max_depth"]), 20)
+    cost = lambda t: share_of(fits[t[0][0]]["feature_share"], binned.p) * sum(map(depth, t[0])) if kind == "forest" else fits[t[0][-1]]["n_rounds"] * depth(t[0][-1])
+    tasks.sort(key=lambda t: (-cost(t), t))
+    if kind == "forest":
+        raw = [forest_task(binned, [fits[d] for d in some], f, seed, first, min(first + TASK_TREES, fits[some[-1]]["n_trees"])) for some, f, first in tasks]
+    else:
+        raw = [boost_task(binned, [fits[d] for d in some], f) for some, f, _ in tasks]
+
+    def parts(batches):
+        for batch in batches:
+            for i, found in zip(*(batch.column(c) for c in ("id", "found")), strict=True):
+                some, f, first = tasks[i.as_py()]
+                held = found.as_buffer()
+                size = held.size // len(some)
+                rows = [(np.int32(d), np.int32(f), np.int32(first), held[j * size : (j + 1) * size].to_pybytes()) for j, d in enumerate(some)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], [c.split()[0] for c in PARTS.split(", ")])
+
+    return kernels.run_tasks(binned.rows.sparkSession, binned.sent, raw).mapInArrow(parts, PARTS).groupBy("draw", "fold").applyInPandas(met, ERRORS)
+
+
 def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int) -> DataFrame:
     """(draw, fold, sse, n): squared errors of every fit on the fold that it did not see."""
     p, fill, unit, base = binned.p, binned.fill, binned.unit, binned.base
     folds = list(range(k))
+    if binned.small and binned.sent is not None:
+        return compiled_errors(binned, kind, fits, k, seed)
     if binned.small:
         if kind == "forest":
             tasks = [(tuple(some), f, first) for some in nested(fits, LIMITS) for first in range(0, max(fits[d]["n_trees"] for d in some), TASK_TREES) for f in folds]
@@ -804,11 +890,7 @@ def fold_errors(binned: Binned, kind: str, fits: list[dict], k: int, seed: int)
                 # The trees of a forest are grown by several tasks; their parts of its errors meet below.
                 return [(np.int32(d), np.int32(f), np.int32(first), ((block[2][val] if first == 0 else 0.0) - total[d] / fits[d]["n_trees"]).tobytes()) for d in some]
 
-            def met(parts: pd.DataFrame) -> pd.DataFrame:
-                error = sum(np.frombuffer(x) for x in parts.sort_values("first")["errors"])
-                return pd.DataFrame({"draw": parts["draw"][:1], "fold": parts["fold"][:1], "sse": float(error @ error), "n": len(error)})
-
-            return shared_out(binned, tasks, work, "draw int, fold int, first int, errors binary").groupBy("draw", "fold").applyInPandas(met, ERRORS)
+            return shared_out(binned, tasks, work, PARTS).groupBy("draw", "fold").applyInPandas(met, ERRORS)
         else:
             order = sorted(range(len(fits)), key=lambda i: (-fits[i]["n_rounds"], fits[i]["max_depth"] or 99, i))
             together = min(5, max(1, STEP_CELLS // (binned.n * p)))
@@ -917,9 +999,15 @@ def fit_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, params
     if not binned.small:
         grown = [forest_by_levels(binned, params, [-1], seed)[-1]] if kind == "forest" else [g[-1] for _, g in boost_by_levels(binned, [params], [-1], seed)[1]]
         trees = [bare(g) for g in grown]
+    elif binned.sent is not None:
+        if kind == "forest":
+            tasks = [forest_task(binned, [params], -1, seed, a, min(a + FIT_TREES, params["n_trees"]), emit=True) for a in range(0, params["n_trees"], FIT_TREES)]
+        else:
+            tasks = [boost_task(binned, [params], -1, emit=True)]
+        found = {r["id"]: trees_of_bytes(r["found"]) for r in kernels.run_tasks(binned.rows.sparkSession, binned.sent, tasks).collect()}
+        trees = [side_by_side(x) for i in sorted(found) for x in ([found[i]] if kind == "forest" else [[t] for t in found[i]])]
     else:
-        step = 25
-        tasks = [(a, min(a + step, params["n_trees"])) for a in range(0, params["n_trees"], step)] if kind == "forest" else [(0, 0)]
+        tasks = [(a, min(a + FIT_TREES, params["n_trees"])) for a in range(0, params["n_trees"], FIT_TREES)] if kind == "forest" else [(0, 0)]
 
         def work(block, task):
             if kind == "forest":

@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 import math
 import pickle
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import cached_property
 
 import numpy as np
@@ -487,7 +487,7 @@ class Binned:
     def sent(self):
         """The table in the executors' JVMs for the compiled loops; None where these can not run (its size is checked by the caller)."""
         batches = self.rows.toArrow().combine_chunks().to_batches()
-        return kernels.send_table(self.rows.sparkSession, kernels.table_bytes(*block_of(batches[0], self.p))) if batches else None
+        return kernels.send(self.rows.sparkSession, kernels.table_bytes(*block_of(batches[0], self.p))) if batches else None
 
 
 def bin_edges(df: DataFrame, cols) -> list[np.ndarray]:
@@ -965,6 +965,7 @@ class TreeModel:
     base: float
     rate: float
     trees: list[tuple]  # roots, feature, cut, child, value
+    sent: tuple | None = None  # the application that :meth:`predict` last ran in, and the model there (None: the compiled loops can not run)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Predictions of a matrix of values (NaN: missing)."""
@@ -981,14 +982,19 @@ class TreeModel:
 
     def predict(self, df: DataFrame, cols) -> DataFrame:
         """``df`` plus ``prediction``; the model is broadcast (its size is the trees', not the rows')."""
-        held = df.sparkSession.sparkContext.broadcast(self)
+        values = [qcol(c).cast("double") for c in cols]
+        if self.sent is None or self.sent[0] != df.sparkSession.sparkContext.applicationId:
+            self.sent = df.sparkSession.sparkContext.applicationId, kernels.send(df.sparkSession, kernels.model_bytes(self))
+        if self.sent[1] is not None:
+            return df.withColumn("prediction", kernels.scores(df.sparkSession, self.sent[1], F.array(*values)))
+        held = df.sparkSession.sparkContext.broadcast(replace(self, sent=None))
 
         @F.pandas_udf("double")
         def prediction(x: pd.Series) -> pd.Series:
             m = np.array(x.tolist(), dtype=float).reshape(len(x), -1)
             return pd.Series(np.concatenate([held.value.score(m[a : a + 4096]) for a in range(0, len(m), 4096)]) if len(m) else np.zeros(0))
 
-        return df.withColumn("prediction", prediction(F.array(*[qcol(c).cast("double") for c in cols])))
+        return df.withColumn("prediction", prediction(F.array(*values)))
 
 
 def fit_trees(train: DataFrame, id_col: str, xcols, ycol: str, kind: str, params: dict, seed: int, binned: Binned | None = None) -> TreeModel:

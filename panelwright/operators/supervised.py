@@ -82,6 +82,8 @@ def evaluate_supervised(train: DataFrame, id_col: str, features, outcome: str, g
         run = lambda f, *a: pool.submit(inheritable_thread_target(train.sparkSession)(f), *a)
         linear_sums = run(sums)
         binned = bin_rows(train, id_col, features, outcome, fold_id(id_col), N_FOLDS)
+        if binned.small:
+            binned.sent  # noqa: B018 - once, before both searches ask for it
         found = {}
         for kind in TREES:
             found[kind] = run(trees, kind, binned)
